@@ -137,3 +137,103 @@ sp AS ({strat("sc", "label", "o_orderkey", "42")}),
 cl AS (SELECT *, least(greatest(prob, 1e-15), 1.0 - 1e-15) AS p FROM sp)
 SELECT split, {R("avg(-(label * ln(p) + (1 - label) * ln(1.0 - p)))")} AS logloss, count(*) AS n
 FROM cl GROUP BY split"""
+
+
+# ---------------------------------------------------------------- A3, A6-A15
+
+LINE_COLS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+
+ORACLE["summary_stats"] = "\nUNION ALL\n".join(
+    f"""SELECT '{c}' AS column_name, count({c}) AS count, {R(f"avg({c})", 4)} AS mean,
+       {R(f"stddev_samp({c})", 4)} AS std, {R(f"min({c})", 4)} AS min,
+       {R(f"quantile_cont({c}, 0.25)", 4)} AS p25, {R(f"quantile_cont({c}, 0.5)", 4)} AS p50,
+       {R(f"quantile_cont({c}, 0.75)", 4)} AS p75, {R(f"max({c})", 4)} AS max
+FROM lineitem""" for c in LINE_COLS)
+
+ORACLE["class_distribution"] = f"""
+SELECT o_orderstatus, count(*) AS n, {R("count(*) / sum(count(*)) OVER ()")} AS share
+FROM orders GROUP BY o_orderstatus"""
+
+
+def hist_sql(src: str, n_bins: int, by: str | None = None) -> str:
+    cls = f"{by}, " if by else ""
+    classes = f", (SELECT DISTINCT {by} FROM v) cl" if by else ""
+    return f"""
+WITH v AS ({src}),
+b AS (SELECT min(x) AS lo, max(x) AS hi FROM v),
+binned AS (SELECT {cls}CAST(CASE WHEN hi > lo THEN least(floor((x - lo) / (hi - lo) * {n_bins}) + 1, {n_bins})
+                            ELSE 1 END AS INTEGER) AS bin FROM v, b),
+cnt AS (SELECT {cls}bin, count(*) AS count FROM binned GROUP BY ALL),
+grid AS (SELECT {cls}CAST(g AS INTEGER) AS bin, lo + (g - 1) * ((hi - lo) / {n_bins}) AS lower,
+                lo + g * ((hi - lo) / {n_bins}) AS upper
+         FROM b, range(1, {n_bins + 1}) t(g){classes})
+SELECT grid.*, coalesce(cnt.count, 0) AS count FROM grid LEFT JOIN cnt USING ({cls}bin)"""
+
+
+def _round_hist(inner: str, extra: str = "") -> str:
+    return (f"SELECT {extra}bin, {R('lower')} AS lower, {R('upper')} AS upper, count FROM ({inner})")
+
+
+ORACLE["histogram"] = _round_hist(hist_sql("SELECT l_extendedprice AS x FROM lineitem", 20))
+ORACLE["histogram_by_class"] = _round_hist(
+    hist_sql("SELECT l_returnflag, l_extendedprice AS x FROM lineitem", 20, by="l_returnflag"),
+    extra="l_returnflag, ")
+ORACLE["marginal_hist"] = (
+    _round_hist(hist_sql("SELECT l_quantity AS x FROM lineitem", 10), extra="'x' AS axis, ")
+    + "\nUNION ALL\n"
+    + _round_hist(hist_sql("SELECT l_extendedprice AS x FROM lineitem", 10), extra="'y' AS axis, "))
+
+
+def box_sql(src: str, by: str | None = None) -> str:
+    g = f"{by}, " if by else ""
+    grp = f"GROUP BY {by}" if by else ""
+    join = f"JOIN qs USING ({by})" if by else ", qs"
+    return f"""
+WITH v AS ({src}),
+qs0 AS (SELECT {g}quantile_cont(x, 0.25) AS q1, quantile_cont(x, 0.5) AS median,
+               quantile_cont(x, 0.75) AS q3 FROM v {grp}),
+qs AS (SELECT *, q3 - q1 AS iqr, q1 - 1.5 * (q3 - q1) AS lo_fence, q3 + 1.5 * (q3 - q1) AS hi_fence FROM qs0)
+SELECT {"v." + by + ", " if by else ""}{R("any_value(q1)", 4)} AS q1, {R("any_value(median)", 4)} AS median,
+       {R("any_value(q3)", 4)} AS q3, {R("any_value(iqr)", 4)} AS iqr,
+       {R("any_value(lo_fence)", 4)} AS lo_fence, {R("any_value(hi_fence)", 4)} AS hi_fence,
+       {R("min(x) FILTER (WHERE x BETWEEN lo_fence AND hi_fence)", 4)} AS whisker_low,
+       {R("max(x) FILTER (WHERE x BETWEEN lo_fence AND hi_fence)", 4)} AS whisker_high,
+       CAST(count_if(NOT (x BETWEEN lo_fence AND hi_fence)) AS BIGINT) AS n_outliers, count(*) AS n
+FROM v {join} {"GROUP BY v." + by if by else ""}"""
+
+
+ORACLE["box_stats"] = box_sql("SELECT l_extendedprice AS x FROM lineitem")
+ORACLE["box_by_class"] = box_sql("SELECT event_type, value AS x FROM events", by="event_type")
+ORACLE["box_outliers"] = """
+WITH q AS (SELECT event_type, quantile_cont(value, 0.25) AS q1, quantile_cont(value, 0.75) AS q3
+           FROM events GROUP BY event_type)
+SELECT e.event_id, e.event_type, e.value FROM events e JOIN q USING (event_type)
+WHERE e.value < q1 - 1.5 * (q3 - q1) OR e.value > q3 + 1.5 * (q3 - q1)"""
+
+ORACLE["violin_density"] = f"""
+WITH v AS (SELECT event_type, value AS x FROM events),
+s AS (SELECT event_type, count(*) AS n, stddev_samp(x) AS sd, min(x) AS lo, max(x) AS hi FROM v GROUP BY 1),
+s2 AS (SELECT *, CASE WHEN coalesce(1.06 * sd * pow(n, -0.2), 0) > 0 THEN 1.06 * sd * pow(n, -0.2)
+                      ELSE 1e-3 END AS h FROM s),
+g AS (SELECT event_type, CAST(p AS INTEGER) AS point, lo + (hi - lo) * p / 49 AS grid_x, n, h
+      FROM s2, range(0, 50) t(p)),
+c AS (SELECT event_type, x, count(*) AS c FROM v GROUP BY 1, 2)
+SELECT g.event_type, point, {R("grid_x")} AS grid_x,
+       {R("sum(c * exp(-0.5 * ((grid_x - x) / h) * ((grid_x - x) / h))) / (n * h * sqrt(2 * pi()))", 8)} AS density
+FROM g JOIN c USING (event_type) GROUP BY g.event_type, point, grid_x, n, h"""
+
+ORACLE["pearson"] = f"""
+SELECT l_returnflag, {R("corr(l_quantity, l_extendedprice)")} AS r FROM lineitem GROUP BY l_returnflag"""
+
+_pairs = [(a, b) for a in LINE_COLS for b in LINE_COLS]
+ORACLE["corr_matrix"] = "\nUNION ALL\n".join(
+    f"SELECT '{a}' AS f1, '{b}' AS f2, {R(f'corr({a}, {b})')} AS r FROM lineitem" if a != b
+    else f"SELECT '{a}' AS f1, '{b}' AS f2, CAST(1.0 AS DOUBLE) AS r"
+    for a, b in _pairs)
+
+ORACLE["ols_trend"] = f"""
+SELECT l_returnflag, {R("regr_slope(l_extendedprice, l_quantity)", 4)} AS slope,
+       {R("regr_intercept(l_extendedprice, l_quantity)", 4)} AS intercept,
+       {R("regr_r2(l_extendedprice, l_quantity)")} AS r2,
+       CAST(regr_count(l_extendedprice, l_quantity) AS BIGINT) AS n
+FROM lineitem GROUP BY l_returnflag"""

@@ -144,3 +144,87 @@ def fold_mean(spark, d):
 def logloss(spark, d):
     s = S.stratified_split(scored_orders(spark, d), "label", "o_orderkey", TEST_FRAC, seed=SPLIT_SEED)
     return M.log_loss(s, "label", "prob", by=["split"]).withColumn("logloss", r("logloss"))
+
+
+# ---------------------------------------------------------------- A3, A6-A15
+
+from tallyspark.operators import profile as PR  # noqa: E402
+
+LINE_COLS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+STAT_ROUND = 4
+
+
+@register("summary_stats")
+def summary_stats(spark, d):
+    s = PR.summary_stats(table(spark, d, "lineitem"), LINE_COLS)
+    return s.select("column_name", "count", *[r(c, STAT_ROUND).alias(c) for c in
+                                             ("mean", "std", "min", "p25", "p50", "p75", "max")])
+
+
+@register("class_distribution")
+def class_distribution(spark, d):
+    return PR.class_distribution(table(spark, d, "orders"), "o_orderstatus").withColumn("share", r("share"))
+
+
+def _hist_out(h: DataFrame) -> DataFrame:
+    return h.withColumn("lower", r("lower")).withColumn("upper", r("upper"))
+
+
+@register("histogram")
+def histogram(spark, d):
+    return _hist_out(PR.histogram(table(spark, d, "lineitem"), "l_extendedprice", 20))
+
+
+@register("histogram_by_class")
+def histogram_by_class(spark, d):
+    return _hist_out(PR.histogram(table(spark, d, "lineitem"), "l_extendedprice", 20, by=["l_returnflag"]))
+
+
+BOX_COLS = ("q1", "median", "q3", "iqr", "lo_fence", "hi_fence", "whisker_low", "whisker_high")
+
+
+@register("box_stats")
+def box_stats(spark, d):
+    b = PR.box_stats(table(spark, d, "lineitem"), "l_extendedprice")
+    return b.select(*[r(c, STAT_ROUND).alias(c) for c in BOX_COLS], "n_outliers", "n")
+
+
+@register("box_by_class")
+def box_by_class(spark, d):
+    b = PR.box_stats(table(spark, d, "events"), "value", by=["event_type"])
+    return b.select("event_type", *[r(c, STAT_ROUND).alias(c) for c in BOX_COLS], "n_outliers", "n")
+
+
+@register("box_outliers")
+def box_outliers(spark, d):
+    return PR.box_outliers(table(spark, d, "events"), "value", by=["event_type"], keep=["event_id"])
+
+
+@register("violin_density")
+def violin_density(spark, d):
+    v = PR.violin_density(table(spark, d, "events"), "value", by=["event_type"], n_points=50)
+    return v.select("event_type", "point", r("grid_x").alias("grid_x"), r("density", 8).alias("density"))
+
+
+@register("marginal_hist")
+def marginal_hist(spark, d):
+    m = PR.marginal(table(spark, d, "lineitem"), "l_quantity", "l_extendedprice", "histogram", n_bins=10)
+    return _hist_out(m)
+
+
+@register("pearson")
+def pearson(spark, d):
+    return PR.pearson(table(spark, d, "lineitem"), "l_quantity", "l_extendedprice",
+                      by=["l_returnflag"]).withColumn("r", r("r"))
+
+
+@register("corr_matrix")
+def corr_matrix(spark, d):
+    return PR.corr_matrix(table(spark, d, "lineitem"), LINE_COLS).withColumn("r", r("r"))
+
+
+@register("ols_trend")
+def ols_trend(spark, d):
+    o = PR.ols_trend(table(spark, d, "lineitem"), "l_quantity", "l_extendedprice", by=["l_returnflag"])
+    return o.select("l_returnflag", r("slope", STAT_ROUND).alias("slope"),
+                    r("intercept", STAT_ROUND).alias("intercept"), r("r2").alias("r2"), "n")

@@ -6,6 +6,7 @@ import os
 import tempfile
 import uuid
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,6 +22,7 @@ def get_spark(app: str = "tallyspark", master: str | None = None,
         builder = builder.master(master)
     builder = (builder
                .config("spark.ui.enabled", "false")
+               .config("spark.ui.showConsoleProgress", "false")
                .config("spark.sql.adaptive.enabled", "true")
                .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
                .config("spark.sql.adaptive.skewJoin.enabled", "true")
@@ -58,16 +60,21 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return os.path.join(base, f"{name}-{uuid.uuid4().hex}")
 
 
-def bounded_broadcast(small: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+def bounded_broadcast(small: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
+                      cut_lineage: bool = False) -> DataFrame:
     """Materialize a derived small table and broadcast it only if its size is proven.
 
-    The table is checkpointed to shared storage (cuts lineage, survives executor
-    loss), counted, and wrapped in a broadcast hint only when it holds at most
-    ``max_rows`` rows; otherwise it is returned as is and the planner uses a
-    shuffle join.
+    The table is persisted (or, with ``cut_lineage``, checkpointed to the shared
+    checkpoint folder, for iterative plans), counted, and wrapped in a
+    broadcast hint only when it holds at most ``max_rows`` rows; otherwise it
+    is returned as is and the planner falls back to a shuffle join. A lost
+    cached block is recomputed from lineage.
     """
-    ensure_checkpoint_dir(small.sparkSession)
-    cp = small.checkpoint(eager=True)
-    if cp.count() <= max_rows:
-        return F.broadcast(cp)
-    return cp
+    if cut_lineage:
+        ensure_checkpoint_dir(small.sparkSession)
+        held = small.checkpoint(eager=True)
+    else:
+        held = small.persist(StorageLevel.MEMORY_AND_DISK)
+    if held.count() <= max_rows:
+        return F.broadcast(held)
+    return held
