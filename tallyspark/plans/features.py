@@ -45,3 +45,62 @@ def scored_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Imputed order features scored by the literal model: prob, prediction."""
     coefs = {k: v for k, v in ORDER_MODEL.items() if k != "intercept"}
     return score_linear(imputed_order_features(spark, sf_dir), coefs, ORDER_MODEL["intercept"])
+
+
+# ---------------------------------------------------------------- derived registry tables
+
+def version_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One metrics row per (model, version): models are event types, versions
+    user ids + 1; rates are ratios of event counts (exact in any engine)."""
+    e = table(spark, sf_dir, "events")
+    n = F.count(F.lit(1))
+    hi = F.count_if(F.col("value") >= 100)
+    return e.groupBy(F.col("event_type").alias("model_name"),
+                     (F.col("user_id") + 1).cast("int").alias("model_version")).agg(
+        n.alias("n"),
+        (F.count_if(F.col("value") >= 50) / n).alias("accuracy"),
+        (hi / n).alias("precision"),
+        (F.count_if(F.col("value") >= 20) / n).alias("recall"),
+        (2 * hi / (n + hi)).alias("f1"))
+
+
+def registered_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(model_name, version): versions that exist, with gaps."""
+    e = table(spark, sf_dir, "events").filter(F.col("value") >= 100)
+    return e.select(F.col("event_type").alias("model_name"),
+                    (F.col("user_id") + 1).cast("int").alias("version")).distinct()
+
+
+def stage_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(model_name, version, stage, ts, seq): one stage change per event."""
+    e = table(spark, sf_dir, "events")
+    stage = (F.when(F.col("value") >= 100, F.lit("Production"))
+              .when(F.col("value") >= 20, F.lit("Staging")).otherwise(F.lit("Archived")))
+    return e.select(F.col("event_type").alias("model_name"),
+                    (F.col("user_id") + 1).cast("int").alias("version"),
+                    stage.alias("stage"), F.col("ts"), F.col("event_id").alias("seq"))
+
+
+# Hyper-parameter search space (log-uniform bounds are exponents).
+SEARCH_SPACE = {
+    "max_depth": ("quniform", 4, 300, 1),
+    "learning_rate": ("loguniform", -3, 0),
+    "reg_alpha": ("loguniform", -5, -1),
+    "reg_lambda": ("loguniform", -6, -1),
+    "min_child_weight": ("loguniform", -1, 3),
+}
+MAX_TREE_DEPTH = 30  # deepest tree MLlib accepts
+
+
+def draw_params(df: DataFrame, key: str, seed: str = SPLIT_SEED) -> DataFrame:
+    """M4: one reproducible draw of every search parameter per row of ``df``."""
+    from tallyspark.functions.hashing import uniform
+    from tallyspark.functions.scalar import log_uniform, quniform
+    out = df
+    for name, spec in SEARCH_SPACE.items():
+        u = uniform(f"{seed}:{name}", key)
+        if spec[0] == "loguniform":
+            out = out.withColumn(name, log_uniform(u, spec[1], spec[2]))
+        else:
+            out = out.withColumn(name, quniform(u, spec[1], spec[2], spec[3]).cast("int"))
+    return out

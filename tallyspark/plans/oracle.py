@@ -237,3 +237,157 @@ SELECT l_returnflag, {R("regr_slope(l_extendedprice, l_quantity)", 4)} AS slope,
        {R("regr_r2(l_extendedprice, l_quantity)")} AS r2,
        CAST(regr_count(l_extendedprice, l_quantity) AS BIGINT) AS n
 FROM lineitem GROUP BY l_returnflag"""
+
+
+# ---------------------------------------------------------------- F1-F3, P8, P12
+
+_neg_names = ("concat_ws(',', CASE WHEN c_nationkey < 0 THEN 'c_nationkey' END, "
+              "CASE WHEN c_acctbal < 0 THEN 'c_acctbal' END)")
+ORACLE["negative_split"] = f"""
+SELECT c_custkey,
+       CASE WHEN {_neg_names} = '' THEN 'accepted' ELSE 'rejected' END AS status,
+       CASE WHEN {_neg_names} = '' THEN NULL ELSE 'negative value in ' || {_neg_names} END AS reason
+FROM customer"""
+
+ORACLE["negative_file_check"] = """
+SELECT count(*) AS n_rows, CAST(count_if(c_nationkey < 0 OR c_acctbal < 0) AS BIGINT) AS n_negative_rows,
+       count_if(c_nationkey < 0 OR c_acctbal < 0) > 0 AS file_rejected
+FROM customer"""
+
+
+def _num_checks(f: str, expr: str) -> list[str]:
+    num = f"TRY_CAST(CAST({expr} AS VARCHAR) AS DOUBLE)"
+    return [f"CASE WHEN {expr} IS NULL THEN '{f}: missing' END",
+            f"CASE WHEN {expr} IS NOT NULL AND {num} IS NULL THEN '{f}: not a number' END",
+            f"CASE WHEN {num} < 0 THEN '{f}: negative' END"]
+
+
+_req_checks = (_num_checks("k", "k") + _num_checks("value", "value") + _num_checks("user_id", "user_id")
+               + ["CASE WHEN event_type IS NULL THEN 'event_type: missing' END",
+                  "CASE WHEN event_type IS NOT NULL AND known IS NULL THEN 'event_type: unknown' END"])
+ORACLE["request_validation"] = f"""
+WITH known AS (SELECT DISTINCT event_type AS known FROM events WHERE value >= 100),
+req AS (SELECT e.*, json_extract_string(props, '$.k') AS k, known.known
+        FROM events e LEFT JOIN known ON e.event_type = known.known)
+SELECT event_id, CAST(k AS DOUBLE) AS k, value AS "VALUE",
+       CAST({" + ".join(f"(CASE WHEN ({c}) IS NULL THEN 0 ELSE 1 END)" for c in _req_checks)} AS INTEGER) AS n_errors,
+       concat_ws('; ', {", ".join(_req_checks)}) AS errors_text
+FROM req"""
+
+ORACLE["preference_map"] = """
+WITH p AS (SELECT c_custkey, CASE WHEN c_acctbal < 0 THEN 'cautious'
+                                  WHEN c_mktsegment = 'AUTOMOBILE' THEN 'risk taker'
+                                  ELSE 'neutral' END AS preference FROM customer)
+SELECT c_custkey, preference,
+       CASE preference WHEN 'cautious' THEN 'precision' WHEN 'risk taker' THEN 'recall' ELSE 'f1' END AS metric
+FROM p"""
+
+
+# ---------------------------------------------------------------- M4, O4, A20
+
+def U(seed: str, key: str) -> str:
+    return f"(CAST({H(seed, key)} AS DOUBLE) / CAST(4503599627370496 AS DOUBLE))"
+
+
+def draws(key: str) -> str:
+    return (f"CAST(round_even((4.0 + 296.0 * {U('42:max_depth', key)}) / 1.0, 0) * 1.0 AS INTEGER) AS max_depth, "
+            f"exp(-3.0 + 3.0 * {U('42:learning_rate', key)}) AS learning_rate, "
+            f"exp(-5.0 + 4.0 * {U('42:reg_alpha', key)}) AS reg_alpha, "
+            f"exp(-6.0 + 5.0 * {U('42:reg_lambda', key)}) AS reg_lambda, "
+            f"exp(-1.0 + 4.0 * {U('42:min_child_weight', key)}) AS min_child_weight")
+
+
+ORACLE["trial_draws"] = f"""
+WITH t AS (SELECT o_orderkey, {draws("o_orderkey")} FROM orders)
+SELECT o_orderkey, max_depth, {R("learning_rate")} AS learning_rate, {R("reg_alpha")} AS reg_alpha,
+       {R("reg_lambda")} AS reg_lambda, {R("min_child_weight")} AS min_child_weight FROM t"""
+
+ORACLE["best_trial"] = f"""
+WITH t AS (SELECT o_orderkey, o_custkey, 1.0 - o_totalprice / 500000.0 AS loss, {draws("o_orderkey")} FROM orders),
+b AS (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY loss, o_orderkey) AS rn FROM t)
+SELECT o_custkey, o_orderkey, {R("loss")} AS loss, {R("learning_rate")} AS learning_rate, max_depth
+FROM b WHERE rn = 1"""
+
+
+# ---------------------------------------------------------------- O2, O3, O5, O6, R1-R4, F4, F5
+
+VM = """vm AS (
+  SELECT event_type AS model_name, CAST(user_id + 1 AS INTEGER) AS model_version, count(*) AS n,
+         count_if(value >= 50) / count(*) AS accuracy, count_if(value >= 100) / count(*) AS precision,
+         count_if(value >= 20) / count(*) AS recall,
+         2 * count_if(value >= 100) / (count(*) + count_if(value >= 100)) AS f1
+  FROM events GROUP BY 1, 2)"""
+RV = """rv AS (SELECT DISTINCT event_type AS model_name, CAST(user_id + 1 AS INTEGER) AS version
+          FROM events WHERE value >= 100)"""
+SE = """se AS (SELECT event_type AS model_name, CAST(user_id + 1 AS INTEGER) AS version,
+               CASE WHEN value >= 100 THEN 'Production' WHEN value >= 20 THEN 'Staging' ELSE 'Archived' END AS stage,
+               ts, event_id AS seq FROM events),
+cs AS (SELECT model_name, version, stage, seq AS last_seq FROM (
+         SELECT *, row_number() OVER (PARTITION BY model_name, version ORDER BY ts DESC, seq DESC) AS rn FROM se)
+       WHERE rn = 1)"""
+
+ORACLE["leaderboard"] = f"""
+WITH {VM}
+SELECT model_name, model_version, f1,
+       CAST(row_number() OVER (PARTITION BY model_name ORDER BY f1 DESC NULLS LAST, model_version) AS INTEGER)
+         AS position
+FROM vm"""
+
+ORACLE["best_version"] = f"""
+WITH {VM},
+b AS (SELECT *, row_number() OVER (PARTITION BY model_name ORDER BY f1 DESC, model_version) AS rn
+      FROM vm WHERE f1 IS NOT NULL AND NOT isnan(f1))
+SELECT model_name, model_version, f1 FROM b WHERE rn = 1"""
+
+ORACLE["gap_free_versions"] = f"""
+WITH {RV}
+SELECT model_name, version FROM (
+  SELECT *, row_number() OVER (PARTITION BY model_name ORDER BY version) AS rn FROM rv)
+WHERE rn = version"""
+
+ORACLE["next_version"] = f"""
+WITH {RV}
+SELECT model_name, CAST(coalesce(max(version), 0) + 1 AS INTEGER) AS next_version FROM rv GROUP BY 1"""
+
+ORACLE["list_models"] = f"""
+WITH {RV}
+SELECT model_name, count(*) AS n_versions, max(version) AS latest_version FROM rv GROUP BY 1"""
+
+ORACLE["model_versions"] = f"""
+WITH {RV}
+SELECT model_name, version FROM rv WHERE model_name = 'purchase'"""
+
+ORACLE["current_stage"] = f"WITH {SE} SELECT * FROM cs"
+
+ORACLE["stage_version"] = f"""
+WITH {SE}
+SELECT model_name, max(version) AS version FROM cs WHERE stage = 'Production' GROUP BY 1"""
+
+ORACLE["run_metrics"] = f"""
+WITH {VM},
+r AS (SELECT model_name || '-' || CAST(model_version AS VARCHAR) AS run_id, * FROM vm)
+SELECT run_id, 'accuracy' AS metric, accuracy AS value FROM r
+UNION ALL SELECT run_id, 'precision', precision FROM r
+UNION ALL SELECT run_id, 'recall', recall FROM r
+UNION ALL SELECT run_id, 'f1', f1 FROM r"""
+
+ORACLE["early_stop"] = """
+WITH l AS (SELECT event_type AS run_id, event_id AS round, value AS loss FROM events),
+p AS (SELECT *, min({'l': loss, 'r': round}) OVER (PARTITION BY run_id ORDER BY round
+                 ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS best FROM l),
+st AS (SELECT run_id, min(round) AS stop_round FROM p WHERE round - best.r >= 40 GROUP BY 1),
+sb AS (SELECT p.run_id, p.best.r AS br, p.best.l AS bl FROM p JOIN st
+         ON p.run_id = st.run_id AND p.round = st.stop_round),
+al AS (SELECT run_id, min({'l': loss, 'r': round}) AS b, count(*) AS n_rounds FROM l GROUP BY 1)
+SELECT al.run_id, coalesce(sb.br, al.b.r) AS best_round, coalesce(sb.bl, al.b.l) AS best_loss,
+       st.stop_round, al.n_rounds
+FROM al LEFT JOIN st USING (run_id) LEFT JOIN sb USING (run_id)"""
+
+
+# ---------------------------------------------------------------- ML1
+
+ORACLE["minmax_scale"] = f"""
+SELECT p_partkey,
+  {R("CASE WHEN max(p_size) OVER () > min(p_size) OVER () THEN (CAST(p_size AS DOUBLE) - min(p_size) OVER ()) / (max(p_size) OVER () - min(p_size) OVER ()) ELSE 0.0 END")} AS p_size_scaled,
+  {R("CASE WHEN max(p_retailprice) OVER () > min(p_retailprice) OVER () THEN (p_retailprice - min(p_retailprice) OVER ()) / (max(p_retailprice) OVER () - min(p_retailprice) OVER ()) ELSE 0.0 END")} AS p_retailprice_scaled
+FROM part"""

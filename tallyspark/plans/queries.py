@@ -228,3 +228,142 @@ def ols_trend(spark, d):
     o = PR.ols_trend(table(spark, d, "lineitem"), "l_quantity", "l_extendedprice", by=["l_returnflag"])
     return o.select("l_returnflag", r("slope", STAT_ROUND).alias("slope"),
                     r("intercept", STAT_ROUND).alias("intercept"), r("r2").alias("r2"), "n")
+
+
+# ---------------------------------------------------------------- F1-F3, P8, P12
+
+from tallyspark.operators import validate as V  # noqa: E402
+from tallyspark.plans.features import (  # noqa: E402
+    draw_params, registered_versions, stage_events, version_metrics,
+)
+
+
+@register("negative_split")
+def negative_split(spark, d):
+    c = table(spark, d, "customer")
+    return V.flag_negatives(c, exclude=["c_custkey"]).select("c_custkey", "status", "reason")
+
+
+@register("negative_file_check")
+def negative_file_check(spark, d):
+    return V.negative_file_check(table(spark, d, "customer"), exclude=["c_custkey"])
+
+
+# Request field -> model column mapping (P8) for event requests.
+REQUEST_FIELDS = {"k": "K", "value": "VALUE", "user_id": "USER"}
+
+
+@register("request_validation")
+def request_validation(spark, d):
+    e = table(spark, d, "events").withColumn("k", F.get_json_object("props", "$.k"))
+    known = registered_versions(spark, d)
+    checked = V.request_errors(e, ["k", "value", "user_id"], ["event_type"],
+                               known=known.withColumnRenamed("model_name", "event_type"),
+                               known_field="event_type")
+    mapped = P.map_columns(checked, REQUEST_FIELDS, keep=["event_id", "errors"])
+    return mapped.select("event_id", F.col("K").cast("double").alias("k"), "VALUE",
+                         F.size("errors").alias("n_errors"),
+                         F.concat_ws("; ", "errors").alias("errors_text"))
+
+
+@register("preference_map")
+def preference_map(spark, d):
+    c = table(spark, d, "customer")
+    pref = (F.when(F.col("c_acctbal") < 0, F.lit("cautious"))
+             .when(F.col("c_mktsegment") == "AUTOMOBILE", F.lit("risk taker"))
+             .otherwise(F.lit("neutral")))
+    c = c.select("c_custkey", pref.alias("preference"))
+    return c.withColumn("metric", P.preference_to_metric("preference"))
+
+
+# ---------------------------------------------------------------- M4, O4, A20
+
+@register("trial_draws")
+def trial_draws(spark, d):
+    t = draw_params(table(spark, d, "orders").select("o_orderkey"), "o_orderkey")
+    return t.select("o_orderkey", "max_depth",
+                    *[r(c).alias(c) for c in ("learning_rate", "reg_alpha", "reg_lambda", "min_child_weight")])
+
+
+@register("best_trial")
+def best_trial(spark, d):
+    from tallyspark.operators.ranking import argmin_by_group
+    o = table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
+    t = draw_params(o, "o_orderkey").withColumn("f1", F.col("o_totalprice") / F.lit(500000.0))
+    t = t.withColumn("loss", M.objective_loss("f1"))
+    best = argmin_by_group(t, ["o_custkey"], "loss", "o_orderkey", ["learning_rate", "max_depth"])
+    return best.select("o_custkey", "o_orderkey", r("loss").alias("loss"),
+                       r("learning_rate").alias("learning_rate"), "max_depth")
+
+
+# ---------------------------------------------------------------- O2, O3, O5, O6, R1-R4, F4, F5
+
+from tallyspark.operators import registry as RG  # noqa: E402
+
+
+@register("leaderboard")
+def leaderboard(spark, d):
+    lb = RG.leaderboard(version_metrics(spark, d), "f1")
+    return lb.select("model_name", "model_version", "f1", "position")
+
+
+@register("best_version")
+def best_version(spark, d):
+    return RG.best_version(version_metrics(spark, d), "f1")
+
+
+@register("gap_free_versions")
+def gap_free_versions(spark, d):
+    return RG.gap_free_versions(registered_versions(spark, d))
+
+
+@register("next_version")
+def next_version(spark, d):
+    return RG.next_versions(registered_versions(spark, d))
+
+
+@register("list_models")
+def list_models(spark, d):
+    return RG.list_models(registered_versions(spark, d))
+
+
+@register("model_versions")
+def model_versions(spark, d):
+    return RG.versions_of(registered_versions(spark, d), "purchase")
+
+
+@register("current_stage")
+def current_stage(spark, d):
+    return RG.current_stage(stage_events(spark, d))
+
+
+@register("stage_version")
+def stage_version(spark, d):
+    return RG.version_in_stage(RG.current_stage(stage_events(spark, d)), "Production")
+
+
+@register("run_metrics")
+def run_metrics(spark, d):
+    vm = version_metrics(spark, d)
+    runs = vm.select(
+        F.concat_ws("-", "model_name", F.col("model_version").cast("string")).alias("run_id"),
+        F.create_map(*[x for m in RATES for x in (F.lit(m), F.col(m))]).alias("metrics"))
+    return RG.run_metrics_long(runs)
+
+
+@register("early_stop")
+def early_stop(spark, d):
+    from tallyspark.operators.ranking import early_stop as es
+    e = table(spark, d, "events").select(F.col("event_type").alias("run_id"),
+                                         F.col("event_id").alias("round"), F.col("value").alias("loss"))
+    return es(e, patience=40)
+
+
+# ---------------------------------------------------------------- ML1
+
+@register("minmax_scale")
+def minmax_scale(spark, d):
+    from tallyspark.operators.training import minmax_scale as mm
+    p = mm(table(spark, d, "part"), ["p_size", "p_retailprice"], suffix="_scaled")
+    return p.select("p_partkey", r("p_size_scaled").alias("p_size_scaled"),
+                    r("p_retailprice_scaled").alias("p_retailprice_scaled"))
