@@ -104,3 +104,22 @@ def draw_params(df: DataFrame, key: str, seed: str = SPLIT_SEED) -> DataFrame:
         else:
             out = out.withColumn(name, quniform(u, spec[1], spec[2], spec[3]).cast("int"))
     return out
+
+
+# The literal logistic model applied to event values.
+EVENT_MODEL = {"intercept": -1.0, "value": 0.01}
+
+
+def score_events(df: DataFrame) -> DataFrame:
+    """Events scored by the literal model: prob, prediction (M1)."""
+    return score_linear(df, {"value": EVENT_MODEL["value"]}, EVENT_MODEL["intercept"])
+
+
+def write_prediction_log(spark: SparkSession, sf_dir: str) -> str:
+    """Score every event and append {prediction, player, timestamp} records
+    to a fresh table in the shared folder; returns its path."""
+    from tallyspark.session import shared_path
+    from tallyspark.sources.files import append_events, prediction_events
+    scored = score_events(table(spark, sf_dir, "events"))
+    events = prediction_events(scored, "prediction", ["user_id", "event_type", "value"], ts="ts")
+    return append_events(events, shared_path(spark, "prediction-log"))

@@ -391,3 +391,36 @@ SELECT p_partkey,
   {R("CASE WHEN max(p_size) OVER () > min(p_size) OVER () THEN (CAST(p_size AS DOUBLE) - min(p_size) OVER ()) / (max(p_size) OVER () - min(p_size) OVER ()) ELSE 0.0 END")} AS p_size_scaled,
   {R("CASE WHEN max(p_retailprice) OVER () > min(p_retailprice) OVER () THEN (p_retailprice - min(p_retailprice) OVER ()) / (max(p_retailprice) OVER () - min(p_retailprice) OVER ()) ELSE 0.0 END")} AS p_retailprice_scaled
 FROM part"""
+
+
+# ---------------------------------------------------------------- S6, S7, A19, ST1, ST2
+
+EV = """ev AS (SELECT *, CAST(round_even(1.0 / (1.0 + exp(-(-1.0 + 0.01 * value))), 0) AS INTEGER) AS prediction
+          FROM events)"""
+
+ORACLE["prediction_log_daily"] = f"""
+WITH {EV}
+SELECT CAST(ts AS DATE) AS day, prediction, count(*) AS n_events, {R("avg(value)")} AS avg_value
+FROM ev GROUP BY 1, 2"""
+
+ORACLE["prediction_log_head"] = f"""
+WITH {EV}
+SELECT prediction, user_id, value FROM ev ORDER BY ts LIMIT 10"""
+
+ORACLE["prediction_count"] = "SELECT count(*) AS n FROM events"
+
+ORACLE["stream_score"] = f"""
+WITH {EV}
+SELECT event_id, prediction,
+       CASE WHEN prediction = 1 THEN 'Good investment' ELSE 'Bad investment' END AS message
+FROM ev
+WHERE json_extract_string(props, '$.k') IS NOT NULL
+  AND TRY_CAST(json_extract_string(props, '$.k') AS DOUBLE) >= 0
+  AND value >= 0 AND user_id >= 0 AND event_type IS NOT NULL"""
+
+ORACLE["stream_monitor"] = f"""
+WITH {EV},
+wm AS (SELECT max(ts) - INTERVAL 1 HOUR AS wm FROM events)
+SELECT CAST(date_trunc('day', ts) AS DATE) AS day, prediction, count(*) AS n_events,
+       {R("avg(value)")} AS avg_value
+FROM ev, wm WHERE date_trunc('day', ts) + INTERVAL 1 DAY <= wm GROUP BY 1, 2"""

@@ -367,3 +367,64 @@ def minmax_scale(spark, d):
     p = mm(table(spark, d, "part"), ["p_size", "p_retailprice"], suffix="_scaled")
     return p.select("p_partkey", r("p_size_scaled").alias("p_size_scaled"),
                     r("p_retailprice_scaled").alias("p_retailprice_scaled"))
+
+
+# ---------------------------------------------------------------- S6, S7, A19, ST1, ST2
+
+from tallyspark.plans.features import score_events, write_prediction_log  # noqa: E402
+from tallyspark.sources import files as FS  # noqa: E402
+from tallyspark.streaming import scoring as ST  # noqa: E402
+
+
+@register("prediction_log_daily")
+def prediction_log_daily(spark, d):
+    log = spark.read.parquet(write_prediction_log(spark, d))
+    return (log.groupBy(F.to_date("timestamp").alias("day"), "prediction")
+               .agg(F.count(F.lit(1)).alias("n_events"), F.avg("player.value").alias("avg_value"))
+               .withColumn("avg_value", r("avg_value")))
+
+
+@register("prediction_log_head")
+def prediction_log_head(spark, d):
+    head = FS.read_events(spark, write_prediction_log(spark, d), n=10)
+    return head.select("prediction", F.col("player.user_id").alias("user_id"),
+                       F.col("player.value").alias("value"))
+
+
+@register("prediction_count")
+def prediction_count(spark, d):
+    log = spark.read.parquet(write_prediction_log(spark, d))
+    return log.agg(F.count(F.lit(1)).alias("n"))
+
+
+def _event_stream(spark, d):
+    schema = table(spark, d, "events").schema
+    # a file stream watches a folder; only the events file is picked up
+    return (spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet")
+            .parquet(d.rstrip("/")))
+
+
+def _prepare_requests(batch: DataFrame) -> DataFrame:
+    b = batch.withColumn("k", F.get_json_object("props", "$.k"))
+    b = V.request_errors(b, ["k", "value", "user_id"], ["event_type"])
+    b = score_events(b)
+    return b.select("event_id", "prediction", outcome_message("prediction").alias("message"), "errors")
+
+
+@register("stream_score")
+def stream_score(spark, d):
+    from tallyspark.session import shared_path
+    acc, rej = shared_path(spark, "scored"), shared_path(spark, "rejected")
+    q_ = ST.score_stream(_event_stream(spark, d), _prepare_requests, acc, rej,
+                         shared_path(spark, "score-ckpt"))
+    q_.awaitTermination()
+    return spark.read.parquet(acc)
+
+
+@register("stream_monitor")
+def stream_monitor(spark, d):
+    scored = score_events(_event_stream(spark, d))
+    out = ST.run_to_table(spark, ST.monitor(scored, ts="ts", value="value"), "monitor")
+    res = spark.read.parquet(out)
+    return res.select(F.to_date(F.col("w.start")).alias("day"), "prediction", "n_events",
+                      r("avg_value").alias("avg_value"))
