@@ -24,7 +24,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyspark.session import bounded_broadcast
+from tallyspark.session import bounded_broadcast, materialize
 
 DEFAULT_BUCKET_BITS = 16
 
@@ -53,14 +53,13 @@ def select_ranks(df: DataFrame, by: Sequence[str],
     """
     by = list(by)
     slim = df.select(*by, F.col(h).alias("_h"), F.col(key).alias("_k"))
-    cum = bucket_counts(slim, by, "_h", bucket_bits).persist()
+    cum = materialize(bucket_counts(slim, by, "_h", bucket_bits))
     group_n = cum.groupBy(*by).agg(F.max("_end").alias("_n"))
     wanted = bounded_broadcast(targets(group_n).select(*by, "_tid", "_rank"), max_targets)
     hits = (cum.join(wanted, on=by)
             .filter((F.col("_rank") > F.col("_start")) & (F.col("_rank") <= F.col("_end")))
             .select(*by, "_tid", "_rank", "_b", (F.col("_rank") - F.col("_start")).alias("_local")))
     hits = bounded_broadcast(hits, max_targets)
-    cum.unpersist()
     bucketed = slim.withColumn("_b", F.shiftright(F.col("_h"), 52 - bucket_bits))
     boundary = bucketed.join(hits.select(*by, "_b").distinct(), on=by + ["_b"], how="left_semi")
     w = Window.partitionBy(*by, "_b").orderBy("_h", "_k")

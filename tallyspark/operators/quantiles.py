@@ -73,7 +73,7 @@ def kth_values(long: DataFrame, keys: Sequence[str], targets: DataFrame,
                        F.col("_bmin").alias("lo"), F.col("_bmax").alias("hi"),
                        F.col("_cnt").alias("_n"),
                        (F.col("below") + F.col("_end") - F.col("_cnt")).alias("below")))
-        todo = bounded_broadcast(nxt, cut_lineage=True)
+        todo = bounded_broadcast(nxt)
     else:
         raise RuntimeError("quantile search did not converge")
     out = results[0]

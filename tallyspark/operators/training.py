@@ -23,6 +23,7 @@ from tallyspark.operators import metrics as M
 from tallyspark.operators.prep import q
 from tallyspark.operators.scoring import prob_of_positive
 from tallyspark.functions.scalar import half_even_int
+from tallyspark.session import materialize
 
 
 def minmax_scale(df: DataFrame, cols: Sequence[str], suffix: str = "") -> DataFrame:
@@ -67,7 +68,7 @@ def logistic_cv(df: DataFrame, features: Sequence[str], label: str, metric: str
     if key is None:
         scaled = scaled.withColumn("_rowkey", F.monotonically_increasing_id())
         key = "_rowkey"
-    folded = kfold(scaled, key, k=folds, seed=seed).persist()
+    folded = materialize(kfold(scaled, key, k=folds, seed=seed))
     n = folded.count()
 
     def score(c: float) -> tuple[float, float]:
@@ -85,7 +86,6 @@ def logistic_cv(df: DataFrame, features: Sequence[str], label: str, metric: str
         scores = list(pool.map(score, cs))
     best_c = max(scores, key=lambda t: (t[1], -t[0]))[0]
     model = fit_logistic(folded, features, label, 1.0 / (best_c * n), penalty == "l1", max_iter)
-    folded.unpersist()
     spark = df.sparkSession
     table = spark.createDataFrame(scores, "C double, score double")
     return model, table
@@ -128,12 +128,12 @@ def gbt_estimator(label: str, params: Mapping[str, float], rounds: int, seed: in
 def round_losses(model: PipelineModel, valid: DataFrame) -> list[float]:
     """Validation log loss after each boosting round.
 
-    MLlib's log loss is 2 * log(1 + exp(-2 y F)) with y in {-1, 1}, twice the
-    usual binary cross-entropy; it is halved here.
+    MLlib's classifier loss is 2 * log(1 + exp(-2 y F)) with y in {-1, 1},
+    twice the usual binary cross-entropy; it is halved here.
     """
     gbt = model.stages[-1]
     feats = model.stages[0].transform(valid)
-    return [v / 2.0 for v in gbt.evaluateEachIteration(feats, "logLoss")]
+    return [v / 2.0 for v in gbt.evaluateEachIteration(feats)]
 
 
 def train_with_early_stop(train: DataFrame, valid: DataFrame, features: Sequence[str], label: str,
@@ -205,7 +205,7 @@ def cv_search(df: DataFrame, features: Sequence[str], label: str, key: str, tria
               parallelism: int = 4) -> DataFrame:
     """ML9: k-fold search; each trial scored by the mean fold metric."""
     from tallyspark.operators.split import kfold
-    folded = kfold(df, key, k=k, seed=seed).persist()
+    folded = materialize(kfold(df, key, k=k, seed=seed))
     rows = [r.asDict() for r in trials.collect()]
     name = {"f1_score": "f1"}.get(metric, metric)
 
@@ -221,7 +221,6 @@ def cv_search(df: DataFrame, features: Sequence[str], label: str, key: str, tria
 
     with ThreadPoolExecutor(max_workers=parallelism) as pool:
         results = list(pool.map(run, rows))
-    folded.unpersist()
     return df.sparkSession.createDataFrame(results)
 
 

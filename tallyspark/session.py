@@ -60,21 +60,24 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return os.path.join(base, f"{name}-{uuid.uuid4().hex}")
 
 
-def bounded_broadcast(small: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
-                      cut_lineage: bool = False) -> DataFrame:
+def materialize(df: DataFrame) -> DataFrame:
+    """Compute once and cut lineage: persist, then checkpoint to the shared
+    folder (survives executor loss; the plan becomes a scan of the files)."""
+    ensure_checkpoint_dir(df.sparkSession)
+    held = df.persist(StorageLevel.MEMORY_AND_DISK)
+    cp = held.checkpoint(eager=True)
+    held.unpersist()
+    return cp
+
+
+def bounded_broadcast(small: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """Materialize a derived small table and broadcast it only if its size is proven.
 
-    The table is persisted (or, with ``cut_lineage``, checkpointed to the shared
-    checkpoint folder, for iterative plans), counted, and wrapped in a
-    broadcast hint only when it holds at most ``max_rows`` rows; otherwise it
-    is returned as is and the planner falls back to a shuffle join. A lost
-    cached block is recomputed from lineage.
+    The table is computed once and checkpointed (see :func:`materialize`), then
+    counted; it is wrapped in a broadcast hint only when it holds at most
+    ``max_rows`` rows, otherwise the planner falls back to a shuffle join.
     """
-    if cut_lineage:
-        ensure_checkpoint_dir(small.sparkSession)
-        held = small.checkpoint(eager=True)
-    else:
-        held = small.persist(StorageLevel.MEMORY_AND_DISK)
+    held = materialize(small)
     if held.count() <= max_rows:
         return F.broadcast(held)
     return held
