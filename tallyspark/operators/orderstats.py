@@ -5,7 +5,8 @@ of wanted 1-based ranks per group, return the row sitting at each rank in the
 order ``(h, key)``. Splits (SP1, SP2) and exact-size folds (SP3) only need
 these few boundary rows, so no row is ever globally ranked:
 
-1. count rows per (group, hash bucket) -- a map-side combined aggregate whose
+0. groups of at most ``max_exact`` rows are ranked by one window directly;
+1. otherwise count rows per (group, hash bucket) -- a map-side combined aggregate whose
    output is bounded by ``groups x n_buckets``;
 2. a running sum over that small table locates the bucket holding each wanted
    rank and the rank inside that bucket;
@@ -24,9 +25,11 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyspark.session import bounded_broadcast, materialize
+from tallyspark.session import bounded_broadcast, materialize, materialize_counted
 
 DEFAULT_BUCKET_BITS = 16
+# Largest group ranked by a single window task.
+DEFAULT_MAX_EXACT = 1_000_000
 
 
 def bucket_counts(df: DataFrame, by: Sequence[str], h: str = "_h",
@@ -43,20 +46,52 @@ def select_ranks(df: DataFrame, by: Sequence[str],
                  targets: Callable[[DataFrame], DataFrame],
                  h: str = "_h", key: str = "_k",
                  bucket_bits: int = DEFAULT_BUCKET_BITS,
-                 max_targets: int = 1_000_000) -> DataFrame:
+                 max_targets: int = 1_000_000,
+                 max_exact: int = DEFAULT_MAX_EXACT) -> DataFrame:
     """Rows at wanted ranks.
 
     ``df`` holds ``by`` columns plus ``h`` (BIGINT in [0, 2**52)) and a unique
     ``key``. ``targets`` receives a per-group count table ``(by..., _n)`` and
     returns ``(by..., _tid, _rank)`` with 1-based ranks. The result is
     ``(by..., _tid, _rank, _th, _tk)``: hash and key of the row at each rank.
+
+    Groups of at most ``max_exact`` rows (known from one counting aggregate)
+    are ranked directly by one window; larger groups go through the hash
+    buckets, so no task ever ranks more than ``max_exact`` rows.
     """
     by = list(by)
     slim = df.select(*by, F.col(h).alias("_h"), F.col(key).alias("_k"))
+    group_n, n_groups, g_rows = materialize_counted(slim.groupBy(*by).agg(F.count(F.lit(1)).alias("_n")))
+    wanted = materialize(targets(group_n).select(*by, "_tid", "_rank"))
+    small_g = group_n.filter(F.col("_n") <= max_exact).select(*by)
+    big_g = group_n.filter(F.col("_n") > max_exact).select(*by)
+    if g_rows is not None:
+        any_small = any(r["_n"] <= max_exact for r in g_rows)
+        any_big = any(r["_n"] > max_exact for r in g_rows)
+    else:
+        any_small, any_big = not small_g.isEmpty(), not big_g.isEmpty()
+    parts = []
+    if any_small:
+        grp = F.broadcast(small_g) if n_groups <= max_targets else small_g
+        rows = slim.join(grp, on=by, how="left_semi")
+        w = Window.partitionBy(*by).orderBy("_h", "_k")
+        ranked = rows.withColumn("_rank", F.row_number().over(w).cast("bigint"))
+        parts.append(ranked.join(F.broadcast(wanted), on=by + ["_rank"])
+                     .select(*by, "_tid", "_rank", F.col("_h").alias("_th"), F.col("_k").alias("_tk")))
+    if any_big:
+        rows = slim.join(F.broadcast(big_g), on=by, how="left_semi")
+        parts.append(_select_bucketed(rows, by, wanted.join(big_g, on=by, how="left_semi"),
+                                      bucket_bits, max_targets))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+def _select_bucketed(slim: DataFrame, by: list[str], wanted: DataFrame,
+                     bucket_bits: int, max_targets: int) -> DataFrame:
     cum = materialize(bucket_counts(slim, by, "_h", bucket_bits))
-    group_n = cum.groupBy(*by).agg(F.max("_end").alias("_n"))
-    wanted = bounded_broadcast(targets(group_n).select(*by, "_tid", "_rank"), max_targets)
-    hits = (cum.join(wanted, on=by)
+    hits = (cum.join(F.broadcast(wanted), on=by)
             .filter((F.col("_rank") > F.col("_start")) & (F.col("_rank") <= F.col("_end")))
             .select(*by, "_tid", "_rank", "_b", (F.col("_rank") - F.col("_start")).alias("_local")))
     hits = bounded_broadcast(hits, max_targets)

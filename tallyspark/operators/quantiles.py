@@ -56,7 +56,7 @@ def kth_values(long: DataFrame, keys: Sequence[str], targets: DataFrame,
         ready = todo.filter(ready_cond)
         pending = todo.filter(~ready_cond)
         results.append(_exact(long, keys, ready))
-        if pending.limit(1).count() == 0:
+        if pending.isEmpty():
             break
         brackets = bounded_broadcast(pending.select(*br_cols).distinct())
         cand = long.join(brackets, on=keys).filter(F.col("x").between(F.col("lo"), F.col("hi")))

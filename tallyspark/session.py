@@ -60,24 +60,42 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return os.path.join(base, f"{name}-{uuid.uuid4().hex}")
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Compute once and cut lineage: persist, then checkpoint to the shared
-    folder (survives executor loss; the plan becomes a scan of the files)."""
-    ensure_checkpoint_dir(df.sparkSession)
+# Rows up to which a proven-small derived table is re-created as a local table.
+LOCAL_ROWS = 10_000
+
+
+def materialize_counted(df: DataFrame, local_rows: int = LOCAL_ROWS) -> tuple[DataFrame, int, list | None]:
+    """Compute once, cut lineage, and return the row count.
+
+    The table is persisted and counted in one job. A table of at most
+    ``local_rows`` rows (summaries: one row per class, per wanted rank ...) is
+    re-created as a local table; a larger one is checkpointed to the shared
+    checkpoint folder, which survives executor loss, and read from there.
+    Returns (table, row count, the rows when local else None).
+    """
     held = df.persist(StorageLevel.MEMORY_AND_DISK)
-    cp = held.checkpoint(eager=True)
+    n = held.count()
+    rows = None
+    if n <= local_rows:
+        rows = held.collect()
+        out = df.sparkSession.createDataFrame(rows, held.schema)
+    else:
+        ensure_checkpoint_dir(df.sparkSession)
+        out = held.checkpoint(eager=True)
     held.unpersist()
-    return cp
+    return out, n, rows
+
+
+def materialize(df: DataFrame, local_rows: int = LOCAL_ROWS) -> DataFrame:
+    return materialize_counted(df, local_rows)[0]
 
 
 def bounded_broadcast(small: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """Materialize a derived small table and broadcast it only if its size is proven.
 
-    The table is computed once and checkpointed (see :func:`materialize`), then
-    counted; it is wrapped in a broadcast hint only when it holds at most
-    ``max_rows`` rows, otherwise the planner falls back to a shuffle join.
+    The table is computed once with its lineage cut (:func:`materialize_counted`);
+    it is wrapped in a broadcast hint only when it holds at most ``max_rows``
+    rows, otherwise the planner falls back to a shuffle join.
     """
-    held = materialize(small)
-    if held.count() <= max_rows:
-        return F.broadcast(held)
-    return held
+    held, n, _ = materialize_counted(small)
+    return F.broadcast(held) if n <= max_rows else held
