@@ -10,7 +10,9 @@ buffer; here the k-th smallest value is found by zooming in instead:
   rank becomes the new bracket (its real min/max), rows below it are added to
   ``below``; a bracket whose min equals its max is solved outright;
 * brackets of at most ``max_exact`` rows are ranked by a window and the row at
-  ``rank - below`` is read.
+  ``rank - below`` is read; when every group already holds at most
+  ``max_exact`` rows, Spark's exact ``percentile`` (whose buffer is then
+  bounded) answers in one aggregate.
 
 Brackets are tiny tables (one row per wanted rank), broadcast behind a size
 check. Every pass reads only the value column(s).
@@ -24,7 +26,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyspark.operators.prep import q
-from tallyspark.session import bounded_broadcast
+from tallyspark.session import bounded_broadcast, materialize_counted
 
 DEFAULT_BUCKETS = 1 << 16
 DEFAULT_MAX_EXACT = 1_000_000
@@ -104,9 +106,16 @@ def quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
     between closest ranks (position p * (n - 1)), per group and column."""
     keys = list(by) + ["column_name"]
     long = long_values(df, cols, by)
-    stats = long.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.min("x").alias("lo"),
-                                     F.max("x").alias("hi"))
+    stats, _, rows = materialize_counted(
+        long.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.min("x").alias("lo"),
+                                F.max("x").alias("hi")))
     ps = F.array(*[F.lit(float(p)) for p in probs])
+    if rows is not None and all(r["_n"] <= max_exact for r in rows):
+        # every group is proven small: the exact percentile buffer is bounded
+        # by max_exact values, so one aggregate answers all quantiles
+        agg = long.groupBy(*keys).agg(F.percentile("x", ps).alias("_v"))
+        return agg.select(*keys, F.posexplode("_v").alias("_pi", "value")).select(
+            *keys, F.element_at(ps, F.col("_pi") + 1).alias("p"), "value")
     pos = stats.select(*keys, "_n", "lo", "hi", F.posexplode(ps).alias("_pi", "p"))
     pos = pos.withColumn("_pos", F.col("p") * (F.col("_n") - 1))
     pos = (pos.withColumn("_r0", F.floor("_pos") + 1)
