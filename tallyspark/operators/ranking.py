@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyspark.session import bounded_broadcast
+from tallyspark.session import bounded_broadcast, materialize
 
 
 def sort_importance(imp: DataFrame, value: str = "importance", feature: str = "feature") -> DataFrame:
@@ -63,3 +63,31 @@ def early_stop(losses: DataFrame, run: str = "run_id", rnd: str = "round", loss:
         F.coalesce(F.col("_s.b.l"), F.col("_all.l")).alias("best_loss"),
         F.col("_s.stop").alias("stop_round"),
         "n_rounds")
+
+
+def rank_within(df: DataFrame, by: Sequence[str], order: Sequence, out: str = "position",
+                n_parts: int | None = None) -> DataFrame:
+    """``row_number() OVER (PARTITION BY by ORDER BY order)`` without placing a
+    whole group in one task.
+
+    Rows are range-partitioned on (by, order) -- a big group spans many
+    partitions -- numbered inside each partition by a window; a small
+    table of row counts per (partition, group) gives each partition's offset
+    within its group. ``order`` must make rows unique inside a group. The
+    partition assignment is checkpointed once, so retries and both passes agree.
+    """
+    by = list(by)
+    keys = [F.col(b) for b in by] + [F.col(o) if isinstance(o, str) else o for o in order]
+    n_parts = n_parts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # range bounds are sampled with a per-execution seed, so the partition id is
+    # written once (checkpoint) and both passes below read the same assignment
+    ranged = materialize(df.repartitionByRange(n_parts, *keys).withColumn("_pid", F.spark_partition_id()))
+    # numbering inside one range partition (bounded by the partition's size)
+    w_local = Window.partitionBy("_pid", *by).orderBy(*keys[len(by):])
+    local = ranged.withColumn("_lr", F.row_number().over(w_local))
+    counts = ranged.groupBy("_pid", *by).agg(F.count(F.lit(1)).alias("_c"))
+    w = Window.partitionBy(*by).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = bounded_broadcast(counts.withColumn("_off", F.coalesce(F.sum("_c").over(w), F.lit(0)))
+                                .select("_pid", *by, "_off"))
+    joined = local.join(offsets, on=["_pid", *by])
+    return joined.withColumn(out, (F.col("_off") + F.col("_lr")).cast("int")).drop("_pid", "_lr", "_off")

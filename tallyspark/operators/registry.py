@@ -100,10 +100,11 @@ def leaderboard(metrics: DataFrame, metric: str, model_col: str = "model_name",
                 version_col: str = "model_version") -> DataFrame:
     """O2: versions ranked by ``metric`` descending (ties: lower version first).
 
-    The window runs over the version-metrics table (one row per version).
+    Positions come from a distributed two-pass rank, so a model with very many
+    versions is spread over many tasks.
     """
-    w = Window.partitionBy(model_col).orderBy(F.col(metric).desc_nulls_last(), F.col(version_col))
-    return metrics.withColumn("position", F.row_number().over(w))
+    from tallyspark.operators.ranking import rank_within
+    return rank_within(metrics, [model_col], [F.col(metric).desc_nulls_last(), F.col(version_col).asc()])
 
 
 def best_version(metrics: DataFrame, metric: str, model_col: str = "model_name",

@@ -100,3 +100,19 @@ def test_early_stop_chunked_equals_loop(spark):
         g = got[run]
         assert (g["best_round"], g["best_loss"], g["stop_round"]) == (br, bl, stop), run
     assert got["flat"]["best_round"] == 0 and got["flat"]["stop_round"] == 40
+
+
+def test_rank_within_spans_partitions(spark):
+    from pyspark.sql import Window
+    from tallyspark.operators.ranking import rank_within
+    rng = np.random.default_rng(5)
+    n = 12000  # above the local-table limit: the checkpoint path is used
+    pdf = pd.DataFrame({"m": np.where(np.arange(n) % 10 == 0, "b", "hot"), "v": np.arange(n),
+                        "s": np.round(rng.random(n), 2)})
+    df = spark.createDataFrame(pdf)
+    got = rank_within(df, ["m"], [F.col("s").desc(), F.col("v").asc()], n_parts=7)
+    w = Window.partitionBy("m").orderBy(F.col("s").desc(), F.col("v").asc())
+    want = df.withColumn("position", F.row_number().over(w))
+    a = sorted(tuple(r) for r in got.select("m", "v", "position").collect())
+    b = sorted(tuple(r) for r in want.select("m", "v", "position").collect())
+    assert a == b
