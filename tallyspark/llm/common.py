@@ -54,14 +54,15 @@ def fresh(df: DataFrame, name: str) -> str:
     return name
 
 
-def map_docs(docs: DataFrame, schema: str, fn: Callable[[list, list], dict]) -> DataFrame:
-    """Apply ``fn(doc_ids, texts) -> {column: values}`` to whole texts, batch by batch."""
+def map_docs(docs: DataFrame, schema: str, fn: Callable[[list, list], dict], raw: bool = False) -> DataFrame:
+    """Apply ``fn(doc_ids, texts) -> {column: values}`` to whole texts, batch by batch; raw: texts as UTF-8 bytes."""
     out_schema = pa_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for part in sliced(b):
-                got = fn(part.column(0).to_pylist(), part.column(1).to_pylist())
+                texts = part.column(1).cast(pa.binary()) if raw else part.column(1)
+                got = fn(part.column(0).to_pylist(), texts.to_pylist())
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(got[f.name], f.type) for f in out_schema], schema=out_schema)
 

@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from tallyspark.llm.bpe import bpe_digests
 from tallyspark.llm.common import documents
 from tallyspark.llm.exact_dedup import exact_dedup
+from tallyspark.llm.secrets import secret_scan
+from tallyspark.llm.wordpiece import wordpiece_counts
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
+VOCABULARY = "byte_bpe_50k.tiktoken"
 
 
 def query(fn):
@@ -16,6 +21,21 @@ def query(fn):
     return fn
 
 
+@query
+def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe_digests(documents(spark, sf_dir), public_tokenizers.path(VOCABULARY), public_tokenizers.PATTERN)
+
+
+@query
+def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return wordpiece_counts(documents(spark, sf_dir), public_tokenizers.path(VOCABULARY))
+
+
+@query
+def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan(documents(spark, sf_dir))
+
+
 @query
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(documents(spark, sf_dir))
