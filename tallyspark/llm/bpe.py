@@ -201,12 +201,13 @@ class TextCoder:
 _coders: dict = {}
 
 
-def coder_of(ranks: dict[bytes, int], key: str, pattern: str) -> TextCoder:
-    """One coder for each vocabulary and Python worker."""
-    if (key, pattern) not in _coders:
+def coder_of(raw: bytes, pattern: str) -> TextCoder:
+    """One coder for each vocabulary and Python worker (kept between tasks)."""
+    key = hashlib.sha256(raw).digest(), pattern
+    if key not in _coders:
         _coders.clear()
-        _coders[key, pattern] = TextCoder(ranks, pattern)
-    return _coders[key, pattern]
+        _coders[key] = TextCoder({base64.b64decode(a): int(b) for a, b in map(bytes.split, raw.splitlines())}, pattern)
+    return _coders[key]
 
 
 def read_vocabulary(path: str, max_mb: int = 64) -> bytes:
@@ -222,10 +223,7 @@ def bpe_digests(docs: DataFrame, vocabulary: str, pattern: str) -> DataFrame:
     raw = docs.sparkSession.sparkContext.broadcast(read_vocabulary(vocabulary))
 
     def run(ids: list, texts: list) -> dict:
-        key = hashlib.sha256(raw.value).hexdigest()
-        if (key, pattern) not in _coders:
-            coder_of({base64.b64decode(a): int(b) for a, b in map(bytes.split, raw.value.splitlines())}, key, pattern)
-        rows = list(map(_coders[key, pattern].digest, texts))
+        rows = list(map(coder_of(raw.value, pattern).digest, texts))
         return {"doc_id": ids, "n_tokens": [r[0] for r in rows], "ids_sha256": [r[1] for r in rows],
                 "decoded_sha256": [r[2] for r in rows]}
 
@@ -237,10 +235,7 @@ def bpe_ids(docs: DataFrame, vocabulary: str, pattern: str) -> DataFrame:
     raw = docs.sparkSession.sparkContext.broadcast(read_vocabulary(vocabulary))
 
     def run(ids: list, texts: list) -> dict:
-        key = hashlib.sha256(raw.value).hexdigest()
-        if (key, pattern) not in _coders:
-            coder_of({base64.b64decode(a): int(b) for a, b in map(bytes.split, raw.value.splitlines())}, key, pattern)
-        coder = _coders[key, pattern]
+        coder = coder_of(raw.value, pattern)
         out = list(map(coder.encode, texts))
         return {"doc_id": ids, "ids": out, "decoded": [coder.bpe.decode(x).decode() for x in out]}
 

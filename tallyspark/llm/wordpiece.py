@@ -97,16 +97,21 @@ class Counter(dict):
 _counters: dict = {}
 
 
+def counter_of(raw: bytes, lead: bytes) -> Counter:
+    """One memo for each vocabulary and Python worker (kept between tasks)."""
+    key = hashlib.sha256(raw).digest(), lead
+    if key not in _counters:
+        _counters.clear()
+        _counters[key] = Counter([base64.b64decode(x.split()[0]) for x in raw.splitlines()], lead)
+    return _counters[key]
+
+
 def wordpiece_counts(docs: DataFrame, vocabulary: str, lead: bytes = b" ") -> DataFrame:
     """doc_id, n_words, n_unknown, n_tokens of each whole text."""
     raw = docs.sparkSession.sparkContext.broadcast(read_vocabulary(vocabulary))
 
     def run(ids: list, texts: list) -> dict:
-        key = hashlib.sha256(raw.value).hexdigest(), lead
-        if key not in _counters:
-            _counters.clear()
-            _counters[key] = Counter([base64.b64decode(x.split()[0]) for x in raw.value.splitlines()], lead)
-        get, words, unknown, total = _counters[key].__getitem__, [], [], []
+        get, words, unknown, total = counter_of(raw.value, lead).__getitem__, [], [], []
         for t in texts:
             n = list(map(get, t.split()))
             u = n.count(-1)
