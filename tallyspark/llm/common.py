@@ -8,6 +8,7 @@ can't clash), an empty table gives an empty result, and rows that repeat a
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -46,6 +47,23 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def spark_python(spark: SparkSession) -> None:
+    """Let Python workers import this package where they see the driver's copy of it.
+
+    A cluster gets the package as ``--py-files`` or installed; then this path is just unused.
+    """
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    env = spark.sparkContext.environment
+    if root not in env.get("PYTHONPATH", "").split(os.pathsep):
+        env["PYTHONPATH"] = os.pathsep.join(x for x in (root, env.get("PYTHONPATH")) if x)
+
+
+def arrow_map(df: DataFrame, fn: Callable, schema: str) -> DataFrame:
+    """``mapInArrow`` whose tasks can import this package."""
+    spark_python(df.sparkSession)
+    return df.mapInArrow(fn, schema)
+
+
 def fresh(df: DataFrame, name: str) -> str:
     """A column name that the table doesn't have (names compare without case)."""
     taken = {c.lower() for c in df.columns}
@@ -66,7 +84,7 @@ def map_docs(docs: DataFrame, schema: str, fn: Callable[[list, list], dict], raw
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(got[f.name], f.type) for f in out_schema], schema=out_schema)
 
-    return id_text(docs).mapInArrow(run, schema)
+    return arrow_map(id_text(docs), run, schema)
 
 
 def sliced(batch: pa.RecordBatch, text_bytes: int = 4 << 20) -> Iterator[pa.RecordBatch]:
