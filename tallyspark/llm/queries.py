@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tallyspark.llm.bpe import bpe_digests
 from tallyspark.llm.common import documents
 from tallyspark.llm.exact_dedup import exact_dedup
+from tallyspark.llm.near_dedup import near_dedup
 from tallyspark.llm.secrets import secret_scan
 from tallyspark.llm.wordpiece import wordpiece_counts
 
@@ -21,6 +22,11 @@ def query(fn):
     return fn
 
 
+@query
+def op3_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup(documents(spark, sf_dir), words=2, percent=80)
+
+
 @query
 def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_digests(documents(spark, sf_dir), public_tokenizers.path(VOCABULARY), public_tokenizers.PATTERN)
