@@ -4,13 +4,17 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tallyspark.llm.bpe import bpe_digests
 from tallyspark.llm.common import documents
+from tallyspark.llm import decontaminate as decontamination
+from tallyspark.llm import line_dedup as lines
 from tallyspark.llm.exact_dedup import exact_dedup
 from tallyspark.llm.near_dedup import near_dedup
 from tallyspark.llm.secrets import secret_scan
 from tallyspark.llm.wordpiece import wordpiece_counts
+from tallyspark.sources.tables import table
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -32,6 +36,14 @@ def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_digests(documents(spark, sf_dir), public_tokenizers.path(VOCABULARY), public_tokenizers.PATTERN)
 
 
+@query
+def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.decontaminate(documents(spark, sf_dir), table(spark, sf_dir, "benchmark"))
+
+
+ORACLE["op5_benchmark_decontamination"] = decontamination.ORACLE
+
+
 @query
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wordpiece_counts(documents(spark, sf_dir), public_tokenizers.path(VOCABULARY))
@@ -42,6 +54,15 @@ def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan(documents(spark, sf_dir))
 
 
+@query
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = lines.line_dedup(documents(spark, sf_dir), least_texts=5)
+    return cut.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
+ORACLE["op9_line_dedup"] = lines.ORACLE
+
+
 @query
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(documents(spark, sf_dir))
