@@ -13,6 +13,7 @@ from tallyspark.llm import line_dedup as lines
 from tallyspark.llm.exact_dedup import exact_dedup
 from tallyspark.llm.near_dedup import near_dedup
 from tallyspark.llm.secrets import secret_scan
+from tallyspark.llm.suffix_dedup import remove_repeats
 from tallyspark.llm.wordpiece import wordpiece_counts
 from tallyspark.sources.tables import table
 
@@ -44,6 +45,12 @@ def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
 ORACLE["op5_benchmark_decontamination"] = decontamination.ORACLE
 
 
+@query
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(documents(spark, sf_dir)).select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 @query
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wordpiece_counts(documents(spark, sf_dir), public_tokenizers.path(VOCABULARY))
