@@ -11,6 +11,7 @@ from tallyspark.llm.common import documents
 from tallyspark.llm import decontaminate as decontamination
 from tallyspark.llm import line_dedup as lines
 from tallyspark.llm.exact_dedup import exact_dedup
+from tallyspark.llm.langid import language_id
 from tallyspark.llm.near_dedup import near_dedup
 from tallyspark.llm.secrets import secret_scan
 from tallyspark.llm.suffix_dedup import remove_repeats
@@ -27,6 +28,11 @@ def query(fn):
     return fn
 
 
+@query
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id(documents(spark, sf_dir))
+
+
 @query
 def op3_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup(documents(spark, sf_dir), words=2, percent=80)
