@@ -10,6 +10,7 @@ from tallyspark.llm.bpe import bpe_digests
 from tallyspark.llm.common import documents
 from tallyspark.llm import decontaminate as decontamination
 from tallyspark.llm import line_dedup as lines
+from tallyspark.llm.context_mixing import lm_scores
 from tallyspark.llm.exact_dedup import exact_dedup
 from tallyspark.llm.langid import language_id
 from tallyspark.llm.near_dedup import near_dedup
@@ -33,6 +34,11 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id(documents(spark, sf_dir))
 
 
+@query
+def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scores(documents(spark, sf_dir))
+
+
 @query
 def op3_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup(documents(spark, sf_dir), words=2, percent=80)
