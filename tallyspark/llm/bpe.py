@@ -26,9 +26,11 @@ from pyspark.sql import DataFrame
 
 from tallyspark.llm.common import map_docs
 
-MAX_PIECES = 200_000   # memo entries of a task: pieces,
-MAX_PREFIXES = 400_000  # and prefixes or pairs
-SHORT = 48             # bytes up to which a piece's prefixes are remembered
+MAX_PIECES = 120_000   # memo entries of a task: pieces,
+MAX_PAIRS = 400_000    # neighbour pairs,
+MAX_HEADS = 100_000    # and tables of prefixes
+HEAD = 6               # bytes of a prefix whose table is shared
+SHORT = 48             # characters up to which a piece is remembered
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -42,8 +44,9 @@ class PrefixBPE:
     def __init__(self, ranks: dict[bytes, int]):
         self.ranks = ranks
         self.token = {i: t for t, i in ranks.items()}
+        self.size = {i: len(t) for t, i in ranks.items()}
         self.longest = max(map(len, ranks))
-        self.last: dict[bytes, int] = {}
+        self.heads: dict[bytes, tuple] = {}
         self.known: dict[tuple[int, int], bool] = {}
         # The two tokens whose merge makes a token: the one split whose halves stay apart until then.
         self.halves: dict[int, tuple[int, int] | None] = {}
@@ -81,86 +84,80 @@ class PrefixBPE:
     def valid(self, a: int, b: int) -> bool:
         ok = self.known.get((a, b))
         if ok is None:
-            if len(self.known) >= MAX_PREFIXES:
+            if len(self.known) >= MAX_PAIRS:
                 self.known.clear()
             ok = self.known[a, b] = self.apart(a, b)
         return ok
 
-    def _prefix(self, b: bytes) -> int:
-        """Last token of a short byte string, by the shared table of prefixes."""
-        last, ranks, known = self.last, self.ranks, self.known
-        got = last.get(b)
-        if got is not None:
-            return got
-        if len(last) >= MAX_PREFIXES:
-            last.clear()
-        n = len(b)
-        j = n - 1
-        while j and b[:j] not in last:
-            j -= 1
-        for e in range(j + 1, n + 1):
-            s = b[:e]
-            for k in range(max(0, e - self.longest), e):
-                t = ranks.get(s[k:])
+    # The table of a byte string: the last token of each of its prefixes.
+
+    def extend(self, b: bytes, table: list[int]) -> list[int]:
+        """Table of ``b`` from the table of a prefix of it (an exact append)."""
+        table = list(table)
+        self._grow(b, table, len(b))
+        return table
+
+    def _grow(self, b: bytes, table: list[int], n: int) -> None:
+        get, size, known, longest = self.ranks.get, self.size, self.known, self.longest
+        for e in range(len(table) + 1, n + 1):
+            # Only one suffix is valid, so the likeliest may be tried first: the last token with one more byte.
+            m = size[table[-1]] + 1 if table else 1
+            t = get(b[e - m:e])
+            if t is not None:
+                if m == e:
+                    table.append(t)
+                    continue
+                pair = table[e - m - 1], t
+                if known[pair] if pair in known else self.valid(*pair):
+                    table.append(t)
+                    continue
+            for m in range(1, min(e, longest) + 1):
+                t = get(b[e - m:e])
                 if t is not None:
-                    if k:
-                        pair = last[s[:k]], t
-                        if not (known[pair] if pair in known else self.valid(*pair)):
-                            continue
-                    last[s] = t
-                    break
-        return last[b]
+                    if m == e:
+                        break
+                    pair = table[e - m - 1], t
+                    if known[pair] if pair in known else self.valid(*pair):
+                        break
+            else:
+                raise ValueError("the vocabulary lacks a byte")
+            table.append(t)
+
+    def table(self, b: bytes) -> list[int]:
+        """Table of a piece; the tables of short prefixes are shared by pieces."""
+        head = b[:HEAD]
+        known = self.heads.get(head)
+        if known is None:
+            if len(self.heads) >= MAX_HEADS:
+                self.heads.clear()
+            known = self.heads[head] = tuple(self.extend(head, []))
+        out = list(known)
+        self._grow(b, out, len(b))
+        return out
 
     def encode(self, b: bytes) -> list[int]:
         """Token ids of one piece."""
-        if b in self.ranks:
-            return [self.ranks[b]]
-        if len(b) > SHORT:
-            return self.ids(b, self.extend(b, []))
-        out, token = [], self.token
-        while b:
-            t = self._prefix(b)
+        return [self.ranks[b]] if b in self.ranks else self.ids(self.table(b))
+
+    def ids(self, table: list[int]) -> list[int]:
+        out, e, size = [], len(table), self.size
+        while e:
+            t = table[e - 1]
             out.append(t)
-            b = b[:-len(token[t])]
+            e -= size[t]
         return out[::-1]
 
-    # A table by position: lens[i] is the length of the last token of b[:i + 1].
-
-    def _at(self, b: bytes, lens: list[int], e: int) -> int:
-        for k in range(max(0, e - self.longest), e):
-            t = self.ranks.get(b[k:e])
-            if t is not None and (k == 0 or self.valid(self.ranks[b[k - lens[k - 1]:k]], t)):
-                return e - k
-        raise ValueError("the vocabulary lacks a byte")
-
-    def extend(self, b: bytes, lens: list[int]) -> list[int]:
-        """Table of ``b`` from the table of a prefix of it (an exact append)."""
-        lens = list(lens)
-        for e in range(len(lens) + 1, len(b) + 1):
-            lens.append(self._at(b, lens, e))
-        return lens
-
-    def edit(self, b: bytes, lens: list[int], start: int, end: int, new: bytes) -> tuple[bytes, list[int], int]:
+    def edit(self, b: bytes, table: list[int], start: int, end: int, new: bytes) -> tuple[bytes, list[int], int]:
         """Replace ``b[start:end]`` by ``new``: the bytes, their table, and how many entries were computed anew."""
         out = b[:start] + new + b[end:]
-        got, shift, agree, done = list(lens[:start]), len(new) - (end - start), 0, 0
+        got, shift, agree = list(table[:start]), len(new) - (end - start), 0
         for e in range(start + 1, len(out) + 1):
-            got.append(self._at(out, got, e))
-            done += 1
-            old = e - shift
+            self._grow(out, got, e)
             # Once every entry that a later one can look at agrees, all later ones do.
-            agree = agree + 1 if e > start + len(new) and old > end and got[-1] == lens[old - 1] else 0
+            agree = agree + 1 if e - shift > end and e > start + len(new) and got[-1] == table[e - shift - 1] else 0
             if agree >= 2 * self.longest:
-                got += lens[old:]
-                break
-        return out, got, done
-
-    def ids(self, b: bytes, lens: list[int]) -> list[int]:
-        out, e = [], len(b)
-        while e:
-            out.append(self.ranks[b[e - lens[e - 1]:e]])
-            e -= lens[e - 1]
-        return out[::-1]
+                return out, got + table[e - shift:], e - start
+        return out, got, len(out) - start
 
     def decode(self, ids: list[int]) -> bytes:
         return b"".join([self.token[i] for i in ids])
@@ -173,13 +170,16 @@ class TextCoder:
         self.bpe = PrefixBPE(ranks)
         self.split = regex.compile(pattern).findall
         self.memo: dict[str, tuple[str, bytes]] = {}
+        self.old: dict[str, tuple[str, bytes]] = {}
 
     def _piece(self, piece: str) -> tuple[str, bytes]:
-        ids = self.bpe.encode(piece.encode())
-        got = " ".join(map(str, ids)), self.bpe.decode(ids)
+        got = self.old.get(piece)
+        if got is None:
+            ids = self.bpe.encode(piece.encode())
+            got = " ".join(map(str, ids)), self.bpe.decode(ids)
         if len(piece) <= SHORT:
-            if len(self.memo) >= MAX_PIECES:
-                self.memo.clear()
+            if len(self.memo) >= MAX_PIECES:   # what was used since the last time stays at hand
+                self.old, self.memo = self.memo, {}
             self.memo[piece] = got
         return got
 
@@ -188,14 +188,13 @@ class TextCoder:
 
     def digest(self, text: str) -> tuple[int, str, str]:
         """Number of ids, SHA-256 of the ids joined by spaces, SHA-256 of the decoded bytes."""
-        get, ids, raw = self.memo.get, [], []
-        for p in self.split(text):
-            x = get(p) or self._piece(p)
-            ids.append(x[0])
-            raw.append(x[1])
-        joined = " ".join(ids)
-        return (joined.count(" ") + bool(ids), hashlib.sha256(joined.encode()).hexdigest(),
-                hashlib.sha256(b"".join(raw)).hexdigest())
+        pieces = self.split(text)
+        got = list(map(self.memo.get, pieces))
+        if None in got:
+            got = [x or self.memo.get(p) or self._piece(p) for p, x in zip(pieces, got)]
+        joined = " ".join([x[0] for x in got])
+        return (joined.count(" ") + bool(pieces), hashlib.sha256(joined.encode()).hexdigest(),
+                hashlib.sha256(b"".join([x[1] for x in got])).hexdigest())
 
 
 _coders: dict = {}
