@@ -102,11 +102,11 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The input's rows and columns without documents that overlap a benchmark item."""
-    h = fresh(docs, "__text_hash")
-    found = stored(overlaps(docs, benchmark).select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash")).distinct(), "contaminated")
+    h, i, j = fresh(docs, "__text_hash"), fresh(docs, "__id"), fresh(docs, "__hash")
+    found = stored(overlaps(docs, benchmark).select(F.col("doc_id").alias(i), F.col("text_hash").alias(j)).distinct(), "contaminated")
     keyed = docs.withColumn(h, F.xxhash64(F.coalesce("text", F.lit(""))))
     bad = small(found)
-    return keyed.join(bad, keyed["doc_id"].eqNullSafe(F.col("__id")) & (keyed[h] == F.col("__hash")), "left_anti").select(*docs.columns)
+    return keyed.join(bad, keyed["doc_id"].eqNullSafe(F.col(i)) & (keyed[h] == F.col(j)), "left_anti").select(*docs.columns)
 
 
 ORACLE = r"""

@@ -99,15 +99,15 @@ def drop_copies(docs: DataFrame, max_filter_mb: int = 64) -> DataFrame:
     Rows that the filter rules out aren't shuffled; the others meet the kept
     (doc_id, digest) pairs in a join, and fully repeated rows fall to one.
     """
-    key, flag = fresh(docs, "__key"), fresh(docs, "__maybe")
+    key, flag, i, sha = fresh(docs, "__key"), fresh(docs, "__maybe"), fresh(docs, "__keep"), fresh(docs, "__sha")
     cols = docs.columns
     decisions = stored(exact_dedup(docs, max_filter_mb), "decisions")
     keyed = docs.withColumn(key, text_key(F.col("text")))
     maps, blocks = repeat_filter(decisions, "text_sha256", max_filter_mb)
     rows = possibly_repeated(keyed, key, stored(maps, "repeats"), blocks, flag)
     keep = (decisions.where("kept").groupBy("doc_id", "text_sha256").agg(F.max("group_size").alias("group_size"))
-            .select(F.col("doc_id").alias("__keep"), F.col("text_sha256").alias("__sha")))
+            .select(F.col("doc_id").alias(i), F.col("text_sha256").alias(sha)))
     some = rows.where(F.col(flag)).alias("r")
-    kept = (some.join(keep, (F.col(f"r.{key}") == F.col("__sha")) & F.col("r.doc_id").eqNullSafe(F.col("__keep")), "left_semi")
+    kept = (some.join(keep, (F.col(f"r.{key}") == F.col(sha)) & F.col("r.doc_id").eqNullSafe(F.col(i)), "left_semi")
             .dropDuplicates(["doc_id", key]))
     return rows.where(~F.col(flag)).select(*cols).unionByName(kept.select(*cols))

@@ -214,12 +214,12 @@ def drop_undetermined(docs: DataFrame, least_score: float = 0.3) -> DataFrame:
     """
     key = F.xxhash64("doc_id", F.coalesce("text", F.lit("")))
     scored = predict(docs.select(key.alias("doc_id"), "text"), train(docs))
+    own, gone = fresh(docs, "__own"), fresh(docs, "__rejected")
     out = stored(scored.where((F.col("lang_pred") == UNDETERMINED) | (F.col("score") < least_score))
-                 .select(F.col("doc_id").alias("__rejected")).distinct(), "rejected")
-    own = fresh(docs, "__own")
+                 .select(F.col("doc_id").alias(gone)).distinct(), "rejected")
     if out.count() <= 2_000_000:
         out = F.broadcast(out)
-    return docs.withColumn(own, key).join(out, F.col(own) == F.col("__rejected"), "left_anti").select(*docs.columns)
+    return docs.withColumn(own, key).join(out, F.col(own) == F.col(gone), "left_anti").select(*docs.columns)
 
 
 __all__ = ["Model", "drop_undetermined", "fit", "language_id", "letters", "predict", "temperature", "train"]

@@ -74,10 +74,10 @@ def shingle_sets(raw: np.ndarray, offsets: np.ndarray, words: int) -> tuple[np.n
     if len(h) >= words:
         full[:len(h) - words + 1] = doc[words - 1:] == doc[:len(h) - words + 1]
     for d in np.flatnonzero((count > 0) & (count < words)):   # short texts
-        x = _U(count[d])
-        for w in h[first[d]:first[d + 1]]:
-            x = (x ^ (x >> _U(31))) * _B + w
-        full[first[d]], g[first[d]] = True, x
+        x = count[d:d + 1].astype(_U)
+        for i in range(first[d], first[d + 1]):
+            x = (x ^ (x >> _U(31))) * _B + h[i:i + 1]
+        full[first[d]], g[first[d]] = True, x[0]
     g, doc = mix(g[full]), doc[full]
     at = np.searchsorted(doc, np.arange(n + 1))
     for a, b in zip(at[:-1].tolist(), at[1:].tolist()):
