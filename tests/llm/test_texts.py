@@ -1,0 +1,132 @@
+"""Operators that look at one text at a time, against brute force."""
+
+import hashlib
+import random
+import re
+
+import public_tokenizers
+import pytest
+import tiktoken
+
+from tallyspark.llm import bpe, secrets, wordpiece
+from tests.llm.fixtures import frame, prose, rows
+
+PATH = public_tokenizers.path("byte_bpe_50k.tiktoken")
+
+
+@pytest.fixture(scope="module")
+def ranks():
+    return bpe.load_ranks(PATH)
+
+
+def sha(x):
+    return hashlib.sha256(x.encode() if isinstance(x, str) else x).hexdigest()
+
+
+def collected(df):
+    return sorted((tuple(r) for r in df.collect()), key=repr)
+
+
+def test_bpe_matches_tiktoken(spark, ranks):
+    enc = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    want = []
+    for i, t, *_ in rows():
+        ids = enc.encode_ordinary(t or "")
+        want.append((i, len(ids), sha(" ".join(map(str, ids))), sha(t or "")))
+    got = bpe.bpe_digests(frame(spark), PATH, public_tokenizers.PATTERN)
+    assert collected(got) == sorted(want, key=repr)
+    assert got.columns == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
+    full = bpe.bpe_ids(frame(spark), PATH, public_tokenizers.PATTERN)
+    assert sorted(map(repr, ((r.doc_id, r.ids, r.decoded) for r in full.collect()))) == sorted(
+        map(repr, ((i, enc.encode_ordinary(t or ""), t or "") for i, t, *_ in rows())))
+    assert bpe.bpe_digests(frame(spark, []), PATH, public_tokenizers.PATTERN).count() == 0
+
+
+def test_bpe_appends_and_edits(ranks):
+    enc = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    p, r = bpe.PrefixBPE(ranks), random.Random(0)
+    for i in range(300):
+        b = bytes(r.choice(b"abcthein gtio\xc3\xa9AB0 \xff") for _ in range(r.choice([1, 4, 30, 200])))
+        assert p.encode(b) == enc._encode_single_piece(b)
+        table = p.extend(b, [])
+        cut = r.randrange(len(b) + 1)
+        assert p.extend(b, p.extend(b[:cut], [])) == table
+        s = r.randrange(len(b))
+        e = min(len(b), s + r.randrange(6))
+        out, again, _ = p.edit(b, table, s, e, b"the")
+        assert out == b[:s] + b"the" + b[e:] and again == p.extend(out, []) and p.decode(p.ids(again)) == out
+    long = b"the" * 4000
+    assert p.edit(long, p.extend(long, []), 500, 503, b"q")[2] < 600   # only near the edit
+
+
+def test_bpe_small_memos(ranks, monkeypatch):
+    for name in ("MAX_PIECES", "MAX_PAIRS", "MAX_HEADS"):
+        monkeypatch.setattr(bpe, name, 3)
+    t = prose(12, 300)
+    enc = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    assert bpe.TextCoder(ranks, public_tokenizers.PATTERN).digest(t)[1] == sha(" ".join(map(str, enc.encode_ordinary(t))))
+
+
+def greedy(tokens, word, longest):
+    n = 0
+    while word:
+        for k in range(min(longest, len(word)), 0, -1):
+            if word[:k] in tokens:
+                word, n = word[k:], n + 1
+                break
+        else:
+            return -1
+    return n
+
+
+def test_wordpiece_matches_greedy(spark, ranks):
+    r = random.Random(1)
+    for _ in range(1500):
+        tokens = {bytes(r.choice(b"ab") for _ in range(r.randint(1, 5))) for _ in range(r.randint(1, 6))}
+        word = bytes(r.choice(b"ab") for _ in range(r.randint(0, 14)))
+        assert wordpiece.LongestMatch(list(tokens)).count(word) == greedy(tokens, word, 5), (tokens, word)
+    want = []
+    for i, t, *_ in rows():
+        n = [greedy(ranks, b" " + w, 128) for w in (t or "").encode().split()]
+        want.append((i, len(n), 0, sum(n)))
+    assert collected(wordpiece.wordpiece_counts(frame(spark), PATH)) == sorted(want, key=repr)
+    assert wordpiece.wordpiece_counts(frame(spark, []), PATH).count() == 0
+
+
+def base_by_hand(text):
+    kinds = [("assign", r"""([Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|"""
+              r"""[Aa][Pp][Ii]_?[Kk][Ee][Yy])["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""), ("access", r"AKIA[A-Z0-9]+"), ("hex", r"[0-9a-f]+")]
+    out = []
+    for k, (name, p) in enumerate(kinds):
+        for m in re.finditer(p, text):
+            if (len(m[2]) >= 12) if k == 0 else m.end() - m.start() >= (18, 16)[k - 1]:
+                out.append((m.start(), k, f"{name}:{m.start()}:{m.end()}"))
+    return sorted(out)
+
+
+def test_secrets_match_patterns(spark):
+    got = {(r.doc_id, r.base_sha256): r for r in secrets.secret_scan(frame(spark)).collect()}
+    for i, t, *_ in rows():
+        base = base_by_hand(t or "")
+        r = got[i, sha(",".join(x[2] for x in base))]
+        assert (r.n_assign, r.n_access, r.n_hex) == tuple(sum(x[1] == k for x in base) for k in range(3))
+        spans = r.spans.split(",") if r.spans else []
+        assert set(x[2] for x in base) <= set(spans) and spans == sorted(spans, key=lambda s: (int(s.split(":")[1]), secrets.KINDS.index(s.split(":")[0])))
+    assert secrets.secret_scan(frame(spark, [])).count() == 0
+
+
+def test_secret_entropy_counts_and_allow_list():
+    import math
+    r = random.Random(2)
+    key = "".join(r.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/") for _ in range(40))
+    pattern, least = secrets.CLASSES["entropy_base64"]
+
+    def bits(w):
+        return -sum(w.count(c) / len(w) * math.log2(w.count(c) / len(w)) for c in set(w))
+
+    hot = [i for i in range(21) if bits(key[i:i + 20]) >= least - 1e-9 and re.search("[0-9]", key[i:i + 20]) and re.search("[A-Za-z]", key[i:i + 20])]
+    covered = {x for i in hot for x in range(i, i + 20)}
+    assert covered and {x for a, b in secrets.entropy_spans(key, pattern, least) for x in range(a, b)} == covered
+    for plain in ("123e4567-e89b-12d3-a456-426614174000", "thisisaverylongcompoundwordwithoutdigits", "sha256-" + key, "example" + key):
+        assert all(s[1] < 3 for s in secrets.all_spans(plain, secrets.base_spans(plain)))
+    assert any(s[1] == 4 for s in secrets.all_spans(key, []))
