@@ -5,17 +5,14 @@ of wanted 1-based ranks per group, return the row sitting at each rank in the
 order ``(h, key)``. Splits (SP1, SP2) and exact-size folds (SP3) only need
 these few boundary rows, so no row is ever globally ranked:
 
-0. groups of at most ``max_exact`` rows are ranked by one window directly;
-1. otherwise count rows per (group, hash bucket) -- a map-side combined aggregate whose
-   output is bounded by ``groups x n_buckets``;
-2. a running sum over that small table locates the bucket holding each wanted
-   rank and the rank inside that bucket;
-3. only rows of those boundary buckets (about ``rows / n_buckets`` per wanted
-   rank, the hash being uniform) are ranked by a window, and the wanted row is
-   picked.
+1. count rows per (group, hash bucket) -- a map-side combined aggregate;
+2. a running sum over that small table locates the bucket of each wanted rank
+   and the rank inside it; a bucket of more than ``bucket_rows`` rows is divided
+   by the next hash bits in the same way;
+3. the rows of the boundary buckets are ranked by a window.
 
 A group holding a third of all rows costs the same as any other: its rows are
-spread over all buckets by the hash.
+spread over all buckets by the hash. Null groups are groups like others.
 """
 
 from __future__ import annotations
@@ -25,88 +22,63 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyspark.session import bounded_broadcast, materialize, materialize_counted
+from tallyspark.operators.joins import join_same
+from tallyspark.session import materialize
 
-DEFAULT_BUCKET_BITS = 16
-# Largest group ranked by a single window task.
-DEFAULT_MAX_EXACT = 1_000_000
-
-
-def bucket_counts(df: DataFrame, by: Sequence[str], h: str = "_h",
-                  bucket_bits: int = DEFAULT_BUCKET_BITS) -> DataFrame:
-    """(by..., _b, _cnt, _start, _end): rows per hash bucket with running offsets."""
-    b = F.shiftright(F.col(h), 52 - bucket_bits).alias("_b")
-    counts = df.groupBy(*by, b).agg(F.count(F.lit(1)).alias("_cnt"))
-    w = Window.partitionBy(*by).orderBy("_b").rowsBetween(Window.unboundedPreceding, 0)
-    return (counts.withColumn("_end", F.sum("_cnt").over(w))
-            .withColumn("_start", F.col("_end") - F.col("_cnt")))
+HASH_BITS = 52
+BUCKET_BITS = 12
+# Rows of a boundary bucket that a window may rank; larger buckets are divided again.
+BUCKET_ROWS = 100_000
 
 
 def select_ranks(df: DataFrame, by: Sequence[str],
                  targets: Callable[[DataFrame], DataFrame],
                  h: str = "_h", key: str = "_k",
-                 bucket_bits: int = DEFAULT_BUCKET_BITS,
-                 max_targets: int = 1_000_000,
-                 max_exact: int = DEFAULT_MAX_EXACT) -> DataFrame:
+                 bucket_bits: int = BUCKET_BITS, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
     """Rows at wanted ranks.
 
     ``df`` holds ``by`` columns plus ``h`` (BIGINT in [0, 2**52)) and a unique
     ``key``. ``targets`` receives a per-group count table ``(by..., _n)`` and
     returns ``(by..., _tid, _rank)`` with 1-based ranks. The result is
     ``(by..., _tid, _rank, _th, _tk)``: hash and key of the row at each rank.
-
-    Groups of at most ``max_exact`` rows (known from one counting aggregate)
-    are ranked directly by one window; larger groups go through the hash
-    buckets, so no task ever ranks more than ``max_exact`` rows.
     """
     by = list(by)
     slim = df.select(*by, F.col(h).alias("_h"), F.col(key).alias("_k"))
-    group_n, n_groups, g_rows = materialize_counted(slim.groupBy(*by).agg(F.count(F.lit(1)).alias("_n")))
-    wanted = materialize(targets(group_n).select(*by, "_tid", "_rank"))
-    small_g = group_n.filter(F.col("_n") <= max_exact).select(*by)
-    big_g = group_n.filter(F.col("_n") > max_exact).select(*by)
-    if g_rows is not None:
-        any_small = any(r["_n"] <= max_exact for r in g_rows)
-        any_big = any(r["_n"] > max_exact for r in g_rows)
-    else:
-        any_small, any_big = not small_g.isEmpty(), not big_g.isEmpty()
-    parts = []
-    if any_small:
-        grp = F.broadcast(small_g) if n_groups <= max_targets else small_g
-        rows = slim.join(grp, on=by, how="left_semi")
-        w = Window.partitionBy(*by).orderBy("_h", "_k")
-        ranked = rows.withColumn("_rank", F.row_number().over(w).cast("bigint"))
-        parts.append(ranked.join(F.broadcast(wanted), on=by + ["_rank"])
-                     .select(*by, "_tid", "_rank", F.col("_h").alias("_th"), F.col("_k").alias("_tk")))
-    if any_big:
-        rows = slim.join(F.broadcast(big_g), on=by, how="left_semi")
-        parts.append(_select_bucketed(rows, by, wanted.join(big_g, on=by, how="left_semi"),
-                                      bucket_bits, max_targets))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
-
-
-def _select_bucketed(slim: DataFrame, by: list[str], wanted: DataFrame,
-                     bucket_bits: int, max_targets: int) -> DataFrame:
-    cum = materialize(bucket_counts(slim, by, "_h", bucket_bits))
-    hits = (cum.join(F.broadcast(wanted), on=by)
-            .filter((F.col("_rank") > F.col("_start")) & (F.col("_rank") <= F.col("_end")))
-            .select(*by, "_tid", "_rank", "_b", (F.col("_rank") - F.col("_start")).alias("_local")))
-    hits = bounded_broadcast(hits, max_targets)
-    bucketed = slim.withColumn("_b", F.shiftright(F.col("_h"), 52 - bucket_bits))
-    boundary = bucketed.join(hits.select(*by, "_b").distinct(), on=by + ["_b"], how="left_semi")
+    bits = bucket_bits
+    b = F.shiftright("_h", HASH_BITS - bits)
+    counts = materialize(slim.groupBy(*by, b.alias("_b")).agg(F.count(F.lit(1)).alias("_c")), "bucket-counts")
+    wanted = targets(counts.groupBy(*by).agg(F.sum("_c").alias("_n"))).select(*by, "_tid", "_rank")
+    hits = _locate(counts, by, wanted.withColumn("_before", F.lit(0).cast("bigint")))
+    while bits < HASH_BITS and not hits.where(F.col("_c") > bucket_rows).isEmpty():
+        finer = min(HASH_BITS, bits + bucket_bits)
+        inside = _inside(slim, by, hits, bits).withColumn("_b", F.shiftright("_h", HASH_BITS - finer))
+        counts = materialize(inside.groupBy(*by, "_b").agg(F.count(F.lit(1)).alias("_c")), "bucket-counts")
+        # A finer bucket starts after the rows before its parent.
+        parent = hits.select(*by, F.col("_b").alias("_p"), "_before").distinct()
+        counts = join_same(counts.withColumn("_p", F.shiftright("_b", finer - bits)), parent, [*by, "_p"])
+        hits = _locate(counts.drop("_before"), [*by, "_p"], join_same(
+            hits.select(*by, "_tid", "_rank", F.col("_b").alias("_p"), "_before"), counts.select(*by, "_p").distinct(), [*by, "_p"])).drop("_p")
+        bits = finer
+    inside = _inside(slim, by, hits, bits)
     w = Window.partitionBy(*by, "_b").orderBy("_h", "_k")
-    ranked = boundary.withColumn("_lr", F.row_number().over(w))
-    return (ranked.join(hits, on=by + ["_b"])
-            .filter(F.col("_lr") == F.col("_local"))
-            .select(*by, "_tid", "_rank", F.col("_h").alias("_th"), F.col("_k").alias("_tk")))
+    ranked = inside.withColumn("_local", F.row_number().over(w).cast("bigint"))
+    found = join_same(ranked, hits.withColumn("_local", F.col("_rank") - F.col("_before")).drop("_c"), [*by, "_b", "_local"])
+    return found.select(*by, "_tid", "_rank", F.col("_h").alias("_th"), F.col("_k").alias("_tk"))
+
+
+def _locate(counts: DataFrame, by: list[str], wanted: DataFrame) -> DataFrame:
+    """(by..., _tid, _rank, _b, _c, _before): the bucket of each wanted rank, its rows and those before it."""
+    w = Window.partitionBy(*by).orderBy("_b").rowsBetween(Window.unboundedPreceding, 0)
+    ends = counts.select(*by, "_b", "_c", F.sum("_c").over(w).alias("_end"))
+    local = F.col("_rank") - F.col("_before")
+    return materialize(
+        join_same(wanted, ends, by).where((local > F.col("_end") - F.col("_c")) & (local <= F.col("_end")))
+        .select(*by, "_tid", "_rank", "_b", "_c", (F.col("_before") + F.col("_end") - F.col("_c")).alias("_before")), "ranks")
 
 
-def at_or_after(h_col: str, k_col: str, th: str, tk: str):
-    """(h, key) >= (th, tk) in lexicographic order."""
-    return (F.col(h_col) > F.col(th)) | ((F.col(h_col) == F.col(th)) & (F.col(k_col) >= F.col(tk)))
+def _inside(slim: DataFrame, by: list[str], hits: DataFrame, bits: int) -> DataFrame:
+    """Rows of the boundary buckets."""
+    return join_same(slim.withColumn("_b", F.shiftright("_h", HASH_BITS - bits)), hits.select(*by, "_b").distinct(), [*by, "_b"], "left_semi")
 
 
 def at_or_before(h_col: str, k_col: str, th: str, tk: str):

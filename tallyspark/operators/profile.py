@@ -1,9 +1,8 @@
 """Exploratory statistics (A3, A6-A15): one aggregate pass per profile.
 
-Plan shapes: all columns are profiled in one ``agg`` (or one unpivoted
-``groupBy``), never one job per column; per-group scalars (bounds, fences,
-bandwidths) are small tables joined back by broadcast behind a size check;
-densities pre-aggregate value counts before expanding against the grid.
+Plan shapes: all columns are profiled in one wide ``agg``, never one job per
+column; per-group scalars (bounds, fences, bandwidths) are small tables that
+are written once and joined back, null-safe, as their size in bytes allows.
 """
 
 from __future__ import annotations
@@ -16,24 +15,33 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyspark.operators.prep import q
-from tallyspark.operators.quantiles import long_values, quantiles
-from tallyspark.session import bounded_broadcast
+from tallyspark.operators.joins import join_same
+from tallyspark.operators.quantiles import quantiles
+from tallyspark.session import materialize
 
 QUARTILES = (0.25, 0.5, 0.75)
 
 
 def summary_stats(df: DataFrame, cols: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
     """A3: count, mean, sample std, min, 25/50/75 % (linear), max per column."""
-    keys = list(by) + ["column_name"]
-    long = long_values(df, cols, by)
-    moments = long.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("count"), F.avg("x").alias("mean"),
-        F.stddev_samp("x").alias("std"), F.min("x").alias("min"), F.max("x").alias("max"))
+    by, keys = list(by), [*by, "column_name"]
+    aggs = []
+    for i, c in enumerate(cols):
+        x = _number(c)
+        aggs.append(F.struct(F.lit(c).alias("column_name"), F.count(x).alias("count"), F.avg(x).alias("mean"),
+                             F.stddev_samp(x).alias("std"), F.min(x).alias("min"), F.max(x).alias("max")).alias(f"_s{i}"))
+    moments = df.groupBy(*[q(b) for b in by]).agg(*aggs).select(*by, F.inline(F.array(*[F.col(f"_s{i}") for i in range(len(cols))])))
     qs = (quantiles(df, cols, QUARTILES, by)
           .groupBy(*keys)
           .agg(*[F.max(F.when(F.col("p") == p, F.col("value"))).alias(name)
                  for p, name in zip(QUARTILES, ("p25", "p50", "p75"))]))
-    return moments.join(qs, on=keys, how="left")
+    return join_same(moments, qs, keys, "left")
+
+
+def _number(c: str):
+    """The column as DOUBLE, NaN as null."""
+    x = q(c).cast("double")
+    return F.when(~F.isnan(x), x)
 
 
 def class_distribution(df: DataFrame, label: str) -> DataFrame:
@@ -59,16 +67,15 @@ def histogram(df: DataFrame, col: str, n_bins: int = 20, by: Sequence[str] = ())
     vals = df.select(*[q(b) for b in by], x.alias("x")).filter(F.col("x").isNotNull() & ~F.isnan("x"))
     bounds = F.broadcast(vals.agg(F.min("x").alias("lo"), F.max("x").alias("hi")))
     binned = vals.crossJoin(bounds).withColumn("bin", _bin_expr(F.col("x"), F.col("lo"), F.col("hi"), n_bins))
-    counts = binned.groupBy(*by, "bin").agg(F.count(F.lit(1)).alias("count"))
+    counts = materialize(binned.groupBy(*by, "bin").agg(F.count(F.lit(1)).alias("count")), "bins")
     grid = bounds.select("lo", "hi", F.explode(F.sequence(F.lit(1), F.lit(n_bins))).alias("bin"))
     if by:
-        classes = bounded_broadcast(vals.select(*by).distinct())
-        grid = grid.crossJoin(classes)
+        grid = counts.select(*by).distinct().crossJoin(F.broadcast(grid))   # n_bins rows
     width = (F.col("hi") - F.col("lo")) / n_bins
     grid = (grid.withColumn("lower", F.col("lo") + (F.col("bin") - 1) * width)
                 .withColumn("upper", F.col("lo") + F.col("bin") * width)
                 .drop("lo", "hi"))
-    out = grid.join(counts, on=by + ["bin"], how="left")
+    out = join_same(grid, counts, [*by, "bin"], "left")
     return out.withColumn("count", F.coalesce(F.col("count"), F.lit(0).cast("bigint")))
 
 
@@ -76,33 +83,34 @@ def box_stats(df: DataFrame, col: str, by: Sequence[str] = (), whisker: float =
     """Quartiles, fences, whiskers (extreme points inside the fences)
     and outlier counts per group."""
     by = list(by)
-    qs = (quantiles(df, [col], QUARTILES, by)
-          .groupBy(*by).agg(*[F.max(F.when(F.col("p") == p, F.col("value"))).alias(n)
-                              for p, n in zip(QUARTILES, ("q1", "median", "q3"))]))
-    qs = (qs.withColumn("iqr", F.col("q3") - F.col("q1"))
-            .withColumn("lo_fence", F.col("q1") - whisker * F.col("iqr"))
-            .withColumn("hi_fence", F.col("q3") + whisker * F.col("iqr")))
-    qs = bounded_broadcast(qs)
-    x = q(col).cast("double")
-    vals = df.select(*[q(b) for b in by], x.alias("x")).filter(F.col("x").isNotNull() & ~F.isnan("x"))
-    joined = vals.crossJoin(qs) if not by else vals.join(qs, on=by)
+    qs = materialize(_fences(df, col, by, whisker), "fences")
+    vals = df.select(*[q(b) for b in by], _number(col).alias("x")).filter(F.col("x").isNotNull())
     inside = F.col("x").between(F.col("lo_fence"), F.col("hi_fence"))
-    agg = joined.groupBy(*by).agg(
+    agg = join_same(vals, qs, by).groupBy(*by).agg(
         F.min(F.when(inside, F.col("x"))).alias("whisker_low"),
         F.max(F.when(inside, F.col("x"))).alias("whisker_high"),
         F.count_if(~inside).alias("n_outliers"),
         F.count(F.lit(1)).alias("n"))
-    return qs.join(agg, on=by) if by else qs.crossJoin(agg)
+    return join_same(qs, agg, by)
+
+
+def _fences(df: DataFrame, col: str, by: Sequence[str], whisker: float) -> DataFrame:
+    """(by..., q1, median, q3, iqr, lo_fence, hi_fence)."""
+    qs = (quantiles(df, [col], QUARTILES, by)
+          .groupBy(*by).agg(*[F.max(F.when(F.col("p") == p, F.col("value"))).alias(n)
+                              for p, n in zip(QUARTILES, ("q1", "median", "q3"))]))
+    return (qs.withColumn("iqr", F.when(F.col("q3") == F.col("q1"), 0.0).otherwise(F.col("q3") - F.col("q1")))
+            .withColumn("lo_fence", F.col("q1") - whisker * F.col("iqr"))
+            .withColumn("hi_fence", F.col("q3") + whisker * F.col("iqr")))
 
 
 def box_outliers(df: DataFrame, col: str, by: Sequence[str] = (), keep: Sequence[str] = (),
                  whisker: float = 1.5) -> DataFrame:
     """The outlier rows themselves (outside the 1.5 IQR fences)."""
     by = list(by)
-    fences = bounded_broadcast(box_stats(df, col, by, whisker).select(*by, "lo_fence", "hi_fence"))
-    joined = df.crossJoin(fences) if not by else df.join(fences, on=by)
+    fences = materialize(_fences(df, col, by, whisker).select(*by, "lo_fence", "hi_fence"), "fences")
     x = q(col).cast("double")
-    return (joined.filter((x < F.col("lo_fence")) | (x > F.col("hi_fence")))
+    return (join_same(df, fences, by).filter((x < F.col("lo_fence")) | (x > F.col("hi_fence")))
             .select(*[q(c) for c in list(keep) + by], x.alias(col)))
 
 
@@ -110,30 +118,27 @@ def violin_density(df: DataFrame, col: str, by: Sequence[str] = (), n_points: in
     """Gaussian kernel density on ``n_points`` grid points over each
     group's [min, max], bandwidth 1.06 * std * n^(-1/5).
 
-    Values are first counted per (group, value); the grid (groups x points, a
-    bounded table) is broadcast and each distinct value contributes to every
-    grid point of its group; partial aggregation keeps the shuffle at
-    groups x points rows.
+    Each row adds its kernel to all points of its group inside one partial
+    aggregate, so the shuffle holds a row per group and task.
     """
     by = list(by)
-    x = q(col).cast("double")
-    vals = df.select(*[q(b) for b in by], x.alias("x")).filter(F.col("x").isNotNull() & ~F.isnan("x"))
+    vals = df.select(*[q(b) for b in by], _number(col).alias("x")).filter(F.col("x").isNotNull())
     stats = vals.groupBy(*by).agg(F.count(F.lit(1)).alias("n"), F.stddev_samp("x").alias("sd"),
                                   F.min("x").alias("lo"), F.max("x").alias("hi"))
     bw = F.lit(1.06) * F.col("sd") * F.pow(F.col("n").cast("double"), F.lit(-0.2))
     # a zero or undefined spread gets a small positive bandwidth
-    stats = stats.withColumn("h", F.when(F.coalesce(bw, F.lit(0.0)) > 0, bw).otherwise(F.lit(1e-3)))
-    steps = F.explode(F.sequence(F.lit(0), F.lit(n_points - 1))).alias("point")
-    grid = stats.select(*by, "n", "h", "lo", "hi", steps)
-    grid = grid.withColumn("grid_x", F.col("lo") + (F.col("hi") - F.col("lo")) * F.col("point") / (n_points - 1))
-    grid = bounded_broadcast(grid.select(*by, "point", "grid_x", "n", "h"))
-    counts = vals.groupBy(*by, "x").agg(F.count(F.lit(1)).alias("c"))
-    pairs = counts.crossJoin(grid) if not by else counts.join(grid, on=by)
-    z = (F.col("grid_x") - F.col("x")) / F.col("h")
-    kern = F.col("c") * F.exp(F.lit(-0.5) * z * z)
-    dens = pairs.groupBy(*by, "point", "grid_x", "n", "h").agg(F.sum(kern).alias("_s"))
+    stats = materialize(stats.withColumn("h", F.when(F.coalesce(bw, F.lit(0.0)) > 0, bw).otherwise(F.lit(1e-3))).drop("sd"), "spread")
+    grid = [F.col("lo") + (F.col("hi") - F.col("lo")) * F.lit(p) / (n_points - 1) for p in range(n_points)]
+
+    def kernel(x):
+        z = (x - F.col("x")) / F.col("h")
+        return F.exp(F.lit(-0.5) * z * z)
+
+    sums = join_same(vals, stats, by).groupBy(*by).agg(*[F.sum(kernel(x)).alias(f"_k{p}") for p, x in enumerate(grid)])
     norm = F.col("n") * F.col("h") * F.lit(math.sqrt(2 * math.pi))
-    return dens.select(*by, "point", "grid_x", (F.col("_s") / norm).alias("density"))
+    points = F.array(*[F.struct(F.lit(p).alias("point"), x.alias("grid_x"), (F.col(f"_k{p}") / norm).alias("density"))
+                       for p, x in enumerate(grid)])
+    return join_same(stats, sums, by).select(*by, F.inline(points))
 
 
 def marginal(df: DataFrame, x: str, y: str, kind: str = "histogram", **kw) -> DataFrame:

@@ -1,35 +1,47 @@
-"""Exact quantiles (linear interpolation) that scale with skew and size.
+"""Exact quantiles (linear interpolation) at any size.
 
 ``percentile`` keeps every distinct value of a group in one aggregation
-buffer; here the k-th smallest value is found by zooming in instead:
-
-* a bracket ``[lo, hi]`` per (group, wanted rank) starts as ``[min, max]``;
-* while a bracket holds more than ``max_exact`` rows, one aggregate pass
-  counts rows per equal-width value bucket inside it (map-side combined,
-  output bounded by ``brackets x n_buckets``); the bucket holding the wanted
-  rank becomes the new bracket (its real min/max), rows below it are added to
-  ``below``; a bracket whose min equals its max is solved outright;
-* brackets of at most ``max_exact`` rows are ranked by a window and the row at
-  ``rank - below`` is read; when every group already holds at most
-  ``max_exact`` rows, Spark's exact ``percentile`` (whose buffer is then
-  bounded) answers in one aggregate.
-
-Brackets are tiny tables (one row per wanted rank), broadcast behind a size
-check. Every pass reads only the value column(s).
+buffer; here the value at a rank is found digit by digit. Each double has an
+order-preserving integer (:func:`order_key`). A pass counts rows by the
+integer's leading bits inside the buckets that hold a wanted rank -- a map-side
+combined aggregate -- and a running sum over the counts locates the next
+bucket. Three passes read all 64 bits, whatever the data: the last bucket is a
+single value. No row is sorted or collected, a hot value is one count.
+
+Infinities are values like others, NaN counts as null, and a null group is a
+group like others.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallyspark.operators.joins import join_same
 from tallyspark.operators.prep import q
-from tallyspark.session import bounded_broadcast, materialize_counted
+from tallyspark.session import materialize
 
-DEFAULT_BUCKETS = 1 << 16
-DEFAULT_MAX_EXACT = 1_000_000
+# Low bits that each pass leaves out: 22, 21 and 21 bits are read.
+PASSES = (42, 21, 0)
+
+
+def order_key(x: Column) -> Column:
+    """BIGINT that orders like the (non-null) DOUBLE ``x``: exponent and fraction bits, negated below zero."""
+    a = F.abs(x)
+    tiny = 2.0 ** -1022
+    e0 = F.floor(F.log2(F.when((a >= tiny) & (a < float("inf")), a).otherwise(1.0)))
+
+    def fraction(e: Column) -> Column:
+        return a * F.pow(F.lit(2.0), -e)
+
+    # log2 may round across a power of two; the fraction lies in [1, 2)
+    e = F.when(fraction(e0) < 1, e0 - 1).when(fraction(e0) >= 2, e0 + 1).otherwise(e0)
+    normal = (e + 1023) * (1 << 52) + ((fraction(e) - 1) * float(1 << 52)).cast("bigint")
+    small = (a * (2.0 ** 1000) * (2.0 ** 74)).cast("bigint")
+    size = F.when(a == float("inf"), F.lit(2047 << 52)).when(a < tiny, small).otherwise(normal).cast("bigint")
+    return F.when(x < 0, -size).otherwise(size)
 
 
 def long_values(df: DataFrame, cols: Sequence[str], by: Sequence[str] = (),
@@ -40,96 +52,53 @@ def long_values(df: DataFrame, cols: Sequence[str], by: Sequence[str] = (),
     return out.filter(F.col("x").isNotNull() & ~F.isnan("x"))
 
 
-def kth_values(long: DataFrame, keys: Sequence[str], targets: DataFrame,
-               n_buckets: int = DEFAULT_BUCKETS, max_exact: int = DEFAULT_MAX_EXACT,
-               max_levels: int = 16) -> DataFrame:
+def kth_values(long: DataFrame, keys: Sequence[str], targets) -> DataFrame:
     """Value at each wanted 1-based rank.
 
-    ``long``: (keys..., x); ``targets``: (keys..., _tid, _rank, lo, hi, _n)
-    with lo/hi the min/max of the key. Returns (keys..., _tid, _value).
+    ``long``: (keys..., x); ``targets`` receives (keys..., _n) and returns
+    (keys..., _tid, _rank, ...). Returns the targets with ``_value``.
     """
     keys = list(keys)
-    br_cols = keys + ["lo", "hi", "below"]
-    todo = bounded_broadcast(targets.select(*keys, "_tid", "_rank", "lo", "hi", "_n")
-                             .withColumn("below", F.lit(0).cast("bigint")))
-    results: list[DataFrame] = []
-    for _ in range(max_levels):
-        ready_cond = (F.col("_n") <= max_exact) | (F.col("lo") == F.col("hi"))
-        ready = todo.filter(ready_cond)
-        pending = todo.filter(~ready_cond)
-        results.append(_exact(long, keys, ready))
-        if pending.isEmpty():
-            break
-        brackets = bounded_broadcast(pending.select(*br_cols).distinct())
-        cand = long.join(brackets, on=keys).filter(F.col("x").between(F.col("lo"), F.col("hi")))
-        b = F.least(F.floor((F.col("x") - F.col("lo")) / (F.col("hi") - F.col("lo")) * n_buckets),
-                    F.lit(n_buckets - 1))
-        hist = (cand.groupBy(*br_cols, b.alias("_b"))
-                .agg(F.count(F.lit(1)).alias("_cnt"), F.min("x").alias("_bmin"), F.max("x").alias("_bmax")))
-        w = Window.partitionBy(*br_cols).orderBy("_b").rowsBetween(Window.unboundedPreceding, 0)
-        hist = hist.withColumn("_end", F.sum("_cnt").over(w))
-        nxt = (pending.join(hist, on=br_cols)
-               .filter((F.col("_rank") > F.col("below") + F.col("_end") - F.col("_cnt"))
-                       & (F.col("_rank") <= F.col("below") + F.col("_end")))
-               .select(*keys, "_tid", "_rank",
-                       F.col("_bmin").alias("lo"), F.col("_bmax").alias("hi"),
-                       F.col("_cnt").alias("_n"),
-                       (F.col("below") + F.col("_end") - F.col("_cnt")).alias("below")))
-        todo = bounded_broadcast(nxt)
-    else:
-        raise RuntimeError("quantile search did not converge")
-    out = results[0]
-    for extra in results[1:]:
-        out = out.unionByName(extra)
-    return out
-
-
-def _exact(long: DataFrame, keys: list[str], ready: DataFrame) -> DataFrame:
-    """Rank rows of ready brackets (bounded by max_exact rows each) and read values."""
-    br = keys + ["lo", "hi", "below"]
-    solved = ready.filter(F.col("lo") == F.col("hi")).select(*keys, "_tid", F.col("lo").alias("_value"))
-    small = ready.filter(F.col("lo") != F.col("hi"))
-    brackets = F.broadcast(small.select(*br).distinct())
-    cand = long.join(brackets, on=keys).filter(F.col("x").between(F.col("lo"), F.col("hi")))
-    w = Window.partitionBy(*br).orderBy("x")
-    ranked = cand.withColumn("_lr", F.row_number().over(w))
-    picked = (ranked.join(F.broadcast(small), on=br)
-              .filter(F.col("_lr") == F.col("_rank") - F.col("below"))
-              .select(*keys, "_tid", F.col("x").alias("_value")))
-    return solved.unionByName(picked)
+    rows = long.select(*keys, "x", order_key(F.col("x")).alias("_key"))
+    wanted, prefix, shift = None, [], 64
+    for out in PASSES:
+        inside = rows
+        if wanted is not None:
+            inside = join_same(rows.withColumn("_p", F.shiftright("_key", shift)), wanted.select(*keys, "_p").distinct(),
+                               [*keys, "_p"], "left_semi")
+        counts = materialize(inside.withColumn("_b", F.shiftright("_key", out)).groupBy(*keys, *prefix, "_b")
+                             .agg(F.count(F.lit(1)).alias("_c"), F.min("x").alias("_value")), "value-counts")
+        if wanted is None:
+            wanted = targets(counts.groupBy(*keys).agg(F.sum("_c").alias("_n"))).withColumn("_before", F.lit(0).cast("bigint"))
+        w = Window.partitionBy(*keys, *prefix).orderBy("_b").rowsBetween(Window.unboundedPreceding, 0)
+        ends = counts.withColumn("_end", F.sum("_c").over(w))
+        local = F.col("_rank") - F.col("_before")
+        wanted = (join_same(wanted, ends, [*keys, *prefix])
+                  .where((local > F.col("_end") - F.col("_c")) & (local <= F.col("_end")))
+                  .withColumn("_before", F.col("_before") + F.col("_end") - F.col("_c"))
+                  .withColumn("_p", F.col("_b")).drop("_b", "_c", "_end"))
+        if out:
+            wanted = wanted.drop("_value")
+        prefix, shift = ["_p"], out
+    return wanted.drop("_p", "_before")
 
 
 def quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
-              by: Sequence[str] = (), n_buckets: int = DEFAULT_BUCKETS,
-              max_exact: int = DEFAULT_MAX_EXACT) -> DataFrame:
+              by: Sequence[str] = ()) -> DataFrame:
     """(by..., column_name, p, value): exact quantiles with linear interpolation
     between closest ranks (position p * (n - 1)), per group and column."""
     keys = list(by) + ["column_name"]
-    long = long_values(df, cols, by)
-    stats, _, rows = materialize_counted(
-        long.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.min("x").alias("lo"),
-                                F.max("x").alias("hi")))
     ps = F.array(*[F.lit(float(p)) for p in probs])
-    if rows is not None and all(r["_n"] <= max_exact for r in rows):
-        # every group is proven small: the exact percentile buffer is bounded
-        # by max_exact values, so one aggregate answers all quantiles
-        agg = long.groupBy(*keys).agg(F.percentile("x", ps).alias("_v"))
-        return agg.select(*keys, F.posexplode("_v").alias("_pi", "value")).select(
-            *keys, F.element_at(ps, F.col("_pi") + 1).alias("p"), "value")
-    pos = stats.select(*keys, "_n", "lo", "hi", F.posexplode(ps).alias("_pi", "p"))
-    pos = pos.withColumn("_pos", F.col("p") * (F.col("_n") - 1))
-    pos = (pos.withColumn("_r0", F.floor("_pos") + 1)
-              .withColumn("_r1", F.least(F.col("_r0") + 1, F.col("_n")))
-              .withColumn("_frac", F.col("_pos") - F.floor("_pos")))
-    pos = bounded_broadcast(pos)
-    targets = (pos.select(*keys, (F.col("_pi") * 2).alias("_tid"), F.col("_r0").alias("_rank"), "lo", "hi", "_n")
-               .unionByName(pos.select(*keys, (F.col("_pi") * 2 + 1).alias("_tid"),
-                                       F.col("_r1").alias("_rank"), "lo", "hi", "_n"))
-               .distinct())
-    vals = kth_values(long, keys, targets, n_buckets, max_exact)
-    v0 = vals.withColumnRenamed("_tid", "_t0").withColumnRenamed("_value", "_v0")
-    v1 = vals.withColumnRenamed("_tid", "_t1").withColumnRenamed("_value", "_v1")
-    out = (pos.withColumn("_t0", F.col("_pi") * 2).withColumn("_t1", F.col("_pi") * 2 + 1)
-           .join(v0, on=keys + ["_t0"]).join(v1, on=keys + ["_t1"]))
-    value = F.col("_v0") + (F.col("_v1") - F.col("_v0")) * F.col("_frac")
-    return out.select(*keys, "p", value.alias("value"))
+
+    def targets(n: DataFrame) -> DataFrame:
+        pos = n.select(*keys, "_n", F.explode(ps).alias("p")).withColumn("_pos", F.col("p") * (F.col("_n") - 1))
+        first = F.floor("_pos") + 1
+        ranks = F.array(first, F.least(first + 1, F.col("_n")))
+        return pos.select(*keys, "p", (F.col("_pos") - F.floor("_pos")).alias("_frac"), F.posexplode(ranks).alias("_tid", "_rank"))
+
+    vals = kth_values(long_values(df, cols, by), keys, targets)
+    both = vals.groupBy(*keys, "p", "_frac").agg(F.max(F.when(F.col("_tid") == 0, F.col("_value"))).alias("_v0"),
+                                                 F.max(F.when(F.col("_tid") == 1, F.col("_value"))).alias("_v1"))
+    v0, v1, f = F.col("_v0"), F.col("_v1"), F.col("_frac")
+    value = F.when((f == 0) | (v0 == v1), v0).otherwise(v0 + (v1 - v0) * f)
+    return both.select(*keys, "p", value.alias("value"))

@@ -3,7 +3,7 @@
 ``early_stop`` needs, for every round, the best (lowest loss, earliest round)
 seen so far in its run -- a prefix minimum. It is computed in two levels so no
 run is ever processed by one task: a window inside fixed-size round chunks,
-plus a window over per-chunk minima (a table ``chunk`` times smaller), then a
+the same over chunk minima (twice; each level is ``chunk`` times smaller), then a
 ``min`` aggregate finds the first round that waited ``patience`` rounds.
 """
 
@@ -14,7 +14,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyspark.session import bounded_broadcast, materialize
+from tallyspark.operators.joins import join_same
+from tallyspark.session import materialize
 
 
 def sort_importance(imp: DataFrame, value: str = "importance", feature: str = "feature") -> DataFrame:
@@ -45,18 +46,16 @@ def early_stop(losses: DataFrame, run: str = "run_id", rnd: str = "round", loss:
                   .withColumn("_chunk", F.floor(F.col(rnd) / chunk)))
     w_in = Window.partitionBy(run, "_chunk").orderBy(rnd).rowsBetween(Window.unboundedPreceding, 0)
     local = base.withColumn("_lbest", F.min(best_t).over(w_in))
-    chunks = base.groupBy(run, "_chunk").agg(F.min(best_t).alias("_cbest"))
-    w_chunks = Window.partitionBy(run).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
-    prev = bounded_broadcast(chunks.withColumn("_prev", F.min("_cbest").over(w_chunks))
-                             .select(run, "_chunk", "_prev"))
-    pref = (local.join(prev, on=[run, "_chunk"])
+    # Chunk minima, then minima of chunks of chunks, and so on: no window ranks a whole run.
+    prev = _earlier_minima(base.groupBy(run, "_chunk").agg(F.min(best_t).alias("_cbest")), run, chunk)
+    pref = (join_same(local, prev, [run, "_chunk"])
                  .withColumn("_best", F.least(F.col("_prev"), F.col("_lbest"))))
     waited = F.col(rnd) - F.col("_best.r") >= patience
     stops = (pref.filter(waited).groupBy(run)
                  .agg(F.min_by(F.struct(F.col(rnd).alias("stop"), F.col("_best").alias("b")), F.col(rnd))
                       .alias("_s")))
     totals = base.groupBy(run).agg(F.min(best_t).alias("_all"), F.count(F.lit(1)).alias("n_rounds"))
-    out = totals.join(stops, on=run, how="left")
+    out = join_same(totals, stops, [run], "left")
     return out.select(
         run,
         F.coalesce(F.col("_s.b.r"), F.col("_all.r")).alias("best_round"),
@@ -65,6 +64,22 @@ def early_stop(losses: DataFrame, run: str = "run_id", rnd: str = "round", loss:
         "n_rounds")
 
 
+def _earlier_minima(chunks: DataFrame, run: str, chunk: int, levels: int = 2) -> DataFrame:
+    """(run, _chunk, _prev): the least ``_cbest`` of the run's earlier chunks.
+
+    A window inside blocks of ``chunk`` chunks, and the earlier blocks' minima by the same step.
+    """
+    if levels == 0:
+        w = Window.partitionBy(run).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+        return chunks.select(run, "_chunk", F.min("_cbest").over(w).alias("_prev"))
+    held = materialize(chunks.withColumn("_block", F.floor(F.col("_chunk") / chunk)), "chunks")
+    above = _earlier_minima(held.groupBy(run, F.col("_block").alias("_chunk")).agg(F.min("_cbest").alias("_cbest")), run, chunk, levels - 1)
+    w = Window.partitionBy(run, "_block").orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+    inside = held.select(run, "_block", "_chunk", F.min("_cbest").over(w).alias("_near"))
+    joined = join_same(inside, above.select(run, F.col("_chunk").alias("_block"), F.col("_prev").alias("_far")), [run, "_block"])
+    return joined.select(run, "_chunk", F.least("_far", "_near").alias("_prev"))
+
+
 def rank_within(df: DataFrame, by: Sequence[str], order: Sequence, out: str = "position",
                 n_parts: int | None = None) -> DataFrame:
     """``row_number() OVER (PARTITION BY by ORDER BY order)`` without placing a
@@ -87,7 +102,7 @@ def rank_within(df: DataFrame, by: Sequence[str], order: Sequence, out: str = "p
     local = ranged.withColumn("_lr", F.row_number().over(w_local))
     counts = ranged.groupBy("_pid", *by).agg(F.count(F.lit(1)).alias("_c"))
     w = Window.partitionBy(*by).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = bounded_broadcast(counts.withColumn("_off", F.coalesce(F.sum("_c").over(w), F.lit(0)))
-                                .select("_pid", *by, "_off"))
-    joined = local.join(offsets, on=["_pid", *by])
-    return joined.withColumn(out, (F.col("_off") + F.col("_lr")).cast("int")).drop("_pid", "_lr", "_off")
+    offsets = materialize(counts.withColumn("_off", F.coalesce(F.sum("_c").over(w), F.lit(0)))
+                          .select("_pid", *by, "_off"), "offsets")
+    joined = join_same(local, offsets, ["_pid", *by])
+    return joined.withColumn(out, (F.col("_off") + F.col("_lr")).cast("bigint")).drop("_pid", "_lr", "_off")

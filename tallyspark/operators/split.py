@@ -4,8 +4,9 @@ Row order is ``(md5-hash of seed || key, key)``. A stratified split puts the
 first ``round(n_class * test_frac)`` rows of every class into ``test``; k-fold
 gives fold ``i`` the i-th run of rows in that order, the first ``n mod k`` folds
 one row larger (the usual k-fold sizes). Both are decided by comparing each
-row with a handful of boundary rows found by :mod:`orderstats`, so the big
-table is only scanned and joined with a broadcast table of one row per class.
+row with a handful of boundary rows found by :mod:`orderstats`: the counting
+passes shuffle counts only, and the rows themselves are scanned once and joined
+with a table of one row per class. A null label is a class like others.
 The same definition is a plain ``row_number()`` query in SQL, which is how it
 is checked.
 """
@@ -16,46 +17,60 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyspark.functions.hashing import hash52
-from tallyspark.operators.orderstats import DEFAULT_BUCKET_BITS, at_or_before, select_ranks
-from tallyspark.session import bounded_broadcast
+from tallyspark.operators.joins import join_same
+from tallyspark.operators.orderstats import BUCKET_BITS, at_or_before, select_ranks
+from tallyspark.session import materialize
 
 
-def stratified_split(df: DataFrame, label: str, key: str, test_frac: float = 0.2,
-                     seed: str = "42", split_col: str = "split",
-                     bucket_bits: int = DEFAULT_BUCKET_BITS) -> DataFrame:
-    """SP1/SP2: add ``split`` = 'test' | 'train' with exact per-class test sizes."""
-    if not 0.0 <= test_frac <= 1.0:
-        raise ValueError("test_frac must be within [0, 1]")
-    base = df.withColumn("_h", hash52(seed, key))
+def _first_rows(base: DataFrame, label: str, key: str, h: str, frac: float, name: str,
+                bucket_bits: int = BUCKET_BITS) -> DataFrame:
+    """(label, name_h, name_k): the last row of the first ``round(n * frac)`` rows of each class."""
+    if not 0.0 <= frac <= 1.0:
+        raise ValueError("the fraction must be within [0, 1]")
 
     def wanted(group_n: DataFrame) -> DataFrame:
-        rank = F.round(F.col("_n") * F.lit(float(test_frac))).cast("bigint")
-        return (group_n.select(label, F.lit(0).alias("_tid"), rank.alias("_rank"))
-                .filter(F.col("_rank") > 0))
+        rank = F.round(F.col("_n") * F.lit(float(frac))).cast("bigint")
+        return group_n.select(label, F.lit(0).alias("_tid"), rank.alias("_rank")).filter(F.col("_rank") > 0)
 
-    th = select_ranks(base.select(label, "_h", key), [label], wanted,
-                      h="_h", key=key, bucket_bits=bucket_bits)
-    th = bounded_broadcast(th.select(label, "_th", "_tk"))
-    joined = base.join(th, on=label, how="left")
-    is_test = F.col("_th").isNotNull() & at_or_before("_h", key, "_th", "_tk")
-    return (joined.withColumn(split_col, F.when(is_test, F.lit("test")).otherwise(F.lit("train")))
-            .drop("_h", "_th", "_tk"))
+    th = select_ranks(base.select(label, h, key), [label], wanted, h=h, key=key, bucket_bits=bucket_bits)
+    return materialize(th.select(label, F.col("_th").alias(f"{name}_h"), F.col("_tk").alias(f"{name}_k")), "thresholds")
+
+
+def _within(h: str, key: str, name: str):
+    return F.col(f"{name}_h").isNotNull() & at_or_before(h, key, f"{name}_h", f"{name}_k")
+
+
+def stratified_split(df: DataFrame, label: str, key: str, test_frac: float = 0.2,
+                     seed: str = "42", split_col: str = "split",
+                     bucket_bits: int = BUCKET_BITS) -> DataFrame:
+    """SP1: add ``split`` = 'test' | 'train' with exact per-class test sizes."""
+    base = df.withColumn("_h", hash52(seed, key))
+    th = _first_rows(base, label, key, "_h", test_frac, "_t", bucket_bits)
+    return (join_same(base, th, [label], "left")
+            .withColumn(split_col, F.when(_within("_h", key, "_t"), F.lit("test")).otherwise(F.lit("train")))
+            .drop("_h", "_t_h", "_t_k"))
 
 
 def train_valid_test(df: DataFrame, label: str, key: str, test_frac: float = 0.2,
-                     valid_frac: float = 0.2, seed: str = "42") -> DataFrame:
-    """SP1 then SP2 on the train part: ``split`` in test / valid / train."""
-    first = stratified_split(df, label, key, test_frac, seed=seed, split_col="_s1")
-    second = stratified_split(first.filter(F.col("_s1") == "train"), label, key,
-                              valid_frac, seed=f"{seed}:valid", split_col="_s2")
-    second = second.select(*df.columns, F.when(F.col("_s2") == "test", F.lit("valid"))
-                           .otherwise(F.lit("train")).alias("split"))
-    test = first.filter(F.col("_s1") == "test").select(*df.columns, F.lit("test").alias("split"))
-    return test.unionByName(second)
+                     valid_frac: float = 0.2, seed: str = "42", split_col: str = "split") -> DataFrame:
+    """SP1 then SP2 on the train part: ``split`` in test / valid / train.
+
+    Both thresholds are found on (key, label); one scan then assigns all rows.
+    """
+    slim = df.select(label, key).withColumn("_h", hash52(seed, key))
+    first = _first_rows(slim, label, key, "_h", test_frac, "_t")
+    rest = (join_same(slim, first, [label], "left").filter(~_within("_h", key, "_t"))
+            .select(label, key).withColumn("_h2", hash52(f"{seed}:valid", key)))
+    second = _first_rows(rest, label, key, "_h2", valid_frac, "_v")
+    base = df.withColumn("_h", hash52(seed, key)).withColumn("_h2", hash52(f"{seed}:valid", key))
+    out = join_same(join_same(base, first, [label], "left"), second, [label], "left")
+    part = (F.when(_within("_h", key, "_t"), F.lit("test")).when(_within("_h2", key, "_v"), F.lit("valid"))
+             .otherwise(F.lit("train")))
+    return out.select(*df.columns, part.alias(split_col))
 
 
 def kfold(df: DataFrame, key: str, k: int = 5, seed: str = "42", fold_col: str = "fold",
-          by: list[str] | None = None, bucket_bits: int = DEFAULT_BUCKET_BITS) -> DataFrame:
+          by: list[str] | None = None, bucket_bits: int = BUCKET_BITS) -> DataFrame:
     """SP3: shuffled k-fold with exact sizes; ``by`` gives one fold scheme per group."""
     if k < 2:
         raise ValueError("k must be at least 2")
@@ -79,10 +94,10 @@ def kfold(df: DataFrame, key: str, k: int = 5, seed: str = "42", fold_col: str =
 
     th = select_ranks(base.select(*grp, "_h", key), grp, wanted, h="_h", key=key,
                       bucket_bits=bucket_bits)
-    bounds = bounded_broadcast(
+    bounds = materialize(
         th.groupBy(*grp).agg(F.collect_list(F.struct(F.col("_th").alias("h"),
-                                                     F.col("_tk").alias("k"))).alias("_bounds")))
-    joined = base.join(bounds, on=grp, how="left")
+                                                     F.col("_tk").alias("k"))).alias("_bounds")), "bounds")
+    joined = join_same(base, bounds, grp, "left")
     # fold = number of fold starts at or before the row
     passed = F.filter(F.col("_bounds"),
                       lambda b: (b["h"] < F.col("_h")) | ((b["h"] == F.col("_h")) & (b["k"] <= F.col(key))))

@@ -2,16 +2,12 @@
 
 from __future__ import annotations
 
+import atexit
 import os
 import tempfile
 import uuid
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-# Rows above which a derived "small" table is not broadcast but joined by shuffle.
-DEFAULT_BROADCAST_ROWS = 2_000_000
 
 
 def get_spark(app: str = "tallyspark", master: str | None = None,
@@ -38,8 +34,9 @@ def get_spark(app: str = "tallyspark", master: str | None = None,
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster the setting must point at shared storage and is only read here.
-    Only when it is unset (local tests) a private folder is created and set.
+    On a cluster the setting must point at shared storage: it's only read here,
+    and a cluster without it is refused, since executors don't see each other's
+    disks. A private folder is made for a local master only (tests).
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -48,54 +45,47 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     conf_dir = sc.getConf().get("spark.checkpoint.dir", None) or spark.conf.get(
         "spark.checkpoint.dir", None)
     if not conf_dir:
-        conf_dir = tempfile.mkdtemp(prefix="tallyspark-ckpt-")
+        conf_dir = private_folder(sc.master)
         spark.conf.set("spark.checkpoint.dir", conf_dir)
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir() or conf_dir
 
 
-def shared_path(spark: SparkSession, name: str) -> str:
-    """A fresh path under the shared checkpoint folder (for written tables)."""
-    base = ensure_checkpoint_dir(spark)
-    return os.path.join(base, f"{name}-{uuid.uuid4().hex}")
-
+def private_folder(master: str) -> str:
+    """A folder of this machine, for a local master only."""
+    if not (master == "local" or master.startswith("local[")):
+        raise RuntimeError(f"spark.checkpoint.dir must name a shared folder on {master}")
+    return tempfile.mkdtemp(prefix="tallyspark-ckpt-")
 
-# Rows up to which a proven-small derived table is re-created as a local table.
-LOCAL_ROWS = 10_000
 
+_made: dict[str, SparkSession] = {}
 
-def materialize_counted(df: DataFrame, local_rows: int = LOCAL_ROWS) -> tuple[DataFrame, int, list | None]:
-    """Compute once, cut lineage, and return the row count.
 
-    The table is persisted and counted in one job. A table of at most
-    ``local_rows`` rows (summaries: one row per class, per wanted rank ...) is
-    re-created as a local table; a larger one is checkpointed to the shared
-    checkpoint folder, which survives executor loss, and read from there.
-    Returns (table, row count, the rows when local else None).
-    """
-    held = df.persist(StorageLevel.MEMORY_AND_DISK)
-    n = held.count()
-    rows = None
-    if n <= local_rows:
-        rows = held.collect()
-        out = df.sparkSession.createDataFrame(rows, held.schema)
-    else:
-        ensure_checkpoint_dir(df.sparkSession)
-        out = held.checkpoint(eager=True)
-    held.unpersist()
-    return out, n, rows
+def shared_path(spark: SparkSession, name: str) -> str:
+    """A fresh path under the shared checkpoint folder (for written tables), removed when the program ends."""
+    path = os.path.join(ensure_checkpoint_dir(spark), f"{name}-{uuid.uuid4().hex}")
+    if not _made:
+        atexit.register(remove_written)
+    _made[path] = spark
+    return path
 
 
-def materialize(df: DataFrame, local_rows: int = LOCAL_ROWS) -> DataFrame:
-    return materialize_counted(df, local_rows)[0]
+def remove_written() -> None:
+    """Remove the tables written under the shared folder by this program; results that read them are then gone."""
+    for path, spark in list(_made.items()):
+        _made.pop(path)
+        if spark.sparkContext._jsc is not None:
+            jvm = spark.sparkContext._jvm
+            target = jvm.org.apache.hadoop.fs.Path(path)
+            target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
-def bounded_broadcast(small: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Materialize a derived small table and broadcast it only if its size is proven.
+def materialize(df: DataFrame, name: str = "table") -> DataFrame:
+    """Write a table once to the shared folder and read it back, whatever its size.
 
-    The table is computed once with its lineage cut (:func:`materialize_counted`);
-    it is wrapped in a broadcast hint only when it holds at most ``max_rows``
-    rows, otherwise the planner falls back to a shuffle join.
+    Cuts the lineage; the files survive lost executors, and their sizes tell the
+    planner whether a side may be broadcast (``autoBroadcastJoinThreshold``).
     """
-    held, n, _ = materialize_counted(small)
-    return F.broadcast(held) if n <= max_rows else held
+    path = shared_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -2,13 +2,15 @@
 
 import numpy as np
 import pandas as pd
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tallyspark.functions.hashing import hash52
 from tallyspark.operators.orderstats import select_ranks
-from tallyspark.operators.quantiles import kth_values, long_values, quantiles
+from tallyspark.operators.quantiles import kth_values, long_values, order_key, quantiles
+from tallyspark.operators.profile import box_outliers, box_stats, histogram, summary_stats, violin_density
 from tallyspark.operators.ranking import early_stop
-from tallyspark.operators.split import kfold, stratified_split
+from tallyspark.operators.split import kfold, stratified_split, train_valid_test
 
 
 def _keyed(spark, n=997, skew=True):
@@ -18,17 +20,27 @@ def _keyed(spark, n=997, skew=True):
     return spark.createDataFrame(pdf)
 
 
-def test_select_ranks_bucket_path_equals_window(spark):
-    df = _keyed(spark).withColumn("_h", hash52("s", "id"))
+def test_select_ranks_by_any_division_equals_window(spark):
+    df = _keyed(spark).withColumn("y", F.when(F.col("y") == 1, 1)).withColumn("_h", hash52("s", "id"))   # a null group
 
     def wanted(g):
         return g.select("y", F.lit(0).alias("_tid"), F.floor(F.col("_n") / 3).cast("bigint").alias("_rank"))
 
-    fast = select_ranks(df, ["y"], wanted, h="_h", key="id", max_exact=10 ** 6)
-    slow = select_ranks(df, ["y"], wanted, h="_h", key="id", max_exact=5, bucket_bits=4)
-    a = sorted(tuple(r) for r in fast.collect())
-    b = sorted(tuple(r) for r in slow.collect())
-    assert a == b and len(a) == 2
+    w = Window.partitionBy("y").orderBy("_h", "id")
+    want = sorted(map(repr, df.withColumn("r", F.row_number().over(w)).withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("y")))
+                      .where("r = floor(n / 3)").select("y", "_h", "id").toLocalIterator()))
+    for bits, rows in ((12, 100_000), (3, 4), (1, 2)):   # buckets are divided again and again
+        got = select_ranks(df, ["y"], wanted, h="_h", key="id", bucket_bits=bits, bucket_rows=rows)
+        assert sorted(map(repr, got.select("y", F.col("_th").alias("_h"), F.col("_tk").alias("id")).toLocalIterator())) == want
+    assert len(want) == 2
+
+
+def test_null_label_is_a_class(spark):
+    df = _keyed(spark, 100).withColumn("y", F.when(F.col("y") == 1, 1))
+    got = {(r["y"], r["split"]): r["n"] for r in stratified_split(df, "y", "id", 0.2).groupBy("y", "split").agg(F.count(F.lit(1)).alias("n")).collect()}
+    assert got == {(None, "test"): 3, (None, "train"): 12, (1, "test"): 17, (1, "train"): 68}
+    parts = train_valid_test(df, "y", "id").groupBy("y", "split").count().collect()
+    assert {(r["y"], r["split"]) for r in parts} == {(y, s) for y in (None, 1) for s in ("train", "valid", "test")}
 
 
 def test_stratified_split_sizes_and_determinism(spark):
@@ -52,23 +64,54 @@ def test_kfold_fewer_rows_than_folds(spark):
     assert sorted(out["fold"]) == [0, 1, 2]
 
 
-def test_quantile_zoom_equals_numpy(spark):
+def test_order_key_orders_doubles(spark):
+    rng = np.random.default_rng(2)
+    xs = np.concatenate([rng.normal(size=500) * 10.0 ** rng.integers(-300, 300, 500), 2.0 ** np.arange(-1074, 1024, 7.0),
+                         np.nextafter(2.0 ** np.arange(-1000, 1000, 50.0), 0), [0.0, -0.0, 5e-324, 2.2250738585072014e-308, 1.7976931348623157e308,
+                                                                               float("inf"), float("-inf"), 1.0, -1.0, 1e-320]])
+    xs = np.unique(np.concatenate([xs, -xs]))
+    df = spark.createDataFrame(pd.DataFrame({"i": np.arange(len(xs)), "x": xs}))
+    keys = [r["k"] for r in df.select("i", order_key(F.col("x")).alias("k")).orderBy("i").collect()]
+    assert keys == sorted(keys) and len(set(keys)) == len(np.unique(xs + 0.0))
+
+
+def test_quantiles_equal_numpy(spark):
     rng = np.random.default_rng(1)
-    vals = np.concatenate([rng.exponential(10, 3000), np.full(1500, 7.25)])  # a hot value
-    pdf = pd.DataFrame({"g": np.where(np.arange(len(vals)) % 3 == 0, "a", "b"), "x": vals})
-    df = spark.createDataFrame(pdf)
+    vals = np.concatenate([rng.exponential(10, 3000) - 5, np.full(1500, 7.25), [1e300, -1e300, 0.0]])  # a hot value
+    g = np.where(np.arange(len(vals)) % 3 == 0, "a", None)   # a null group
+    df = spark.createDataFrame([(x, float(v)) for x, v in zip(g, vals)], "g string, x double")
     probs = [0.0, 0.1, 0.25, 0.5, 0.75, 0.99, 1.0]
-    got = quantiles(df, ["x"], probs, by=["g"], n_buckets=8, max_exact=50).toPandas()
-    for (g, p), row in got.set_index(["g", "p"]).iterrows():
-        want = np.quantile(pdf.loc[pdf.g == g, "x"], p)
-        assert abs(row["value"] - want) < 1e-9, (g, p, row["value"], want)
+    got = quantiles(df, ["x"], probs, by=["g"]).collect()
+    assert len(got) == 2 * len(probs)
+    for r in got:
+        want = np.quantile(vals[g == r["g"]] if r["g"] else vals[g != "a"], r["p"])
+        assert abs(r["value"] - want) <= 1e-9 * max(1, abs(want)), (r, want)
+
+
+def test_infinity_is_a_value(spark):
+    df = spark.createDataFrame([(float(i),) for i in range(40)] + [(float("inf"),), (float("nan"),), (None,)], "x double")
+    s = summary_stats(df, ["x"]).first()
+    assert (s["count"], s["p50"], s["max"]) == (41, 20.0, float("inf"))
+    assert quantiles(df, ["x"], [1.0]).first()["value"] == float("inf")
+    b = box_stats(df, "x").first()
+    assert (b["median"], b["n_outliers"], b["whisker_high"]) == (20.0, 1, 39.0)
+
+
+def test_null_classes_are_kept(spark):
+    df = spark.createDataFrame([(None if i % 2 else "a", float(i)) for i in range(40)], "g string, x double")
+    h = {(r["g"], r["bin"]): r["count"] for r in histogram(df, "x", 2, by=["g"]).collect()}
+    assert h == {("a", 1): 10, ("a", 2): 10, (None, 1): 10, (None, 2): 10}
+    assert {r["g"]: r["n"] for r in box_stats(df, "x", by=["g"]).collect()} == {"a": 20, None: 20}
+    v = violin_density(df, "x", by=["g"], n_points=5).collect()
+    assert sorted((str(r["g"]), r["point"]) for r in v) == sorted((g, p) for g in ("a", "None") for p in range(5))
+    assert {r["g"] for r in summary_stats(df, ["x"], by=["g"]).collect()} == {"a", None}
+    assert box_outliers(df.union(spark.createDataFrame([(None, 1e6)], df.schema)), "x", by=["g"]).first()["g"] is None
 
 
-def test_kth_values_constant_bracket(spark):
-    df = spark.createDataFrame(pd.DataFrame({"x": [5.0] * 100}))
-    long = long_values(df, ["x"])
-    t = spark.createDataFrame([("x", 0, 50, 5.0, 5.0, 100)], "column_name string, _tid int, _rank long, lo double, hi double, _n long")
-    assert kth_values(long, ["column_name"], t, n_buckets=4, max_exact=1).first()["_value"] == 5.0
+def test_kth_values_of_one_value(spark):
+    long = long_values(spark.createDataFrame(pd.DataFrame({"x": [5.0] * 100})), ["x"])
+    got = kth_values(long, ["column_name"], lambda n: n.select("column_name", F.lit(0).alias("_tid"), F.lit(50).cast("bigint").alias("_rank")))
+    assert got.first()["_value"] == 5.0
 
 
 def _brute_early_stop(losses, patience):
@@ -90,9 +133,10 @@ def test_early_stop_chunked_equals_loop(spark):
         rows += [(run, int(r), float(l)) for r, l in zip(rounds, loss)]
     rows.append(("flat", 0, 1.0))
     rows += [("flat", i, 1.0) for i in range(1, 60)]
+    rows += [(None, i, float(i)) for i in range(45)]   # a run without a name stops too
     df = spark.createDataFrame(rows, "run_id string, round long, loss double")
     got = {r["run_id"]: r for r in early_stop(df, patience=40, chunk=16).collect()}
-    for run in ("a", "b", "c", "flat"):
+    for run in ("a", "b", "c", "flat", None):
         seq = sorted((r, l) for k, r, l in rows if k == run)
         br, bl, stop = _brute_early_stop(seq, 40)
         if stop is None:
@@ -106,7 +150,7 @@ def test_rank_within_spans_partitions(spark):
     from pyspark.sql import Window
     from tallyspark.operators.ranking import rank_within
     rng = np.random.default_rng(5)
-    n = 12000  # above the local-table limit: the checkpoint path is used
+    n = 12000
     pdf = pd.DataFrame({"m": np.where(np.arange(n) % 10 == 0, "b", "hot"), "v": np.arange(n),
                         "s": np.round(rng.random(n), 2)})
     df = spark.createDataFrame(pdf)
