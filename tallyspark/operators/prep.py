@@ -53,8 +53,9 @@ def typed_features(df: DataFrame, target: str, key: str | None = None,
     df = numeric_to_double(df, exclude=keep + [target])
     feats = [c for c in df.columns if c not in keep + [target]]
     tgt = q(target).cast("int")
-    checked = F.when(tgt.isNull(), F.raise_error(F.lit(f"null target in {target}"))).otherwise(tgt)
-    return df.select(*[q(c) for c in keep + feats], checked.alias(target))
+    # As a filter the check also runs where the target isn't selected.
+    bad = F.when(tgt.isNull(), F.raise_error(F.lit(f"null target in {target}")).isNull()).otherwise(F.lit(True))
+    return df.filter(bad).select(*[q(c) for c in keep + feats], tgt.alias(target))
 
 
 def split_features_target(df: DataFrame, target: str) -> tuple[DataFrame, DataFrame]:
@@ -159,13 +160,3 @@ def mean_impute(df: DataFrame, cols: Sequence[str], suffix: str = "") -> DataFra
     for i, c in enumerate(cols):
         joined = joined.withColumn(c + suffix, F.coalesce(q(c), F.col(f"_m{i}")))
     return joined.drop(*[f"_m{i}" for i in range(len(cols))])
-
-
-def fit_mean_imputer(df: DataFrame, cols: Sequence[str]) -> dict[str, float]:
-    """A2 fit/transform form: the means as a small dict (one row to the driver)."""
-    row = df.agg(*[F.avg(q(c)).alias(c) for c in cols]).first()
-    return {c: row[c] for c in cols}
-
-
-def apply_imputer(df: DataFrame, means: Mapping[str, float]) -> DataFrame:
-    return df.fillna({c: float(v) for c, v in means.items() if v is not None})

@@ -25,9 +25,12 @@ ROUND = 6
 
 def order_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(o_orderkey, price [nullable], prio, label) from orders."""
-    o = table(spark, sf_dir, "orders")
+    return _order_features(table(spark, sf_dir, "orders"))
+
+
+def _order_features(o: DataFrame, *carry: str) -> DataFrame:
     return o.select(
-        "o_orderkey",
+        "o_orderkey", *carry,
         F.when(F.col("o_orderkey") % 10 == 0, F.lit(None).cast("double"))
          .otherwise(F.col("o_totalprice")).alias("price"),
         F.substring("o_orderpriority", 1, 1).cast("double").alias("prio"),
@@ -35,9 +38,9 @@ def order_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def imputed_order_features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """order_features with price mean-imputed (A2) and scaled."""
-    f = mean_impute(order_features(spark, sf_dir), ["price"])
+def imputed_order_features(spark: SparkSession, sf_dir: str, *carry: str) -> DataFrame:
+    """order_features (and ``carry`` columns of orders) with price mean-imputed (A2) and scaled."""
+    f = mean_impute(_order_features(table(spark, sf_dir, "orders"), *carry), ["price"])
     return f.withColumn("price_scaled", F.col("price") / F.lit(PRICE_SCALE))
 
 
@@ -89,7 +92,8 @@ SEARCH_SPACE = {
     "reg_lambda": ("loguniform", -6, -1),
     "min_child_weight": ("loguniform", -1, 3),
 }
-MAX_TREE_DEPTH = 30  # deepest tree MLlib accepts
+# Our own limits, those of the learner: draws beyond are drawn anew inside (see trial_params).
+MAX_TREE_DEPTH = 30
 
 
 def draw_params(df: DataFrame, key: str, seed: str = SPLIT_SEED) -> DataFrame:
@@ -106,6 +110,15 @@ def draw_params(df: DataFrame, key: str, seed: str = SPLIT_SEED) -> DataFrame:
     return out
 
 
+def trial_params(df: DataFrame, key: str, seed: str = SPLIT_SEED) -> DataFrame:
+    """M4 for the learner at hand: the same draws, with the depth drawn up to ``MAX_TREE_DEPTH``."""
+    from tallyspark.functions.hashing import uniform
+    from tallyspark.functions.scalar import quniform
+    low = SEARCH_SPACE["max_depth"][1]
+    depth = quniform(uniform(f"{seed}:max_depth", key), low, MAX_TREE_DEPTH, 1).cast("int")
+    return draw_params(df, key, seed).withColumn("max_depth", depth)
+
+
 # The literal logistic model applied to event values.
 EVENT_MODEL = {"intercept": -1.0, "value": 0.01}
 
@@ -115,11 +128,22 @@ def score_events(df: DataFrame) -> DataFrame:
     return score_linear(df, {"value": EVENT_MODEL["value"]}, EVENT_MODEL["intercept"])
 
 
+def requests(events: DataFrame) -> DataFrame:
+    """Scoring requests from events, as texts, with every kind of fault at fixed places: a missing field, a text in
+    a number's place, a negative number and an unknown model."""
+    n, k = F.col("event_id"), F.get_json_object("props", "$.k")
+    return events.select(
+        "event_id", "ts",
+        F.when(n % 17 == 0, F.lit(None)).when(n % 19 == 0, F.lit("abc")).otherwise(k).alias("k"),
+        F.when(n % 23 == 0, -F.col("value")).otherwise(F.col("value")).alias("value"), "user_id",
+        F.when(n % 29 == 0, F.lit("no such model")).when(n % 31 == 0, F.lit(None)).otherwise(F.col("event_type")).alias("event_type"))
+
+
 def write_prediction_log(spark: SparkSession, sf_dir: str) -> str:
     """Score every event and append {prediction, player, timestamp} records
     to a fresh table in the shared folder; returns its path."""
     from tallyspark.session import shared_path
     from tallyspark.sources.files import append_events, prediction_events
     scored = score_events(table(spark, sf_dir, "events"))
-    events = prediction_events(scored, "prediction", ["user_id", "event_type", "value"], ts="ts")
+    events = prediction_events(scored, "prediction", ["event_id", "user_id", "event_type", "value"], ts="ts")
     return append_events(events, shared_path(spark, "prediction-log"))

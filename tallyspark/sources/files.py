@@ -91,7 +91,7 @@ def append_events(events: DataFrame, path: str) -> str:
 
 def read_events(spark: SparkSession, path: str, n: int | None = 10,
                 order: Sequence[str] = ("timestamp",)) -> DataFrame:
-    """Stored events, first ``n`` by ``order`` (a top-n, not a full sort)."""
+    """Stored events, first ``n`` by ``order`` (a top-n, not a full sort); a stable answer needs a total order."""
     df = spark.read.parquet(path)
     return df.orderBy(*order).limit(n) if n else df
 

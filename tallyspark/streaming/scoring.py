@@ -2,8 +2,9 @@
 
 The same column functions as the batch path are applied to a stream:
 validate -> score -> message -> prediction event; ``foreachBatch`` writes the
-accepted events and the rejected requests to two append-only Parquet tables
-(file sinks commit per batch id, so a restarted query does not duplicate).
+accepted events and the rejected requests to two Parquet tables, each batch to a
+folder of its own that is overwritten: a batch that is tried again after a
+failure replaces what it wrote before, so no row is there twice.
 Monitoring is a watermarked event-time window aggregate in append mode:
 windows are emitted once closed; rows later than the watermark are dropped.
 """
@@ -23,14 +24,17 @@ def score_stream(stream: DataFrame, prepare: Callable[[DataFrame], DataFrame],
                  accepted_path: str, rejected_path: str, checkpoint: str,
                  available_now: bool = True) -> StreamingQuery:
     """ST1: ``prepare`` maps a (micro-)batch to rows with ``errors`` (array)
-    plus the output columns; rows without errors go to ``accepted_path``."""
+    plus the output columns; rows without errors go to ``accepted_path``. Both
+    tables have the batch's number as the partition column ``batch_id``."""
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         out = prepare(batch).persist()
-        ok = F.size("errors") == 0
-        out.filter(ok).drop("errors").write.mode("append").parquet(accepted_path)
-        out.filter(~ok).write.mode("append").parquet(rejected_path)
-        out.unpersist()
+        try:
+            ok = F.size("errors") == 0
+            for path, rows in ((accepted_path, out.filter(ok).drop("errors")), (rejected_path, out.filter(~ok))):
+                rows.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        finally:
+            out.unpersist()
 
     w = stream.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="10 seconds")
