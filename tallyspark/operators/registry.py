@@ -8,12 +8,12 @@ never need locks and history is kept. Top-1 choices use ``max_by`` /
 
 from __future__ import annotations
 
-from collections.abc import Mapping
-
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tallyspark.session import materialize
+
 RUNS_SCHEMA = T.StructType([
     T.StructField("run_id", T.StringType(), False),
     T.StructField("experiment", T.StringType(), True),
@@ -21,7 +21,7 @@ RUNS_SCHEMA = T.StructType([
     T.StructField("metrics", T.MapType(T.StringType(), T.DoubleType()), True),
     T.StructField("tags", T.MapType(T.StringType(), T.StringType()), True),
 ])
-VERSIONS_SCHEMA = "model_name string, version int, uri string"
+VERSIONS_SCHEMA = "model_name string, version int, uri string, run_id string"
 STAGE_EVENTS_SCHEMA = "model_name string, version int, stage string, ts timestamp, seq bigint"
 
 
@@ -46,12 +46,13 @@ def next_versions(versions: DataFrame, model_col: str = "model_name", version_co
         (F.coalesce(F.max(version_col), F.lit(0)) + 1).cast("int").alias("next_version"))
 
 
-def register_version(spark: SparkSession, versions: DataFrame, model_name: str, uri: str) -> DataFrame:
+def register_version(spark: SparkSession, versions: DataFrame, model_name: str, uri: str,
+                     run_id: str | None = None) -> DataFrame:
     """R2: the row to append for a new version of ``model_name`` (single writer)."""
     nxt = next_versions(versions.filter(F.col("model_name") == model_name))
-    new = spark.createDataFrame([(model_name, uri)], "model_name string, uri string")
+    new = spark.createDataFrame([(model_name, uri, run_id)], "model_name string, uri string, run_id string")
     return (new.join(nxt, on="model_name", how="left")
-               .select("model_name", F.coalesce("next_version", F.lit(1)).cast("int").alias("version"), "uri"))
+               .select("model_name", F.coalesce("next_version", F.lit(1)).cast("int").alias("version"), "uri", "run_id"))
 
 
 def current_stage(events: DataFrame, model_col: str = "model_name", version_col: str = "version",
@@ -64,13 +65,24 @@ def current_stage(events: DataFrame, model_col: str = "model_name", version_col:
                           F.col("_l.seq").alias("last_seq")))
 
 
-def promote(spark: SparkSession, model_name: str, version: int | None, stage: str = "Production"):
-    """The stage event to append; None (a no-op) when there is no version."""
+def promote(spark: SparkSession, model_name: str, version: int | None, stage: str = "Production",
+            events: DataFrame | None = None):
+    """The stage event to append (``STAGE_EVENTS_SCHEMA``); None (a no-op) when there is no version.
+
+    ``seq`` follows the highest one of ``events``, so it orders changes within the same instant.
+    """
     if version is None:
         return None
-    return spark.createDataFrame([(model_name, int(version), stage)],
-                                 "model_name string, version int, stage string").withColumn(
-        "ts", F.current_timestamp())
+    row = spark.createDataFrame([(model_name, int(version), stage)], "model_name string, version int, stage string")
+    last = (events.agg(F.max("seq").alias("_last")) if events is not None
+            else spark.createDataFrame([(None,)], "_last bigint"))
+    return row.crossJoin(F.broadcast(last)).select(
+        "model_name", "version", "stage", F.current_timestamp().alias("ts"), (F.coalesce("_last", F.lit(0)) + 1).cast("bigint").alias("seq"))
+
+
+def list_experiments(runs: DataFrame) -> DataFrame:
+    """Experiments with their number of runs."""
+    return runs.groupBy("experiment").agg(F.count(F.lit(1)).alias("n_runs"))
 
 
 def list_models(versions: DataFrame, model_col: str = "model_name", version_col: str = "version") -> DataFrame:
@@ -96,6 +108,11 @@ def version_lookup(versions: DataFrame, model_name: str, version: int) -> DataFr
     return versions.filter((F.col("model_name") == model_name) & (F.col("version") == version))
 
 
+def versions_of_run(versions: DataFrame, run_id: str) -> DataFrame:
+    """the versions registered from one run."""
+    return versions.filter(F.col("run_id") == run_id)
+
+
 def leaderboard(metrics: DataFrame, metric: str, model_col: str = "model_name",
                 version_col: str = "model_version") -> DataFrame:
     """O2: versions ranked by ``metric`` descending (ties: lower version first).
@@ -124,15 +141,10 @@ def gap_free_versions(versions: DataFrame, model_col: str = "model_name",
     The first gap is the smallest candidate (1 or v + 1) not present: an
     anti-join and a min aggregate, no per-model ordering.
     """
-    v = versions.select(model_col, F.col(version_col).cast("int").alias(version_col)).distinct()
+    v = materialize(versions.select(model_col, F.col(version_col).cast("int").alias(version_col)).distinct(), "versions")
     cand = (v.select(model_col, (F.col(version_col) + 1).alias(version_col))
              .unionByName(v.select(model_col).distinct().withColumn(version_col, F.lit(1))))
     gaps = cand.join(v, on=[model_col, version_col], how="left_anti")
     first_gap = gaps.groupBy(model_col).agg(F.min(version_col).alias("_gap"))
     return (v.join(first_gap, on=model_col)
              .filter(F.col(version_col) < F.col("_gap")).drop("_gap"))
-
-
-def metric_columns(spark: SparkSession, rows: list[Mapping]) -> DataFrame:
-    """List of metric dicts -> table."""
-    return spark.createDataFrame([dict(r) for r in rows])

@@ -32,16 +32,22 @@ def score_versions(df: DataFrame, coef_table: DataFrame, features: list[str],
     """Every model version scored on the same rows.
 
     ``coef_table`` holds one row per (model_name, version) with ``intercept``
-    and one coefficient column per feature (``w_<feature>``). The version table
-    is small by nature (checked by the caller with ``bounded_broadcast``), so the
-    rows are expanded by a broadcast nested-loop join without shuffling them.
+    and one coefficient column per feature (``w_<feature>``). All versions
+    travel as one array in one row, so each scored row meets them in place: the
+    rows are neither shuffled nor joined with a table, and metrics per version
+    are summed in the same stage.
     """
-    joined = df.crossJoin(coef_table)
-    z = F.col("intercept")
-    for f in features:
-        z = z + F.col(f"w_{f}") * q(f)
-    scored = joined.withColumn(prob, sigmoid(z)).withColumn(pred, half_even_int(prob))
-    return scored.drop("intercept", *[f"w_{f}" for f in features])
+    one = coef_table.agg(F.collect_list(F.struct("model_name", "version", "intercept", *[f"w_{f}" for f in features])).alias("_versions"))
+
+    def scored(v: Column) -> Column:
+        z = v["intercept"]
+        for f in features:
+            z = z + v[f"w_{f}"] * q(f)
+        return F.struct(v["model_name"].alias("model_name"), v["version"].alias("version"), sigmoid(z).alias(prob))
+
+    rows = df.crossJoin(F.broadcast(one))   # a single row
+    out = rows.select(*[q(c) for c in df.columns], F.inline(F.transform("_versions", scored)))
+    return out.withColumn(pred, half_even_int(prob))
 
 
 def prob_of_positive(df: DataFrame, prob_vec: str = "probability", out: str = "prob") -> DataFrame:

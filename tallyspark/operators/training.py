@@ -9,12 +9,12 @@ draws) rather than a sequential solver.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import SparkContext
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
+from pyspark.ml.classification import GBTClassificationModel, GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -52,29 +52,25 @@ def fit_logistic(df: DataFrame, features: Sequence[str], label: str, reg: float
     return Pipeline(stages=[assembler(features), lr]).fit(df)
 
 
-def logistic_cv(df: DataFrame, features: Sequence[str], label: str, metric: str = "f1",
+def logistic_cv(df: DataFrame, features: Sequence[str], label: str, key: str, metric: str = "f1",
                 penalty: str = "l2", cs: Sequence[float] | None = None, folds: int = 10,
-                key: str | None = None, seed: str = "42", parallelism: int = 4,
-                max_iter: int = 50) -> tuple[PipelineModel, DataFrame]:
+                seed: str = "42", parallelism: int = 4, max_iter: int = 100) -> tuple[PipelineModel, DataFrame]:
     """ML2: logistic regression with cross-validated inverse strength C.
 
     Features are min-max scaled first (ML1). C maps to MLlib's
-    ``regParam = 1 / (C * n)``. Folds are the exact-size hash folds (SP3); the
+    ``regParam = 1 / (C * n)`` with n the rows of the fit. Folds are the exact-size hash folds (SP3); the
     score per C is the mean fold metric (A17). Returns the refit model and the
     (C, score) table."""
     from tallyspark.operators.split import kfold
     cs = list(cs or [10.0 ** e for e in range(-5, 6)])
-    scaled = minmax_scale(df, features, suffix="")
-    if key is None:
-        scaled = scaled.withColumn("_rowkey", F.monotonically_increasing_id())
-        key = "_rowkey"
-    folded = materialize(kfold(scaled, key, k=folds, seed=seed))
-    n = folded.count()
+    folded = materialize(kfold(minmax_scale(df, features, suffix=""), key, k=folds, seed=seed), "folds")
+    sizes = {r["fold"]: r["n"] for r in folded.groupBy("fold").agg(F.count(F.lit(1)).alias("n")).collect()}
+    n = sum(sizes.values())
 
     def score(c: float) -> tuple[float, float]:
-        reg = 1.0 / (c * n)
         rows = []
-        for f in range(folds):
+        for f in sizes:
+            reg = 1.0 / (c * max(n - sizes[f], 1))   # of the rows that this fit sees
             model = fit_logistic(folded.filter(F.col("fold") != f), features, label, reg,
                                  penalty == "l1", max_iter)
             pred = (model.transform(folded.filter(F.col("fold") == f))
@@ -98,7 +94,7 @@ def coefficient_table(spark: SparkSession, model: PipelineModel, features: Seque
 
 
 def tree_importance(df: DataFrame, features: Sequence[str], label: str, kind: str = "rf",
-                    seed: int = 42, num_trees: int = 100, max_iter: int = 20,
+                    seed: int = 42, num_trees: int = 100, max_iter: int = 100,
                     max_depth: int = 5) -> DataFrame:
     """ML4/ML5: random-forest or boosted-tree feature importances, ascending (O1)."""
     if kind == "rf":
@@ -117,10 +113,10 @@ def tree_importance(df: DataFrame, features: Sequence[str], label: str, kind: st
 
 
 def gbt_estimator(label: str, params: Mapping[str, float], rounds: int, seed: int = 42) -> GBTClassifier:
-    depth = int(min(max(int(params.get("max_depth", 5)), 1), 30))
+    # Parameters outside what the learner takes are its error, not silently others.
     return GBTClassifier(featuresCol="features", labelCol=label, maxIter=rounds,
-                         stepSize=float(min(params.get("learning_rate", 0.1), 1.0)),
-                         maxDepth=depth,
+                         stepSize=float(params.get("learning_rate", 0.1)),
+                         maxDepth=int(params.get("max_depth", 5)),
                          minInstancesPerNode=max(1, int(round(params.get("min_child_weight", 1.0)))),
                          seed=seed)
 
@@ -136,28 +132,59 @@ def round_losses(model: PipelineModel, valid: DataFrame) -> list[float]:
     return [v / 2.0 for v in gbt.evaluateEachIteration(feats)]
 
 
+def first_trees(model: PipelineModel, n: int) -> PipelineModel:
+    """The same boosted model with its first ``n`` trees only."""
+    gbt = model.stages[-1]
+    java, sc = gbt._java_obj, SparkContext._active_spark_context
+    trees = java.trees()
+    some = sc._gateway.new_array(sc._jvm.org.apache.spark.ml.regression.DecisionTreeRegressionModel, n)
+    weights = sc._gateway.new_array(sc._jvm.double, n)
+    for i in range(n):
+        some[i], weights[i] = trees[i], float(java.treeWeights()[i])
+    cut = sc._jvm.org.apache.spark.ml.classification.GBTClassificationModel(
+        java.uid(), some, weights, java.numFeatures(), java.numClasses())
+    out = GBTClassificationModel(java.copyValues(cut, sc._jvm.org.apache.spark.ml.param.ParamMap()))
+    return PipelineModel([*model.stages[:-1], out])
+
+
 def train_with_early_stop(train: DataFrame, valid: DataFrame, features: Sequence[str], label: str,
                           params: Mapping[str, float], rounds: int = 800, patience: int = 40,
                           seed: int = 42) -> tuple[PipelineModel, DataFrame]:
-    """ML6: fit ``rounds`` trees, measure validation loss per round, apply the
-    patience rule (O6) and refit with the best number of rounds.
+    """ML6: boosting that stops once ``patience`` rounds brought no better validation loss.
 
-    Returns the refit model and the per-round loss table
+    Rounds are fitted in growing blocks (2 * patience, then twice as many each
+    time; the same seed gives the same first trees), so at most twice the rounds
+    up to the stop are fitted. The model keeps its first ``best_round + 1`` trees.
+    Returns it and the loss curve up to the stop round
     (round, logloss, best_round, stop_round)."""
-    from tallyspark.operators.ranking import early_stop
-    model = Pipeline(stages=[assembler(features), gbt_estimator(label, params, rounds, seed)]).fit(train)
-    losses = round_losses(model, valid)
-    spark = train.sparkSession
-    tbl = spark.createDataFrame([(i, float(v)) for i, v in enumerate(losses)], "round int, logloss double")
-    stop = early_stop(tbl.withColumn("run_id", F.lit("fit")), "run_id", "round", "logloss",
-                      patience=patience).first()
-    best_rounds = int(stop["best_round"]) + 1
-    if best_rounds < rounds:
-        model = Pipeline(stages=[assembler(features),
-                                 gbt_estimator(label, params, best_rounds, seed)]).fit(train)
-    tbl = tbl.withColumn("best_round", F.lit(int(stop["best_round"]))).withColumn(
-        "stop_round", F.lit(stop["stop_round"]).cast("int"))
-    return model, tbl
+    train, valid = train.persist(), valid.persist()
+    try:
+        now = min(rounds, 2 * patience)
+        while True:
+            model = Pipeline(stages=[assembler(features), gbt_estimator(label, params, now, seed)]).fit(train)
+            losses = round_losses(model, valid)
+            best, stop = _stop_round(losses, patience)
+            if stop is not None or now >= rounds:
+                break
+            now = min(rounds, 2 * now)
+    finally:
+        train.unpersist()
+        valid.unpersist()
+    curve = losses if stop is None else losses[:stop + 1]
+    tbl = train.sparkSession.createDataFrame([(i, float(v), best, stop) for i, v in enumerate(curve)],
+                                             "round int, logloss double, best_round int, stop_round int")
+    return first_trees(model, best + 1), tbl
+
+
+def _stop_round(losses: Sequence[float], patience: int) -> tuple[int, int | None]:
+    """Best round so far, and the first round that came ``patience`` rounds after it (None: none did)."""
+    best = 0
+    for i, v in enumerate(losses):
+        if v < losses[best]:
+            best = i
+        if i - best >= patience:
+            return best, i
+    return best, None
 
 
 def train_final(train: DataFrame, features: Sequence[str], label: str, params: Mapping[str, float],
@@ -179,50 +206,40 @@ def evaluate(model: PipelineModel, df: DataFrame, label: str) -> DataFrame:
 
 
 def random_search(train: DataFrame, valid: DataFrame, features: Sequence[str], label: str,
-                  trials: DataFrame, metric: str = "f1", rounds: int = 50, patience: int = 10,
+                  trials: Sequence[Mapping], metric: str = "f1", rounds: int = 800, patience: int = 40,
                   parallelism: int = 4, seed: int = 42) -> DataFrame:
-    """ML8: evaluate every trial row (parameters drawn by M4) on the validation
+    """ML8: evaluate every trial (parameters drawn by M4, one dict each) on the validation
     table; loss = 1 - metric (A20). Returns one row per trial."""
-    rows = [r.asDict() for r in trials.collect()]  # the trial table: one row per trial
+    name = {"f1_score": "f1"}.get(metric, metric)
 
-    def run(p: dict) -> dict:
+    def run(p: Mapping) -> dict:
         model, curve = train_with_early_stop(train, valid, features, label, p, rounds, patience, seed)
         m = evaluate(model, valid, label).first().asDict()
-        name = {"f1_score": "f1"}.get(metric, metric)
-        out = dict(p)
-        out.update({k: float(m[k]) for k in M.METRICS})
-        out["loss"] = 1.0 - float(m[name])
-        out["best_round"] = int(curve.first()["best_round"])
-        return out
+        return {**p, **{k: float(m[k]) for k in M.METRICS}, "loss": 1.0 - float(m[name]),
+                "best_round": int(curve.first()["best_round"])}
 
     with ThreadPoolExecutor(max_workers=parallelism) as pool:
-        results = list(pool.map(run, rows))
+        results = list(pool.map(run, trials))
     return train.sparkSession.createDataFrame(results)
 
 
-def cv_search(df: DataFrame, features: Sequence[str], label: str, key: str, trials: DataFrame,
-              k: int = 5, metric: str = "f1", rounds: int = 20, seed: str = "42",
+def cv_search(df: DataFrame, features: Sequence[str], label: str, key: str, trials: Sequence[Mapping],
+              k: int = 5, metric: str = "f1", rounds: int = 1000, patience: int = 50, seed: str = "42",
               parallelism: int = 4) -> DataFrame:
-    """ML9: k-fold search; each trial scored by the mean fold metric."""
+    """ML9: k-fold search with early stopping on each fold; a trial's score is the mean fold metric."""
     from tallyspark.operators.split import kfold
-    folded = materialize(kfold(df, key, k=k, seed=seed))
-    rows = [r.asDict() for r in trials.collect()]
+    folded = materialize(kfold(df, key, k=k, seed=seed), "folds")
     name = {"f1_score": "f1"}.get(metric, metric)
 
-    def run(p: dict) -> dict:
+    def run(p: Mapping) -> dict:
         vals = []
         for f in range(k):
-            model = train_final(folded.filter(F.col("fold") != f), features, label, p, rounds)
-            vals.append(evaluate(model, folded.filter(F.col("fold") == f), label).first()[name])
-        out = dict(p)
-        out[f"mean_{name}"] = float(sum(vals) / k)
-        out["loss"] = 1.0 - out[f"mean_{name}"]
-        return out
+            fold = folded.filter(F.col("fold") == f)
+            model, _ = train_with_early_stop(folded.filter(F.col("fold") != f), fold, features, label, p, rounds, patience)
+            vals.append(float(evaluate(model, fold, label).first()[name]))
+        mean = sum(vals) / k
+        return {**p, f"mean_{name}": mean, "loss": 1.0 - mean}
 
     with ThreadPoolExecutor(max_workers=parallelism) as pool:
-        results = list(pool.map(run, rows))
+        results = list(pool.map(run, trials))
     return df.sparkSession.createDataFrame(results)
-
-
-def logit_from_params(p: float) -> float:
-    return math.log(p / (1 - p))

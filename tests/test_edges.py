@@ -33,6 +33,11 @@ def test_typed_features_rejects_null_target(spark):
     assert dict(typed.dtypes)["GP"] == "double"
     with pytest.raises(Exception):
         typed.collect()
+    for unread in (typed.select("GP"), typed.groupBy().avg("GP")):   # the check holds where the target isn't read
+        with pytest.raises(Exception):
+            unread.collect()
+    with pytest.raises(Exception):
+        typed.count()
 
 
 def test_drop_variants(spark):
@@ -82,6 +87,9 @@ def test_register_and_stage(spark):
     assert RG.register_version(spark, v, "a", "u3").first()["version"] == 3
     assert RG.register_version(spark, v, "new", "u").first()["version"] == 1
     assert RG.promote(spark, "a", None) is None
+    first = RG.promote(spark, "a", 1)
+    assert first.columns == ["model_name", "version", "stage", "ts", "seq"] and first.first()["seq"] == 1
+    assert RG.promote(spark, "a", 2, "Staging", first).first()["seq"] == 2
 
 
 def test_negative_policies(spark):
@@ -134,3 +142,18 @@ def test_summary_with_column_names_with_symbols(spark):
     df = spark.createDataFrame([(1.0, None), (2.0, 3.0), (3.0, 5.0)], "`FG%` double, `3P Made` double")
     s = {r["column_name"]: r for r in summary_stats(df, ["FG%", "3P Made"]).collect()}
     assert s["FG%"]["p50"] == 2.0 and s["3P Made"]["count"] == 2 and s["3P Made"]["p25"] == 3.5
+
+
+def test_shared_folder_is_demanded_on_a_cluster():
+    from tallyspark.session import private_folder
+    for master in ("spark://host:7077", "yarn", "k8s://x", "local-cluster[2,1,1024]"):
+        with pytest.raises(RuntimeError):
+            private_folder(master)
+    assert private_folder("local[4]")
+
+
+def test_order_training_has_one_join(spark):
+    from tallyspark.plans.ml_queries import order_training
+    plan = order_training(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("orders.parquet") + plan.count("Relation [o_") <= 2 and plan.count("Join Inner, (o_custkey") == 1
+    assert "o_orderkey" not in "".join(x for x in plan.splitlines() if "Join Inner, (o_orderkey" in x)

@@ -74,3 +74,69 @@ def test_trial_draws_in_range(spark):
     assert t.learning_rate.between(0.0497, 1.0).all() and t.max_depth.between(4, 300).all()
     t2 = draw_params(spark.range(200).withColumnRenamed("id", "t"), "t").toPandas()
     assert t.equals(t2)
+
+
+def test_early_stopping_stops_and_keeps_first_trees(spark):
+    from tallyspark.plans.ml_queries import ORDER_FEATURES
+    df = _train_table(spark).withColumn("v", F.col("o_orderkey") % 3)
+    train, valid = df.where("v > 0"), df.where("v = 0")
+    params = {"max_depth": 4, "learning_rate": 0.5}
+    model, curve = TR.train_with_early_stop(train, valid, ORDER_FEATURES, "label", params, rounds=200, patience=5)
+    rows = curve.orderBy("round").collect()
+    best, stop = rows[0]["best_round"], rows[0]["stop_round"]
+    assert stop == best + 5 and rows[-1]["round"] == stop   # the curve ends there
+    assert min(range(len(rows)), key=lambda i: rows[i]["logloss"]) == best
+    same = TR.train_final(train, ORDER_FEATURES, "label", params, rounds=best + 1)
+    a = {r["o_orderkey"]: r["prob"] for r in TR.predict(model, valid).collect()}
+    b = {r["o_orderkey"]: r["prob"] for r in TR.predict(same, valid).collect()}
+    assert model.stages[-1].getNumTrees == best + 1 and a.keys() == b.keys() and all(abs(a[k] - b[k]) < 1e-9 for k in a)
+
+
+def test_models_are_saved_found_and_loaded(spark):
+    from tallyspark.operators.models import ModelRegistry
+    from tallyspark.plans.ml_queries import ORDER_FEATURES
+    df = _train_table(spark)
+    reg = ModelRegistry(spark, tempfile.mkdtemp(prefix="ts-reg-"))
+    models = [TR.fit_logistic(df, ORDER_FEATURES, "label", reg=x) for x in (0.0, 1.0)]
+    reg.add_runs([("r1", "orders", {"reg": "0"}, {"f1": 0.5}, {}), ("r2", "orders", {"reg": "1"}, {"f1": 0.4}, {})])
+    assert [reg.save(m, "orders", f"r{i + 1}") for i, m in enumerate(models)] == [1, 2]
+    reg.promote("orders", 2)
+    reg.promote("orders", 1, "Staging")
+    reg.promote("orders", None)
+    from tallyspark.operators.registry import list_experiments
+    assert [tuple(r) for r in list_experiments(reg.runs()).collect()] == [("orders", 2)]
+
+    def probs(m):
+        return sorted((r["o_orderkey"], round(r["prob"], 12)) for r in TR.predict(m, df).collect())
+
+    want = [probs(m) for m in models]
+    assert want[0] != want[1]
+    assert probs(reg.load("orders", stage="Production")) == want[1] and probs(reg.load("orders", stage="Staging")) == want[0]
+    assert probs(reg.load("orders", version=1)) == want[0] and probs(reg.load("orders", run_id="r2")) == want[1]
+    with pytest.raises(LookupError):
+        reg.load("orders", stage="Archived")
+
+
+def test_stream_batch_tried_again_leaves_no_duplicates(spark):
+    from tallyspark.streaming import scoring as ST
+    tmp = tempfile.mkdtemp(prefix="ts-stream-")
+    src = os.path.join(tmp, "in")
+    spark.range(1000).selectExpr("id", "CASE WHEN id % 10 = 0 THEN array('bad') ELSE array() END AS errors").write.parquet(src)
+    acc, rej, ckpt = (os.path.join(tmp, x) for x in ("acc", "rej", "ckpt"))
+    stream = spark.readStream.schema("id bigint, errors array<string>").parquet(src)
+    blocked = os.path.join(tmp, "blocked")
+    open(blocked, "w").close()   # a file where the rejected table should be: its write fails after the accepted one's
+    q = ST.score_stream(stream, lambda b: b, acc, blocked + "/x", ckpt)
+    with pytest.raises(Exception):
+        q.awaitTermination()
+    assert spark.read.parquet(acc).count() == 900
+    ST.score_stream(stream, lambda b: b, acc, rej, ckpt).awaitTermination()
+    assert spark.read.parquet(acc).count() == 900 and spark.read.parquet(rej).count() == 100
+
+
+def test_request_check_survives_any_input(spark):
+    from tallyspark.plans.features import requests
+    from tallyspark.plans.queries import _checked
+    ev = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    kinds = {e.split(": ")[1] for r in _checked(requests(ev), ev.selectExpr("event_type AS model_name")).collect() for e in r["errors"]}
+    assert kinds == {"missing", "not a number", "negative", "unknown"}
