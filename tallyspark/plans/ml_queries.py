@@ -3,8 +3,8 @@
 Models differ from the reference's learners by construction, so these have no
 SQL oracle; tests check invariants instead (importances sum to 1, scores in
 [0, 1], the best trial is the table minimum, fixed seeds repeat).
-Search budgets here are small so each query finishes in seconds; they are
-parameters of the operators, not limits of them.
+Folds, trees, rounds and patience are the full ones. The number of search trials
+is the exception (see README): a trial fits up to 30 levels deep.
 """
 
 from __future__ import annotations
@@ -18,9 +18,9 @@ from tallyspark.operators.ranking import argmin_by_group, sort_importance
 from tallyspark.operators.registry import best_version, gap_free_versions
 from tallyspark.operators.scoring import score_versions
 from tallyspark.operators.split import stratified_split, train_valid_test
-from tallyspark.plans.features import SPLIT_SEED, draw_params, imputed_order_features
+from tallyspark.plans.features import SPLIT_SEED, imputed_order_features, trial_params
 from tallyspark.plans.queries import r, register
-from tallyspark.session import bounded_broadcast, materialize
+from tallyspark.session import materialize
 from tallyspark.sources.tables import table
 
 ORDER_FEATURES = ["price_scaled", "prio", "acctbal", "nation"]
@@ -30,12 +30,11 @@ DOC_FEATURES = ["log_chars", "n_words_k", "is_en", "n_lines"]
 def order_training(spark: SparkSession, d: str) -> DataFrame:
     """Imputed order features joined with customer features (planner picks the
     join strategy from sizes; AQE may switch it at run time)."""
-    o = imputed_order_features(spark, d)
+    o = imputed_order_features(spark, d, "o_custkey")
     c = table(spark, d, "customer").select(
         F.col("c_custkey"), (F.col("c_acctbal") / 10000.0).alias("acctbal"),
         F.col("c_nationkey").cast("double").alias("nation"))
-    ok = table(spark, d, "orders").select("o_orderkey", "o_custkey")
-    return (o.join(ok, "o_orderkey").join(c, F.col("o_custkey") == F.col("c_custkey"))
+    return (o.join(c, F.col("o_custkey") == F.col("c_custkey"))
              .select("o_orderkey", *ORDER_FEATURES, "label"))
 
 
@@ -55,60 +54,78 @@ def doc_training(spark: SparkSession, d: str) -> DataFrame:
 def logit_importance(spark, d):
     df = order_training(spark, d)
     grid = [10.0 ** e for e in range(-5, 6)]  # M3: 11 log-spaced values
-    model, _ = TR.logistic_cv(df, ORDER_FEATURES, "label", metric="f1", penalty="l2", cs=grid,
-                              folds=3, key="o_orderkey", seed=SPLIT_SEED, max_iter=25)
+    model, _ = TR.logistic_cv(df, ORDER_FEATURES, "label", "o_orderkey", metric="f1", penalty="l2", cs=grid,
+                              folds=10, seed=SPLIT_SEED)
     return sort_importance(TR.coefficient_table(spark, model, ORDER_FEATURES))
 
 
 @register("rf_importance")
 def rf_importance(spark, d):
     return TR.tree_importance(order_training(spark, d), ORDER_FEATURES, "label", kind="rf",
-                              num_trees=20, max_depth=5)
+                              num_trees=100, max_depth=5)
 
 
 @register("gbt_importance")
 def gbt_importance(spark, d):
     return TR.tree_importance(order_training(spark, d), ORDER_FEATURES, "label", kind="gbt",
-                              max_iter=10, max_depth=3)
+                              max_iter=100, max_depth=5)
 
 
 @register("gbt_train_eval")
 def gbt_train_eval(spark, d):
-    parts = train_valid_test(order_training(spark, d), "label", "o_orderkey", seed=SPLIT_SEED)
-    parts = materialize(parts)
-    train, valid, test = (parts.filter(F.col("split") == s) for s in ("train", "valid", "test"))
+    train, valid, test = _parts(spark, d)
     params = {"max_depth": 3, "learning_rate": 0.3, "min_child_weight": 1.0}
-    model, curve = TR.train_with_early_stop(train, valid, ORDER_FEATURES, "label", params,
-                                            rounds=20, patience=5)
-    m = TR.evaluate(model, test, "label")
+    model, curve = TR.train_with_early_stop(train, valid, ORDER_FEATURES, "label", params, rounds=800, patience=40)
+    scored = materialize(TR.predict(model, test), "scored")
+    m = M.binary_metrics(scored, "label", "pred")
     best = curve.select("best_round", "stop_round").limit(1)
-    loss = M.log_loss(TR.predict(model, test), "label", "prob").select(r("logloss").alias("test_logloss"))
-    return m.crossJoin(best).crossJoin(loss)
+    loss = M.log_loss(scored, "label", "prob").select(r("logloss").alias("test_logloss"))
+    return m.crossJoin(F.broadcast(best)).crossJoin(F.broadcast(loss))
+
+
+def _parts(spark: SparkSession, d: str) -> list[DataFrame]:
+    """Train, valid and test table of the order data, each written once."""
+    parts = train_valid_test(order_training(spark, d), "label", "o_orderkey", seed=SPLIT_SEED)
+    whole = materialize(parts.repartition("split"), "parts")
+    return [whole.filter(F.col("split") == s).drop("split") for s in ("train", "valid", "test")]
+
+
+@register("part_sizes")
+def part_sizes(spark, d):
+    """Rows and class counts of the three parts that the learners get."""
+    parts = train_valid_test(order_training(spark, d).select("o_orderkey", "label"), "label", "o_orderkey", seed=SPLIT_SEED)
+    return parts.groupBy("split", "label").agg(F.count(F.lit(1)).alias("n"))
 
 
-def _trials(spark: SparkSession, n: int) -> DataFrame:
-    return draw_params(spark.range(n).withColumnRenamed("id", "trial_id"), "trial_id")
+@register("search_trials")
+def search_trials(spark, d):
+    """The search's trials as the learner gets them: one draw per run of the event table's user ids."""
+    users = table(spark, d, "events").select("user_id").distinct()
+    t = trial_params(users, "user_id")
+    return t.select("user_id", "max_depth", *[r(c).alias(c) for c in ("learning_rate", "reg_alpha", "reg_lambda", "min_child_weight")])
+
+
+def _trials(spark: SparkSession, n: int) -> list[dict]:
+    """``n`` parameter sets."""
+    return [x.asDict() for x in trial_params(spark.range(n).withColumnRenamed("id", "trial_id"), "trial_id").orderBy("trial_id").collect()]
+
+
+#: Trials of the registered searches; the operators take any number.
+SEARCH_TRIALS, CV_TRIALS = 4, 2
 
 
 @register("random_search")
 def random_search(spark, d):
-    parts = train_valid_test(order_training(spark, d), "label", "o_orderkey", seed=SPLIT_SEED)
-    parts = materialize(parts)
-    train, valid = parts.filter(F.col("split") == "train"), parts.filter(F.col("split") == "valid")
-    trials = _trials(spark, 4).withColumn("max_depth", F.least("max_depth", F.lit(4)))
-    res = TR.random_search(train, valid, ORDER_FEATURES, "label", trials, metric="f1",
-                           rounds=8, patience=3, parallelism=4)
-    best = argmin_by_group(res.withColumn("_g", F.lit(1)), ["_g"], "loss", "trial_id",
+    train, valid, _ = _parts(spark, d)
+    res = TR.random_search(train, valid, ORDER_FEATURES, "label", _trials(spark, SEARCH_TRIALS), metric="f1")
+    return argmin_by_group(res.withColumn("_g", F.lit(1)), ["_g"], "loss", "trial_id",
                            ["learning_rate", "max_depth"]).drop("_g")
-    return best
 
 
 @register("cv_search")
 def cv_search(spark, d):
-    df = order_training(spark, d)
-    trials = _trials(spark, 3).withColumn("max_depth", F.least("max_depth", F.lit(3)))
-    res = TR.cv_search(df, ORDER_FEATURES, "label", "o_orderkey", trials, k=3, metric="f1",
-                       rounds=5, parallelism=3)
+    res = TR.cv_search(order_training(spark, d), ORDER_FEATURES, "label", "o_orderkey", _trials(spark, CV_TRIALS), k=5, metric="f1",
+                       rounds=1000, patience=50)
     return res.select("trial_id", "max_depth", r("learning_rate").alias("learning_rate"),
                       r("mean_f1").alias("mean_f1"), r("loss").alias("loss"))
 
@@ -117,7 +134,7 @@ def cv_search(spark, d):
 def all_versions_eval(spark, d):
     """ML13: fit one version per regularization strength on the train split,
     keep the gap-free version prefix, score every version on the test split
-    (broadcast coefficient table), metrics per version, best by f1."""
+    (coefficients in one row), metrics per version, best by f1."""
     data = materialize(stratified_split(doc_training(spark, d), "label", "doc_id", 0.2, seed=SPLIT_SEED))
     train, test = data.filter(F.col("split") == "train"), data.filter(F.col("split") == "test")
     rows = []
@@ -128,7 +145,7 @@ def all_versions_eval(spark, d):
         f"w_{f} double" for f in DOC_FEATURES)
     versions = spark.createDataFrame(rows, schema)
     live = gap_free_versions(versions.select("model_name", "version"))
-    versions = bounded_broadcast(versions.join(live, ["model_name", "version"], "left_semi"), 10_000)
+    versions = versions.join(live, ["model_name", "version"], "left_semi")
     scored = score_versions(test, versions, DOC_FEATURES)
     mets = M.binary_metrics(scored, "label", "prediction", by=["model_name", "version"])
     best = best_version(mets.withColumnRenamed("version", "model_version"), "f1").select(

@@ -262,16 +262,23 @@ def _num_checks(f: str, expr: str) -> list[str]:
             f"CASE WHEN {num} < 0 THEN '{f}: negative' END"]
 
 
+REQ = """req0 AS (
+  SELECT event_id, ts, user_id,
+         CASE WHEN event_id % 17 = 0 THEN NULL WHEN event_id % 19 = 0 THEN 'abc' ELSE json_extract_string(props, '$.k') END AS k,
+         CASE WHEN event_id % 23 = 0 THEN -value ELSE value END AS value,
+         CASE WHEN event_id % 29 = 0 THEN 'no such model' WHEN event_id % 31 = 0 THEN NULL ELSE event_type END AS event_type
+  FROM events),
+known AS (SELECT DISTINCT event_type AS known FROM events WHERE value >= 100),
+req AS (SELECT r.*, known.known FROM req0 r LEFT JOIN known ON r.event_type = known.known)"""
 _req_checks = (_num_checks("k", "k") + _num_checks("value", "value") + _num_checks("user_id", "user_id")
                + ["CASE WHEN event_type IS NULL THEN 'event_type: missing' END",
                   "CASE WHEN event_type IS NOT NULL AND known IS NULL THEN 'event_type: unknown' END"])
+N_ERRORS = " + ".join(f"(CASE WHEN ({c}) IS NULL THEN 0 ELSE 1 END)" for c in _req_checks)
+ERRORS_TEXT = f"concat_ws('; ', {', '.join(_req_checks)})"
 ORACLE["request_validation"] = f"""
-WITH known AS (SELECT DISTINCT event_type AS known FROM events WHERE value >= 100),
-req AS (SELECT e.*, json_extract_string(props, '$.k') AS k, known.known
-        FROM events e LEFT JOIN known ON e.event_type = known.known)
-SELECT event_id, CAST(k AS DOUBLE) AS k, value AS "VALUE",
-       CAST({" + ".join(f"(CASE WHEN ({c}) IS NULL THEN 0 ELSE 1 END)" for c in _req_checks)} AS INTEGER) AS n_errors,
-       concat_ws('; ', {", ".join(_req_checks)}) AS errors_text
+WITH {REQ}
+SELECT event_id, TRY_CAST(k AS DOUBLE) AS k, value AS "VALUE",
+       CAST({N_ERRORS} AS INTEGER) AS n_errors, {ERRORS_TEXT} AS errors_text
 FROM req"""
 
 ORACLE["preference_map"] = """
@@ -329,8 +336,7 @@ cs AS (SELECT model_name, version, stage, seq AS last_seq FROM (
 ORACLE["leaderboard"] = f"""
 WITH {VM}
 SELECT model_name, model_version, f1,
-       CAST(row_number() OVER (PARTITION BY model_name ORDER BY f1 DESC NULLS LAST, model_version) AS INTEGER)
-         AS position
+       row_number() OVER (PARTITION BY model_name ORDER BY f1 DESC NULLS LAST, model_version) AS position
 FROM vm"""
 
 ORACLE["best_version"] = f"""
@@ -405,18 +411,21 @@ FROM ev GROUP BY 1, 2"""
 
 ORACLE["prediction_log_head"] = f"""
 WITH {EV}
-SELECT prediction, user_id, value FROM ev ORDER BY ts LIMIT 10"""
+SELECT prediction, user_id, value FROM ev ORDER BY ts, event_id LIMIT 10"""
 
 ORACLE["prediction_count"] = "SELECT count(*) AS n FROM events"
 
 ORACLE["stream_score"] = f"""
-WITH {EV}
-SELECT event_id, prediction,
-       CASE WHEN prediction = 1 THEN 'Good investment' ELSE 'Bad investment' END AS message
-FROM ev
-WHERE json_extract_string(props, '$.k') IS NOT NULL
-  AND TRY_CAST(json_extract_string(props, '$.k') AS DOUBLE) >= 0
-  AND value >= 0 AND user_id >= 0 AND event_type IS NOT NULL"""
+WITH {REQ},
+ev AS (SELECT *, CAST(round_even(1.0 / (1.0 + exp(-(-1.0 + 0.01 * value))), 0) AS INTEGER) AS prediction FROM req)
+SELECT event_id, event_type, prediction,
+       CASE WHEN prediction = 1 THEN 'Good investment' ELSE 'Bad investment' END AS message,
+       TRY_CAST(k AS DOUBLE) AS k, value, user_id, CAST(ts AS DATE) AS day
+FROM ev WHERE {N_ERRORS} = 0"""
+
+ORACLE["stream_rejected"] = f"""
+WITH {REQ}
+SELECT event_id, {ERRORS_TEXT} AS errors_text FROM req WHERE {N_ERRORS} > 0"""
 
 ORACLE["stream_monitor"] = f"""
 WITH {EV},
@@ -424,3 +433,56 @@ wm AS (SELECT max(ts) - INTERVAL 1 HOUR AS wm FROM events)
 SELECT CAST(date_trunc('day', ts) AS DATE) AS day, prediction, count(*) AS n_events,
        {R("avg(value)")} AS avg_value
 FROM ev, wm WHERE date_trunc('day', ts) + INTERVAL 1 DAY <= wm GROUP BY 1, 2"""
+
+
+# ---------------------------------------------------------------- S1-S5, P2, P3, P9, P10, P13-P15, A4, M2
+
+CSV = OF + """,
+file AS (SELECT o_orderkey, coalesce(price, 0.0) - 20000.0 AS price, prio, label FROM of)"""
+
+ORACLE["csv_typed_scan"] = f"WITH {CSV} SELECT o_orderkey, price, prio, label FROM file"
+
+ORACLE["batch_predict"] = f"""
+WITH {CSV}
+SELECT o_orderkey, price, prio, {R("1.0 / (1.0 + exp(-(-1.2 + 2.0 * (price / 500000.0) + 0.1 * prio)))")} AS predictions
+FROM file WHERE price >= 0 AND prio >= 0"""
+
+ORACLE["scatter_records"] = f"""
+WITH {OF}
+SELECT price AS x, prio AS y, CAST(trunc(price) AS INTEGER) AS size, CAST(label AS VARCHAR) AS label FROM of WHERE price IS NOT NULL"""
+
+ORACLE["record_head"] = f"""
+WITH {OF}
+SELECT o_orderkey, '{{"o_orderkey":' || o_orderkey || ',"prio":' || CAST(prio AS VARCHAR) || '}}' AS record, label
+FROM of ORDER BY o_orderkey LIMIT 20"""
+
+ORACLE["table_shape"] = """
+SELECT count(*) AS n_rows, 3 AS n_cols, 'features' AS part FROM orders
+UNION ALL SELECT count(*), 1, 'target' FROM orders"""
+
+
+# ---------------------------------------------------------------- ML12, ML13, J2, R1-R3, F4-F6; parts and trials of the learners
+
+ORACLE["promote_best"] = f"""
+WITH {SCORED},
+sp AS ({strat("imp", "label", "o_orderkey", "42")}),
+vs(version, a, b, c) AS (VALUES (1, -1.2, 2.0, 0.1), (2, -0.5, 1.0, 0.1), (3, -2.0, 3.0, 0.3), (5, 9.0, 0.0, 0.0)),
+p AS (SELECT version, label, CAST(round_even(1.0 / (1.0 + exp(-(a + b * (price_i / 500000.0) + c * prio))), 0) AS INTEGER) AS prediction
+      FROM sp, vs WHERE split = 'test'),
+k AS (SELECT 'orders' AS model_name, version, {confusion()} FROM p GROUP BY version),
+m AS (SELECT {RATES_SQL}, coalesce(2 * tp / nullif(2 * tp + fp + fn, 0), 0.0) AS f FROM k)
+SELECT * EXCLUDE (f), CASE WHEN version = (SELECT version FROM m WHERE version <= 3 ORDER BY f DESC, version LIMIT 1)
+                           THEN 'Production' END AS stage FROM m"""
+
+ORACLE["part_sizes"] = f"""
+WITH {OF},
+c AS (SELECT of.* FROM of JOIN orders USING (o_orderkey) JOIN customer ON o_custkey = c_custkey),
+s1 AS ({strat("(SELECT o_orderkey, label FROM c)", "label", "o_orderkey", "42", out="s1")}),
+s2 AS ({strat("(SELECT o_orderkey, label FROM s1 WHERE s1 = 'train')", "label", "o_orderkey", "42:valid", out="s2", test="valid")})
+SELECT 'test' AS split, label, count(*) AS n FROM s1 WHERE s1 = 'test' GROUP BY label
+UNION ALL SELECT s2, label, count(*) FROM s2 GROUP BY s2, label"""
+
+ORACLE["search_trials"] = f"""
+WITH t AS (SELECT user_id, {draws("user_id")} FROM (SELECT DISTINCT user_id FROM events))
+SELECT user_id, CAST(round_even(4.0 + 26.0 * {U("42:max_depth", "user_id")}, 0) AS INTEGER) AS max_depth, {R("learning_rate")} AS learning_rate,
+       {R("reg_alpha")} AS reg_alpha, {R("reg_lambda")} AS reg_lambda, {R("min_child_weight")} AS min_child_weight FROM t"""

@@ -234,7 +234,7 @@ def ols_trend(spark, d):
 
 from tallyspark.operators import validate as V  # noqa: E402
 from tallyspark.plans.features import (  # noqa: E402
-    draw_params, registered_versions, stage_events, version_metrics,
+    draw_params, registered_versions, requests, stage_events, version_metrics,
 )
 
 
@@ -253,15 +253,18 @@ def negative_file_check(spark, d):
 REQUEST_FIELDS = {"k": "K", "value": "VALUE", "user_id": "USER"}
 
 
+def _checked(df: DataFrame, known: DataFrame | None = None) -> DataFrame:
+    """Requests with their errors; faulty numbers are null, never an error of the job."""
+    names = known.select(F.col("model_name").alias("event_type")) if known is not None else None
+    out = V.request_errors(df, ["k", "value", "user_id"], ["event_type"], known=names, known_field="event_type")
+    return out.withColumn("k", F.col("k").try_cast("double"))
+
+
 @register("request_validation")
 def request_validation(spark, d):
-    e = table(spark, d, "events").withColumn("k", F.get_json_object("props", "$.k"))
-    known = registered_versions(spark, d)
-    checked = V.request_errors(e, ["k", "value", "user_id"], ["event_type"],
-                               known=known.withColumnRenamed("model_name", "event_type"),
-                               known_field="event_type")
+    checked = _checked(requests(table(spark, d, "events")), registered_versions(spark, d))
     mapped = P.map_columns(checked, REQUEST_FIELDS, keep=["event_id", "errors"])
-    return mapped.select("event_id", F.col("K").cast("double").alias("k"), "VALUE",
+    return mapped.select("event_id", F.col("K").alias("k"), "VALUE",
                          F.size("errors").alias("n_errors"),
                          F.concat_ws("; ", "errors").alias("errors_text"))
 
@@ -386,7 +389,7 @@ def prediction_log_daily(spark, d):
 
 @register("prediction_log_head")
 def prediction_log_head(spark, d):
-    head = FS.read_events(spark, write_prediction_log(spark, d), n=10)
+    head = FS.read_events(spark, write_prediction_log(spark, d), n=10, order=("timestamp", "player.event_id"))
     return head.select("prediction", F.col("player.user_id").alias("user_id"),
                        F.col("player.value").alias("value"))
 
@@ -404,21 +407,36 @@ def _event_stream(spark, d):
             .parquet(d.rstrip("/")))
 
 
-def _prepare_requests(batch: DataFrame) -> DataFrame:
-    b = batch.withColumn("k", F.get_json_object("props", "$.k"))
-    b = V.request_errors(b, ["k", "value", "user_id"], ["event_type"])
-    b = score_events(b)
-    return b.select("event_id", "prediction", outcome_message("prediction").alias("message"), "errors")
+def _prepare(known: DataFrame):
+    """A batch of requests as prediction events: checked, mapped to model columns, scored (P8, F3, ML10, S6)."""
+    def run(batch: DataFrame) -> DataFrame:
+        b = P.map_columns(score_events(_checked(requests(batch), known)), REQUEST_FIELDS,
+                          keep=["event_id", "event_type", "prediction", "ts", "errors"])
+        return b.select("event_id", "event_type", "prediction", outcome_message("prediction").alias("message"),
+                        F.struct("K", "VALUE", "USER").alias("player"), F.col("ts").alias("timestamp"), "errors")
+    return run
+
+
+def _scored_stream(spark, d) -> tuple[str, str]:
+    """Paths of the accepted and the rejected table of a run over all events."""
+    from tallyspark.session import materialize, shared_path
+    known = materialize(registered_versions(spark, d).select("model_name").distinct(), "known")
+    acc, rej = shared_path(spark, "scored"), shared_path(spark, "rejected")
+    ST.score_stream(_event_stream(spark, d), _prepare(known), acc, rej, shared_path(spark, "score-ckpt")).awaitTermination()
+    return acc, rej
 
 
 @register("stream_score")
 def stream_score(spark, d):
-    from tallyspark.session import shared_path
-    acc, rej = shared_path(spark, "scored"), shared_path(spark, "rejected")
-    q_ = ST.score_stream(_event_stream(spark, d), _prepare_requests, acc, rej,
-                         shared_path(spark, "score-ckpt"))
-    q_.awaitTermination()
-    return spark.read.parquet(acc)
+    got = spark.read.parquet(_scored_stream(spark, d)[0])
+    return got.select("event_id", "event_type", "prediction", "message", F.col("player.K").alias("k"), F.col("player.VALUE").alias("value"),
+                      F.col("player.USER").alias("user_id"), F.to_date("timestamp").alias("day"))
+
+
+@register("stream_rejected")
+def stream_rejected(spark, d):
+    got = spark.read.parquet(_scored_stream(spark, d)[1])
+    return got.select("event_id", F.concat_ws("; ", "errors").alias("errors_text"))
 
 
 @register("stream_monitor")
@@ -428,3 +446,101 @@ def stream_monitor(spark, d):
     res = spark.read.parquet(out)
     return res.select(F.to_date(F.col("w.start")).alias("day"), "prediction", "n_events",
                       r("avg_value").alias("avg_value"))
+
+
+# ---------------------------------------------------------------- S1-S5, P2, P3, P9, P10, P13-P15, A4, M2
+
+from tallyspark.functions.scalar import truncate_int  # noqa: E402
+from tallyspark.operators.scoring import score_linear, score_versions  # noqa: E402
+
+PLAYER_SCHEMA = "Name string, o_orderkey bigint, price double, prio bigint, label int"
+
+
+def _order_file(spark, d) -> str:
+    """Order features with a name column as a headed CSV in the shared folder; prices below zero come in."""
+    from tallyspark.session import shared_path
+    o = order_features(spark, d).select(F.concat(F.lit("order "), F.col("o_orderkey").cast("string")).alias("Name"), "o_orderkey",
+                                        (F.coalesce("price", F.lit(0.0)) - 20000.0).alias("price"), F.col("prio").cast("bigint").alias("prio"), "label")
+    return FS.write_table(o, shared_path(spark, "orders-csv"), fmt="csv")
+
+
+@register("csv_typed_scan")
+def csv_typed_scan(spark, d):
+    """The first location that exists, typed; the target's fall-back location is the written one."""
+    path = _order_file(spark, d)
+    return FS.read_first_available([path + "-missing", path],
+                                   lambda uri: FS.read_typed_csv(spark, uri, PLAYER_SCHEMA, "label", key="o_orderkey"))
+
+
+@register("batch_predict")
+def batch_predict(spark, d):
+    """S2 -> P1 -> P5 -> P2 -> F2 -> ML10 -> S5: a file of rows becomes a file of predictions, read back."""
+    from tallyspark.session import shared_path
+    rows = FS.read_csv(spark, _order_file(spark, d), PLAYER_SCHEMA)
+    rows = P.drop_strict(P.numeric_to_double(P.drop_if_present(rows, "Name"), exclude=["o_orderkey", "label"]), "label")
+    rows = V.apply_negative_policy(rows, "reject_rows", ["price", "prio"])
+    scored = score_linear(rows.withColumn("price_scaled", F.col("price") / 500000.0), {"price_scaled": 2.0, "prio": 0.1}, -1.2,
+                          prob="predictions", pred=None).drop("price_scaled")
+    path = FS.write_predictions(scored, shared_path(spark, "predictions"))
+    back = FS.read_csv(spark, path, "o_orderkey bigint, price double, prio double, predictions double")
+    return back.select("o_orderkey", "price", "prio", r("predictions").alias("predictions"))
+
+
+@register("scatter_records")
+def scatter_records(spark, d):
+    """Points of a plot with their record as text."""
+    o = P.label_as_string(order_features(spark, d).where("price IS NOT NULL"), "label", "class")
+    o = P.row_to_record(o, ["o_orderkey", "class"], as_json=True)
+    pts = P.scatter_data(o.select("o_orderkey", "price", "prio", "class", "record"), "price", "prio", size="price", label="class")
+    return pts.select("x", "y", truncate_int("size").alias("size"), "label")
+
+
+@register("record_head")
+def record_head(spark, d):
+    """The features of the first rows by key as records, beside their target."""
+    f = P.drop_strict(order_features(spark, d), "price")
+    top = P.row_to_record(P.head(f, "o_orderkey", 20), ["o_orderkey", "prio"], as_json=True)
+    _, target = P.split_features_target(top, "label")
+    return top.select("o_orderkey", "record", *target.columns)
+
+
+@register("table_shape")
+def table_shape(spark, d):
+    """A4 of features and target."""
+    x, y = P.split_features_target(order_features(spark, d), "label")
+    return P.shape(x).withColumn("part", F.lit("features")).unionByName(P.shape(y).withColumn("part", F.lit("target")))
+
+
+# ---------------------------------------------------------------- ML12, ML13, J2, R1-R3, F4-F6
+
+# Coefficients of the versions that promote_best registers: intercept, price_scaled, prio.
+VERSION_COEFS = {1: (-1.2, 2.0, 0.1), 2: (-0.5, 1.0, 0.1), 3: (-2.0, 3.0, 0.3), 5: (9.0, 0.0, 0.0)}
+
+
+@register("promote_best")
+def promote_best(spark, d):
+    """Versions given as coefficients are stored and registered, all are scored on the test part, and the best of the
+    gap-free ones is promoted; the row of each version with its stage then comes from the registry."""
+    from tallyspark.operators.models import ModelRegistry
+    from tallyspark.session import materialize, shared_path
+    reg = ModelRegistry(spark, shared_path(spark, "registry"))
+    schema = "intercept double, w_price_scaled double, w_prio double"
+    for v, w in VERSION_COEFS.items():
+        uri = FS.write_table(spark.createDataFrame([w], schema), f"{reg.base}/coefficients/{v}")
+        reg.add_runs([(f"run-{v}", "orders", {"intercept": str(w[0])}, {}, {})])
+        # numbers are given here, so that one is missing
+        spark.createDataFrame([("orders", v, uri, f"run-{v}")], RG.VERSIONS_SCHEMA).write.mode("append").parquet(f"{reg.base}/versions")
+    rows = reg.versions().collect()   # the versions of this call
+    coefs = None
+    for x in rows:
+        one = spark.read.schema(schema).parquet(x["uri"]).select(F.lit(x["model_name"]).alias("model_name"), F.lit(x["version"]).alias("version"), "*")
+        coefs = one if coefs is None else coefs.unionByName(one)
+    live = RG.gap_free_versions(reg.versions())
+    test = S.stratified_split(imputed_order_features(spark, d), "label", "o_orderkey", TEST_FRAC, seed=SPLIT_SEED).where("split = 'test'")
+    scored = score_versions(test, coefs, ["price_scaled", "prio"])
+    mets = materialize(M.binary_metrics(scored, "label", "prediction", by=["model_name", "version"]), "metrics")
+    best = RG.best_version(mets.join(live, ["model_name", "version"], "left_semi").withColumnRenamed("version", "model_version"), "f1").first()
+    reg.promote("orders", best["model_version"] if best else None)
+    stages = RG.current_stage(reg.stage_events())
+    return _rounded_rates(mets.join(stages.select("model_name", "version", "stage"), ["model_name", "version"], "left")).select(
+        "model_name", "version", "tp", "fp", "tn", "fn", *RATES, "stage")
