@@ -2,7 +2,7 @@
 
 ``percentile`` keeps every distinct value of a group in one aggregation
 buffer; here the value at a rank is found digit by digit. Each double has an
-order-preserving integer (:func:`order_key`). A pass counts rows by the
+order-preserving integer (:func:`with_order_key`). A pass counts rows by the
 integer's leading bits inside the buckets that hold a wanted rank -- a map-side
 combined aggregate -- and a running sum over the counts locates the next
 bucket. Three passes read all 64 bits, whatever the data: the last bucket is a
@@ -16,7 +16,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyspark.operators.joins import join_same
@@ -27,21 +27,24 @@ from tallyspark.session import materialize
 PASSES = (42, 21, 0)
 
 
-def order_key(x: Column) -> Column:
-    """BIGINT that orders like the (non-null) DOUBLE ``x``: exponent and fraction bits, negated below zero."""
-    a = F.abs(x)
-    tiny = 2.0 ** -1022
-    e0 = F.floor(F.log2(F.when((a >= tiny) & (a < float("inf")), a).otherwise(1.0)))
-
-    def fraction(e: Column) -> Column:
-        return a * F.pow(F.lit(2.0), -e)
+def with_order_key(df: DataFrame, x: str, out: str) -> DataFrame:
+    """Adds a BIGINT that orders like the (non-null) DOUBLE ``x``: exponent and fraction bits, negated below zero.
 
+    One projection for each step, so that no step is computed twice.
+    """
+    tiny, inf = 2.0 ** -1022, float("inf")
+    own = [c for c in df.columns]
+    a, e, f = F.col("_a"), F.col("_e"), F.col("_f")
+    rows = df.select(*own, F.abs(F.col(x)).alias("_a"))
+    rows = rows.select(*own, "_a", F.floor(F.log2(F.when((a >= tiny) & (a < inf), a).otherwise(1.0))).alias("_e"))
+    rows = rows.select(*own, "_a", "_e", (a * F.pow(F.lit(2.0), -e)).alias("_f"))
     # log2 may round across a power of two; the fraction lies in [1, 2)
-    e = F.when(fraction(e0) < 1, e0 - 1).when(fraction(e0) >= 2, e0 + 1).otherwise(e0)
-    normal = (e + 1023) * (1 << 52) + ((fraction(e) - 1) * float(1 << 52)).cast("bigint")
-    small = (a * (2.0 ** 1000) * (2.0 ** 74)).cast("bigint")
-    size = F.when(a == float("inf"), F.lit(2047 << 52)).when(a < tiny, small).otherwise(normal).cast("bigint")
-    return F.when(x < 0, -size).otherwise(size)
+    bits = (F.when(f < 1, (e + 1022) * (1 << 52) + ((f * 2 - 1) * float(1 << 52)).cast("bigint"))
+             .when(f >= 2, (e + 1024) * (1 << 52) + ((f / 2 - 1) * float(1 << 52)).cast("bigint"))
+             .otherwise((e + 1023) * (1 << 52) + ((f - 1) * float(1 << 52)).cast("bigint")))
+    size = (F.when(a == inf, F.lit(2047 << 52)).when(a < tiny, (a * (2.0 ** 1000) * (2.0 ** 74)).cast("bigint")).otherwise(bits))
+    rows = rows.select(*own, size.cast("bigint").alias("_a"))
+    return rows.select(*own, F.when(F.col(x) < 0, -a).otherwise(a).alias(out))
 
 
 def long_values(df: DataFrame, cols: Sequence[str], by: Sequence[str] = (),
@@ -59,7 +62,7 @@ def kth_values(long: DataFrame, keys: Sequence[str], targets) -> DataFrame:
     (keys..., _tid, _rank, ...). Returns the targets with ``_value``.
     """
     keys = list(keys)
-    rows = long.select(*keys, "x", order_key(F.col("x")).alias("_key"))
+    rows = with_order_key(long.select(*keys, "x"), "x", "_key")
     wanted, prefix, shift = None, [], 64
     for out in PASSES:
         inside = rows

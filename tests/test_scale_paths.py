@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tallyspark.functions.hashing import hash52
 from tallyspark.operators.orderstats import select_ranks
-from tallyspark.operators.quantiles import kth_values, long_values, order_key, quantiles
+from tallyspark.operators.quantiles import kth_values, long_values, quantiles, with_order_key
 from tallyspark.operators.profile import box_outliers, box_stats, histogram, summary_stats, violin_density
 from tallyspark.operators.ranking import early_stop
 from tallyspark.operators.split import kfold, stratified_split, train_valid_test
@@ -71,7 +71,7 @@ def test_order_key_orders_doubles(spark):
                                                                                float("inf"), float("-inf"), 1.0, -1.0, 1e-320]])
     xs = np.unique(np.concatenate([xs, -xs]))
     df = spark.createDataFrame(pd.DataFrame({"i": np.arange(len(xs)), "x": xs}))
-    keys = [r["k"] for r in df.select("i", order_key(F.col("x")).alias("k")).orderBy("i").collect()]
+    keys = [r["k"] for r in with_order_key(df, "x", "k").orderBy("i").collect()]
     assert keys == sorted(keys) and len(set(keys)) == len(np.unique(xs + 0.0))
 
 
