@@ -80,8 +80,8 @@ def kth_values(long: DataFrame, keys: Sequence[str], targets) -> DataFrame:
                   .where((local > F.col("_end") - F.col("_c")) & (local <= F.col("_end")))
                   .withColumn("_before", F.col("_before") + F.col("_end") - F.col("_c"))
                   .withColumn("_p", F.col("_b")).drop("_b", "_c", "_end"))
-        if out:
-            wanted = wanted.drop("_value")
+        # Written, so that the planner knows how small it is.
+        wanted = materialize(wanted.drop("_value") if out else wanted, "ranks")
         prefix, shift = ["_p"], out
     return wanted.drop("_p", "_before")
 
