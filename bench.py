@@ -28,12 +28,12 @@ HEADLINE = [
     "summary_stats", "class_distribution", "histogram_by_class", "box_stats", "box_by_class",
     "violin_density", "corr_matrix", "ols_trend",
     # validation, registry, search bookkeeping
-    "negative_split", "request_validation", "trial_draws", "best_trial", "leaderboard",
+    "negative_split", "request_validation", "batch_predict", "csv_typed_scan", "promote_best", "trial_draws", "best_trial", "leaderboard",
     "best_version", "gap_free_versions", "current_stage", "early_stop", "minmax_scale",
     # logging and streams
     "prediction_log_daily", "stream_score", "stream_monitor",
     # training and promotion
-    "gbt_train_eval", "all_versions_eval",
+    "logit_importance", "rf_importance", "gbt_importance", "gbt_train_eval", "random_search", "cv_search", "all_versions_eval",
 ]
 
 

@@ -3,8 +3,9 @@
 Models differ from the reference's learners by construction, so these have no
 SQL oracle; tests check invariants instead (importances sum to 1, scores in
 [0, 1], the best trial is the table minimum, fixed seeds repeat).
-Folds, trees, rounds and patience are the full ones. The number of search trials
-is the exception (see README): a trial fits up to 30 levels deep.
+Folds, trees, rounds and patience are the full ones, but for the two searches:
+their trials draw from the whole depth range of the learner, and one of up to 30
+levels takes minutes, so they run few trials and rounds (see README).
 """
 
 from __future__ import annotations
@@ -110,14 +111,15 @@ def _trials(spark: SparkSession, n: int) -> list[dict]:
     return [x.asDict() for x in trial_params(spark.range(n).withColumnRenamed("id", "trial_id"), "trial_id").orderBy("trial_id").collect()]
 
 
-#: Trials of the registered searches; the operators take any number.
-SEARCH_TRIALS, CV_TRIALS = 4, 2
+#: Budgets of the registered searches; the operators' defaults are the full ones.
+SEARCH_TRIALS, CV_TRIALS, SEARCH_ROUNDS, SEARCH_PATIENCE = 3, 2, 8, 3
 
 
 @register("random_search")
 def random_search(spark, d):
     train, valid, _ = _parts(spark, d)
-    res = TR.random_search(train, valid, ORDER_FEATURES, "label", _trials(spark, SEARCH_TRIALS), metric="f1")
+    res = TR.random_search(train, valid, ORDER_FEATURES, "label", _trials(spark, SEARCH_TRIALS), metric="f1",
+                           rounds=SEARCH_ROUNDS, patience=SEARCH_PATIENCE)
     return argmin_by_group(res.withColumn("_g", F.lit(1)), ["_g"], "loss", "trial_id",
                            ["learning_rate", "max_depth"]).drop("_g")
 
@@ -125,7 +127,7 @@ def random_search(spark, d):
 @register("cv_search")
 def cv_search(spark, d):
     res = TR.cv_search(order_training(spark, d), ORDER_FEATURES, "label", "o_orderkey", _trials(spark, CV_TRIALS), k=5, metric="f1",
-                       rounds=1000, patience=50)
+                       rounds=SEARCH_ROUNDS, patience=SEARCH_PATIENCE)
     return res.select("trial_id", "max_depth", r("learning_rate").alias("learning_rate"),
                       r("mean_f1").alias("mean_f1"), r("loss").alias("loss"))
 
