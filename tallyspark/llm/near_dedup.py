@@ -14,7 +14,8 @@ already through others or confirmed on full sets:
    all pairs) and confirmed links join to components;
 3. a bucket that still holds several components leaves the members outside its
    smallest-labelled component as queries. They are compared with that component
-   and with each other in blocks of rows, with links as the only output.
+   and with each other in blocks of rows, and only links that connect what was
+   apart come out.
 
 Defined cases: texts without words (null, empty, blank) have an empty set and
 link with nothing; with fewer words than a shingle the whole sequence is one
@@ -31,13 +32,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyspark.llm.common import arrow_map, id_text, sliced, spark_python, stored, text_bytes
+from tallyspark.llm.common import arrow_map, fresh, id_text, sliced, spark_python, stored, text_bytes
 from tallyspark.llm.components import components
 from tallyspark.llm.shingles import mix, shingle_sets
 
 CHUNKS, SPAN = 9, 5
 SYMBOLS = CHUNKS * SPAN
-MOST_DISTANCE = 22   # a pair at similarity 0.8 lies beyond with a probability of 1e-6
+MOST_DISTANCE = 22   # a pair at similarity 0.8 lies beyond with a probability of 3e-6
 BLOCK = 1000         # rows of a block
 BROADCAST_IDS = 2_000_000   # of 8 bytes: the most that are sent to every executor
 
@@ -82,8 +83,8 @@ def _digests(words: int):
                     flat = signatures(sets, own).tobytes()
                     sig[full] = [flat[i:i + 2 * SYMBOLS] for i in range(0, len(flat), 2 * SYMBOLS)]
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array(size, pa.int64()), pa.array(name, pa.binary()), pa.array(sig, pa.binary())],
-                    ["doc_id", "n_shingles", "node", "sig"])
+                    [part.column(0), part.column(2), pa.array(size, pa.int64()), pa.array(name, pa.binary()), pa.array(sig, pa.binary())],
+                    ["doc_id", "text_hash", "n_shingles", "node", "sig"])
     return run
 
 
@@ -150,11 +151,30 @@ def _sets(words: int):
 
 
 def _block_links(percent: int):
-    """Links between a block of rows and a chunk of queries of one group."""
+    """Links between a block of rows and a chunk of queries of one group, as few as connect the same texts.
+
+    Rows with ``own`` lie in the group's component, so one link to any of them
+    does; among the other rows, links that close a circle are left out.
+    """
     def run(key: tuple, rows: pa.Table, queries: pa.Table) -> pa.Table:
         out: tuple[list, list] = ([], [])
         if rows.num_rows and queries.num_rows:
-            nodes = rows.column("node").to_pylist()
+            group = queries.column("group")[0].as_py()
+            nodes, inside = rows.column("node").to_pylist(), np.array(rows.column("own").to_pylist())
+            above: dict[bytes, bytes] = {}
+
+            def top(x: bytes) -> bytes:
+                while (y := above.get(x, x)) != x:
+                    above[x] = x = above.get(y, y)
+                return x
+
+            def link(x: bytes, y: bytes) -> None:
+                a, b = top(x), top(y)
+                if a != b:
+                    above[a] = b
+                    out[0].append(x)
+                    out[1].append(y)
+
             own = [np.frombuffer(x.as_buffer(), _U) for x in rows.column("shingles")]
             size = np.array([len(x) for x in own])
             flat, of = np.concatenate(own), np.repeat(np.arange(len(own)), size)
@@ -166,19 +186,22 @@ def _block_links(percent: int):
                 n = hi - lo
                 hits = np.repeat(lo - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum())
                 common = np.bincount(of[hits], minlength=len(own))
-                for i in np.flatnonzero(100 * common >= percent * (size + len(x) - common)):
+                near = 100 * common >= percent * (size + len(x) - common)
+                if (near & inside).any():
+                    link(q, group)
+                for i in np.flatnonzero(near & ~inside):
                     if nodes[i] != q:
-                        out[0].append(q)
-                        out[1].append(nodes[i])
+                        link(q, nodes[i])
         return pa.table({"a": pa.array(out[0], pa.binary()), "b": pa.array(out[1], pa.binary())})
     return run
 
 
-def near_dedup(docs: DataFrame, words: int = 2, percent: int = 80) -> DataFrame:
-    """doc_id, n_shingles, component_id, kept: one row per input row."""
+def labelled_texts(docs: DataFrame, words: int, percent: int) -> DataFrame:
+    """doc_id, text_hash, n_shingles, label (of the component; null if the text has no words): one row per input row."""
     spark = docs.sparkSession
     texts = id_text(docs)
-    digests = stored(arrow_map(texts, _digests(words), "doc_id bigint, n_shingles bigint, node binary, sig binary"), "digests")
+    digests = stored(arrow_map(texts.withColumn("text_hash", F.xxhash64("text")), _digests(words),
+                               "doc_id bigint, text_hash bigint, n_shingles bigint, node binary, sig binary"), "digests")
     nodes = stored(digests.where("node IS NOT NULL").groupBy("node")
                    .agg(F.min("doc_id").alias("low_id"), F.first("sig").alias("sig")), "nodes")
 
@@ -213,33 +236,76 @@ def near_dedup(docs: DataFrame, words: int = 2, percent: int = 80) -> DataFrame:
     queries = stored(labelled.join(mixed, "key").where("label != group").select("group", "node").distinct(), "queries")
     groups = queries.select("group").distinct()
     rows = (labels.select("node", F.col("label").alias("group")).join(groups, "group", "left_semi")
-            .unionByName(queries).unionByName(groups.select(F.col("group").alias("node"), "group")).distinct())
+            .unionByName(groups.select(F.col("group").alias("node"), "group")).distinct().withColumn("own", F.lit(True))
+            .unionByName(queries.withColumn("own", F.lit(False))))
     # A grid of (block of rows, chunk of queries) for each group; every pair of it meets in one cell.
     spread = lambda n: F.pmod(F.xxhash64("node"), n).cast("int")
     sizes = stored(rows.groupBy("group").agg(F.count(F.lit(1)).alias("n"))
                    .join(queries.groupBy("group").agg(F.count(F.lit(1)).alias("q")), "group")
                    .select("group", F.ceil(F.col("n") / BLOCK).alias("blocks"), F.ceil(F.col("q") / BLOCK).alias("chunks")), "sizes")
     to = lambda n: F.explode(F.sequence(F.lit(0), F.col(n).cast("int") - 1))
-    left = (rows.join(sizes, "group").select("group", "node", spread(F.col("blocks")).alias("block"), to("chunks").alias("chunk"))
+    left = (rows.join(sizes, "group").select("group", "node", "own", spread(F.col("blocks")).alias("block"), to("chunks").alias("chunk"))
             .join(sets, "node"))
     right = (queries.join(sizes, "group").select("group", "node", to("blocks").alias("block"), spread(F.col("chunks")).alias("chunk"))
              .join(sets.toDF("node", "shingles"), "node"))
     spark_python(spark)
     cell = ["group", "block", "chunk"]
     more = left.groupBy(*cell).cogroup(right.groupBy(*cell)).applyInArrow(_block_links(percent), "a binary, b binary")
-    labels = stored(components(links.unionByName(more)), "labels")
+    labels = stored(components(labels.toDF("a", "b").unionByName(more)), "labels")
 
-    named = nodes.select("node", "low_id").join(labels, "node", "left").select("node", "low_id", F.coalesce("label", "node").alias("label"))
-    lowest = named.groupBy("label").agg(F.min("low_id").alias("component_id"))
-    found = named.join(lowest, "label").select("node", "component_id")
-    done = digests.where("node IS NOT NULL").join(found, "node").select("doc_id", "n_shingles", "component_id")
-    alone = digests.where("node IS NULL").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
-    return done.unionByName(alone).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+    found = nodes.select("node").join(labels, "node", "left").select("node", F.coalesce("label", "node").alias("label"))
+    cols = ["doc_id", "text_hash", "n_shingles", "label"]
+    return digests.where("node IS NOT NULL").join(found, "node").select(*cols).unionByName(
+        digests.where("node IS NULL").select("doc_id", "text_hash", "n_shingles", F.lit(None).cast("binary").alias("label")))
+
+
+def near_dedup(docs: DataFrame, words: int = 2, percent: int = 80) -> DataFrame:
+    """doc_id, n_shingles, component_id, kept: one row per input row."""
+    rows = stored(labelled_texts(docs, words, percent), "labelled")
+    lowest = rows.where("label IS NOT NULL").groupBy("label").agg(F.min("doc_id").alias("component_id"))
+    alone = rows.where("label IS NULL").withColumn("component_id", F.col("doc_id")).drop("label")
+    done = rows.join(lowest, "label").drop("label").unionByName(alone)
+    return done.select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
 
 
 def drop_near_copies(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
-    """The input's rows and columns: of each component only the rows of its smallest doc_id stay."""
-    gone = stored(near_dedup(docs, words, percent).where("NOT kept").select("doc_id").distinct(), "gone")
-    if gone.count() <= BROADCAST_IDS:
-        gone = F.broadcast(gone)
-    return docs.join(gone, docs["doc_id"].eqNullSafe(gone["doc_id"]), "left_anti").select(*docs.columns)
+    """The input's rows and columns: one row of each component stays, that of its smallest doc_id (then text hash).
+
+    Texts without words link with nothing, so they all stay.
+    """
+    rows = stored(labelled_texts(docs, words, percent).where("label IS NOT NULL"), "labelled")
+    order = F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "text_hash")
+    best = rows.groupBy("label").agg(F.min(order).alias("best"))
+    ranked = rows.join(best, "label").withColumn("kept", (order == F.col("best")))
+    own = stored(ranked.groupBy("doc_id", "text_hash", "kept").agg(F.count(F.lit(1)).alias("n")), "own")
+    h, i, j = fresh(docs, "__text_hash"), fresh(docs, "__id"), fresh(docs, "__hash")
+
+    def small(df: DataFrame) -> DataFrame:
+        return F.broadcast(df) if df.count() <= BROADCAST_IDS else df
+
+    def ids(condition: str) -> DataFrame:
+        return small(own.where(condition).select(F.col("doc_id").alias(i), F.col("text_hash").alias(j)))
+
+    keyed = docs.withColumn(h, F.xxhash64(F.coalesce("text", F.lit(""))))
+    same = keyed["doc_id"].eqNullSafe(F.col(i)) & (keyed[h] == F.col(j))
+    left = keyed.join(ids("NOT kept"), same, "left_anti")
+    again = ids("kept AND n > 1")   # rows that repeat the one that stays
+    return (left.join(again, same, "left_anti")
+            .unionByName(left.join(again, same, "left_semi").dropDuplicates(["doc_id", h])).select(*docs.columns))
+
+
+#: near_dedup(documents, words=2, percent=80) by comparing all sets that share a shingle.
+ORACLE = r"""
+WITH RECURSIVE d AS (SELECT row_number() OVER () AS r, doc_id,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT r, doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) = 1 THEN [w[1]]
+                             ELSE list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) END AS s FROM d),
+x AS (SELECT r, len(s) AS n, unnest(s) AS sh FROM s),
+p AS (SELECT a.r AS a, b.r AS b, a.n AS na, b.n AS nb, count(*) AS k FROM x a JOIN x b ON a.sh = b.sh AND a.r < b.r
+      AND 100 * least(a.n, b.n) >= 80 * greatest(a.n, b.n) GROUP BY ALL),
+l AS (SELECT a, b FROM p WHERE 100 * k >= 80 * (na + nb - k)),
+e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+t(a, b) AS (SELECT r, r FROM s UNION SELECT t.a, e.b FROM t JOIN e ON t.b = e.a),
+c AS (SELECT t.a AS r, min(s.doc_id) AS component_id FROM t JOIN s ON t.b = s.r GROUP BY t.a)
+SELECT doc_id, len(s)::BIGINT AS n_shingles, component_id, doc_id IS NOT DISTINCT FROM component_id AS kept FROM s JOIN c USING (r)
+"""
