@@ -6,16 +6,16 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyspark.llm.bpe import bpe_digests
-from tallyspark.llm.common import documents
 from tallyspark.llm import decontaminate as decontamination
 from tallyspark.llm import line_dedup as lines
+from tallyspark.llm import near_dedup as near
+from tallyspark.llm import suffix_dedup as suffixes
+from tallyspark.llm.bpe import bpe_digests
+from tallyspark.llm.common import documents
 from tallyspark.llm.context_mixing import lm_scores
 from tallyspark.llm.exact_dedup import exact_dedup
 from tallyspark.llm.langid import language_id
-from tallyspark.llm.near_dedup import near_dedup
 from tallyspark.llm.secrets import secret_scan
-from tallyspark.llm.suffix_dedup import remove_repeats
 from tallyspark.llm.wordpiece import wordpiece_counts
 from tallyspark.sources.tables import table
 
@@ -41,7 +41,10 @@ def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op3_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_dedup(documents(spark, sf_dir), words=2, percent=80)
+    return near.near_dedup(documents(spark, sf_dir), words=2, percent=80)
+
+
+ORACLE["op3_minhash_near_dedup"] = near.ORACLE
 
 
 @query
@@ -59,10 +62,13 @@ ORACLE["op5_benchmark_decontamination"] = decontamination.ORACLE
 
 @query
 def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return remove_repeats(documents(spark, sf_dir)).select(
+    return suffixes.remove_repeats(documents(spark, sf_dir)).select(
         "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+ORACLE["op6_suffix_dedup"] = suffixes.ORACLE
+
+
 @query
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wordpiece_counts(documents(spark, sf_dir), public_tokenizers.path(VOCABULARY))

@@ -29,7 +29,6 @@ wholly; texts of any length are read in chunks that overlap.
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -44,7 +43,7 @@ from tallyspark.llm.shingles import mix, powers
 LENGTH = 200
 GRAM = LENGTH // 2
 REACH = LENGTH - GRAM      # bytes of context on each side of an anchor
-CHUNK = 2 << 20
+CHUNK = 1 << 19
 TASK_BUCKET = 20_000
 BROADCAST_IDS = 2_000_000
 PLACE = 2654435761         # of a position in the hash of a place; below 2^32
@@ -289,3 +288,20 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     whole = arrow_map(own.join(F.broadcast(ids), "rid", "left_anti").select("doc_id", "text"), _cut, out)
     cut = arrow_map(own.join(F.broadcast(ids), "rid", "left_semi").join(ranges, "rid").select("doc_id", "text", "lo", "hi"), _cut, out)
     return whole.unionByName(cut)
+
+
+#: remove_repeats(documents) by counting every 200-byte string.
+ORACLE = r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+k AS (SELECT r, i, md5(substr(h, 2 * i + 1, 400)) AS s FROM (SELECT r, h, unnest(range(0, len(h) // 2 - 199)) AS i FROM d WHERE len(h) >= 400)),
+g AS (SELECT r, i, i > coalesce(lag(i) OVER (PARTITION BY r ORDER BY i), -1000) + 200 AS starts
+      FROM (SELECT r, i FROM k QUALIFY count(*) OVER (PARTITION BY s) > 1)),
+n AS (SELECT r, i, sum(starts::INT) OVER (PARTITION BY r ORDER BY i) AS span FROM g),
+m AS (SELECT r, span, min(i) AS lo, max(i) + 200 AS hi FROM n GROUP BY ALL),
+q AS (SELECT r, span, lo, hi, coalesce(lag(hi) OVER (PARTITION BY r ORDER BY lo), 0) AS before FROM m),
+a AS (SELECT q.r, sum(hi - lo) AS cut, count(*) AS spans, max(hi) AS last, string_agg(substr(h, 2 * before + 1, 2 * (lo - before)), '' ORDER BY lo) AS kept
+      FROM q JOIN d USING (r) GROUP BY q.r)
+SELECT doc_id, (len(h) // 2)::BIGINT AS n_bytes, coalesce(cut, 0)::BIGINT AS n_removed, coalesce(spans, 0)::BIGINT AS n_spans,
+       sha256(unhex(CASE WHEN cut IS NULL THEN h ELSE kept || substr(h, 2 * last + 1) END)) AS kept_sha256
+FROM d LEFT JOIN a USING (r)
+"""
