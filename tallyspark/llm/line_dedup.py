@@ -27,6 +27,7 @@ from tallyspark.llm.common import stored
 
 DEPTH = 3          # leading tokens that are levels of the tree
 LEAST_TOKENS = 6   # of a line that may have variable fields without digits
+SALTS = 32
 PERCENT = 70       # of a line's tokens that agree with its leaf's template
 
 
@@ -74,7 +75,10 @@ def recurring_lines(docs: DataFrame, least_texts: int = 5) -> DataFrame:
     # Distinct pairs first, then a count with partial sums: no task gets a template's texts.
     recur = (lines.select("template", "text_hash").distinct().groupBy("template").agg(F.count(F.lit(1)).alias("c"))
              .where(F.col("c") >= least_texts).select("template"))
-    return lines.join(recur, "template", "left_semi").select("doc_id", "text_hash", "line_no")
+    # Each recurring template once for each salt, so that the lines of a common one are split over SALTS tasks.
+    recur = recur.select("template", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
+    salted = lines.withColumn("salt", F.pmod(F.xxhash64("text_hash"), F.lit(SALTS)).cast("int"))
+    return salted.join(recur, ["template", "salt"], "left_semi").select("doc_id", "text_hash", "line_no")
 
 
 def line_dedup(docs: DataFrame, least_texts: int = 5) -> DataFrame:
