@@ -26,9 +26,9 @@ from pyspark.sql import DataFrame
 
 from tallyspark.llm.common import map_docs
 
-MAX_PIECES = 120_000   # memo entries of a task: pieces,
-MAX_PAIRS = 400_000    # neighbour pairs,
-MAX_HEADS = 100_000    # and tables of prefixes
+MAX_PIECES = 60_000    # memo entries of a task: pieces,
+MAX_PAIRS = 200_000    # neighbour pairs,
+MAX_HEADS = 50_000     # and tables of prefixes
 HEAD = 6               # bytes of a prefix whose table is shared
 SHORT = 48             # characters up to which a piece is remembered
 

@@ -8,7 +8,9 @@ can't clash), an empty table gives an empty result, and rows that repeat a
 
 from __future__ import annotations
 
+import ctypes
 import os
+import sys
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -58,10 +60,24 @@ def spark_python(spark: SparkSession) -> None:
         env["PYTHONPATH"] = os.pathsep.join(x for x in (root, env.get("PYTHONPATH")) if x)
 
 
+def give_back() -> None:
+    """Return freed memory to the system; Python workers live on between tasks and stages."""
+    pa.default_memory_pool().release_unused()
+    if sys.platform == "linux":
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)   # glibc has it
+        if trim is not None:
+            trim(0)
+
+
 def arrow_map(df: DataFrame, fn: Callable, schema: str) -> DataFrame:
-    """``mapInArrow`` whose tasks can import this package."""
+    """``mapInArrow`` whose tasks can import this package and give their memory back at the end."""
     spark_python(df.sparkSession)
-    return df.mapInArrow(fn, schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from fn(batches)
+        give_back()
+
+    return df.mapInArrow(run, schema)
 
 
 def fresh(df: DataFrame, name: str) -> str:
@@ -87,7 +103,7 @@ def map_docs(docs: DataFrame, schema: str, fn: Callable[[list, list], dict], raw
     return arrow_map(id_text(docs), run, schema)
 
 
-def sliced(batch: pa.RecordBatch, text_bytes: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+def sliced(batch: pa.RecordBatch, text_bytes: int = 1 << 20) -> Iterator[pa.RecordBatch]:
     """Row slices with at most ``text_bytes`` of text in column 1 (at least one row each)."""
     n = batch.num_rows
     if not n:
