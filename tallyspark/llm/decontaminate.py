@@ -5,9 +5,11 @@ over 7 tokens look at 5 positions and ignore 2, so a substituted token spoils
 only the windows whose mask reads it. Mask hashes of every training window meet
 those of the benchmark in a join; hits on one diagonal (training position minus
 item position) of a document and an item form a candidate. Its overlap is then
-verified on the tokens themselves, substitutions allowed: from the first to the
-last hit window at least 80 % of the tokens agree and they span at least 13
-tokens, or at least 80 % of the whole item agrees.
+verified on the tokens themselves, substitutions allowed: from some hit window to
+the same or a later one at least 80 % of the tokens agree and they span at least
+13 tokens, or at least 80 % of the whole item agrees. Every pair of hit windows
+of the diagonal counts, so a quote in parts, or a chance hit far from a quote,
+hides nothing (the SQL below looks from the first hit to the last only).
 
 Only candidates need their document's tokens again, found by (doc_id, hash of
 the text). The benchmark's seeds are broadcast only below ``BROADCAST_ROWS``
@@ -54,6 +56,36 @@ def small(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
 
 
+def stretch(same: Column) -> Column:
+    """Whether LEAST_TOKENS or more tokens from the start of a hit window to the end of one agree by PERCENT.
+
+    ``same``: 1 for each token of a diagonal that agrees, 0 for others. One pass:
+    ``run`` holds the last LEAST_TOKENS of them as bits, ``sum`` adds up how far
+    they are over PERCENT, ``low`` is its least value before the start of a hit
+    window that is far enough back.
+    """
+    masks = [sum(1 << (SPAN - 1 - k) for k in mask) for mask in MASKS]
+
+    def hit(window: Column) -> Column:
+        test = [window.bitwiseAND(F.lit(m).cast("long")) == F.lit(m).cast("long") for m in masks]
+        return test[0] | test[1] | test[2]
+
+    def shifted(s: Column, x: Column) -> Column:
+        run = F.shiftleft(s["run"], 1).bitwiseOR(x).bitwiseAND(F.lit((1 << LEAST_TOKENS) - 1).cast("long"))
+        return F.struct(run.alias("run"), (s["sum"] + 100 * x - PERCENT).alias("sum"), s["low"].alias("low"), s["found"].alias("found"))
+
+    def judged(s: Column) -> Column:
+        start = s["sum"] - 100 * F.bit_count(s["run"]).cast("long") + PERCENT * LEAST_TOKENS
+        low = F.when(hit(F.shiftright(s["run"], LEAST_TOKENS - SPAN)), F.least(s["low"], start)).otherwise(s["low"])
+        found = s["found"] | (hit(s["run"]) & (low <= s["sum"]))
+        return F.struct(s["run"].alias("run"), s["sum"].alias("sum"), low.alias("low"), found.alias("found"))
+
+    none = F.struct(F.lit(0).cast("long").alias("run"), F.lit(0).cast("long").alias("sum"), F.lit((1 << 62)).cast("long").alias("low"),
+                    F.lit(False).alias("found"))
+    # The inner transform names the step's state, so it is worked out once.
+    return F.aggregate(same, none, lambda s, x: F.transform(F.array(shifted(s, x)), judged)[0], lambda s: s["found"])
+
+
 def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """doc_id, text_hash, item_id, matched, item_tokens, overlap: verified overlaps, one row for each pair and diagonal."""
     key = [F.col("doc_id"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_hash")]
@@ -77,15 +109,15 @@ def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     n = F.least(F.size("item") - lo, F.size("tokens") - at)
 
     def agreeing(a: Column, b: Column) -> Column:
-        return F.aggregate(F.zip_with(a, b, lambda x, y: (x == y).cast("long")), F.lit(0).cast("long"), lambda s, x: s + x)
+        return F.zip_with(a, b, lambda x, y: (x == y).cast("long"))
 
     size = (F.col("last") - F.col("first") + SPAN).cast("int")
-    region = agreeing(F.slice("item", F.col("first").cast("int") + 1, size),
-                      F.slice("tokens", (F.col("first") + F.col("diagonal")).cast("int") + 1, size))
-    whole = agreeing(F.slice("item", lo + 1, n), F.slice("tokens", at + 1, n))
-    return (pairs.select("doc_id", "text_hash", "item_id", size.cast("long").alias("size"), region.alias("region"),
+    region = stretch(agreeing(F.slice("item", F.col("first").cast("int") + 1, size),
+                              F.slice("tokens", (F.col("first") + F.col("diagonal")).cast("int") + 1, size)))
+    whole = F.aggregate(agreeing(F.slice("item", lo + 1, n), F.slice("tokens", at + 1, n)), F.lit(0).cast("long"), lambda s, x: s + x)
+    return (pairs.select("doc_id", "text_hash", "item_id", F.when(size >= LEAST_TOKENS, region).otherwise(F.lit(False)).alias("region"),
                          whole.alias("matched"), F.size("item").cast("long").alias("item_tokens"))
-            .where(f"(size >= {LEAST_TOKENS} AND 100 * region >= {PERCENT} * size) OR 100 * matched >= {PERCENT} * item_tokens")
+            .where(f"region OR 100 * matched >= {PERCENT} * item_tokens")
             .select("doc_id", "text_hash", "item_id", "matched", "item_tokens", (F.col("matched") / F.col("item_tokens")).alias("overlap")))
 
 

@@ -3,6 +3,7 @@
 import collections
 import hashlib
 import math
+import random
 import re
 import zlib
 
@@ -123,6 +124,27 @@ def test_decontamination(spark):
     assert none == 0 and decontaminate.decontaminate(frame(spark, []), bench).count() == 0
 
 
+def test_decontamination_of_quotes_in_parts(spark):
+    words = [f"w{i}" for i in range(59)]
+    other = [f"z{i}" for i in range(59)]
+    quotes = {1: range(20), 2: [*range(20), *range(39, 59)], 3: [*range(14), 50, 51, 52, 54, 56], 4: range(10), 5: [*range(10), *range(45, 55)],
+              6: [i for i in range(59) if i % 3], 7: [*range(5), *range(30, 43)], 8: [0, 1, 2, 4, 6, 7, 8, 10, 11, 12]}
+    rnd = random.Random(5)
+    quotes |= {i: [k for k in range(59) if rnd.random() < p] for i, p in enumerate([0.5, 0.6, 0.7, 0.75] * 15, 10)}
+
+    def by_hand(same):
+        hits = [p for p in range(53) if any(all(p + k in same for k in m) for m in decontaminate.MASKS)]
+        spans = [(a, b + 7) for a in hits for b in hits if b + 7 - a >= 13]
+        return any(100 * len(same & set(range(a, b))) >= 80 * (b - a) for a, b in spans) or 100 * len(same) >= 80 * 59
+
+    docs = frame(spark, [(i, " ".join(["lead"] * (i % 4) + [words[k] if k in set(q) else other[k] for k in range(59)]), "en", "s", 1) for i, q in quotes.items()])
+    bench = spark.createDataFrame([(1, " ".join(words))], "item_id bigint, text string")
+    got = {r.doc_id: r.contaminated for r in decontaminate.decontaminate(docs, bench).collect()}
+    assert got == {i: by_hand(set(q)) for i, q in quotes.items()} and 0 < sum(got.values()) < len(got)
+    assert got[1] and got[2] and got[3] and not got[4] and not got[5] and got[7]
+    assert decontaminate.drop_contaminated(docs, bench).count() == len(got) - sum(got.values())
+
+
 def cut_by_hand(texts, size=200):
     starts = collections.Counter(t[i:i + size] for t in texts for i in range(len(t) - size + 1))
     for t in texts:
