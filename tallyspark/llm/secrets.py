@@ -6,7 +6,14 @@ candidate string (a long run of key-like characters) and for each character
 class, a window slides over the runs of the class while character counts and the
 window's Shannon entropy are updated by the one character that enters and the
 one that leaves. Windows at or over the class's limit that mix letters and
-digits join to spans, unless an allow-list pattern covers the candidate.
+digits join to spans. Limits are fitted to the alphabets: hexadecimal, small
+letters and digits, capitals and digits, all three of these, and base64. Runs of
+12 to 19 letters and digits have a window of 12 and must change between letters
+and digits three times, or twice with letters of both cases.
+
+The allow list takes stretches out of a candidate, and windows slide over what is
+left: UUIDs, integrity digests, and parts between separators that hold a
+placeholder word or an alphabet (of parts over 64 characters the word alone).
 
 Defined cases: null and empty texts have no spans; offsets are code points, end
 exclusive; texts of any length are scanned whole in linear time; repeated rows
@@ -27,34 +34,43 @@ ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x2
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{16,}")
 WORDS = (b"password", b"passwd", b"secret", b"token", b"apikey", b"api_key")
-KINDS = ("assign", "access", "hex", "entropy_hex", "entropy_base64")
+KINDS = ("assign", "access", "hex", "entropy_hex", "entropy_base64", "entropy_lower", "entropy_upper", "entropy_mixed", "entropy_short")
 
-CANDIDATE = re.compile(r"[A-Za-z0-9+/=_-]{20,}")
+CANDIDATE = re.compile(r"[A-Za-z0-9+/=_-]{12,}")
 WINDOW = 20
 #: Character class and least bits per character of a window; random strings of
-#: 20 have about 3.4 (16 characters) and 4.1 (64 characters).
-CLASSES = {"entropy_hex": (re.compile(r"[0-9A-Fa-f]{20,}"), 3.0), "entropy_base64": (re.compile(r"[A-Za-z0-9+/=_-]{20,}"), 3.9)}
-#: Candidates that aren't secrets: UUIDs, paths and compound words without
-#: digits beside letters, integrity digests, placeholders and alphabets.
-ALLOW = [re.compile(p) for p in (
-    r"(?i)[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}", r"sha(256|384|512)-.*", r"(?i).*(example|placeholder|changeme|xxxx).*",
-    r"(?i).*(abcdefghij|0123456789).*", r"[0-9/_=-]+", r"[A-Za-z/_=-]+")]
+#: 20 have about 3.4 (16 characters), 3.8 (32), 3.9 (36), 4.0 (62) and 4.1 (64).
+CLASSES = {"entropy_hex": (re.compile(r"[0-9A-Fa-f]{20,}"), 3.0), "entropy_base64": (re.compile(r"[A-Za-z0-9+/=_-]{20,}"), 3.9),
+           "entropy_lower": (re.compile(r"[a-z0-9]{20,}"), 3.4), "entropy_upper": (re.compile(r"[A-Z0-9]{20,}"), 3.3),
+           "entropy_mixed": (re.compile(r"[A-Za-z0-9]{20,}"), 3.6)}
+BOTH_CASES = ("entropy_mixed",)   # small letters and capitals in each window
+SHORT = re.compile(r"(?<![A-Za-z0-9])[A-Za-z0-9]{12,19}(?![A-Za-z0-9])")
+SHORT_WINDOW, SHORT_LEAST = 12, 3.0
+_DIGIT, _LETTER = re.compile("[0-9]"), re.compile("[A-Za-z]")
+_CHANGE = re.compile(r"(?<=[0-9])[A-Za-z]|(?<=[A-Za-z])[0-9]")
+#: What isn't a secret: UUIDs and integrity digests, and parts between separators with a placeholder or an alphabet.
+ALLOW = [re.compile(p) for p in (r"(?i)(?<![0-9a-z])[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}(?![0-9a-z])", r"(?<![A-Za-z0-9])sha(256|384|512)-[A-Za-z0-9+/]+={0,2}")]
+PLACEHOLDER = re.compile(r"(?i)example|placeholder|changeme|xxxx|abcdefghij|0123456789")
+PART = re.compile(r"[A-Za-z0-9]+")
+LONGEST_PLACEHOLDER = 64
 _NLOGN = [0.0] + [n * math.log2(n) for n in range(1, WINDOW + 1)]
 
 
-def entropy_spans(text: str, pattern: re.Pattern, least: float, window: int = WINDOW) -> list[tuple[int, int]]:
+def entropy_spans(text: str, pattern: re.Pattern, least: float, window: int = WINDOW,
+                  both_cases: bool = False) -> list[tuple[int, int]]:
     """Joined windows of the class's runs with at least ``least`` bits per character."""
     nlogn = _NLOGN if window <= WINDOW else [0.0] + [n * math.log2(n) for n in range(1, window + 1)]
     out: list[tuple[int, int]] = []
     most = window * (math.log2(window) - least) + 1e-9   # of the sum of n log n
     for m in pattern.finditer(text):
-        run, counts, total, digits, letters = m.group(), {}, 0.0, 0, 0
+        run, counts, total, digits, letters, capitals = m.group(), {}, 0.0, 0, 0, 0
         for i, c in enumerate(run):
             n = counts.get(c, 0)
             counts[c] = n + 1
             total += nlogn[n + 1] - nlogn[n]
             digits += c.isdigit()
             letters += c.isalpha()
+            capitals += c.isupper()
             if i >= window:
                 o = run[i - window]
                 n = counts[o]
@@ -62,7 +78,8 @@ def entropy_spans(text: str, pattern: re.Pattern, least: float, window: int = WI
                 total += nlogn[n - 1] - nlogn[n]
                 digits -= o.isdigit()
                 letters -= o.isalpha()
-            if i >= window - 1 and total <= most and digits and letters:
+                capitals -= o.isupper()
+            if i >= window - 1 and total <= most and digits and letters and (not both_cases or 0 < capitals < letters):
                 a, b = m.start() + i - window + 1, m.start() + i + 1
                 if out and a <= out[-1][1]:
                     out[-1] = out[-1][0], b
@@ -82,12 +99,43 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(out)
 
 
+def free_stretches(run: str) -> list[tuple[int, int]]:
+    """What the allow list leaves of a candidate."""
+    gone = [m.span() for a in ALLOW for m in a.finditer(run)]
+    if PLACEHOLDER.search(run):
+        for part in PART.finditer(run):
+            words = [(part.start() + m.start(), part.start() + m.end()) for m in PLACEHOLDER.finditer(part.group())]
+            gone += [part.span()] if words and part.end() - part.start() <= LONGEST_PLACEHOLDER else words
+    out, at = [], 0
+    for a, b in sorted(gone):
+        if a > at:
+            out.append((at, a))
+        at = max(at, b)
+    return [*out, (at, len(run))]
+
+
+def short_spans(text: str) -> list[tuple[int, int]]:
+    """Joined windows of the runs of 12 to 19 letters and digits that change between the two like keys."""
+    out = []
+    for m in SHORT.finditer(text):
+        run, changes = m.group(), len(_CHANGE.findall(m.group()))
+        if changes > 2 or changes == 2 and run.upper() != run != run.lower():
+            out += [(m.start() + a, m.start() + b) for a, b in entropy_spans(run, PART, SHORT_LEAST, SHORT_WINDOW)]
+    return out
+
+
 def all_spans(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
     out = list(base)
     for m in CANDIDATE.finditer(text):
-        if not any(a.fullmatch(m.group()) for a in ALLOW):
-            for kind, (pattern, least) in CLASSES.items():
-                out += [(m.start() + a, KINDS.index(kind), m.start() + b) for a, b in entropy_spans(m.group(), pattern, least)]
+        run = m.group()
+        if not _DIGIT.search(run) or not _LETTER.search(run):
+            continue
+        for at, to in free_stretches(run):
+            part, start = run[at:to], m.start() + at
+            if len(part) >= WINDOW:
+                for kind, (pattern, least) in CLASSES.items():
+                    out += [(start + a, KINDS.index(kind), start + b) for a, b in entropy_spans(part, pattern, least, both_cases=kind in BOTH_CASES)]
+            out += [(start + a, KINDS.index("entropy_short"), start + b) for a, b in short_spans(part)]
     return sorted(out)
 
 
