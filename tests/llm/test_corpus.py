@@ -217,6 +217,26 @@ def test_lm_counts(spark, monkeypatch):
     assert context_mixing.lm_scores(frame(spark, [])).count() == 0
 
 
+def test_lm_kinds_are_centred_on_all_texts(spark, monkeypatch):
+    import numpy as np
+    from pyspark.sql import functions as F
+    monkeypatch.setattr(context_mixing, "SAMPLE", 12)
+    r = random.Random(6)
+    alphabets = ["abcdef", "ghijkl", "mnopqr", "stuvwx", "012345", "éèüöäñ"]
+    data = [(i, "".join(r.choice(alphabets[i % 6] + " ") for _ in range(60 + i % 50)), "en", "s", 1) for i in range(120)] + [(200, "", "en", "s", 1)]
+    texts = frame(spark, data).select("doc_id", "text", (F.col("doc_id") % 7 != 2).alias("learn"))
+    x = np.array([context_mixing.pairs(np.frombuffer(t.encode(), np.uint8)) for i, t, *_ in data if i % 7 != 2])
+    first = context_mixing.sampled_kinds(texts, len(x))
+    want = first.copy()
+    for _ in range(context_mixing.ROUNDS):
+        near = context_mixing.kind_of(x, want)
+        want = np.array([x[near == k].mean(0) if (near == k).any() else want[k] for k in range(context_mixing.KINDS)], np.float32)
+    got = context_mixing.kinds(texts, len(x))
+    assert np.allclose(got, want, atol=1e-5) and not np.allclose(got, first, atol=1e-3)
+    spread = [((x - c[context_mixing.kind_of(x, c)]) ** 2).sum() for c in (first, got)]
+    assert spread[1] < spread[0]
+
+
 def test_lm_is_a_distribution():
     """Bits of all 1-byte continuations add up, and a sequence's three kinds of predictors never exceed 1."""
     import numpy as np
