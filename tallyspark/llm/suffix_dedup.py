@@ -1,8 +1,10 @@
-"""Removal of repeated 200-byte strings by bucket refinement (operator 6).
+"""Removal of repeated 200-byte strings by anchor buckets and fingerprint counts (operator 6).
 
 Sorting every suffix of the corpus isn't needed to find strings of a fixed
 length that occur twice: only the buckets that can still hold such a string are
-refined, by the buckets of what lies at later and earlier offsets.
+looked into. This stands in for the refinement of buckets by the bucket ids at
+other offsets: no bucket gets an id that a later step reads, and none is split
+recursively; each 200-byte string around an anchor gets a fingerprint instead.
 
 * Initial buckets: the 100-grams that are the smallest by hash in some window of
   101 starts (all ties). Each 200-byte string has such an anchor, at the same
@@ -12,9 +14,8 @@ refined, by the buckets of what lies at later and earlier offsets.
   that share their whole context with another are done: all their strings occur
   elsewhere.
 * Further refinement: in buckets that keep single members, one member of each
-  context is split by each pair (k bytes before, 100 - k bytes after), built
-  step by step from the bucket ids of shorter offsets and sorted in arrays;
-  a pair held by two members is a repeated string. Buckets of more than
+  context is split by each pair (k bytes before, 100 - k bytes after), whose
+  polynomial hashes are fingerprints of the 200 bytes, sorted in arrays; a pair held by two members is a repeated string. Buckets of more than
   ``TASK_BUCKET`` contexts are counted by Spark instead, one row for each pair, so no
   task gets an unbounded bucket.
 
