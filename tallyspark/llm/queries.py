@@ -7,9 +7,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyspark.llm import decontaminate as decontamination
+from tallyspark.llm import filter_audit as audit
 from tallyspark.llm import line_dedup as lines
 from tallyspark.llm import near_dedup as near
+from tallyspark.llm import prefix_trie as tries
 from tallyspark.llm import suffix_dedup as suffixes
+from tallyspark.llm import topk_search as search
 from tallyspark.llm.bpe import bpe_digests
 from tallyspark.llm.common import documents
 from tallyspark.llm.context_mixing import lm_scores
@@ -99,3 +102,27 @@ g AS (SELECT text_sha256, min(doc_id) AS keep_id, count(*) AS group_size FROM t
 SELECT t.doc_id, g.keep_id, g.group_size, t.doc_id IS NOT DISTINCT FROM g.keep_id AS kept, t.text_sha256
 FROM t JOIN g USING (text_sha256)
 """
+
+
+@query
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tries.conversation_trie(table(spark, sf_dir, "conversations"))
+
+
+ORACLE["op11_prefix_trie"] = tries.ORACLE
+
+
+@query
+def op12_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search.top_k(table(spark, sf_dir, "embeddings"))
+
+
+ORACLE["op12_topk_search"] = search.ORACLE
+
+
+@query
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit.filter_audit(documents(spark, sf_dir), table(spark, sf_dir, "labels"))
+
+
+ORACLE["op13_filter_audit"] = audit.ORACLE
