@@ -1,16 +1,13 @@
-"""Scaling, training, tuning and importance with MLlib (ML1-ML9, ML12, ML13).
+"""Scaling, and models of MLlib as pipelines (ML1, ML3-ML7, ML10-ML12).
 
 Training data is one DataFrame with a feature list and a 0/1 label; every fit
-is a distributed MLlib job. Searches evaluate trials on the driver's thread
-pool (``parallelism``), each trial itself a distributed fit; trial parameters
-come from :func:`tallyspark.plans.features.draw_params` (reproducible md5
-draws) rather than a sequential solver.
+is a distributed MLlib job. Searches, cross-validated logistic models and
+ensembles with all search parameters are in :mod:`boosting` and :mod:`logistic`.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import SparkContext
 from pyspark.ml import Pipeline, PipelineModel
@@ -23,7 +20,6 @@ from tallyspark.operators import metrics as M
 from tallyspark.operators.prep import q
 from tallyspark.operators.scoring import prob_of_positive
 from tallyspark.functions.scalar import half_even_int
-from tallyspark.session import materialize
 
 
 def minmax_scale(df: DataFrame, cols: Sequence[str], suffix: str = "") -> DataFrame:
@@ -52,41 +48,6 @@ def fit_logistic(df: DataFrame, features: Sequence[str], label: str, reg: float
     return Pipeline(stages=[assembler(features), lr]).fit(df)
 
 
-def logistic_cv(df: DataFrame, features: Sequence[str], label: str, key: str, metric: str = "f1",
-                penalty: str = "l2", cs: Sequence[float] | None = None, folds: int = 10,
-                seed: str = "42", parallelism: int = 4, max_iter: int = 100) -> tuple[PipelineModel, DataFrame]:
-    """ML2: logistic regression with cross-validated inverse strength C.
-
-    Features are min-max scaled first (ML1). C maps to MLlib's
-    ``regParam = 1 / (C * n)`` with n the rows of the fit. Folds are the exact-size hash folds (SP3); the
-    score per C is the mean fold metric (A17). Returns the refit model and the
-    (C, score) table."""
-    from tallyspark.operators.split import kfold
-    cs = list(cs or [10.0 ** e for e in range(-5, 6)])
-    folded = materialize(kfold(minmax_scale(df, features, suffix=""), key, k=folds, seed=seed), "folds")
-    sizes = {r["fold"]: r["n"] for r in folded.groupBy("fold").agg(F.count(F.lit(1)).alias("n")).collect()}
-    n = sum(sizes.values())
-
-    def score(c: float) -> tuple[float, float]:
-        rows = []
-        for f in sizes:
-            reg = 1.0 / (c * max(n - sizes[f], 1))   # of the rows that this fit sees
-            model = fit_logistic(folded.filter(F.col("fold") != f), features, label, reg,
-                                 penalty == "l1", max_iter)
-            pred = (model.transform(folded.filter(F.col("fold") == f))
-                    .withColumn("_p", F.col("prediction").cast("int")))
-            rows.append(M.binary_metrics(pred, label, "_p").first()[metric])
-        return c, float(sum(rows) / len(rows))
-
-    with ThreadPoolExecutor(max_workers=parallelism) as pool:
-        scores = list(pool.map(score, cs))
-    best_c = max(scores, key=lambda t: (t[1], -t[0]))[0]
-    model = fit_logistic(folded, features, label, 1.0 / (best_c * n), penalty == "l1", max_iter)
-    spark = df.sparkSession
-    table = spark.createDataFrame(scores, "C double, score double")
-    return model, table
-
-
 def coefficient_table(spark: SparkSession, model: PipelineModel, features: Sequence[str]) -> DataFrame:
     """ML3: (feature, importance) from logistic coefficients."""
     coefs = model.stages[-1].coefficients.toArray().tolist()
@@ -203,43 +164,3 @@ def predict(model: PipelineModel, df: DataFrame, prob: str = "prob", pred: str =
 def evaluate(model: PipelineModel, df: DataFrame, label: str) -> DataFrame:
     """ML12: metrics row of one model on a table."""
     return M.binary_metrics(predict(model, df), label, "pred")
-
-
-def random_search(train: DataFrame, valid: DataFrame, features: Sequence[str], label: str,
-                  trials: Sequence[Mapping], metric: str = "f1", rounds: int = 800, patience: int = 40,
-                  parallelism: int = 4, seed: int = 42) -> DataFrame:
-    """ML8: evaluate every trial (parameters drawn by M4, one dict each) on the validation
-    table; loss = 1 - metric (A20). Returns one row per trial."""
-    name = {"f1_score": "f1"}.get(metric, metric)
-
-    def run(p: Mapping) -> dict:
-        model, curve = train_with_early_stop(train, valid, features, label, p, rounds, patience, seed)
-        m = evaluate(model, valid, label).first().asDict()
-        return {**p, **{k: float(m[k]) for k in M.METRICS}, "loss": 1.0 - float(m[name]),
-                "best_round": int(curve.first()["best_round"])}
-
-    with ThreadPoolExecutor(max_workers=parallelism) as pool:
-        results = list(pool.map(run, trials))
-    return train.sparkSession.createDataFrame(results)
-
-
-def cv_search(df: DataFrame, features: Sequence[str], label: str, key: str, trials: Sequence[Mapping],
-              k: int = 5, metric: str = "f1", rounds: int = 1000, patience: int = 50, seed: str = "42",
-              parallelism: int = 4) -> DataFrame:
-    """ML9: k-fold search with early stopping on each fold; a trial's score is the mean fold metric."""
-    from tallyspark.operators.split import kfold
-    folded = materialize(kfold(df, key, k=k, seed=seed), "folds")
-    name = {"f1_score": "f1"}.get(metric, metric)
-
-    def run(p: Mapping) -> dict:
-        vals = []
-        for f in range(k):
-            fold = folded.filter(F.col("fold") == f)
-            model, _ = train_with_early_stop(folded.filter(F.col("fold") != f), fold, features, label, p, rounds, patience)
-            vals.append(float(evaluate(model, fold, label).first()[name]))
-        mean = sum(vals) / k
-        return {**p, f"mean_{name}": mean, "loss": 1.0 - mean}
-
-    with ThreadPoolExecutor(max_workers=parallelism) as pool:
-        results = list(pool.map(run, trials))
-    return df.sparkSession.createDataFrame(results)

@@ -58,6 +58,14 @@ def private_folder(master: str) -> str:
     return tempfile.mkdtemp(prefix="tallyspark-ckpt-")
 
 
+def workers_import(spark: SparkSession) -> None:
+    """Let Python workers import this package where they see the driver's copy (a cluster has it installed or as ``--py-files``)."""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    env = spark.sparkContext.environment
+    if root not in env.get("PYTHONPATH", "").split(os.pathsep):
+        env["PYTHONPATH"] = os.pathsep.join(x for x in (root, env.get("PYTHONPATH")) if x)
+
+
 _made: dict[str, SparkSession] = {}
 
 
@@ -80,6 +88,13 @@ def remove_written() -> None:
             target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Remove a table of :func:`shared_path` that nothing reads any more."""
+    if _made.pop(path, None) is not None:
+        target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def materialize(df: DataFrame, name: str = "table") -> DataFrame:
     """Write a table once to the shared folder and read it back, whatever its size.
 
