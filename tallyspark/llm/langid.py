@@ -210,10 +210,15 @@ def language_id(docs: DataFrame, sample: int = SAMPLE) -> DataFrame:
 def drop_undetermined(docs: DataFrame, least_score: float = 0.3) -> DataFrame:
     """The input's rows and columns without texts that are ``und`` or whose language is hardly a guess.
 
-    Learns from all rows that have a language.
+    Learns from all rows that have a language. Without any, only texts that have no letter go. A guess among k
+    languages is 1 / k, so with more than four the limit on the score falls to 1.2 / k.
     """
     key = F.xxhash64("doc_id", F.coalesce("text", F.lit("")))
-    scored = predict(docs.select(key.alias("doc_id"), "text"), train(docs))
+    model = train(docs)
+    if not model.languages:
+        return docs.where(F.coalesce("text", F.lit("")).rlike(r"\p{L}"))
+    least_score = min(least_score, 1.2 / len(model.languages))
+    scored = predict(docs.select(key.alias("doc_id"), "text"), model)
     own, gone = fresh(docs, "__own"), fresh(docs, "__rejected")
     out = stored(scored.where((F.col("lang_pred") == UNDETERMINED) | (F.col("score") < least_score))
                  .select(F.col("doc_id").alias(gone)).distinct(), "rejected")

@@ -195,6 +195,11 @@ def test_language_id(spark):
     kept = langid.drop_undetermined(frame(spark, data + [(900, "12 ** 7", None, "s", 1), (901, None, "en", "s", 1)]))
     assert kept.columns == frame(spark).columns and kept.count() == len(data)
     assert {(r.lang_pred, r.score) for r in langid.language_id(frame(spark, [(1, "some words", None, "s", 1)])).collect()} == {("und", 0.0)}
+    # Nothing to learn from: only texts without a letter go. Many languages: a score far over a guess's stays.
+    bare = [(i, t, None, "s", 1) for i, _, t in [(i, 0, prose(i, 30)) for i in range(20)]] + [(50, "12 ** 7", None, "s", 1), (51, None, None, "s", 1)]
+    assert sorted(r.doc_id for r in langid.drop_undetermined(frame(spark, bare)).collect()) == list(range(20))
+    many = [(i, " ".join(prose(700 + i % 40, 40).split()[(i // 40) * 3:]), f"l{i % 40}", "s", 1) for i in range(160)]
+    assert langid.drop_undetermined(frame(spark, many)).count() == 160
     assert langid.language_id(frame(spark, [])).count() == 0
     assert len(langid.language_id(frame(spark)).collect()) == len(rows())
 
