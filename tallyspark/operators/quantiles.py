@@ -7,6 +7,7 @@ integer's leading bits inside the buckets that hold a wanted rank -- a map-side
 combined aggregate -- and a running sum over the counts locates the next
 bucket. Three passes read all 64 bits, whatever the data: the last bucket is a
 single value. No row is sorted or collected, a hot value is one count.
+A few quantiles of each group are found in two scans, with a sketch that brackets them (:func:`bracketed_values`).
 
 Infinities are values like others, NaN counts as null, and a null group is a
 group like others.
@@ -25,6 +26,8 @@ from tallyspark.session import materialize
 
 # Low bits that each pass leaves out: 22, 21 and 21 bits are read.
 PASSES = (42, 21, 0)
+# Values that a sketch gives, its error as a share of the rows (one part in so many), rows that brackets may hold.
+GRID, ACCURACY, MOST_INSIDE = 200, 10_000, 5_000_000
 
 
 def with_order_key(df: DataFrame, x: str, out: str) -> DataFrame:
@@ -86,6 +89,35 @@ def kth_values(long: DataFrame, keys: Sequence[str], targets) -> DataFrame:
     return wanted.drop("_p", "_before")
 
 
+def bracketed_values(long: DataFrame, keys: Sequence[str], targets) -> DataFrame:
+    """As :func:`kth_values`, for a few ranks of each group, in two scans.
+
+    The first scan makes one mergeable sketch of each group. Its error is bounded, so two of its ``GRID`` values
+    enclose the value at a rank for certain; the second scan counts the rows under each bracket and the equal values
+    inside. Groups whose brackets hold more than ``MOST_INSIDE`` rows go digit by digit.
+    """
+    keys = list(keys)
+    rows = long.select(*keys, "x")
+    steps = F.array(*[F.lit(i / GRID) for i in range(GRID + 1)])
+    sketch = materialize(rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.percentile_approx("x", steps, ACCURACY).alias("_grid")), "sketches")
+    largest = sketch.agg(F.max("_n")).first()[0]
+    if largest is not None and largest * (1 / GRID + 8 / ACCURACY) > MOST_INSIDE:
+        return kth_values(long, keys, targets)
+    n, rank, slack = F.col("_all"), F.col("_rank"), 4 / ACCURACY
+    low, high = F.floor(((rank - 1) / n - slack) * GRID).cast("int"), F.ceil((rank / n + slack) * GRID).cast("int")
+    wanted = join_same(targets(sketch.select(*keys, "_n")), sketch.select(*keys, "_grid", F.col("_n").alias("_all")), keys)
+    wanted = wanted.withColumn("_low", F.when(low >= 0, F.get("_grid", low)).otherwise(F.lit(float("-inf")))).withColumn(
+        "_high", F.when(high <= GRID, F.get("_grid", high)).otherwise(F.lit(float("inf")))).drop("_grid", "_all")
+    brackets = wanted.groupBy(*keys).agg(F.collect_set(F.struct("_low", "_high")).alias("_brackets"))
+    near = join_same(rows, brackets, keys).select(*keys, "x", F.inline("_brackets")).where("x <= _high")
+    counts = materialize(near.groupBy(*keys, "_low", "_high", F.when(F.col("x") >= F.col("_low"), F.col("x")).alias("_value"))
+                         .agg(F.count(F.lit(1)).alias("_c")), "value-counts")
+    ordered = Window.partitionBy(*keys, "_low", "_high").orderBy(F.col("_value").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, 0)
+    ends = counts.withColumn("_end", F.sum("_c").over(ordered))
+    found = join_same(wanted, ends, [*keys, "_low", "_high"]).where((rank > F.col("_end") - F.col("_c")) & (rank <= F.col("_end")))
+    return found.drop("_low", "_high", "_c", "_end")
+
+
 def quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
               by: Sequence[str] = ()) -> DataFrame:
     """(by..., column_name, p, value): exact quantiles with linear interpolation
@@ -99,7 +131,7 @@ def quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
         ranks = F.array(first, F.least(first + 1, F.col("_n")))
         return pos.select(*keys, "p", (F.col("_pos") - F.floor("_pos")).alias("_frac"), F.posexplode(ranks).alias("_tid", "_rank"))
 
-    vals = kth_values(long_values(df, cols, by), keys, targets)
+    vals = bracketed_values(long_values(df, cols, by), keys, targets)
     both = vals.groupBy(*keys, "p", "_frac").agg(F.max(F.when(F.col("_tid") == 0, F.col("_value"))).alias("_v0"),
                                                  F.max(F.when(F.col("_tid") == 1, F.col("_value"))).alias("_v1"))
     v0, v1, f = F.col("_v0"), F.col("_v1"), F.col("_frac")

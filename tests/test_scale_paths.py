@@ -108,6 +108,27 @@ def test_null_classes_are_kept(spark):
     assert box_outliers(df.union(spark.createDataFrame([(None, 1e6)], df.schema)), "x", by=["g"]).first()["g"] is None
 
 
+def test_brackets_hold_the_exact_values(spark, monkeypatch):
+    from tallyspark.operators import quantiles as Q
+    r = np.random.default_rng(3)
+    x = np.concatenate([r.normal(size=20000), np.full(9000, 0.25), r.exponential(size=11000) * 1e6, [np.inf, -np.inf]])
+    df = spark.createDataFrame(pd.DataFrame({"g": np.where(np.arange(len(x)) % 3 == 0, "a", "b"), "x": x})).repartition(7)
+    probs = [0.0, 0.001, 0.25, 0.5, 0.731, 0.999, 1.0]
+
+    def values():
+        return {(t["g"], t["p"]): t["value"] for t in quantiles(df, ["x"], probs, by=["g"]).collect()}
+
+    got = values()
+    for g in "ab":
+        mine = np.sort(x[(np.arange(len(x)) % 3 == 0) == (g == "a")])
+        for p in probs:
+            at = p * (len(mine) - 1)
+            low, high = mine[int(np.floor(at))], mine[int(np.ceil(at))]
+            assert got[g, p] == low if low == high else np.isclose(got[g, p], low + (high - low) * (at - np.floor(at)))
+    monkeypatch.setattr(Q, "MOST_INSIDE", 10)              # brackets would hold too many rows: digit by digit
+    assert values() == got
+
+
 def test_kth_values_of_one_value(spark):
     long = long_values(spark.createDataFrame(pd.DataFrame({"x": [5.0] * 100})), ["x"])
     got = kth_values(long, ["column_name"], lambda n: n.select("column_name", F.lit(0).alias("_tid"), F.lit(50).cast("bigint").alias("_rank")))
