@@ -33,8 +33,10 @@ HEADLINE = [
     # logging and streams
     "prediction_log_daily", "stream_score", "stream_monitor",
     # training and promotion
-    "logit_importance", "rf_importance", "gbt_importance", "gbt_train_eval", "random_search", "cv_search", "all_versions_eval",
+    "logit_importance", "logit_importance_l1", "rf_importance", "gbt_importance", "gbt_train_eval", "search_steps", "model_lifecycle", "all_versions_eval",
 ]
+#: At full budget (50 trials) they take minutes: named on the command line only.
+LONG = ["random_search", "cv_search"]
 
 
 def main() -> None:

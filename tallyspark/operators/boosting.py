@@ -89,7 +89,7 @@ class Boosted:
     trees: list[list[np.ndarray]]
     losses: list[list[float]]
     counts: list[list[tuple[int, int, int, int]]]
-    best: list[int | None] = field(default_factory=list)
+    best: list[int | None] = field(default_factory=list)     # None: no rows
     stop: list[int | None] = field(default_factory=list)
     fitted: int = 0                # trees that were grown in this run
 
@@ -504,10 +504,10 @@ def boost(data: Binned, specs: Sequence[Spec], rounds: int, patience: int | None
             table = spark.read.parquet(f"{state}/step-{step}/margins")
     saved = [len(x) for x in out.losses]
     held = [max(1, data.sizes.get(s.fold, 0)) for s in specs]
-    casts, grower = [], _Grower(data, specs)
+    casts, grower, bare = [], _Grower(data, specs), set()
 
     def going() -> list[int]:
-        return [m for m in range(len(specs)) if len(out.losses[m]) < rounds and _stopped(out.losses[m], patience)[1] is None]
+        return [m for m in range(len(specs)) if m not in bare and len(out.losses[m]) < rounds and _stopped(out.losses[m], patience)[1] is None]
 
     active = going()
     while active:
@@ -521,13 +521,16 @@ def boost(data: Binned, specs: Sequence[Spec], rounds: int, patience: int | None
             wait = patience - (len(out.losses[m]) - 1 - best) if patience is not None and out.losses[m] else patience
             ahead[m] = (min(AHEAD, rounds - len(out.losses[m])), least, wait if wait is not None else rounds + 1)
         got = grower.step(table, active, margins_of, ahead, kind)
+        bare.update(set(active) - set(got))        # no rows: no trees
+        if not got:
+            break
         for m, r in got.items():
             out.fitted += len(r.trees)
             out.trees[m] += r.trees
             out.losses[m] += [v / LOSS_SCALE / held[m] for v in r.losses]
             out.counts[m] += [tuple(map(int, x)) for x in r.seen]
         casts.append(spark.sparkContext.broadcast({m: r.trees for m, r in got.items()}))
-        worked, active = active, going()
+        worked, active = sorted(got), going()
         since = max(len(out.losses[m]) - saved[m] for m in worked)
         if since >= KEEP and active or state and not active:
             step += 1
@@ -550,7 +553,7 @@ def boost(data: Binned, specs: Sequence[Spec], rounds: int, patience: int | None
         remove_path(spark, base)
     for m, s in enumerate(specs):
         best, stop = _stopped(out.losses[m], patience) if s.fold >= 0 else (len(out.losses[m]) - 1, None)
-        out.best.append(best)
+        out.best.append(best if out.losses[m] else None)
         out.stop.append(stop)
     return out
 
@@ -673,8 +676,8 @@ def random_search(data: Binned, trials: Sequence[Mapping], metric: str = "f1", r
     out = []
     for m, t in enumerate(trials):
         best = got.best[m]
-        r = rates(got.counts[m][best])
-        out.append({**t, **r, "logloss": got.losses[m][best], "loss": 1.0 - r[name], "best_round": best, "rounds": len(got.losses[m])})
+        r = rates(got.counts[m][best] if best is not None else (0, 0, 0, 0))
+        out.append({**t, **r, "logloss": got.losses[m][best] if best is not None else None, "loss": 1.0 - r[name], "best_round": best, "rounds": len(got.losses[m])})
     return out
 
 
@@ -686,6 +689,6 @@ def cv_search(data: Binned, trials: Sequence[Mapping], k: int, metric: str = "f1
     out = []
     for i, t in enumerate(trials):
         mine = range(i * k, i * k + k)
-        mean = sum(rates(got.counts[m][got.best[m]])[name] for m in mine) / k
+        mean = sum(rates(got.counts[m][got.best[m]])[name] for m in mine if got.best[m] is not None) / k
         out.append({**t, f"mean_{name}": mean, "loss": 1.0 - mean, "rounds": sum(len(got.losses[m]) for m in mine)})
     return out
