@@ -3,7 +3,8 @@
 A registry is a folder with append-only tables ``runs``, ``versions`` and
 ``stage_events`` and the saved models. Several writers may register at once: a
 version's number is taken by creating the file of that number, which only one
-of them can (``claim``); the others take the next.
+of them can (``claim``); the others take the next. Each row that is added lies in a
+folder of its own.
 
 An ensemble is saved as a node table with a manifest: the number of its nodes and
 a checksum of them, which doesn't depend on how they lie in files. A version whose
@@ -41,12 +42,16 @@ class ModelRegistry:
 
     def _table(self, name: str, schema) -> DataFrame:
         try:
-            return self.spark.read.schema(schema).parquet(f"{self.base}/{name}")
+            return self.spark.read.schema(schema).option("recursiveFileLookup", "true").parquet(f"{self.base}/{name}")
         except AnalysisException as ex:
             if "PATH_NOT_FOUND" not in str(ex):
                 raise
             return self.spark.createDataFrame([], schema)
 
+    def _append(self, name: str, rows: DataFrame) -> None:
+        """Rows in a folder of their own: jobs that write into one folder at once would take each other's unfinished files away."""
+        rows.write.parquet(f"{self.base}/{name}/{uuid.uuid4().hex}")
+
     def runs(self) -> DataFrame:
         return self._table("runs", R.RUNS_SCHEMA)
 
@@ -58,21 +63,27 @@ class ModelRegistry:
 
     def add_runs(self, runs: list[tuple]) -> None:
         """(run_id, experiment, params, metrics, tags) records."""
-        R.append_runs(R.runs_frame(self.spark, runs), f"{self.base}/runs")
+        self._append("runs", R.runs_frame(self.spark, runs))
 
     def register(self, model_name: str, uri: str, run_id: str | None = None) -> int:
         """R2: the next version of a model, stored at ``uri``; returns its number. Other writers may register at the same time."""
         row = R.register_version(self.spark, self.versions(), model_name, uri, run_id).first().asDict()
         while not self.claim(f"{model_name}-{row['version']}"):
             row["version"] += 1            # another writer has that number, in the table or on its way there
-        self.spark.createDataFrame([row], R.VERSIONS_SCHEMA).write.mode("append").parquet(f"{self.base}/versions")
+        self._append("versions", self.spark.createDataFrame([row], R.VERSIONS_SCHEMA))
         return row["version"]
 
     def claim(self, name: str) -> bool:
-        """Create a file that only one writer can create; False if it is there."""
+        """Create a file that only one writer can create; False if it is there.
+
+        A mounted folder does that itself; there Hadoop's client would look first and write then, which isn't one step.
+        """
         jvm = self.spark.sparkContext._jvm
         target = jvm.org.apache.hadoop.fs.Path(f"{self.base}/claims/{name}")
         files = target.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        if files.getScheme() == "file":
+            files.mkdirs(target.getParent())
+            return jvm.java.io.File(target.toUri().getPath()).createNewFile()
         try:
             files.create(target, False).close()
         except Py4JJavaError as ex:
@@ -86,7 +97,7 @@ class ModelRegistry:
         uri = f"{self.base}/models/{model_name}-{uuid.uuid4().hex}"
         nodes.write.parquet(uri)
         written = self.spark.read.schema(NODES).parquet(uri)
-        written.agg(*checksum()).select(F.lit(uri).alias("uri"), "n_nodes", "checksum").write.mode("append").parquet(f"{self.base}/manifests")
+        self._append("manifests", written.agg(*checksum()).select(F.lit(uri).alias("uri"), "n_nodes", "checksum"))
         return self.register(model_name, uri, run_id)
 
     def ensembles(self, versions: DataFrame) -> DataFrame:
@@ -127,10 +138,13 @@ class ModelRegistry:
         return self.register(model_name, uri, run_id)
 
     def promote(self, model_name: str, version: int | None, stage: str = "Production") -> None:
-        """Move a version to a stage; nothing happens without a version."""
+        """Move a version to a stage; nothing happens without a version. Moves at the same time get an order of their own."""
         row = R.promote(self.spark, model_name, version, stage, self.stage_events())
         if row is not None:
-            row.write.mode("append").parquet(f"{self.base}/stage_events")
+            event = row.first().asDict()
+            while not self.claim(f"stage-event-{event['seq']}"):
+                event["seq"] += 1
+            self._append("stage_events", self.spark.createDataFrame([event], R.STAGE_EVENTS_SCHEMA))
 
     def uri(self, model_name: str, stage: str | None = None, version: int | None = None, run_id: str | None = None) -> str:
         """where the version lies that is in a stage, has a number or comes from a run (the latest of these)."""

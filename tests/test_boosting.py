@@ -186,6 +186,9 @@ def test_writers_at_once_get_numbers_of_their_own(spark):
         got = list(pool.map(lambda i: reg.register("m", f"uri{i}"), range(6)))
     rows = {r["version"]: r["uri"] for r in reg.versions().collect()}
     assert sorted(got) == [1, 2, 3, 4, 5, 6] and rows == {v: f"uri{i}" for i, v in enumerate(got)}
+    with ThreadPoolExecutor(4) as pool:
+        list(pool.map(lambda v: reg.promote("m", v, "Staging"), got))
+    assert sorted(r["seq"] for r in reg.stage_events().collect()) == [1, 2, 3, 4, 5, 6]
 
 
 # ------------------------------------------------------------------ logistic models
