@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyspark.operators.prep import q
-from tallyspark.session import materialize
 
 POLICIES = ("reject_file", "reject_rows", "allow")
 
@@ -95,7 +94,7 @@ def request_errors(df: DataFrame, numeric_fields: Sequence[str],
         checks.append(F.when(q(f).isNull(), F.lit(f"{f}: missing")))
     out = df
     if known is not None and known_field:
-        names = materialize(known.select(F.col(known_field).alias("_known")).distinct(), "known")
+        names = known.select(F.col(known_field).alias("_known")).distinct()
         out = out.join(names, q(known_field) == F.col("_known"), "left")
         checks.append(F.when(q(known_field).isNotNull() & F.col("_known").isNull(),
                              F.lit(f"{known_field}: unknown")))

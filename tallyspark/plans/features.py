@@ -139,6 +139,20 @@ def requests(events: DataFrame) -> DataFrame:
         F.when(n % 29 == 0, F.lit("no such model")).when(n % 31 == 0, F.lit(None)).otherwise(F.col("event_type")).alias("event_type"))
 
 
+def json_lines(events: DataFrame) -> DataFrame:
+    """The same requests as raw JSON lines (``value``), a few cut off, without braces, or with an object or a list where a number belongs."""
+    n = F.col("event_id")
+    fields = [("k", F.get_json_object("props", "$.k")), ("user_id", F.col("user_id").cast("string"))]
+    k = (F.when(n % 17 == 0, F.lit("null")).when(n % 19 == 0, F.lit('"abc"')).when(n % 37 == 0, F.lit('{"v": 1}')).when(n % 41 == 0, F.lit("[1, 2]"))
+         .when(n % 23 == 0, F.concat(F.lit("-"), fields[0][1], F.lit(".5"))).otherwise(fields[0][1]))
+    name = F.when(n % 29 == 0, F.lit("no such model")).otherwise(F.col("event_type"))
+    body = F.concat(F.lit('"id": '), n.cast("string"), F.lit(', "k": '), k, F.lit(', "user_id": "'), fields[1][1], F.lit('"'),
+                    F.when(n % 31 == 0, F.lit("")).otherwise(F.concat(F.lit(', "model_name": "'), name, F.lit('"'))))
+    line = (F.when(n % 43 == 0, F.concat(F.lit("{"), body)).when(n % 47 == 0, body).when(n % 53 == 0, F.concat(F.lit("[{"), body, F.lit("}]")))
+            .otherwise(F.concat(F.lit("{"), body, F.lit("}"))))
+    return events.select(line.alias("value"))
+
+
 def write_prediction_log(spark: SparkSession, sf_dir: str) -> str:
     """Score every event and append {prediction, player, timestamp} records
     to a fresh table in the shared folder; returns its path."""

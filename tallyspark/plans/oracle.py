@@ -427,6 +427,21 @@ ORACLE["stream_rejected"] = f"""
 WITH {REQ}
 SELECT event_id, {ERRORS_TEXT} AS errors_text FROM req WHERE {N_ERRORS} > 0"""
 
+ORACLE["stream_json_requests"] = """
+WITH p AS (SELECT event_id, json_extract_string(props, '$.k') AS pk, user_id, event_type,
+                  event_id % 43 = 0 OR event_id % 47 = 0 OR event_id % 53 = 0 AS bad FROM events),
+t AS (SELECT *, CASE WHEN bad OR event_id % 17 = 0 THEN NULL WHEN event_id % 19 = 0 THEN 'abc' WHEN event_id % 37 = 0 THEN '{"v":1}'
+                     WHEN event_id % 41 = 0 THEN '[1,2]' WHEN event_id % 23 = 0 THEN '-' || pk || '.5' ELSE pk END AS raw,
+             CASE WHEN bad OR event_id % 31 = 0 THEN NULL WHEN event_id % 29 = 0 THEN 'no such model' ELSE event_type END AS model_name FROM p),
+n AS (SELECT *, TRY_CAST(raw AS DOUBLE) AS k FROM t),
+e AS (SELECT *, CASE WHEN bad THEN 'request: malformed' ELSE concat_ws('; ',
+             CASE WHEN raw IS NULL THEN 'k: missing' END, CASE WHEN raw IS NOT NULL AND k IS NULL THEN 'k: not a number' END,
+             CASE WHEN k < 0 THEN 'k: negative' END, CASE WHEN model_name IS NULL THEN 'model_name: missing' END,
+             CASE WHEN model_name = 'no such model' THEN 'model_name: unknown' END) END AS errors_text FROM n)
+SELECT event_id, k, CASE WHEN k IS NULL THEN raw END AS k_text, CASE WHEN NOT bad THEN user_id::DOUBLE END AS user_id, model_name,
+       CASE WHEN errors_text = '' THEN CAST(round_even(1.0 / (1.0 + exp(-(-1.0 + 0.02 * k))), 0) AS INTEGER) END AS prediction, errors_text
+FROM e"""
+
 ORACLE["stream_monitor"] = f"""
 WITH {EV},
 wm AS (SELECT max(ts) - INTERVAL 1 HOUR AS wm FROM events)

@@ -439,6 +439,32 @@ def stream_rejected(spark, d):
     return got.select("event_id", F.concat_ws("; ", "errors").alias("errors_text"))
 
 
+@register("stream_json_requests")
+def stream_json_requests(spark, d):
+    """F3, P9, ST1 on raw JSON: lines become a text stream; both tables are read back by the manifest."""
+    from tallyspark.operators import requests as RQ
+    from tallyspark.plans.features import json_lines
+    from tallyspark.session import materialize, shared_path
+    src, acc, rej, log = (shared_path(spark, f"json-{x}") for x in ("lines", "accepted", "rejected", "manifest"))
+    json_lines(table(spark, d, "events")).write.text(src)
+    known = materialize(registered_versions(spark, d).select("model_name").distinct(), "known")
+
+    def prepare(batch: DataFrame) -> DataFrame:
+        parsed = RQ.parse_json_requests(batch, ["id", "k", "user_id", "model_name"])
+        checked = RQ.json_request_errors(parsed, ["k", "user_id"], ["model_name"], known=lambda: known, known_field="model_name")
+        scored = score_linear(RQ.mixed_to_float(checked, ["k", "user_id"]), {"k": 0.02}, -1.0)
+        return scored.select("value", F.col("id").try_cast("bigint").alias("event_id"), "k", "k_text", "user_id", "model_name", "prediction", "errors")
+
+    ST.score_stream(spark.readStream.text(src), prepare, acc, rej, shared_path(spark, "json-ckpt"), manifest_path=log).awaitTermination()
+    good = ST.committed(spark, acc, log).withColumn("errors_text", F.lit(""))
+    bad = ST.committed(spark, rej, log).select("*", F.concat_ws("; ", "errors").alias("errors_text"))
+    # A malformed line has no number: it is found by its text.
+    number = F.coalesce("event_id", F.regexp_extract("value", '"id": ([0-9]+)', 1).cast("bigint"))
+    return good.unionByName(bad, allowMissingColumns=True).select(
+        number.alias("event_id"), "k", "k_text", "user_id", "model_name",
+        F.when(F.col("errors_text") == "", F.col("prediction")).alias("prediction"), "errors_text")
+
+
 @register("stream_monitor")
 def stream_monitor(spark, d):
     scored = score_events(_event_stream(spark, d))

@@ -12,7 +12,7 @@ FAST = ["typed_projection", "display_rename", "null_profile", "mean_impute", "st
         "ols_trend", "negative_split", "request_validation", "trial_draws", "best_trial",
         "request_validation", "stream_rejected", "csv_typed_scan", "batch_predict", "scatter_records", "record_head",
         "table_shape", "promote_best", "part_sizes", "search_trials", "leaderboard", "best_version", "gap_free_versions", "current_stage", "early_stop",
-        "minmax_scale", "prediction_log_daily", "stream_score", "stream_monitor", "rf_importance", "gbt_train_eval", "search_steps",
+        "minmax_scale", "prediction_log_daily", "stream_score", "stream_json_requests", "stream_monitor", "rf_importance", "gbt_train_eval", "search_steps",
         "logit_importance", "logit_importance_l1", "logit_scores", "model_lifecycle"]
 
 
