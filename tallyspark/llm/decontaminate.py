@@ -1,24 +1,33 @@
 """Benchmark decontamination by spaced-seed hashing (operator 5, native).
 
-Texts become lower-cased tokens (runs of letters and digits). Three fixed masks
-over 7 tokens look at 5 positions and ignore 2, so a substituted token spoils
-only the windows whose mask reads it. Mask hashes of every training window meet
-those of the benchmark in a join; hits on one diagonal (training position minus
-item position) of a document and an item form a candidate. Its overlap is then
-verified on the tokens themselves, substitutions allowed: from some hit window to
-the same or a later one at least 80 % of the tokens agree and they span at least
-13 tokens, or at least 80 % of the whole item agrees. Every pair of hit windows
-of the diagonal counts, so a quote in parts, or a chance hit far from a quote,
-hides nothing (the SQL below looks from the first hit to the last only).
+Texts become lower-cased tokens (runs of letters and digits). Fixed masks look at
+5 positions of a window and ignore others, so a substituted token spoils only the
+windows whose mask reads it. Mask hashes of every training window meet those of
+the benchmark in a join; hits on one diagonal (training position minus item
+position) of a document and an item form a candidate, whose overlap is then
+verified on the tokens of the whole diagonal, substitutions allowed.
+
+A document is contaminated by an item if, on one diagonal,
+
+* at least 80 % of some 13 or more tokens in a row agree, or
+* at least 80 % of the whole item agrees (items of 7 tokens and more), or
+* all tokens of an item of 4 to 6 tokens agree, or
+* the text is the item, token by token (items of 1 to 3 tokens, which stand by
+  chance in many texts).
+
+The masks miss none of these: every pattern of 7 to 25 tokens with 80 % agreeing
+holds a window that some mask reads without a substitution (a test enumerates
+them all), and longer stretches hold one of 13 to 25 tokens that agrees as well.
+The SQL below has the same rule and finds its candidates by other means.
 
 Only candidates need their document's tokens again, found by (doc_id, hash of
-the text). The benchmark's seeds are broadcast only below ``BROADCAST_ROWS``
-rows; beyond, the planner joins by shuffle.
+the text). A side is broadcast only if its counted bytes are within
+``BROADCAST_BYTES``; beyond, the planner joins by shuffle.
 
-Defined cases: null, empty and short texts (under 7 tokens) have no hits and are
-clean, items under 7 tokens are too short to prove anything and are left out,
-equal items count by their own item_id, rows that repeat a doc_id are judged by
-their own text, an empty benchmark leaves everything clean.
+Defined cases: null, empty and texts without letters and digits are clean, items
+without tokens match nothing, equal items count by their own item_id, rows that
+repeat a doc_id are judged by their own text, an empty benchmark leaves
+everything clean.
 """
 
 from __future__ import annotations
@@ -28,11 +37,13 @@ from pyspark.sql import functions as F
 
 from tallyspark.llm.common import fresh, stored
 
-MASKS = ((0, 1, 2, 4, 6), (0, 1, 3, 5, 6), (0, 2, 3, 4, 6))
-SPAN = 7
-LEAST_TOKENS = 13
+MASKS = ((0, 1, 2, 4, 5), (0, 1, 2, 3, 4), (0, 1, 3, 5, 6), (0, 1, 2, 3, 6))
+SHORT_MASK = (0, 1, 2, 3)   # only used if there are items of four tokens
+LEAST_TOKENS = 13    # of a stretch
+LEAST_ITEM = 7       # tokens of an item that may be quoted with substitutions
+LEAST_QUOTED = 4     # tokens of an item that counts wherever it is quoted
 PERCENT = 80
-BROADCAST_ROWS = 1_000_000
+BROADCAST_BYTES = 64 << 20
 
 
 def tokens_of(text: Column) -> Column:
@@ -41,47 +52,50 @@ def tokens_of(text: Column) -> Column:
     return F.transform(words, lambda t: F.xxhash64(t))
 
 
-def windows(df: DataFrame, keys: list[str]) -> DataFrame:
-    """keys, pos, seed: a row for each mask and window of the column ``tokens``."""
-    n = F.size("tokens") - SPAN + 1
-    shifted = [F.slice("tokens", k + 1, n).alias(f"t{k}") for k in range(SPAN)]
-    rows = (df.where(F.size("tokens") >= SPAN)
+def windows(df: DataFrame, keys: list[str], masks: tuple) -> DataFrame:
+    """keys, pos, seed: a row for each mask and window of the column ``tokens``; texts too short for any window give one seed of all tokens."""
+    least, most = min(m[-1] for m in masks) + 1, max(m[-1] for m in masks) + 1
+    n = F.size("tokens") - least + 1
+    # Slices that end early are filled up with nulls: there the mask's window reaches over the end.
+    shifted = [F.slice("tokens", k + 1, n).alias(f"t{k}") for k in range(most)]
+    rows = (df.where(F.size("tokens") >= least)
             .select(*keys, F.posexplode(F.arrays_zip(*shifted)).alias("pos", "w")))
-    seeds = F.array(*[F.xxhash64(F.lit(i), *[F.col(f"w.t{k}") for k in mask]) for i, mask in enumerate(MASKS)])
-    return rows.select(*keys, F.col("pos").cast("long").alias("pos"), F.explode(seeds).alias("seed"))
+    seeds = F.array(*[F.when(F.col(f"w.t{mask[-1]}").isNotNull(), F.xxhash64(F.lit(i), *[F.col(f"w.t{k}") for k in mask]))
+                      for i, mask in enumerate(masks)])
+    spaced = rows.select(*keys, F.col("pos").cast("long").alias("pos"), F.explode(F.array_compact(seeds)).alias("seed"))
+    whole = (df.where((F.size("tokens") > 0) & (F.size("tokens") < LEAST_QUOTED))
+             .select(*keys, F.lit(0).cast("long").alias("pos"), F.xxhash64(F.lit(-1), "tokens").alias("seed")))
+    return spaced.unionAll(whole)
 
 
-def small(df: DataFrame) -> DataFrame:
-    """Broadcast a written table if it's small."""
-    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
+def small(df: DataFrame, tokens: str | None = None) -> DataFrame:
+    """Broadcast a written table if its counted bytes are few; ``tokens`` is a column of token arrays, other columns are of fixed size."""
+    width = F.lit(16 * len(df.columns)) + (8 * F.size(tokens) if tokens else F.lit(0))
+    total = df.agg(F.sum(width.cast("long")).alias("bytes")).first()["bytes"] or 0
+    return F.broadcast(df) if total <= BROADCAST_BYTES else df
 
 
 def stretch(same: Column) -> Column:
-    """Whether LEAST_TOKENS or more tokens from the start of a hit window to the end of one agree by PERCENT.
+    """Whether LEAST_TOKENS or more tokens in a row agree by PERCENT.
 
     ``same``: 1 for each token of a diagonal that agrees, 0 for others. One pass:
     ``run`` holds the last LEAST_TOKENS of them as bits, ``sum`` adds up how far
-    they are over PERCENT, ``low`` is its least value before the start of a hit
-    window that is far enough back.
+    they are over PERCENT, ``low`` is the least value it had LEAST_TOKENS or more
+    tokens before.
     """
-    masks = [sum(1 << (SPAN - 1 - k) for k in mask) for mask in MASKS]
-
-    def hit(window: Column) -> Column:
-        test = [window.bitwiseAND(F.lit(m).cast("long")) == F.lit(m).cast("long") for m in masks]
-        return test[0] | test[1] | test[2]
-
     def shifted(s: Column, x: Column) -> Column:
         run = F.shiftleft(s["run"], 1).bitwiseOR(x).bitwiseAND(F.lit((1 << LEAST_TOKENS) - 1).cast("long"))
-        return F.struct(run.alias("run"), (s["sum"] + 100 * x - PERCENT).alias("sum"), s["low"].alias("low"), s["found"].alias("found"))
+        return F.struct(run.alias("run"), (s["n"] + 1).alias("n"), (s["sum"] + 100 * x - PERCENT).alias("sum"), s["low"].alias("low"),
+                        s["found"].alias("found"))
 
     def judged(s: Column) -> Column:
         start = s["sum"] - 100 * F.bit_count(s["run"]).cast("long") + PERCENT * LEAST_TOKENS
-        low = F.when(hit(F.shiftright(s["run"], LEAST_TOKENS - SPAN)), F.least(s["low"], start)).otherwise(s["low"])
-        found = s["found"] | (hit(s["run"]) & (low <= s["sum"]))
-        return F.struct(s["run"].alias("run"), s["sum"].alias("sum"), low.alias("low"), found.alias("found"))
+        low = F.when(s["n"] >= LEAST_TOKENS, F.least(s["low"], start)).otherwise(s["low"])
+        return F.struct(s["run"].alias("run"), s["n"].alias("n"), s["sum"].alias("sum"), low.alias("low"),
+                        (s["found"] | (low <= s["sum"])).alias("found"))
 
-    none = F.struct(F.lit(0).cast("long").alias("run"), F.lit(0).cast("long").alias("sum"), F.lit((1 << 62)).cast("long").alias("low"),
-                    F.lit(False).alias("found"))
+    zero = F.lit(0).cast("long")
+    none = F.struct(zero.alias("run"), zero.alias("n"), zero.alias("sum"), F.lit(1 << 62).cast("long").alias("low"), F.lit(False).alias("found"))
     # The inner transform names the step's state, so it is worked out once.
     return F.aggregate(same, none, lambda s, x: F.transform(F.array(shifted(s, x)), judged)[0], lambda s: s["found"])
 
@@ -90,12 +104,11 @@ def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """doc_id, text_hash, item_id, matched, item_tokens, overlap: verified overlaps, one row for each pair and diagonal."""
     key = [F.col("doc_id"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_hash")]
     train = docs.select(*key, tokens_of(F.col("text")).alias("tokens"))
-    items = stored(benchmark.select("item_id", tokens_of(F.col("text")).alias("tokens"))
-                   .where(F.size("tokens") >= SPAN).distinct(), "items")
-    seeds = stored(windows(items, ["item_id"]).withColumnRenamed("pos", "item_pos"), "seeds")
-    hits = windows(train, ["doc_id", "text_hash"]).join(small(seeds), "seed")
-    found = stored(hits.groupBy("doc_id", "text_hash", "item_id", (F.col("pos") - F.col("item_pos")).alias("diagonal"))
-                   .agg(F.min("item_pos").alias("first"), F.max("item_pos").alias("last")), "candidates")
+    items = stored(benchmark.select("item_id", tokens_of(F.col("text")).alias("tokens")).where(F.size("tokens") > 0).distinct(), "items")
+    masks = MASKS if items.where(F.size("tokens") == LEAST_QUOTED).isEmpty() else (*MASKS, SHORT_MASK)
+    seeds = stored(windows(items, ["item_id"], masks).withColumnRenamed("pos", "item_pos"), "seeds")
+    hits = windows(train, ["doc_id", "text_hash"], masks).join(small(seeds), "seed")
+    found = stored(hits.select("doc_id", "text_hash", "item_id", (F.col("pos") - F.col("item_pos")).alias("diagonal")).distinct(), "candidates")
     of = stored(found.select(F.col("doc_id").alias("id"), F.col("text_hash").alias("hash")).distinct(), "candidate_docs")
     same = lambda d: d["doc_id"].eqNullSafe(F.col("id")) & (d["text_hash"] == F.col("hash"))
     some = (docs.select(*key, "text").join(small(of), F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("text_hash") == F.col("hash")),
@@ -103,21 +116,18 @@ def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     some = some.select("doc_id", "text_hash", tokens_of(F.col("text")).alias("tokens"))
     cand = found.withColumnsRenamed({"doc_id": "id", "text_hash": "hash"})
     item = items.withColumnRenamed("tokens", "item")
-    pairs = some.join(cand, same(some)).join(small(item), "item_id")
+    pairs = some.join(cand, same(some)).join(small(item, "item"), "item_id")
     lo = F.greatest(F.lit(0), -F.col("diagonal")).cast("int")
     at = F.greatest(F.lit(0), F.col("diagonal")).cast("int")
     n = F.least(F.size("item") - lo, F.size("tokens") - at)
-
-    def agreeing(a: Column, b: Column) -> Column:
-        return F.zip_with(a, b, lambda x, y: (x == y).cast("long"))
-
-    size = (F.col("last") - F.col("first") + SPAN).cast("int")
-    region = stretch(agreeing(F.slice("item", F.col("first").cast("int") + 1, size),
-                              F.slice("tokens", (F.col("first") + F.col("diagonal")).cast("int") + 1, size)))
-    whole = F.aggregate(agreeing(F.slice("item", lo + 1, n), F.slice("tokens", at + 1, n)), F.lit(0).cast("long"), lambda s, x: s + x)
-    return (pairs.select("doc_id", "text_hash", "item_id", F.when(size >= LEAST_TOKENS, region).otherwise(F.lit(False)).alias("region"),
-                         whole.alias("matched"), F.size("item").cast("long").alias("item_tokens"))
-            .where(f"region OR 100 * matched >= {PERCENT} * item_tokens")
+    agree = F.zip_with(F.slice("item", lo + 1, n), F.slice("tokens", at + 1, n), lambda x, y: (x == y).cast("long"))
+    judged = pairs.select("doc_id", "text_hash", "item_id", F.size("item").cast("long").alias("item_tokens"),
+                          F.size("tokens").cast("long").alias("text_tokens"), agree.alias("agree"))
+    judged = judged.withColumn("matched", F.aggregate("agree", F.lit(0).cast("long"), lambda s, x: s + x))
+    size = F.col("item_tokens")
+    share = F.when(size >= LEAST_ITEM, 100 * F.col("matched") >= PERCENT * size).otherwise(
+        (F.col("matched") == size) & ((size >= LEAST_QUOTED) | (size == F.col("text_tokens"))))
+    return (judged.where(share | stretch(F.col("agree")))
             .select("doc_id", "text_hash", "item_id", "matched", "item_tokens", (F.col("matched") / F.col("item_tokens")).alias("overlap")))
 
 
@@ -142,22 +152,22 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 
 ORACLE = r"""
-WITH masks(mask, p) AS (VALUES (0, [0, 1, 2, 4, 6]), (1, [0, 1, 3, 5, 6]), (2, [0, 2, 3, 4, 6])),
-d AS (SELECT row_number() OVER () AS r, doc_id,
+WITH d AS (SELECT row_number() OVER () AS r, doc_id,
              list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\p{L}\p{N}]+'), lambda x: x <> '') AS t FROM documents),
 b AS (SELECT DISTINCT item_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\p{L}\p{N}]+'), lambda x: x <> '') AS t FROM benchmark),
-dw AS (SELECT r, unnest(range(0, len(t) - 6)) AS pos FROM d WHERE len(t) >= 7),
-bw AS (SELECT item_id, t, unnest(range(0, len(t) - 6)) AS pos FROM b WHERE len(t) >= 7),
-ds AS (SELECT dw.r, dw.pos, mask, list_transform(p, lambda i: d.t[dw.pos + i + 1]) AS seed FROM dw JOIN d USING (r), masks),
-bs AS (SELECT item_id, t, pos, mask, list_transform(p, lambda i: t[pos + i + 1]) AS seed FROM bw, masks),
-c AS (SELECT ds.r, item_id, bs.t AS item, ds.pos - bs.pos AS diagonal, min(bs.pos) AS lo, max(bs.pos) AS hi
-      FROM ds JOIN bs ON ds.mask = bs.mask AND ds.seed = bs.seed GROUP BY ALL),
-v AS (SELECT c.r, item_id, len(item) AS n, hi - lo + 7 AS size,
-             len(list_filter(range(lo, hi + 7), lambda i: item[i + 1] = d.t[i + diagonal + 1])) AS region,
-             len(list_filter(range(0, len(item)), lambda i: i + diagonal >= 0 AND i + diagonal < len(d.t) AND item[i + 1] = d.t[greatest(i + diagonal + 1, 1)])) AS matched
+-- 80 % of 7 or more tokens cannot agree without three in a row that do
+dg AS (SELECT r, p, t[p] AS t1, t[p + 1] AS t2, t[p + 2] AS t3 FROM (SELECT r, t, unnest(range(1, len(t) - 1)) AS p FROM d WHERE len(t) >= 3)),
+bg AS (SELECT item_id, t, p, t[p] AS t1, t[p + 1] AS t2, t[p + 2] AS t3 FROM (SELECT item_id, t, unnest(range(1, len(t) - 1)) AS p FROM b WHERE len(t) >= 3)),
+c AS (SELECT DISTINCT dg.r, item_id, bg.t AS item, dg.p - bg.p AS diagonal FROM dg JOIN bg USING (t1, t2, t3)
+      UNION ALL SELECT d.r, item_id, b.t, 0 FROM d JOIN b ON d.t = b.t WHERE len(b.t) IN (1, 2)),
+v AS (SELECT c.r, item_id, len(item) AS n, len(d.t) AS size,
+             list_transform(range(greatest(0, -diagonal), least(len(item), len(d.t) - diagonal)), lambda i: (item[i + 1] = d.t[i + diagonal + 1])::INT) AS s
       FROM c JOIN d USING (r)),
-g AS (SELECT r, count(DISTINCT item_id) AS n_items, max(matched / n) AS best_overlap FROM v
-      WHERE (size >= 13 AND 100 * region >= 80 * size) OR 100 * matched >= 80 * n GROUP BY r)
+w AS (SELECT r, item_id, n, size, list_sum(s) AS matched, s,
+             list_transform(range(0, len(s) + 1), lambda i: 100 * coalesce(list_sum(s[1:i]), 0) - 80 * i) AS sums FROM v),
+g AS (SELECT r, count(DISTINCT item_id) AS n_items, max(matched / n) AS best_overlap FROM w
+      WHERE CASE WHEN n >= 7 THEN 100 * matched >= 80 * n ELSE matched = n AND (n >= 4 OR n = size) END
+         OR len(list_filter(range(13, len(s) + 1), lambda i: sums[i + 1] >= list_min(sums[1:i - 12]))) > 0 GROUP BY r)
 SELECT doc_id, coalesce(n_items, 0) AS n_items, coalesce(best_overlap, 0.0)::DOUBLE AS best_overlap, n_items IS NOT NULL AS contaminated
 FROM d LEFT JOIN g USING (r)
 """

@@ -2,6 +2,7 @@
 
 import collections
 import hashlib
+import itertools
 import math
 import random
 import re
@@ -133,8 +134,7 @@ def test_decontamination_of_quotes_in_parts(spark):
     quotes |= {i: [k for k in range(59) if rnd.random() < p] for i, p in enumerate([0.5, 0.6, 0.7, 0.75] * 15, 10)}
 
     def by_hand(same):
-        hits = [p for p in range(53) if any(all(p + k in same for k in m) for m in decontaminate.MASKS)]
-        spans = [(a, b + 7) for a in hits for b in hits if b + 7 - a >= 13]
+        spans = [(a, b) for a in range(59) for b in range(a + 13, 60)]
         return any(100 * len(same & set(range(a, b))) >= 80 * (b - a) for a, b in spans) or 100 * len(same) >= 80 * 59
 
     docs = frame(spark, [(i, " ".join(["lead"] * (i % 4) + [words[k] if k in set(q) else other[k] for k in range(59)]), "en", "s", 1) for i, q in quotes.items()])
@@ -145,6 +145,41 @@ def test_decontamination_of_quotes_in_parts(spark):
     assert decontaminate.drop_contaminated(docs, bench).count() == len(got) - sum(got.values())
 
 
+def test_masks_read_every_allowed_pattern():
+    """Each way to substitute a fifth of 7 to 25 tokens leaves a window that a mask reads whole."""
+    masks = [sum(1 << k for k in m) for m in decontaminate.MASKS]
+    for n in range(7, 26):
+        windows = [m << p for m, read in zip(masks, decontaminate.MASKS) for p in range(n - read[-1])]
+        for gone in itertools.combinations(range(n), n * (100 - decontaminate.PERCENT) // 100):
+            left = (1 << n) - 1 - sum(1 << k for k in gone)
+            assert any(left & w == w for w in windows), (n, gone)
+
+
+@pytest.mark.parametrize("limit", [decontaminate.BROADCAST_BYTES, 0])
+def test_decontamination_of_short_items(spark, limit, monkeypatch):
+    monkeypatch.setattr(decontaminate, "BROADCAST_BYTES", limit)   # 0: every join shuffles
+    item = {n: [f"i{n}x{k}" for k in range(n)] for n in (1, 2, 3, 4, 5, 6, 7, 10, 12)}
+    texts, want = [], {}
+
+    def add(n, words, found, around=True):
+        i = len(texts)
+        texts.append((i, " ".join((["before", "it"] + words + ["after"]) if around else words), "en", "s", 1))
+        want[i] = found
+
+    for n, words in item.items():
+        add(n, words, n >= 4)                 # in a text
+        add(n, words, True, around=False)     # the whole text
+        for spoiled in itertools.combinations(range(n), 1 if n < 7 else n // 5):
+            add(n, ["odd" if k in spoiled else w for k, w in enumerate(words)], n >= 7)
+    for spoiled in itertools.combinations(range(7), 2):
+        add(7, ["odd" if k in spoiled else w for k, w in enumerate(item[7])], False)
+    docs = frame(spark, texts)
+    bench = spark.createDataFrame([(n, " ".join(w)) for n, w in item.items()] + [(99, "?!"), (98, "")], "item_id bigint, text string")
+    got = {r.doc_id: r.contaminated for r in decontaminate.decontaminate(docs, bench).collect()}
+    assert got == want
+    assert {r.doc_id for r in decontaminate.drop_contaminated(docs, bench).collect()} == {i for i, c in want.items() if not c}
+
+
 def cut_by_hand(texts, size=200):
     starts = collections.Counter(t[i:i + size] for t in texts for i in range(len(t) - size + 1))
     for t in texts:
