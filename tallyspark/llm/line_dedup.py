@@ -2,31 +2,46 @@
 
 Lines are parsed to a fixed depth as log lines are: fields with digits become
 ``<*>``, the first level of the tree is the number of tokens, the next three are
-the leading tokens. The lines of a leaf share a template: at each position the
-token that most of them have. A line belongs to it if at least 70 % of its
-tokens agree, the other positions are its variable fields; a line that differs
-more, or is shorter than 6 tokens, is a template of its own masked text.
-Templates that occur in at least ``least_texts`` different texts recur, and
-their lines are dropped from all documents (copies of a text count once).
-
-Leaves with too few lines to recur never have their tokens counted, a leaf's
-counts are pre-aggregated, and lines travel as hashes; only the final cut joins
-each document with the numbers of its own dropped lines.
+the leading tokens. The lines of a leaf vote for a template: at each position the
+token with most votes. A text has one vote in a leaf, shared evenly by its
+different lines there. A line belongs to the template if at least 70 % of its
+tokens agree, the other positions are its variable fields. Lines that differ more
+go one level down, to leaves by their token at the position with the fewest
+different tokens (over one), where they vote again; so a leaf gives a template
+for each of its messages. What fits none after ``LEVELS`` such levels, or is
+shorter than 6 tokens, is a template of its own masked text.
+
+A template that occurs in ``least_texts`` or more different texts is boilerplate,
+and its lines are dropped from all of them. A line of ``LONG_TOKENS`` or more that
+stands in fewer, but at least two, the same but for fields with digits, is a
+repeated passage: it stays in the text of the smallest doc_id and is dropped from
+the others. (Copies of a text count once, and all keep or lose the same lines.)
+
+Leaves with too few lines to recur never have their tokens counted. Votes are
+taken on the different masked lines of the others, and lines travel as hashes;
+only the final cut joins each document with the numbers of its own dropped lines.
 
 Defined cases: null and empty texts have one empty line; blank lines have no
-template and stay; ties for a position's token go to the smallest; rows that
-repeat a doc_id are cut by their own text; texts of any length are cut whole.
+template and stay; ties for a position's token go to the smallest, for a level's
+position to the first; rows that repeat a doc_id are cut by their own text, and
+of different texts with the same smallest doc_id one keeps a repeated passage (a
+null doc_id comes last); texts of any length are cut whole.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyspark.llm.common import stored
 
 DEPTH = 3          # leading tokens that are levels of the tree
+LEVELS = 4         # rounds of votes: further levels for lines that differ from their leaf's template
 LEAST_TOKENS = 6   # of a line that may have variable fields without digits
+LONG_TOKENS = 20   # of a line that is a repeated passage from two texts on
+VOTE = 720720      # parts of a text's vote in a leaf
 SALTS = 32
 PERCENT = 70       # of a line's tokens that agree with its leaf's template
 
@@ -50,35 +65,73 @@ def leaf_of(tokens: Column) -> Column:
     return F.xxhash64(F.size(tokens), F.slice(tokens, 1, DEPTH))
 
 
-def templates(docs: DataFrame, least_texts: int) -> DataFrame:
-    """doc_id, text_hash, line_no, template of the lines that can recur."""
-    lines = lines_of(docs)
-    parsed = lines.select("doc_id", "text_hash", "line_no", leaf_of(F.col("tokens")).alias("leaf"), "tokens")
-    # Leaves with lines enough; the others hold nothing that recurs.
-    busy = stored(parsed.groupBy("leaf").agg(F.count(F.lit(1)).alias("c")).where(F.col("c") >= least_texts).select("leaf"), "leaves")
-    some = stored(parsed.join(busy, "leaf", "left_semi"), "lines")
-    long = some.where(F.size("tokens") >= LEAST_TOKENS)
-    counts = long.select("leaf", F.posexplode("tokens").alias("pos", "token")).groupBy("leaf", "pos", "token").agg(F.count(F.lit(1)).alias("c"))
-    most = counts.groupBy("leaf", "pos").agg(F.min(F.struct((-F.col("c")).alias("c"), "token")).alias("m"))
-    shape = stored(most.groupBy("leaf").agg(F.transform(
-        F.array_sort(F.collect_list(F.struct("pos", F.col("m.token").alias("token")))), lambda x: x["token"]).alias("shape")), "shapes")
-    joined = some.join(shape, "leaf", "left")
-    agree = F.aggregate(F.zip_with("tokens", "shape", lambda x, y: (x == y).cast("int")), F.lit(0), lambda s, x: s + x)
-    fits = F.col("shape").isNotNull() & (100 * agree >= PERCENT * F.size("tokens"))
-    return joined.select("doc_id", "text_hash", "line_no", F.when(F.coalesce(fits, F.lit(False)), F.xxhash64(F.lit("leaf"), "leaf"))
-                         .otherwise(F.xxhash64(F.lit("line"), "tokens")).alias("template"))
+def needed(size: Column, least_texts: int) -> Column:
+    """Different texts from which on a line of ``size`` tokens recurs."""
+    return F.when(size >= LONG_TOKENS, F.lit(min(2, least_texts))).otherwise(F.lit(least_texts))
+
+
+def vote(lines: DataFrame) -> DataFrame:
+    """The columns of ``lines`` (leaf, line, tokens, votes, ...), the leaf's template ``shape`` and the position ``split`` of the next level."""
+    counts = lines.select("leaf", "votes", F.posexplode("tokens").alias("pos", "token")).groupBy("leaf", "pos", "token").agg(F.sum("votes").alias("v"))
+    most = counts.groupBy("leaf", "pos").agg(F.min(F.struct((-F.col("v")).alias("v"), "token")).alias("m"), F.count(F.lit(1)).alias("k"))
+    shape = stored(most.groupBy("leaf").agg(
+        F.transform(F.array_sort(F.collect_list(F.struct("pos", F.col("m.token").alias("token")))), lambda x: x["token"]).alias("shape"),
+        F.min(F.when(F.col("k") > 1, F.struct("k", "pos")))["pos"].alias("split")), "shapes")
+    return lines.join(shape, "leaf")
+
+
+def templates(lines: DataFrame, least_texts: int) -> DataFrame:
+    """line, template of different masked lines (leaf, line, tokens, votes, texts)."""
+    long = F.size("tokens") >= LEAST_TOKENS
+    own = F.xxhash64(F.lit("line"), "line")
+    done = [lines.where(~long).select("line", own.alias("template"))]
+    left = lines.where(long)
+    for level in range(LEVELS):
+        agree = F.aggregate(F.zip_with("tokens", "shape", lambda x, y: (x == y).cast("int")), F.lit(0), lambda s, x: s + x)
+        judged = stored(vote(left).withColumn("fits", 100 * agree >= PERCENT * F.size("tokens")).drop("shape"), "level")
+        done.append(judged.where("fits").select("line", F.xxhash64(F.lit(f"leaf{level}"), "leaf").alias("template")))
+        rest = judged.where("NOT fits").withColumn("leaf", F.xxhash64("leaf", F.get("tokens", F.col("split")))).drop("fits", "split")
+        # Leaves with too few texts hold nothing that recurs: their lines are their own templates already.
+        full = (rest.groupBy("leaf").agg(F.sum("texts").alias("c"), F.min(needed(F.size("tokens"), least_texts)).alias("need"))
+                .where("c >= need").select("leaf"))
+        rest = stored(rest.join(full, "leaf", "left_semi"), "rest") if level < LEVELS - 1 else rest
+        left = rest
+        if level < LEVELS - 1 and rest.isEmpty():
+            break
+    else:
+        done.append(left.select("line", own.alias("template")))
+    return reduce(DataFrame.unionAll, done)
 
 
 def recurring_lines(docs: DataFrame, least_texts: int = 5) -> DataFrame:
-    """doc_id, text_hash, line_no of the lines whose template recurs in ``least_texts`` different texts."""
-    lines = stored(templates(docs, least_texts), "templates")
+    """doc_id, text_hash, line_no of the lines to drop."""
+    tokens = F.col("tokens")
+    parsed = lines_of(docs).select("doc_id", "text_hash", "line_no", leaf_of(tokens).alias("leaf"), F.xxhash64(tokens).alias("line"), "tokens")
+    # Leaves with lines enough; the others hold nothing that recurs.
+    busy = stored(parsed.groupBy("leaf", needed(F.size(tokens), least_texts).alias("need")).agg(F.count(F.lit(1)).alias("c"))
+                  .where("c >= need").select("leaf"), "leaves")
+    some = stored(parsed.join(busy, "leaf", "left_semi"), "lines")
+    # Different lines of each different text, on one shuffle with the number of them in a leaf.
+    pairs = (some.select("leaf", "line", "text_hash", "doc_id").repartition("leaf", "text_hash")
+             .groupBy("leaf", "line", "text_hash").agg(F.min("doc_id").alias("doc_id"))
+             .withColumn("k", F.count(F.lit(1)).over(Window.partitionBy("leaf", "text_hash"))))
+    pairs = stored(pairs, "pairs")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "text_hash"))["text_hash"]
+    votes = pairs.groupBy("leaf", "line").agg(F.sum(F.floor(F.lit(VOTE) / F.col("k"))).alias("votes"), F.count(F.lit(1)).alias("texts"), first.alias("first"))
+    lines = stored(some.select("leaf", "line", "tokens").dropDuplicates(["leaf", "line"]).join(votes, ["leaf", "line"]), "different")
+    named = stored(templates(lines, least_texts), "templates")
     # Distinct pairs first, then a count with partial sums: no task gets a template's texts.
-    recur = (lines.select("template", "text_hash").distinct().groupBy("template").agg(F.count(F.lit(1)).alias("c"))
+    recur = (pairs.join(named, "line").select("template", "text_hash").distinct().groupBy("template").agg(F.count(F.lit(1)).alias("c"))
              .where(F.col("c") >= least_texts).select("template"))
-    # Each recurring template once for each salt, so that the lines of a common one are split over SALTS tasks.
-    recur = recur.select("template", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
-    salted = lines.withColumn("salt", F.pmod(F.xxhash64("text_hash"), F.lit(SALTS)).cast("int"))
-    return salted.join(recur, ["template", "salt"], "left_semi").select("doc_id", "text_hash", "line_no")
+    passage = lines.where((F.size("tokens") >= LONG_TOKENS) & (F.col("texts") >= 2)).select("line", F.col("first").alias("keeper"))
+    gone = (named.join(recur, "template", "left_semi").select("line", F.lit(None).cast("long").alias("keeper")).unionAll(passage)
+            # A line that is both goes from all texts.
+            .groupBy("line").agg(F.when(F.count(F.lit(1)) == F.count("keeper"), F.min("keeper")).alias("keeper")))
+    # Each line that goes once for each salt, so that a common one is split over SALTS tasks.
+    gone = gone.select("line", "keeper", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
+    salted = some.select("doc_id", "text_hash", "line_no", "line", F.pmod(F.xxhash64("text_hash"), F.lit(SALTS)).cast("int").alias("salt"))
+    return (salted.join(gone, ["line", "salt"]).where(~F.col("text_hash").eqNullSafe(F.col("keeper")))
+            .select("doc_id", "text_hash", "line_no"))
 
 
 def line_dedup(docs: DataFrame, least_texts: int = 5) -> DataFrame:
@@ -95,22 +148,36 @@ def line_dedup(docs: DataFrame, least_texts: int = 5) -> DataFrame:
                          F.when(F.col("cut").isNull(), F.lit(0)).otherwise(F.size("cut")).cast("long").alias("n_dropped"), kept.alias("text"))
 
 
-ORACLE = r"""
+def _levels() -> str:
+    """SQL of the rounds of votes: m{r} has the lines of a level with their leaf's template, l{r} those that go on."""
+    out = []
+    for r in range(LEVELS):
+        out.append(f"""
+c{r} AS (SELECT leaf, pos, tokens[pos] AS token, sum(votes) AS v FROM (SELECT *, unnest(range(1, n + 1)) AS pos FROM l{r}) GROUP BY ALL),
+k{r} AS (SELECT leaf, pos, arg_min(token, (-v, token)) AS token, count(*) AS k FROM c{r} GROUP BY leaf, pos),
+s{r} AS (SELECT leaf, list(token ORDER BY pos) AS shape, arg_min(pos, (k, pos)) FILTER (k > 1) AS split FROM k{r} GROUP BY leaf),
+m{r} AS (SELECT l{r}.*, split, 100 * len(list_filter(range(1, n + 1), lambda i: tokens[i] = shape[i])) >= {PERCENT} * n AS fits
+         FROM l{r} JOIN s{r} USING (leaf)),
+l{r + 1} AS (SELECT leaf || ['{r}', tokens[split]] AS leaf, tokens, n, votes FROM m{r} WHERE NOT fits),""")
+    return "".join(out)
+
+
+ORACLE = rf"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
 u AS (SELECT r, doc_id, text, ls, unnest(range(0, len(ls))) AS line_no FROM d),
-l AS (SELECT r, text, line_no, ls[line_no + 1] AS line FROM u WHERE regexp_matches(ls[line_no + 1], '[^\x20\x09-\x0D]')),
-t AS (SELECT r, text, line_no, regexp_split_to_array(regexp_replace(regexp_replace(line, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g'),
+l AS (SELECT r, doc_id, text, line_no, ls[line_no + 1] AS line FROM u WHERE regexp_matches(ls[line_no + 1], '[^\x20\x09-\x0D]')),
+t AS (SELECT r, doc_id, text, line_no, regexp_split_to_array(regexp_replace(regexp_replace(line, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g'),
              '[^\x20\x09-\x0D]*[0-9][^\x20\x09-\x0D]*', '<*>', 'g'), '[\x20\x09-\x0D]+') AS tokens FROM l),
-p AS (SELECT *, len(tokens) AS n, tokens[1:3] AS lead FROM t),
-c AS (SELECT n, lead, pos, tokens[pos] AS token, count(*) AS k FROM (SELECT *, unnest(range(1, n + 1)) AS pos FROM p WHERE n >= 6) GROUP BY ALL),
-m AS (SELECT n, lead, pos, token FROM c QUALIFY row_number() OVER (PARTITION BY n, lead, pos ORDER BY k DESC, token) = 1),
-s AS (SELECT n, lead, list(token ORDER BY pos) AS shape FROM m GROUP BY ALL),
-f AS (SELECT p.r, p.text, p.line_no, CASE WHEN s.shape IS NOT NULL AND
-             100 * len(list_filter(range(1, p.n + 1), lambda i: p.tokens[i] = s.shape[i])) >= 70 * p.n
-             THEN [p.n::VARCHAR] || p.lead ELSE ['line'] || p.tokens END AS template FROM p LEFT JOIN s ON p.n = s.n AND p.lead = s.lead),
-g AS (SELECT template FROM f GROUP BY template HAVING count(DISTINCT text) >= 5),
-x AS (SELECT r, list(line_no) AS cut FROM f WHERE template IN (SELECT template FROM g) GROUP BY r)
+p AS (SELECT *, len(tokens) AS n, [len(tokens)::VARCHAR] || tokens[1:{DEPTH}] AS leaf FROM t),
+q AS (SELECT leaf, tokens, n, text, {VOTE} // count(*) OVER (PARTITION BY leaf, text) AS part FROM (SELECT DISTINCT leaf, tokens, n, text FROM p)),
+l0 AS (SELECT leaf, tokens, n, sum(part) AS votes FROM q WHERE n >= {LEAST_TOKENS} GROUP BY ALL),
+{_levels()}
+f AS ({" UNION ALL ".join(f"SELECT tokens, ['leaf{r}'] || leaf AS template FROM m{r} WHERE fits" for r in range(LEVELS))}),
+x AS (SELECT p.r, p.doc_id, p.text, p.line_no, p.n, p.tokens, coalesce(f.template, ['line'] || p.tokens) AS template FROM p LEFT JOIN f USING (tokens)),
+g AS (SELECT template FROM x GROUP BY template HAVING count(DISTINCT text) >= 5),
+h AS (SELECT tokens, arg_min(text, (doc_id IS NULL, doc_id)) AS keeper FROM x WHERE n >= {LONG_TOKENS} GROUP BY tokens HAVING count(DISTINCT text) >= 2),
+y AS (SELECT r, list(line_no) AS cut FROM x LEFT JOIN h USING (tokens) WHERE template IN (SELECT template FROM g) OR text <> keeper GROUP BY r)
 SELECT doc_id, len(ls)::BIGINT AS n_lines, coalesce(len(cut), 0)::BIGINT AS n_dropped,
        sha256(array_to_string(list_filter(ls, lambda v, i: cut IS NULL OR NOT list_contains(cut, i - 1)), chr(10))) AS kept_sha256
-FROM d LEFT JOIN x USING (r)
+FROM d LEFT JOIN y USING (r)
 """

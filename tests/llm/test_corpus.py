@@ -220,6 +220,29 @@ def test_line_dedup(spark):
     assert line_dedup.line_dedup(frame(spark, [])).count() == 0
 
 
+def test_line_dedup_several_templates_in_a_leaf(spark):
+    names = [f"{a}{b}" for a in ("ann", "bob", "cid", "dan") for b in ("x", "y", "z")]
+    notice = [f"the user named {n} has left the building for today" for n in names]
+    other = [f"the user named {n} must never send his password around" for n in names[:6]]
+    third = [f"the user named {n} could not open any door here" for n in names[:5]]
+    rare = "the user named fay was here but did nothing wrong"
+    passage = prose(120, 30)
+    edited = " ".join("odd" if i == 9 else w for i, w in enumerate(passage.split()))
+    # A list in one text has one vote, whatever its length.
+    listed = "\n".join(f"the user named {n} owns some {n}thing that {n} {n}" for n in names)
+    body = [prose(130 + i, 12) for i in range(12)]
+    data = [(300 + i, "\n".join([body[i], notice[i], *other[i:i + 1], *third[i:i + 1]]), "en", "s", 1) for i in range(12)]
+    data += [(320, rare, "en", "s", 1), (321, listed, "en", "s", 1), (331, "a\n" + passage, "en", "s", 1), (330, "b\n" + passage, "en", "s", 1),
+             (329, "c\n" + edited, "en", "s", 1), (332, "a\n" + passage, "en", "s", 1)]
+    got = {r.doc_id: r.text for r in line_dedup.line_dedup(frame(spark, data), least_texts=5).collect()}
+    assert [got[300 + i] for i in range(12)] == body
+    assert got[320] == rare and got[321] == listed
+    # A long line in two texts stays in the first; copies of a text are treated alike.
+    assert got[329] == "c\n" + edited and got[330] == "b\n" + passage and got[331] == got[332] == "a"
+    two = {r.doc_id: r.text for r in line_dedup.line_dedup(frame(spark, data[-4:]), least_texts=2).collect()}
+    assert two == {329: "c", 330: "b", 331: "a", 332: "a"}
+
+
 def test_language_id(spark):
     langs = {"en": "the of and thing with", "de": "der und nicht schön über", "fr": "le été déjà où ça"}
     data = [(i, " ".join((langs[g].split() * 9)[i % 5:i % 5 + 30]) + (f" {i}" if i % 2 else " !"), g, "s", 1) for i, g in enumerate(["en", "de", "fr"] * 60)]
