@@ -52,8 +52,8 @@ def tokens_of(text: Column) -> Column:
     return F.transform(words, lambda t: F.xxhash64(t))
 
 
-def windows(df: DataFrame, keys: list[str], masks: tuple) -> DataFrame:
-    """keys, pos, seed: a row for each mask and window of the column ``tokens``; texts too short for any window give one seed of all tokens."""
+def windows(df: DataFrame, keys: list[str], masks: tuple, tiny: bool) -> DataFrame:
+    """keys, pos, seed: a row for each mask and window of the column ``tokens``; with ``tiny``, texts of 1 to 3 tokens give one seed of them all."""
     least, most = min(m[-1] for m in masks) + 1, max(m[-1] for m in masks) + 1
     n = F.size("tokens") - least + 1
     # Slices that end early are filled up with nulls: there the mask's window reaches over the end.
@@ -63,6 +63,8 @@ def windows(df: DataFrame, keys: list[str], masks: tuple) -> DataFrame:
     seeds = F.array(*[F.when(F.col(f"w.t{mask[-1]}").isNotNull(), F.xxhash64(F.lit(i), *[F.col(f"w.t{k}") for k in mask]))
                       for i, mask in enumerate(masks)])
     spaced = rows.select(*keys, F.col("pos").cast("long").alias("pos"), F.explode(F.array_compact(seeds)).alias("seed"))
+    if not tiny:
+        return spaced
     whole = (df.where((F.size("tokens") > 0) & (F.size("tokens") < LEAST_QUOTED))
              .select(*keys, F.lit(0).cast("long").alias("pos"), F.xxhash64(F.lit(-1), "tokens").alias("seed")))
     return spaced.unionAll(whole)
@@ -106,8 +108,10 @@ def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     train = docs.select(*key, tokens_of(F.col("text")).alias("tokens"))
     items = stored(benchmark.select("item_id", tokens_of(F.col("text")).alias("tokens")).where(F.size("tokens") > 0).distinct(), "items")
     masks = MASKS if items.where(F.size("tokens") == LEAST_QUOTED).isEmpty() else (*MASKS, SHORT_MASK)
-    seeds = stored(windows(items, ["item_id"], masks).withColumnRenamed("pos", "item_pos"), "seeds")
-    hits = windows(train, ["doc_id", "text_hash"], masks).join(small(seeds), "seed")
+    # A second reading of the texts for items of 1 to 3 tokens, only if there are any.
+    tiny = not items.where(F.size("tokens") < LEAST_QUOTED).isEmpty()
+    seeds = stored(windows(items, ["item_id"], masks, tiny).withColumnRenamed("pos", "item_pos"), "seeds")
+    hits = windows(train, ["doc_id", "text_hash"], masks, tiny).join(small(seeds), "seed")
     found = stored(hits.select("doc_id", "text_hash", "item_id", (F.col("pos") - F.col("item_pos")).alias("diagonal")).distinct(), "candidates")
     of = stored(found.select(F.col("doc_id").alias("id"), F.col("text_hash").alias("hash")).distinct(), "candidate_docs")
     same = lambda d: d["doc_id"].eqNullSafe(F.col("id")) & (d["text_hash"] == F.col("hash"))
