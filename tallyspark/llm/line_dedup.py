@@ -106,9 +106,10 @@ def templates(lines: DataFrame, least_texts: int) -> DataFrame:
 def recurring_lines(docs: DataFrame, least_texts: int = 5) -> DataFrame:
     """doc_id, text_hash, line_no of the lines to drop."""
     tokens = F.col("tokens")
-    parsed = lines_of(docs).select("doc_id", "text_hash", "line_no", leaf_of(tokens).alias("leaf"), F.xxhash64(tokens).alias("line"), "tokens")
+    parsed = lines_of(docs).select("doc_id", "text_hash", "line_no", leaf_of(tokens).alias("leaf"), F.xxhash64(tokens).alias("line"),
+                                    F.size(tokens).alias("n"), F.array_join(tokens, " ").alias("masked"))   # a text is a third of its array's size
     # Leaves with lines enough; the others hold nothing that recurs.
-    busy = stored(parsed.groupBy("leaf", needed(F.size(tokens), least_texts).alias("need")).agg(F.count(F.lit(1)).alias("c"))
+    busy = stored(parsed.groupBy("leaf", needed(F.col("n"), least_texts).alias("need")).agg(F.count(F.lit(1)).alias("c"))
                   .where("c >= need").select("leaf"), "leaves")
     some = stored(parsed.join(busy, "leaf", "left_semi"), "lines")
     # Different lines of each different text, on one shuffle with the number of them in a leaf.
@@ -118,7 +119,8 @@ def recurring_lines(docs: DataFrame, least_texts: int = 5) -> DataFrame:
     pairs = stored(pairs, "pairs")
     first = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "text_hash"))["text_hash"]
     votes = pairs.groupBy("leaf", "line").agg(F.sum(F.floor(F.lit(VOTE) / F.col("k"))).alias("votes"), F.count(F.lit(1)).alias("texts"), first.alias("first"))
-    lines = stored(some.select("leaf", "line", "tokens").dropDuplicates(["leaf", "line"]).join(votes, ["leaf", "line"]), "different")
+    lines = stored(some.select("leaf", "line", "masked").dropDuplicates(["leaf", "line"]).join(votes, ["leaf", "line"])
+                   .select("leaf", "line", F.split("masked", " ").alias("tokens"), "votes", "texts", "first"), "different")
     named = stored(templates(lines, least_texts), "templates")
     # Distinct pairs first, then a count with partial sums: no task gets a template's texts.
     recur = (pairs.join(named, "line").select("template", "text_hash").distinct().groupBy("template").agg(F.count(F.lit(1)).alias("c"))
