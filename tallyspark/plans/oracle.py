@@ -215,11 +215,13 @@ WITH v AS (SELECT event_type, value AS x FROM events),
 s AS (SELECT event_type, count(*) AS n, stddev_samp(x) AS sd, min(x) AS lo, max(x) AS hi FROM v GROUP BY 1),
 s2 AS (SELECT *, CASE WHEN coalesce(1.06 * sd * pow(n, -0.2), 0) > 0 THEN 1.06 * sd * pow(n, -0.2)
                       ELSE 1e-3 END AS h FROM s),
-g AS (SELECT event_type, CAST(p AS INTEGER) AS point, lo + (hi - lo) * p / 49 AS grid_x, n, h
+g AS (SELECT event_type, CAST(p AS INTEGER) AS point, lo + (hi - lo) * p / 49 AS grid_x, n, h, lo
       FROM s2, range(0, 50) t(p)),
-c AS (SELECT event_type, x, count(*) AS c FROM v GROUP BY 1, 2)
+c AS (SELECT event_type, floor(t) AS b, sum(1 - (t - floor(t))) AS w0, sum(t - floor(t)) AS w1
+      FROM (SELECT event_type, (x - lo) / (h / 64) AS t FROM v JOIN s2 USING (event_type)) GROUP BY 1, 2)
 SELECT g.event_type, point, {R("grid_x")} AS grid_x,
-       {R("sum(c * exp(-0.5 * ((grid_x - x) / h) * ((grid_x - x) / h))) / (n * h * sqrt(2 * pi()))", 8)} AS density
+       {R("""sum(w0 * exp(-0.5 * pow((grid_x - (lo + b * (h / 64))) / h, 2)) + w1 * exp(-0.5 * pow((grid_x - (lo + (b + 1) * (h / 64))) / h, 2)))
+             / (n * h * sqrt(2 * pi()))""", 8)} AS density
 FROM g JOIN c USING (event_type) GROUP BY g.event_type, point, grid_x, n, h"""
 
 ORACLE["pearson"] = f"""

@@ -181,3 +181,64 @@ def test_rank_within_spans_partitions(spark):
     a = sorted(tuple(r) for r in got.select("m", "v", "position").collect())
     b = sorted(tuple(r) for r in want.select("m", "v", "position").collect())
     assert a == b
+
+
+def test_binned_density_keeps_its_error_bound(spark):
+    r = np.random.default_rng(11)
+    x = np.concatenate([r.normal(size=3000), r.normal(6, 0.3, size=2000), [1e5, -2e4]])
+    got = violin_density(spark.createDataFrame(pd.DataFrame({"x": x})).repartition(5), "x", n_points=21).orderBy("point").collect()
+    h = 1.06 * x.std(ddof=1) * len(x) ** -0.2
+    grid = np.linspace(x.min(), x.max(), 21)
+    want = np.exp(-0.5 * ((grid[:, None] - x) / h) ** 2).sum(1) / (len(x) * h * np.sqrt(2 * np.pi))
+    assert np.allclose([t["grid_x"] for t in got], grid)
+    assert np.abs(np.array([t["density"] for t in got]) - want).max() <= 1 / (8 * 64 ** 2) / (h * np.sqrt(2 * np.pi)) * (1 + 1e-9)
+
+
+def test_density_sums_no_kernel_over_rows(spark):
+    df = spark.createDataFrame(pd.DataFrame({"x": np.random.default_rng(1).normal(size=100)}))
+    plan = violin_density(df, "x")._jdf.queryExecution().optimizedPlan().toString()
+    lines = [i for i, line in enumerate(plan.splitlines()) if "EXP(" in line.upper()]
+    bins = [i for i, line in enumerate(plan.splitlines()) if "Aggregate [bin#" in line]
+    assert lines and bins and max(lines) < min(bins)   # the kernel stands above the aggregate into bins
+
+
+def test_correlations_over_several_blocks(spark):
+    from tallyspark.operators.correlation import correlations
+    r = np.random.default_rng(5)
+    x = r.normal(size=(400, 7)) @ r.normal(size=(7, 7)) + 1e6
+    x[r.random(x.shape) < 0.2] = np.nan
+    x[:, 5] = 3.7
+    frame = pd.DataFrame(x, columns=[f"a {i}%" for i in range(7)])
+    df = spark.createDataFrame(frame.astype(object).where(frame.notna(), None), ", ".join(f"`a {i}%` double" for i in range(7))).repartition(6)
+    for block in (2, 7):
+        got = {(t["f1"], t["f2"]): t["r"] for t in correlations(df, df.columns, block).collect()}
+        assert len(got) == 49
+        for a in frame:
+            for b in frame:
+                if a == b:
+                    assert got[a, b] == 1.0
+                elif "a 5%" in (a, b):
+                    assert got[a, b] is None
+                else:
+                    assert abs(got[a, b] - frame[a].corr(frame[b])) < 1e-9
+
+
+def test_correlations_of_few_rows_and_infinities(spark):
+    from tallyspark.operators.correlation import correlations
+    df = spark.createDataFrame([(1.0, 2.0, None), (2.0, float("inf"), 1.0), (3.0, 1.0, 2.0), (5.0, 0.5, None)], "a double, b double, c double")
+    got = {(t["f1"], t["f2"]): t["r"] for t in correlations(df, ["a", "b", "c"]).collect()}
+    assert np.isnan(got["a", "b"]) and np.isnan(got["c", "b"]) and abs(got["a", "c"] - 1) < 1e-12
+    none = {(t["f1"], t["f2"]): t["r"] for t in correlations(df.limit(0), ["a", "b"]).collect()}
+    assert none == {("a", "a"): 1.0, ("b", "b"): 1.0, ("a", "b"): None, ("b", "a"): None}
+
+
+def test_correlation_plan_of_two_thousand_columns(spark):
+    from tallyspark.operators.correlation import correlations
+    r = np.random.default_rng(8)
+    x = r.normal(size=(30, 2000))
+    df = spark.createDataFrame(pd.DataFrame(x, columns=[f"c{i}" for i in range(2000)]))
+    out = correlations(df, df.columns)
+    assert len(out._jdf.queryExecution().optimizedPlan().toString()) < 5_000_000
+    some = {(t["f1"], t["f2"]): t["r"] for t in out.where("f1 = 'c3' AND f2 IN ('c7', 'c1999')").collect()}
+    for j in (7, 1999):
+        assert abs(some["c3", f"c{j}"] - np.corrcoef(x[:, 3], x[:, j])[0, 1]) < 1e-12
