@@ -1,26 +1,27 @@
-"""Removal of repeated 200-byte strings by anchor buckets and fingerprint counts (operator 6).
+"""Removal of repeated 200-byte strings by bucket-pointer refinement (operator 6).
 
 Sorting every suffix of the corpus isn't needed to find strings of a fixed
 length that occur twice: only the buckets that can still hold such a string are
-looked into. This stands in for the refinement of buckets by the bucket ids at
-other offsets: no bucket gets an id that a later step reads, and none is split
-recursively; each 200-byte string around an anchor gets a fingerprint instead.
+refined.
 
 * Initial buckets: the 100-grams that are the smallest by hash in some window of
   101 starts (all ties). Each 200-byte string has such an anchor, at the same
   place wherever the string occurs, so equal strings meet in a bucket.
   Buckets with one member fall out at once (their members send 8 bytes each).
-* First refinement: a bucket is split by the 100 bytes on both sides. Members
+* A bucket is split by the 100 bytes on both sides (128-bit digests). Members
   that share their whole context with another are done: all their strings occur
   elsewhere.
-* Further refinement: in buckets that keep single members, one member of each
-  context is split by each pair (k bytes before, 100 - k bytes after), whose
-  polynomial hashes are fingerprints of the 200 bytes, sorted in arrays; a pair held by two members is a repeated string. Buckets of more than
-  ``TASK_BUCKET`` contexts are counted by Spark instead, one row for each pair, so no
-  task gets an unbounded bucket.
-
-Bloom filters (bounded, broadcast) only thin out what is scanned again; every
-decision comes from an exact count of 64-bit hashes.
+* Buckets that keep single members are refined, one member of each context, at
+  every offset from the anchor. The buckets of ``Q`` bytes are sorted by the
+  bytes themselves; a bucket of twice the length is its bucket's number and the
+  number of the bucket that far on, sorted again, whose numbers the next step
+  reads: 8, 16, 32, 64, 128, 200 bytes. A bucket with one member is closed and
+  its pointer closes whatever holds it. What is open at 200 bytes is repeated,
+  byte for byte; no hash takes part.
+* Buckets of more than ``TASK_BUCKET`` contexts are counted by Spark instead, one
+  row for each string, by 128-bit digests, so no task gets an unbounded bucket.
+
+A Bloom filter (bounded, broadcast) only thins out what is scanned again.
 
 Defined cases: null and empty texts have 0 bytes; texts under 200 bytes lose
 nothing; a text that repeats a string within itself loses both places; repeated
@@ -34,6 +35,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -47,7 +49,7 @@ REACH = LENGTH - GRAM      # bytes of context on each side of an anchor
 CHUNK = 1 << 19
 TASK_BUCKET = 20_000
 BROADCAST_IDS = 2_000_000
-PLACE = 2654435761         # of a position in the hash of a place; below 2^32
+Q = 8                      # bytes of the first buckets of a refinement: one machine word
 
 _U = np.uint64
 
@@ -63,7 +65,7 @@ def slide(x: np.ndarray, width: int, op) -> np.ndarray:
 
 
 def anchors(raw: np.ndarray, offsets: np.ndarray) -> Iterator[tuple]:
-    """(text, place in it, hash of the anchor, hash of anchor and context, context before, context after) chunk by chunk."""
+    """(text, place in it, hash of the anchor, first byte of its context, end of it) chunk by chunk."""
     n, margin = len(raw), 2 * LENGTH
     for c0 in range(0, n, CHUNK):
         c1 = min(n, c0 + CHUNK)
@@ -89,9 +91,7 @@ def anchors(raw: np.ndarray, offsets: np.ndarray) -> Iterator[tuple]:
         doc = np.searchsorted(offsets, at + lo, "right") - 1
         start = np.maximum(at - REACH, offsets[doc] - lo)
         end = np.minimum(at + LENGTH, offsets[doc + 1] - lo)
-        context = mix((total[end] - total[start]) * q[start]
-                      + (at - start).astype(_U) * _U(0x9E3779B97F4A7C15) + (end - at).astype(_U) * _U(0x165667B19E3779F9))
-        yield doc, at + lo - offsets[doc], gram[at], context, start + lo, end + lo
+        yield doc, at + lo - offsets[doc], gram[at], start + lo, end + lo
 
 
 def _grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -103,54 +103,78 @@ def _grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([own, own[n > 1]]).view(np.int64))], ["gram"])
 
 
-def _places(repeated):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            raw, offsets = text_bytes(batch.column(1))
-            rid = batch.column(0).to_numpy()
-            for doc, place, gram, context, *_ in anchors(raw, offsets):
-                ok = bitfilter.probe(repeated.value, gram)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(context[ok].view(np.int64)), pa.array(gram[ok].view(np.int64)), pa.array(rid[doc[ok]]),
-                     pa.array(place[ok], pa.int64())], ["context", "gram", "rid", "place"])
-    return run
+def _digests(raw: memoryview, start: np.ndarray, end: np.ndarray, seed: np.ndarray) -> tuple[pa.Array, pa.Array]:
+    """128-bit digests of byte ranges, as two columns."""
+    both = b"".join([xxhash.xxh3_128_digest(raw[a:b], s) for a, b, s in zip(start.tolist(), end.tolist(), seed.tolist())])
+    h = np.frombuffer(both, np.int64).reshape(-1, 2)
+    return pa.array(h[:, 0]), pa.array(h[:, 1])
 
 
-def _contexts(chosen):
-    """Bytes around the anchors whose place is chosen."""
+def _places(repeated):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             raw, offsets = text_bytes(batch.column(1))
-            rid = batch.column(0).to_numpy()
-            for doc, place, gram, _, start, end in anchors(raw, offsets):
-                ok = np.flatnonzero(bitfilter.probe(chosen.value, rid[doc] ^ place * PLACE))
-                at = (place + offsets[doc])[ok]
+            rid, view = batch.column(0).to_numpy(), memoryview(raw)
+            for doc, place, gram, start, end in anchors(raw, offsets):
+                ok = bitfilter.probe(repeated.value, gram)
+                doc, place, gram, start, end = doc[ok], place[ok], gram[ok], start[ok], end[ok]
+                before = place + offsets[doc] - start
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(gram[ok].view(np.int64)), pa.array(rid[doc[ok]]), pa.array(place[ok], pa.int64()),
-                     pa.array([raw[a:b].tobytes() for a, b in zip(start[ok], at)], pa.binary()),
-                     pa.array([raw[a + GRAM:b].tobytes() for a, b in zip(at, end[ok])], pa.binary())],
-                    ["gram", "rid", "place", "before", "after"])
+                    [*_digests(view, start, end, before * LENGTH + end - start), pa.array(gram.view(np.int64)), pa.array(rid[doc]),
+                     pa.array(place, pa.int64())], ["context", "check", "gram", "rid", "place"])
     return run
 
 
-def _offsets_hash(texts: list[bytes], back: bool) -> tuple[np.ndarray, np.ndarray]:
-    """(rows, REACH + 1) hashes of the first k bytes (the last k, if ``back``), and the lengths."""
-    size = np.array([len(t) for t in texts], np.int64)
-    flat = np.frombuffer(b"".join((t[::-1] if back else t).ljust(REACH, b"\0") for t in texts), np.uint8).reshape(-1, REACH)
-    out = np.zeros((len(texts), REACH + 1), _U)
-    p, _ = powers(REACH + 1)
-    np.cumsum((flat.astype(_U) + _U(1)) * p[:REACH], axis=1, out=out[:, 1:])
-    return out, size
-
-
-def _pairs(part: pa.RecordBatch) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """For each k: the rows that reach, and the bucket of (anchor, k bytes before, REACH - k after)."""
-    gram = part.column(0).to_numpy().view(_U)
-    before, nb = _offsets_hash(part.column(3).to_pylist(), True)
-    after, na = _offsets_hash(part.column(4).to_pylist(), False)
-    for k in range(REACH + 1):
-        rows = np.flatnonzero((nb >= k) & (na >= REACH - k))
-        yield k, rows, mix(mix(gram[rows] + before[rows, k] * _U(0xC2B2AE3D27D4EB4F)) + after[rows, REACH - k])
+def _around(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The bytes before and from each anchor on."""
+    for batch in batches:
+        raw, offsets = text_bytes(batch.column(1))
+        lists = batch.column(2)
+        each = lists.flatten()
+        doc = np.repeat(np.arange(batch.num_rows), lists.value_lengths().to_numpy())
+        for at in range(0, len(each), 10_000):
+            gram, place = (each.slice(at, 10_000).field(k) for k in range(2))
+            d, p = doc[at:at + 10_000], place.to_numpy()
+            here, first, last = p + offsets[d], offsets[d], offsets[d + 1]
+            yield pa.RecordBatch.from_arrays(
+                [gram, batch.column(0).take(pa.array(d)), place,
+                 pa.array([raw[a:b].tobytes() for a, b in zip(np.maximum(first, here - REACH), here)], pa.binary()),
+                 pa.array([raw[a:b].tobytes() for a, b in zip(here, np.minimum(last, here + LENGTH))], pa.binary())],
+                ["gram", "rid", "place", "before", "after"])
+
+
+def _numbered(first: np.ndarray, then: np.ndarray) -> np.ndarray:
+    """The number of the bucket of each pair of pointers, -1 where a bucket has one member."""
+    order = np.lexsort((then, first))
+    a, b = first[order], then[order]
+    new = np.concatenate([[True], (a[1:] != a[:-1]) | (b[1:] != b[:-1])])
+    number = np.cumsum(new) - 1
+    out = np.empty(len(order), np.int32)
+    out[order] = np.where(np.bincount(number)[number] > 1, number, -1)
+    return out
+
+
+def repeated_around(gram: np.ndarray, before: list[bytes], after: list[bytes]) -> np.ndarray:
+    """(rows, REACH + 1): the string that starts k bytes before the row's anchor is that of another row of the bucket."""
+    n, wide = len(before), REACH + LENGTH
+    flat = np.frombuffer(b"".join(x.rjust(REACH, b"\0") + y.ljust(LENGTH, b"\0") for x, y in zip(before, after)), np.uint8).reshape(n, wide)
+    lo = REACH - np.array([len(x) for x in before])
+    hi = REACH + np.array([len(y) for y in after])
+    bucket = np.full((n, wide), -1, np.int32)
+    for p in range(wide - Q + 1):
+        rows = np.flatnonzero((lo <= p) & (hi >= p + Q))
+        if len(rows):
+            bucket[rows, p] = _numbered(gram[rows], np.ascontiguousarray(flat[rows, p:p + Q]).view(_U).ravel())
+    size = Q
+    while size < LENGTH:
+        step = min(size, LENGTH - size)
+        for p in range(wide - size - step + 1):   # the pointer at p + step is still that of the last step
+            rows = np.flatnonzero((bucket[:, p] >= 0) & (bucket[:, p + step] >= 0))
+            there = _numbered(bucket[rows, p], bucket[rows, p + step]) if len(rows) else rows
+            bucket[:, p] = -1
+            bucket[rows, p] = there
+        size += step
+    return bucket[:, REACH::-1] >= 0
 
 
 def _runs(rid: np.ndarray, place: np.ndarray, held: np.ndarray) -> pa.RecordBatch:
@@ -167,13 +191,7 @@ def _runs(rid: np.ndarray, place: np.ndarray, held: np.ndarray) -> pa.RecordBatc
 def _refine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Refines whole buckets; rows come sorted by anchor hash."""
     def done(part: pa.RecordBatch) -> pa.RecordBatch:
-        held = np.zeros((part.num_rows, REACH + 1), bool)
-        for k, rows, key in _pairs(part):
-            order = np.argsort(key)
-            same = key[order][1:] == key[order][:-1]
-            twice = np.zeros(len(rows), bool)
-            twice[order[1:][same]] = twice[order[:-1][same]] = True
-            held[rows[twice], k] = True
+        held = repeated_around(part.column(0).to_numpy(), part.column(3).to_pylist(), part.column(4).to_pylist())
         return _runs(part.column(1).to_numpy(), part.column(2).to_numpy(), held)
 
     kept: list[pa.RecordBatch] = []
@@ -210,43 +228,57 @@ def _leaves(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for at in range(0, batch.num_rows, 2000):
             part = batch.slice(at, 2000)
-            for k, rows, key in _pairs(part):
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(key.view(np.int64)), part.column(1).take(pa.array(rows)),
-                     pa.array(part.column(2).to_numpy()[rows] - k)], ["pair", "rid", "lo"])
+            before, after = part.column(3).to_pylist(), part.column(4).to_pylist()
+            size = np.array([len(x) for x in before], np.int64)
+            raw = b"".join(x + y for x, y in zip(before, after))
+            end = np.cumsum(size + [len(y) for y in after])
+            start = end - size - [len(y) for y in after]
+            n = np.maximum(end - start - LENGTH + 1, 0)
+            row = np.repeat(np.arange(len(n)), n)
+            back = size[row] - (np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n))   # bytes before the anchor
+            first = start[row] + size[row] - back
+            gram = part.column(0).to_numpy().view(_U)[row]   # an occurrence has a row for each anchor, so the anchor and its place take part
+            yield pa.RecordBatch.from_arrays(
+                [*_digests(memoryview(raw), first, first + LENGTH, mix(gram + back.astype(_U))), part.column(1).take(pa.array(row)),
+                 pa.array(part.column(2).to_numpy()[row] - back)], ["pair", "check", "rid", "lo"])
 
 
 def repeated_ranges(texts: DataFrame) -> DataFrame:
     """rid, lo, hi: byte ranges of ``texts`` (rid, text) that 200-byte strings with another start cover; they may overlap."""
     grams = arrow_map(texts, _grams, "gram bigint").groupBy("gram").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("gram")
     repeated = bitfilter.build(stored(grams, "grams"), "gram")
-    places = stored(arrow_map(texts, _places(repeated), "context bigint, gram bigint, rid bigint, place bigint"), "places")
-    contexts = stored(places.groupBy("context").agg(F.count(F.lit(1)).alias("c"), F.min("gram").alias("gram"),
-                                                   F.min(F.struct("rid", "place")).alias("one"))
-                      .select("context", "c", "gram", "one.rid", "one.place"), "contexts")
-    twice = contexts.where("c > 1").select("context")
-    done = (places.join(twice, "context", "left_semi")
+    whole = ["context", "check"]
+    places = stored(arrow_map(texts, _places(repeated), "context bigint, check bigint, gram bigint, rid bigint, place bigint"), "places")
+    contexts = stored(places.groupBy(*whole).agg(F.count(F.lit(1)).alias("c"), F.min("gram").alias("gram"),
+                                                F.min(F.struct("rid", "place")).alias("one"))
+                      .select(*whole, "c", "gram", "one.rid", "one.place"), "contexts")
+    done = (places.join(contexts.where("c > 1").select(*whole), whole, "left_semi")
             .select("rid", (F.col("place") - REACH).alias("lo"), (F.col("place") + LENGTH).alias("hi")))
 
     open_ = stored(contexts.groupBy("gram").agg(F.count(F.lit(1)).alias("members"), F.min("c").alias("least"))
                    .where("members > 1 AND least = 1").select("gram", "members"), "buckets")
     chosen = stored(contexts.join(open_, "gram", "left_semi")
-                    .select(F.col("rid").bitwiseXOR(F.col("place") * F.lit(PLACE)).alias("id")), "chosen")
-    around = arrow_map(texts, _contexts(bitfilter.build(chosen, "id")), "gram bigint, rid bigint, place bigint, before binary, after binary")
-    large = open_.where(F.col("members") > TASK_BUCKET).select(F.col("gram").alias("large"))   # fewer than contexts / TASK_BUCKET
-    large = F.broadcast(large)
-    cols = ["gram", "rid", "place", "before", "after"]
+                    .groupBy("rid").agg(F.collect_list(F.struct("gram", "place")).alias("anchors")), "chosen")   # bounded by the text
+    around = stored(arrow_map(_texts_of(texts, chosen), _around, "gram bigint, rid bigint, place bigint, before binary, after binary"), "around")
+    large = stored(open_.where(F.col("members") > TASK_BUCKET).select("gram"), "large")   # broadcast as its size in bytes allows
     parts = max(1, texts.sparkSession._jsparkSession.sessionState().conf().numShufflePartitions())
-    small = (around.join(large, F.col("gram") == F.col("large"), "left_anti").select(*cols)
-             .repartition(parts, "gram").sortWithinPartitions("gram"))
+    small = around.join(large, "gram", "left_anti").repartition(parts, "gram").sortWithinPartitions("gram")
     fine = arrow_map(small, _refine, "rid bigint, lo bigint, hi bigint")
-    leaves = stored(arrow_map(around.join(large, F.col("gram") == F.col("large"), "left_semi").select(*cols).dropDuplicates(["rid", "place"]),
-                              _leaves, "pair bigint, rid bigint, lo bigint"), "leaves")
-    pairs = leaves.groupBy("pair").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("pair")
-    rest = leaves.join(pairs, "pair", "left_semi").select("rid", "lo", (F.col("lo") + LENGTH).alias("hi"))
+    leaves = stored(arrow_map(around.join(large, "gram", "left_semi").dropDuplicates(["rid", "place"]),
+                              _leaves, "pair bigint, check bigint, rid bigint, lo bigint"), "leaves")
+    pairs = leaves.groupBy("pair", "check").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("pair", "check")
+    rest = leaves.join(pairs, ["pair", "check"], "left_semi").select("rid", "lo", (F.col("lo") + LENGTH).alias("hi"))
     return done.unionByName(fine).unionByName(rest)
 
 
+def _texts_of(texts: DataFrame, chosen: DataFrame) -> DataFrame:
+    """rid, text, anchors; texts without any aren't shuffled unless BROADCAST_IDS have some."""
+    ids = chosen.select("rid")
+    if ids.count() <= BROADCAST_IDS:
+        texts = texts.join(F.broadcast(ids), "rid", "left_semi")
+    return texts.join(chosen, "rid").select("rid", "text", "anchors")
+
+
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Merges the ranges of each text and cuts them out."""
     for batch in batches:

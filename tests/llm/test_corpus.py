@@ -191,8 +191,9 @@ def cut_by_hand(texts, size=200):
         yield len(t), sum(gone), spans, bytes(b for b, g in zip(t, gone) if not g)
 
 
-@pytest.mark.parametrize("bucket,chunk", [(20_000, 2 << 20), (1, 1000)])
-def test_suffix_dedup(spark, bucket, chunk, monkeypatch):
+@pytest.mark.parametrize("bucket,chunk,ids", [(20_000, 2 << 20, 2_000_000), (1, 1000, 2_000_000), (20_000, 2 << 20, 0)])
+def test_suffix_dedup(spark, bucket, chunk, ids, monkeypatch):
+    monkeypatch.setattr(suffix_dedup, "BROADCAST_IDS", ids)   # 0: joins shuffle
     monkeypatch.setattr(suffix_dedup, "TASK_BUCKET", bucket)   # 1: every bucket is counted by Spark
     monkeypatch.setattr(suffix_dedup, "CHUNK", chunk)
     data = [r for r in rows() if r[0] not in (11, 12)]   # long ones below
@@ -204,6 +205,28 @@ def test_suffix_dedup(spark, bucket, chunk, monkeypatch):
     assert sorted(got, key=repr) == sorted(want, key=repr)
 
 
+def test_bucket_refinement_reads_bytes():
+    """Refined buckets against all pairs of strings; buckets whose anchors differ (equal hashes) share nothing."""
+    import numpy as np
+    rng = np.random.default_rng(4)
+    pool = [bytes(rng.integers(97, 99, 300).astype(np.uint8)) for _ in range(4)]
+    gram, before, after = [], [], []
+    for i in range(60):
+        whole = bytearray(pool[rng.integers(4)])
+        for at in rng.integers(0, 300, rng.integers(0, 3)):
+            whole[at] = 120
+        whole = bytes(whole)
+        gram.append(int(rng.integers(2)))
+        before.append(whole[rng.integers(0, 101) if i % 3 else 0:100])
+        after.append(whole[100:rng.integers(200, 301) if i % 4 else 300])
+    got = suffix_dedup.repeated_around(np.array(gram), before, after)
+    for k in range(101):
+        own = [(g, x[len(x) - k:] + y[:200 - k]) if len(x) >= k and len(y) >= 200 - k else None for g, x, y in zip(gram, before, after)]
+        seen = collections.Counter(x for x in own if x)
+        assert got[:, k].tolist() == [x is not None and seen[x] > 1 for x in own]
+    assert got.any() and not got.all()
+
+
 def test_suffix_dedup_empty(spark):
     assert suffix_dedup.remove_repeats(frame(spark, [])).count() == 0
 
