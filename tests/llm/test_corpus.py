@@ -323,6 +323,24 @@ def test_lm_kinds_are_centred_on_all_texts(spark, monkeypatch):
     assert spread[1] < spread[0]
 
 
+def test_lm_counts_and_numbers_beyond_24_bits():
+    import numpy as np
+    import pyarrow as pa
+    import zstandard
+    ids = np.array([0, 5, 1 << 24, (1 << 24) + 5, (1 << 31) - 1], np.int32)
+    raw = context_mixing.pack(ids, zstandard.ZstdCompressor())
+    assert context_mixing.unpack(raw, zstandard.ZstdDecompressor()).tolist() == ids.tolist()
+    part = [np.array([n, 1], np.int64).tobytes() for n in (1 << 24, 1, 1, 1, 1, 1)]
+    total = context_mixing._add_parts(pa.table({"k": [0] * 6, "c": [0] * 6, "part": pa.array(part, pa.binary())}))
+    assert np.frombuffer(total.column("part")[0].as_py(), np.int64).tolist() == [(1 << 24) + 5, 6]
+
+
+def test_lm_scores_do_not_depend_on_the_layout(spark):
+    data = [(i, prose(i, 40 + i), "en", "s", 1) for i in range(60)]
+    scores = [{r.doc_id: r.score for r in context_mixing.lm_scores(frame(spark, data).repartition(n)).collect()} for n in (1, 5)]
+    assert all(math.isclose(scores[0][i], scores[1][i], rel_tol=1e-9) for i in range(60))
+
+
 def test_lm_is_a_distribution():
     """Bits of all 1-byte continuations add up, and a sequence's three kinds of predictors never exceed 1."""
     import numpy as np
