@@ -210,19 +210,32 @@ WITH q AS (SELECT event_type, quantile_cont(value, 0.25) AS q1, quantile_cont(va
 SELECT e.event_id, e.event_type, e.value FROM events e JOIN q USING (event_type)
 WHERE e.value < q1 - 1.5 * (q3 - q1) OR e.value > q3 + 1.5 * (q3 - q1)"""
 
-ORACLE["violin_density"] = f"""
-WITH v AS (SELECT event_type, value AS x FROM events),
-s AS (SELECT event_type, count(*) AS n, stddev_samp(x) AS sd, min(x) AS lo, max(x) AS hi FROM v GROUP BY 1),
+ORACLE["marginal_box"] = "\nUNION ALL\n".join(
+    f"SELECT '{axis}' AS axis, * FROM ({box_sql(f'SELECT {c} AS x FROM lineitem')})"
+    for axis, c in (("x", "l_quantity"), ("y", "l_extendedprice")))
+
+
+def violin_sql(src: str, by: str, digits: int | None = None) -> str:
+    """Density of x for each value of ``by``; rows are shared between bins of 1/64 bandwidth."""
+    grid = R("grid_x", digits) if digits else R("grid_x")
+    return f"""
+WITH v AS ({src}),
+s AS (SELECT {by}, count(*) AS n, stddev_samp(x) AS sd, min(x) AS lo, max(x) AS hi FROM v GROUP BY 1),
 s2 AS (SELECT *, CASE WHEN coalesce(1.06 * sd * pow(n, -0.2), 0) > 0 THEN 1.06 * sd * pow(n, -0.2)
                       ELSE 1e-3 END AS h FROM s),
-g AS (SELECT event_type, CAST(p AS INTEGER) AS point, lo + (hi - lo) * p / 49 AS grid_x, n, h, lo
+g AS (SELECT {by}, CAST(p AS INTEGER) AS point, lo + (hi - lo) * p / 49 AS grid_x, n, h, lo
       FROM s2, range(0, 50) t(p)),
-c AS (SELECT event_type, floor(t) AS b, sum(1 - (t - floor(t))) AS w0, sum(t - floor(t)) AS w1
-      FROM (SELECT event_type, (x - lo) / (h / 64) AS t FROM v JOIN s2 USING (event_type)) GROUP BY 1, 2)
-SELECT g.event_type, point, {R("grid_x")} AS grid_x,
+c AS (SELECT {by}, floor(t) AS b, sum(1 - (t - floor(t))) AS w0, sum(t - floor(t)) AS w1
+      FROM (SELECT {by}, (x - lo) / (h / 64) AS t FROM v JOIN s2 USING ({by})) GROUP BY 1, 2)
+SELECT g.{by}, point, {grid} AS grid_x,
        {R("""sum(w0 * exp(-0.5 * pow((grid_x - (lo + b * (h / 64))) / h, 2)) + w1 * exp(-0.5 * pow((grid_x - (lo + (b + 1) * (h / 64))) / h, 2)))
              / (n * h * sqrt(2 * pi()))""", 8)} AS density
-FROM g JOIN c USING (event_type) GROUP BY g.event_type, point, grid_x, n, h"""
+FROM g JOIN c USING ({by}) GROUP BY g.{by}, point, grid_x, n, h"""
+
+
+ORACLE["violin_density"] = violin_sql("SELECT event_type, value AS x FROM events", "event_type")
+ORACLE["marginal_violin"] = violin_sql(
+    "SELECT 'x' AS axis, l_quantity AS x FROM lineitem UNION ALL SELECT 'y', l_extendedprice FROM lineitem", "axis", 4)
 
 ORACLE["pearson"] = f"""
 SELECT l_returnflag, {R("corr(l_quantity, l_extendedprice)")} AS r FROM lineitem GROUP BY l_returnflag"""

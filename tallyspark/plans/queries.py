@@ -212,6 +212,18 @@ def marginal_hist(spark, d):
     return _hist_out(m)
 
 
+@register("marginal_box")
+def marginal_box(spark, d):
+    b = PR.marginal(table(spark, d, "lineitem"), "l_quantity", "l_extendedprice", "box")
+    return b.select("axis", *[r(c, STAT_ROUND).alias(c) for c in BOX_COLS], "n_outliers", "n")
+
+
+@register("marginal_violin")
+def marginal_violin(spark, d):
+    v = PR.marginal(table(spark, d, "lineitem"), "l_quantity", "l_extendedprice", "violin", n_points=50)
+    return v.select("axis", "point", r("grid_x", STAT_ROUND).alias("grid_x"), r("density", 8).alias("density"))
+
+
 @register("pearson")
 def pearson(spark, d):
     return PR.pearson(table(spark, d, "lineitem"), "l_quantity", "l_extendedprice",

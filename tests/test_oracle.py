@@ -8,7 +8,7 @@ from tests.conftest import SMALL
 
 FAST = ["typed_projection", "display_rename", "null_profile", "mean_impute", "stratified_split",
         "second_split", "kfold", "score_fixed", "metrics_by_split", "fold_mean", "logloss",
-        "summary_stats", "histogram_by_class", "box_by_class", "violin_density", "corr_matrix",
+        "summary_stats", "histogram_by_class", "box_by_class", "violin_density", "marginal_box", "marginal_violin", "corr_matrix",
         "ols_trend", "negative_split", "request_validation", "trial_draws", "best_trial",
         "request_validation", "stream_rejected", "csv_typed_scan", "batch_predict", "scatter_records", "record_head",
         "table_shape", "promote_best", "part_sizes", "search_trials", "leaderboard", "best_version", "gap_free_versions", "current_stage", "early_stop",
