@@ -1,13 +1,16 @@
 """Histogram tree ensembles for many models at once (ML4-ML9): boosting with all five search parameters, bagged forests.
 
-Features are binned once, at exact quantiles, and stored in blocks of rows. All models (trials, folds of a
-cross-validation, trees of a forest) grow their next tree together:
+Features are binned once, at exact quantiles. Rows with the same bins and fold have the same margin in every round, so
+they make one cell with its counts of zeros and ones (a forest's cells have such counts for each tree's sample); cells
+are summed by a shuffle and stored in blocks. Derivatives, losses and confusion counts of a cell are those of a row
+times its counts. All models (trials, folds of a cross-validation, trees of a forest) grow their next tree together:
 
-* A node with more than ``SMALL`` rows is divided by one Spark aggregate over (model, node, feature, bin) of
+* A node with more than ``SMALL`` cells is divided by one Spark aggregate over (model, node, feature, bin) of
   first and second derivatives, made by the tasks of the blocks; the planner combines and shuffles them, and
   windows over the bins give each node's best split.
-* The rows of smaller nodes are sent, packed, to the task of their (model, node), which grows the rest of
-  the subtree; a model with so few rows in all gets its next rounds there, too. Both ways find the same splits: derivatives are whole multiples of 2**-24, so sums don't depend
+* The cells of smaller nodes are sent, packed, to the task of their (model, node), which grows the rest of
+  the subtree; a model with so few cells in all gets its next rounds there, too (all of them if its trees aren't
+  asked for). Both ways find the same splits: derivatives are whole multiples of 2**-24, so sums don't depend
   on how rows fall into tasks, and equal gains go to the first feature and the lowest bin.
 * Boosting goes on where it stands: margins are stored every ``KEEP`` rounds, and only the rounds since then are
   applied again. No tree is ever fitted twice, and a run with a ``state`` folder goes on after a lost driver.
@@ -26,6 +29,7 @@ import hashlib
 import math
 from collections.abc import Iterator, Mapping, Sequence
 from dataclasses import dataclass, field
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -37,10 +41,14 @@ from tallyspark.session import materialize, remove_path, shared_path, workers_im
 
 #: Derivatives are whole multiples of 1 / SCALE, losses of 1 / LOSS_SCALE.
 SCALE, LOSS_SCALE = float(1 << 24), float(1 << 32)
-#: Rows of a block, rows and bins of a node that one task may finish, rounds between stored margins.
-BLOCK, SMALL, SMALL_BINS, KEEP = 8192, 1 << 17, 1 << 24, 4
-#: Rounds and nodes of trees that a task may add at once to a model whose rows it has.
-AHEAD, AHEAD_NODES = 32, 20_000
+#: Cells of a block, cells and bins of a node that one task may finish, rounds between stored margins.
+BLOCK, SMALL, SMALL_BINS, KEEP = 8192, 1 << 20, 1 << 24, 4
+#: Rounds and nodes of trees that a task may add at once to a model whose cells it has, and rounds with a state folder.
+AHEAD, AHEAD_NODES, AHEAD_STATE = 1024, 20_000, 32
+#: Rows that a task makes cells of at once, cells that a bucket is for, trees of a forest that share a table of cells.
+TOGETHER, BUCKET, TREES = 1 << 18, 1 << 16, 128
+#: Places of a level's histogram up to which it is laid out whole.
+PLACES = 1 << 23
 #: Bins of a feature beside the one of nulls.
 BINS = 64
 #: A split must gain more.
@@ -75,13 +83,17 @@ class Spec:
 
 @dataclass
 class Binned:
-    """A table in blocks: features as bins."""
+    """A table whose features are to be bins: its rows (x, y, fold, key), and its cells in blocks."""
     spark: SparkSession
-    table: DataFrame
+    rows: DataFrame
     features: list[str]
     cuts: list[np.ndarray]
     sizes: dict[int, int]          # rows of each fold
 
+    @cached_property
+    def table(self) -> DataFrame:
+        return cells(self)
+
 
 @dataclass
 class Boosted:
@@ -111,7 +123,7 @@ def bin_cuts(df: DataFrame, features: Sequence[str], bins: int = BINS) -> list[n
 
 def binned(df: DataFrame, features: Sequence[str], label: str, fold: str | None = None, key: str | None = None, bins: int = BINS,
            cuts: list[np.ndarray] | None = None) -> Binned:
-    """Blocks of a table; ``key`` is needed by forests only. Rows are dealt to at least as many tasks as there are cores."""
+    """A table with the bounds of its bins; ``key`` is needed by forests only."""
     if not 2 <= bins <= 254:
         raise ValueError("bins must be from 2 to 254")
     spark, features = df.sparkSession, list(features)
@@ -120,13 +132,10 @@ def binned(df: DataFrame, features: Sequence[str], label: str, fold: str | None
     rows = df.select(F.array(*[F.col(f"`{f}`").cast("double") for f in features]).alias("x"), F.col(label).cast("int").alias("y"),
                      (F.col(fold) if fold else F.lit(0)).cast("int").alias("fold"),
                      (F.col(key).cast("string") if key else F.lit(None).cast("string")).alias("key"))
-    parts = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    dealt = rows.repartition(parts, F.xxhash64("x", "y", "fold", "key"))
-    table = materialize(dealt.mapInArrow(lambda batches: _pack(batches, cuts), "n bigint, bins binary, y binary, fold binary, keys array<string>"), "blocks")
     sizes: dict[int, int] = {}
     for r in rows.groupBy("fold").agg(F.count(F.lit(1)).alias("n")).collect():
         sizes[r["fold"]] = r["n"]
-    return Binned(spark, table, features, cuts, sizes)
+    return Binned(spark, rows, features, cuts, sizes)
 
 
 def bin_numbers(x: np.ndarray, cuts: list[np.ndarray]) -> np.ndarray:
@@ -138,17 +147,83 @@ def bin_numbers(x: np.ndarray, cuts: list[np.ndarray]) -> np.ndarray:
     return out
 
 
-def _pack(batches: Iterator[pa.RecordBatch], cuts: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+_CELLS = "n bigint, bins binary, zeros binary, ones binary, fold binary"
+
+
+def cells(data: Binned, trees: Sequence[Spec] = ()) -> DataFrame:
+    """Blocks of the table's cells: rows with the same bins and fold, with their counts of zeros and ones; for ``trees``
+    cells of bins alone, with such counts of each tree's sample. A task makes cells of its rows, buckets sum them."""
+    spark, cuts, width = data.spark, data.cuts, max(1, len(trees))
+    tasks = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    buckets = max(tasks, sum(data.sizes.values()) * width // (BUCKET * 16))
+    made = data.rows.mapInArrow(lambda batches: _row_cells(batches, cuts, trees, buckets), "bucket int, what binary, zeros binary, ones binary")
+    dealt = made.repartition(min(buckets, 4 * tasks), "bucket")     # a number of its own: the blocks are few bytes for much work
+    return materialize(dealt.groupBy("bucket").applyInArrow(lambda rows: _bucket_cells(rows, len(cuts), width), _CELLS), "blocks")
+
+
+def _merged(what: np.ndarray, zeros: np.ndarray, ones: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct cells (rows of bytes) and the sums of their counts."""
+    packed = np.zeros((len(what), -(-what.shape[1] // 8) * 8), np.uint8)
+    packed[:, :what.shape[1]] = what
+    words = packed.view(np.uint64)
+    order = np.lexsort(words.T)
+    words = words[order]
+    first = np.flatnonzero(np.append(True, (words[1:] != words[:-1]).any(1))[:len(words)])
+    return what[order][first], *[np.add.reduceat(v[order], first, axis=0, dtype=np.int64) if len(first) else v for v in (zeros, ones)]
+
+
+def _row_cells(batches: Iterator[pa.RecordBatch], cuts: list[np.ndarray], trees: Sequence[Spec], buckets: int) -> Iterator[pa.RecordBatch]:
+    held: list[pa.RecordBatch] = []
+    n = 0
     for b in batches:
-        for at in range(0, b.num_rows, BLOCK):
-            part = b.slice(at, BLOCK)
-            n = part.num_rows
-            flat = part.column(0).flatten().to_numpy(zero_copy_only=False).astype(float)     # nulls come as NaN
-            bins = bin_numbers(flat.reshape(n, len(cuts)), cuts)
-            y, fold = (part.column(i).to_numpy(zero_copy_only=False).astype(kind) for i, kind in ((1, np.uint8), (2, np.int32)))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([n], pa.int64()), *[pa.array([v.tobytes()], pa.binary()) for v in (bins, y, fold)],
-                 pa.array([part.column(3).to_pylist()], pa.list_(pa.string()))], names=["n", "bins", "y", "fold", "keys"])
+        held.append(b)
+        n += b.num_rows
+        if n >= TOGETHER:
+            yield _cells_of(pa.Table.from_batches(held), cuts, trees, buckets)
+            held, n = [], 0
+    if n:
+        yield _cells_of(pa.Table.from_batches(held), cuts, trees, buckets)
+
+
+def _cells_of(rows: pa.Table, cuts: list[np.ndarray], trees: Sequence[Spec], buckets: int) -> pa.RecordBatch:
+    rows = rows.combine_chunks()
+    n = rows.num_rows
+    flat = np.concatenate([c.flatten().to_numpy(zero_copy_only=False).astype(float) for c in rows.column(0).chunks])     # nulls come as NaN
+    bins = bin_numbers(flat.reshape(n, len(cuts)), cuts)
+    y, fold = (np.nan_to_num(rows.column(i).to_numpy().astype(float)).astype(np.int32) for i in (1, 2))
+    ones = (y == 1)[:, None]
+    if trees:
+        fold[:] = 0
+        weight = tree_copies(trees, rows.column(3).to_pylist())
+        zeros, ones = np.where(ones, 0, weight), np.where(ones, weight, 0)
+    else:
+        zeros = ~ones
+    what, zeros, ones = _merged(np.concatenate([fold.view(np.uint8).reshape(n, 4), bins], 1), zeros, ones)
+    bucket = np.zeros(len(what), np.uint64)
+    for j in range(what.shape[1]):
+        bucket = (bucket ^ what[:, j]) * np.uint64(0x9E3779B97F4A7C15)
+        bucket ^= bucket >> np.uint64(29)
+    bucket = (bucket % np.uint64(buckets)).astype(np.int32)
+    order = np.argsort(bucket, kind="stable")
+    full, first = np.unique(bucket[order], return_index=True)
+    parts = np.split(order, first[1:])
+    return pa.RecordBatch.from_arrays([pa.array(full), *[pa.array([v[i].tobytes() for i in parts], pa.binary())
+                                                         for v in (what, zeros.astype(np.int32), ones.astype(np.int32))]], names=["bucket", "what", "zeros", "ones"])
+
+
+def _bucket_cells(rows: pa.Table, n_features: int, width: int) -> pa.Table:
+    what, zeros, ones = [np.frombuffer(b"".join(rows.column(i).to_pylist()), t).reshape(-1, k)
+                         for i, t, k in ((1, np.uint8, 4 + n_features), (2, np.int32, width), (3, np.int32, width))]
+    what, zeros, ones = _merged(what, zeros, ones)
+    out: list[list] = [[], [], [], [], []]
+    for at in range(0, len(what), BLOCK):
+        part = slice(at, at + BLOCK)
+        # The least type that holds a block's counts; readers tell it from the number of bytes.
+        kind = np.promote_types(*[np.min_scalar_type(v[part].max()) for v in (zeros, ones)])
+        for column, v in zip(out, (len(what[part]), what[part, 4:].tobytes(), zeros[part].astype(kind).tobytes(), ones[part].astype(kind).tobytes(),
+                                   what[part, :4].tobytes()), strict=True):
+            column.append(v)
+    return pa.table({k: pa.array(v, pa.int64() if k == "n" else pa.binary()) for k, v in zip(("n", "bins", "zeros", "ones", "fold"), out, strict=True)})
 
 
 # ------------------------------------------------------------------ one tree, in numpy
@@ -165,58 +240,77 @@ def node_features(spec: Spec, path: str, n: int) -> list[int]:
     return sorted(order[:spec.node_features])
 
 
-def grow(bins: np.ndarray, g: np.ndarray, h: np.ndarray, spec: Spec, path: str = "1") -> np.ndarray:
-    """The tree (``TREE`` records, root first) of rows with whole derivatives ``g`` and ``h``; ``path`` is the root's place in the full tree."""
-    n_features = bins.shape[1]
-    levels, made, depth = [], 1, len(path) - 1
-    rows, node, paths = np.arange(len(g)), np.zeros(len(g), np.int64), [path]
+def shrunk_square(g, alpha: float):
+    return np.maximum(np.abs(g) - alpha, 0.0) ** 2
+
+
+def grow(columns: np.ndarray, g: np.ndarray, h: np.ndarray, spec: Spec, path: str = "1") -> tuple[np.ndarray, np.ndarray]:
+    """The tree (``TREE`` records, root first) of cells with whole derivatives ``g`` and ``h``, and each cell's leaf; ``columns`` are
+    their bins (a row for each feature), ``path`` is the root's place in the full tree."""
+    n_features, width = len(columns), int(columns.max(initial=0)) + 1
+    levels, made, depth, start = [], 1, len(path) - 1, 0
+    rows, node, paths, leaf = np.arange(len(g)), np.zeros(len(g), np.int64), [path], np.zeros(len(g), np.int64)
     while paths:
         k = len(paths)
+        leaf[rows] = start + node
         rg, rh = g[rows], h[rows]
         total_g, total_h = (np.bincount(node, v, k) for v in (rg, rh))          # whole numbers under 2**53: exact
         gs, hs = total_g / SCALE, total_h / SCALE
-        top = shrunk(gs, spec.reg_alpha) ** 2 / (hs + spec.reg_lambda)
+        top = shrunk_square(gs, spec.reg_alpha) / (hs + spec.reg_lambda)
         best, feature, cut = np.full(k, LEAST_GAIN), np.full(k, -1), np.zeros(k, np.int64)
         # Rows of nodes that are too light for two children stay as they are.
         heavy = hs >= 2 * spec.min_child_weight
         if not heavy.all():
-            stay = heavy[node]
+            stay = np.flatnonzero(heavy[node])
             rows, node = rows[stay], node[stay]
             rg, rh = rg[stay], rh[stay]
         if depth < spec.max_depth and len(rows):
             before_g, before_h = (np.concatenate([[0.0], np.cumsum(np.where(heavy, v, 0.0))[:-1]]) for v in (total_g, total_h))
-            first = node << 8
+            first = node * width
             tried = None
             if spec.node_features:
                 tried = np.zeros((n_features, k), bool)
                 for i, p in enumerate(paths):
                     tried[node_features(spec, p, n_features), i] = True
             for f in range(n_features):
-                place = (first + bins[rows, f]).astype(np.int32)       # SMALL rows have fewer than 2**23 nodes
-                order = np.argsort(place)
-                place = place[order]
-                ends = np.flatnonzero(np.append(place[1:] != place[:-1], True))
-                at = place[ends] >> 8
-                lg = (np.cumsum(rg[order])[ends] - before_g[at]) / SCALE
-                lh = (np.cumsum(rh[order])[ends] - before_h[at]) / SCALE
-                right_g, right_h = gs[at] - lg, hs[at] - lh
-                inner = np.append(at[1:] == at[:-1], False)                      # the last bin of a node leaves nothing on the right
-                fine = inner & (lh >= spec.min_child_weight) & (right_h >= spec.min_child_weight)
+                place = first + columns[f][rows]
+                if k * width <= PLACES:                                # sums by place; only places with cells count
+                    full = np.zeros(k * width, bool)
+                    full[place] = True
+                    place_at = np.flatnonzero(full)
+                    sum_g, sum_h = (np.cumsum(np.bincount(place, v, k * width)[place_at]) for v in (rg, rh))
+                else:
+                    order = np.argsort(place)
+                    place = place[order]
+                    ends = np.flatnonzero(np.append(place[1:] != place[:-1], True))
+                    place_at = place[ends]
+                    sum_g, sum_h = (np.cumsum(v[order])[ends] for v in (rg, rh))
+                at = place_at // width
+                turn = at[1:] != at[:-1]
+                fine = np.flatnonzero(~turn)                           # the last bin of a node leaves nothing on the right
                 if tried is not None:
-                    fine &= tried[f, at]
-                gain = np.full(len(at), -np.inf)
-                s = (shrunk(lg[fine], spec.reg_alpha) ** 2 / (lh[fine] + spec.reg_lambda)
-                     + shrunk(right_g[fine], spec.reg_alpha) ** 2 / (right_h[fine] + spec.reg_lambda))
-                gain[fine] = 0.5 * (s - top[at[fine]])
-                firsts = np.flatnonzero(np.append(True, at[1:] != at[:-1]))
+                    fine = fine[tried[f, at[fine]]]
+                who = at[fine]
+                lg, lh = (sum_g[fine] - before_g[who]) / SCALE, (sum_h[fine] - before_h[who]) / SCALE
+                right_h = hs[who] - lh
+                enough = np.flatnonzero((lh >= spec.min_child_weight) & (right_h >= spec.min_child_weight))
+                if not len(enough):
+                    continue
+                if len(enough) < len(fine):
+                    fine, who, lg, lh, right_h = fine[enough], who[enough], lg[enough], lh[enough], right_h[enough]
+                s = (shrunk_square(lg, spec.reg_alpha) / (lh + spec.reg_lambda)
+                     + shrunk_square(gs[who] - lg, spec.reg_alpha) / (right_h + spec.reg_lambda))
+                gain = 0.5 * (s - top[who])
+                firsts = np.flatnonzero(np.append(True, who[1:] != who[:-1]))
                 most = np.maximum.reduceat(gain, firsts)
-                better = most > best[at[firsts]]
-                hit = np.flatnonzero(gain == most[np.searchsorted(firsts, np.arange(len(at)), side="right") - 1])
-                who, foremost = np.unique(at[hit], return_index=True)
-                found = np.zeros(k, np.int64)
-                found[who] = place[ends][hit[foremost]] & 255
-                at = at[firsts][better]
-                best[at], feature[at], cut[at] = most[better], f, found[at]
+                better = most > best[who[firsts]]
+                if not better.any():
+                    continue
+                sizes = np.diff(np.append(firsts, len(who)))
+                hit = np.flatnonzero(gain == np.repeat(most, sizes))
+                foremost = hit[np.searchsorted(hit, firsts)]           # the lowest bin of each node's best
+                mine = who[firsts][better]
+                best[mine], feature[mine], cut[mine] = most[better], f, place_at[fine[foremost[better]]] - mine * width
         split = feature >= 0
         level = np.zeros(k, TREE)
         level["feature"], level["cut"], level["cover"] = feature, cut, hs
@@ -225,14 +319,15 @@ def grow(bins: np.ndarray, g: np.ndarray, h: np.ndarray, spec: Spec, path: str =
         kids = made + 2 * (np.cumsum(split) - 1)
         level["left"] = np.where(split, kids, -1)
         levels.append(level)
+        start += k
         made += 2 * int(split.sum())
-        stay = split[node]
+        stay = np.flatnonzero(split[node])
         rows, node = rows[stay], node[stay]
-        right = bins[rows, feature[node]] > cut[node]
+        right = columns[feature[node], rows] > cut[node]
         node = 2 * (np.cumsum(split) - 1)[node] + right
-        paths = [p + side for p, s in zip(paths, split, strict=True) if s for side in "01"]
+        paths = [p + side for p, s in zip(paths, split.tolist(), strict=True) if s for side in "01"] if spec.node_features else [""] * (2 * int(split.sum()))
         depth += 1
-    return np.concatenate(levels)
+    return np.concatenate(levels), leaf
 
 
 def leaf_of(tree: np.ndarray, bins: np.ndarray) -> np.ndarray:
@@ -253,22 +348,39 @@ def leaf_of(tree: np.ndarray, bins: np.ndarray) -> np.ndarray:
 # ------------------------------------------------------------------ all models, in Spark
 
 def _blocks(batches: Iterator[pa.RecordBatch], n_features: int) -> Iterator[tuple]:
-    """(bins, y, fold, keys, margins or None) of each block."""
+    """(bins, zeros, ones, fold, margins or None) of each block; zeros and ones have a column, or one for each tree."""
     for b in batches:
         for i in range(b.num_rows):
             n = b.column(0)[i].as_py()
-            bins = np.frombuffer(b.column(1)[i].as_py(), np.uint8).reshape(n, n_features)
-            y, fold = np.frombuffer(b.column(2)[i].as_py(), np.uint8), np.frombuffer(b.column(3)[i].as_py(), np.int32)
+            bins, zeros, ones, fold = (b.column(j)[i].as_py() for j in range(1, 5))
             margins = np.frombuffer(b.column(5)[i].as_py(), float).reshape(n, -1) if b.num_columns > 5 else None
-            yield bins, y, fold, b.column(4)[i].as_py(), margins
+            yield np.frombuffer(bins, np.uint8).reshape(n, n_features), zeros, ones, np.frombuffer(fold, np.int32), margins
+
+
+#: Copies of a row for each draw.
+_COPIES_OF = np.searchsorted(COPIES, np.arange(1 << 16), side="right").astype(np.uint8)
+
+
+def _draws(seed: str, group: int, keys: Sequence[str]) -> np.ndarray:
+    """Draws (rows x 8) of eight trees: they share a digest."""
+    start = f"{seed}:{group}:"
+    return np.frombuffer(b"".join([hashlib.md5(f"{start}{k}".encode()).digest() for k in keys]), ">u2").reshape(-1, 8)
 
 
 def copies(spec: Spec, keys: Sequence[str]) -> np.ndarray:
     """How often each row is in a tree's sample; eight trees share a digest."""
-    part = spec.tree % 8
-    draws = np.array([int.from_bytes(hashlib.md5(f"{spec.seed}:{spec.tree // 8}:{k}".encode()).digest()[2 * part:2 * part + 2], "big")
-                      for k in keys])
-    return np.searchsorted(COPIES, draws, side="right")
+    return _COPIES_OF[_draws(spec.seed, spec.tree // 8, keys)[:, spec.tree % 8]].astype(np.int64)
+
+
+def tree_copies(trees: Sequence[Spec], keys: Sequence[str]) -> np.ndarray:
+    """The same of all trees (a column each), every digest made once."""
+    out, made = np.zeros((len(keys), len(trees)), np.uint8), {}
+    for j, s in enumerate(trees):
+        which = (s.seed, s.tree // 8)
+        if which not in made:
+            made = {which: _COPIES_OF[_draws(*which, keys)]}
+        out[:, j] = made[which][:, s.tree % 8]
+    return out
 
 
 def _margins(bins: np.ndarray, stored: np.ndarray | None, columns: list[int], active: list[int], since: list[dict]) -> np.ndarray:
@@ -284,27 +396,30 @@ def _margins(bins: np.ndarray, stored: np.ndarray | None, columns: list[int], ac
     return out
 
 
-def derivatives(spec: Spec, margins: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Whole first and second derivatives of the log loss; for a tree of a forest the margins are the rows' copies."""
+def derivatives(spec: Spec, margins: np.ndarray | None, zeros: np.ndarray, ones: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Whole first and second derivatives of the log loss, as floats; for a tree of a forest from the counts alone."""
+    n = (zeros + ones).astype(float)
     if spec.tree >= 0:
-        h = (margins * SCALE).astype(np.int64)
-        return -h * y, h
+        return -SCALE * ones, SCALE * n
     p = 1.0 / (1.0 + np.exp(-margins))
-    return np.rint((p - y) * SCALE).astype(np.int64), np.rint(p * (1.0 - p) * SCALE).astype(np.int64)
+    return zeros * np.rint(p * SCALE) + ones * np.rint((p - 1) * SCALE), n * np.rint(p * (1.0 - p) * SCALE)
 
 
 def parts_of(specs: list[Spec], active: list[int], margins_of, blocks) -> Iterator[tuple]:
-    """(model, bins, y, training rows, their margins, validation rows, their margins) for every block and model; no ``margins_of``: a forest."""
-    for bins, y, fold, keys, stored in blocks:
+    """(model, bins, zeros, ones, training cells, their margins, validation cells, their margins) for every block and model; no ``margins_of``:
+    a forest, whose margins are none."""
+    for bins, zeros, ones, fold, stored in blocks:
+        width = 1 if margins_of else len(specs)
+        kind = np.dtype(f"u{len(zeros) // (width * len(fold))}")
+        zeros, ones = (np.frombuffer(v, kind).reshape(-1, width).astype(np.int64) for v in (zeros, ones))
         margins = margins_of and margins_of(bins, stored)
         for j, m in enumerate(active):
-            learn, held = np.flatnonzero(fold != specs[m].fold), np.flatnonzero(fold == specs[m].fold)
             if margins is None:
-                w = copies(specs[m], keys)
-                learn, held = learn[w[learn] > 0], held[:0]
-                yield m, bins, y, learn, w[learn].astype(float), held, np.zeros(0)
+                learn = np.flatnonzero(zeros[:, m] + ones[:, m])
+                yield m, bins, zeros[:, m], ones[:, m], learn, np.zeros(0), learn[:0], np.zeros(0)
             else:
-                yield m, bins, y, learn, margins[learn, j], held, margins[held, j]
+                learn, held = np.flatnonzero(fold != specs[m].fold), np.flatnonzero(fold == specs[m].fold)
+                yield m, bins, zeros[:, 0], ones[:, 0], learn, margins[learn, j], held, margins[held, j]
 
 
 @dataclass
@@ -320,11 +435,12 @@ class _Grower:
 
     def __init__(self, data: Binned, specs: list[Spec]):
         self.data, self.specs = data, specs
-        self.all_rows = sum(data.sizes.values())
+        self.size = None
 
-    def step(self, table: DataFrame, active: list[int], margins_of, ahead: dict[int, tuple[int, float, int]], kind=TREE) -> dict[int, Round]:
-        """The next tree of each active model; of a model whose rows one task has, the next ones up to ``ahead[m]``:
-        (rounds, least loss so far in whole units, rounds without a better one that end it)."""
+    def step(self, table: DataFrame, active: list[int], margins_of, ahead: dict[int, tuple[int, float, int]], kind=TREE, trees: bool = True) -> dict[int, Round]:
+        """The next tree of each active model; of a model whose cells one task has, the next ones up to ``ahead[m]``:
+        (rounds, least loss so far in whole units, rounds without a better one that end it). Without ``trees`` such a
+        model gets all of them there, and they stay there."""
         self.active = active
         n_features = len(self.data.features)
         small = max(1, min(SMALL, SMALL_BINS // n_features))
@@ -333,9 +449,10 @@ class _Grower:
         tops = {m: leaf.copy() for m in active}
         paths = {m: {0: "1"} for m in active}
         large = {}
+        if self.size is None:       # of a node: its cells, and so much more that sums of its rows' derivatives are exact
+            self.size = (table.agg(F.sum("n").alias("n")).first()["n"] or 0) + (sum(self.data.sizes.values()) >> 8)
         for m in active:
-            n = self.all_rows - self.data.sizes.get(self.specs[m].fold, 0)
-            if n > small and self.specs[m].max_depth > 0:
+            if self.size > small and self.specs[m].max_depth > 0:
                 large[m] = [0]
         alone = {m: ahead[m] for m in active if m in ahead and m not in large}
         while large:
@@ -354,7 +471,7 @@ class _Grower:
                     if n > small and len(paths[m][kid]) - 1 < self.specs[m].max_depth:
                         large.setdefault(m, []).append(kid)
                 del paths[m][at]
-        return self._finish(table, margins_of, tops, paths, n_features, alone, kind)
+        return self._finish(table, margins_of, tops, paths, n_features, alone, kind, trees)
 
     def _best_splits(self, table, margins_of, tops, paths, large, n_features):
         """The best split of every large node, by one aggregate over (model, node, feature, bin)."""
@@ -362,17 +479,18 @@ class _Grower:
 
         def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             held: dict[tuple, np.ndarray] = {}
-            for m, bins, y, learn, margins, *_ in parts_of(specs, active, margins_of, _blocks(batches, n_features)):
+            for m, bins, zeros, ones, learn, margins, *_ in parts_of(specs, active, margins_of, _blocks(batches, n_features)):
                 if m not in large:
                     continue
-                g, h = derivatives(specs[m], margins, y[learn])
+                g, h = derivatives(specs[m], margins, zeros[learn], ones[learn])
+                size = 1 + (zeros + ones >> 8)[learn]
                 at = leaf_of(tops[m], bins[learn])
                 for node in large[m]:
                     inside = np.flatnonzero(at == node)
                     for f in node_features(specs[m], paths[m][node], n_features):
                         b = bins[learn[inside], f]
                         got = held.setdefault((m, node, f), np.zeros((3, 256), np.int64))
-                        for i, v in enumerate((g[inside], h[inside], np.ones(len(inside)))):
+                        for i, v in enumerate((g[inside], h[inside], size[inside])):
                             got[i] += np.bincount(b, v, 256).astype(np.int64)
             for (m, node, f), got in held.items():
                 b = np.flatnonzero(got[2])
@@ -401,89 +519,101 @@ class _Grower:
         return rated.groupBy("m", "node").agg(F.max("h").alias("h"), F.max("c").alias("c"), F.max_by(
             F.struct("feature", "bin", "gain", F.col("lc").alias("c")), order).alias("best")).collect()     # a row for each large node
 
-    def _finish(self, table, margins_of, tops, paths, n_features, alone, kind):
-        """The subtrees of all open nodes, each grown where its rows meet, with the validation loss after it."""
+    def _finish(self, table, margins_of, tops, paths, n_features, alone, kind, trees):
+        """The subtrees of all open nodes, each grown where its cells meet, with the validation loss after it."""
         specs, active = self.specs, self.active
 
         def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for m, bins, y, learn, margins, held, held_margins in parts_of(specs, active, margins_of, _blocks(batches, n_features)):
-                at, at_held = leaf_of(tops[m], bins[learn]), leaf_of(tops[m], bins[held])
+            for m, bins, zeros, ones, learn, margins, held, held_margins in parts_of(specs, active, margins_of, _blocks(batches, n_features)):
+                whole = len(tops[m]) == 1
+                at, at_held = (np.zeros(len(v), int) if whole else leaf_of(tops[m], bins[v]) for v in (learn, held))
                 out = []
                 for node in paths[m]:
                     a, b = np.flatnonzero(at == node), np.flatnonzero(at_held == node)
                     if len(a) + len(b):
-                        out.append((m, node, bins[learn[a]].tobytes(), margins[a].tobytes(), y[learn[a]].tobytes(),
-                                    bins[held[b]].tobytes(), held_margins[b].tobytes(), y[held[b]].tobytes()))
-                columns = zip(*out, strict=True) if out else [[]] * 8
-                yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(columns, [pa.int32()] * 2 + [pa.binary()] * 6, strict=True)],
-                                                 names=["m", "node", "bins", "margins", "y", "vbins", "vmargins", "vy"])
+                        out.append((m, node, *[v.tobytes() for i, x in ((learn[a], margins[a] if len(margins) else margins), (held[b], held_margins[b]))
+                                               for v in (bins[i], x, zeros[i], ones[i])]))
+                columns = zip(*out, strict=True) if out else [[]] * 10
+                yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(columns, [pa.int32()] * 2 + [pa.binary()] * 8, strict=True)],
+                                                 names=["m", "node", "bins", "margins", "zeros", "ones", "vbins", "vmargins", "vzeros", "vones"])
 
         def finish(rows: pa.Table) -> pa.Table:
             m, node = rows.column(0)[0].as_py(), rows.column(1)[0].as_py()
-            bins, margins, y, vbins, vmargins, vy = [
+            bins, margins, zeros, ones, vbins, vmargins, vzeros, vones = [
                 np.frombuffer(b"".join(rows.column(i).to_pylist()), t)
-                for i, t in enumerate((np.uint8, float, np.uint8, np.uint8, float, np.uint8), start=2)]
-            bins, vbins = bins.reshape(-1, n_features), vbins.reshape(-1, n_features)
+                for i, t in enumerate((np.uint8, float, np.int64, np.int64) * 2, start=2)]
+            columns, vbins = np.ascontiguousarray(bins.reshape(-1, n_features).T), vbins.reshape(-1, n_features)
             most, least, wait = alone.get(m, (1, math.inf, 1))
             got, nodes, waited = Round([], [], []), 0, 0
-            while len(got.trees) < most and nodes < AHEAD_NODES:
-                tree = grow(bins, *derivatives(specs[m], margins, y), specs[m], paths[m][node])
-                got.trees.append(tree.astype(kind) if kind is TREE else tree[list(kind.names)].astype(kind))
+            asked = trees or m not in alone
+            while len(got.losses) < most and (nodes < AHEAD_NODES or not asked):
+                tree, leaf = grow(columns, *derivatives(specs[m], margins, zeros, ones), specs[m], paths[m][node])
+                if asked:
+                    got.trees.append(tree.astype(kind) if kind is TREE else tree[list(kind.names)].astype(kind))
                 nodes += len(tree)
                 loss, seen = 0, [0, 0, 0, 0]
                 if specs[m].tree < 0:
                     if m in alone:
-                        margins = margins + tree["value"][leaf_of(tree, bins)]
+                        margins = margins + tree["value"][leaf]
                     vmargins = vmargins + tree["value"][leaf_of(tree, vbins)]
-                    loss, seen = validation(vmargins, vy)
+                    loss, seen = validation(vmargins, vzeros, vones)
                 got.losses.append(loss)
                 got.seen.append(seen)
                 waited, least = (0, loss) if loss < least else (waited + 1, least)
                 if waited >= wait:
                     break
-            return pa.table({"m": pa.array([m] * len(got.trees), pa.int32()), "node": pa.array([node] * len(got.trees), pa.int32()),
-                             "turn": pa.array(range(len(got.trees)), pa.int32()), "tree": pa.array([t.tobytes() for t in got.trees], pa.binary()),
+            n = len(got.losses)
+            return pa.table({"m": pa.array([m] * n, pa.int32()), "node": pa.array([node] * n, pa.int32()),
+                             "turn": pa.array(range(n), pa.int32()), "tree": pa.array([t.tobytes() for t in got.trees] if asked else [None] * n, pa.binary()),
                              "loss": pa.array(got.losses, pa.int64()), "seen": pa.array(got.seen, pa.list_(pa.int64()))})
 
-        sent = table.mapInArrow(send, "m int, node int, bins binary, margins binary, y binary, vbins binary, vmargins binary, vy binary")
+        sent = table.mapInArrow(send, "m int, node int, bins binary, margins binary, zeros binary, ones binary, "
+                                "vbins binary, vmargins binary, vzeros binary, vones binary")
         # A number of its own: the rows are few bytes for much work, so the planner would put them into few tasks.
-        tasks = min(sum(map(len, paths.values())), max(8 * self.data.spark.sparkContext.defaultParallelism,
+        tasks = min(4 * sum(map(len, paths.values())), max(8 * self.data.spark.sparkContext.defaultParallelism,
                                                        int(self.data.spark.conf.get("spark.sql.shuffle.partitions"))))
         done = sent.repartition(tasks, "m", "node").groupBy("m", "node").applyInArrow(finish, "m int, node int, turn int, tree binary, loss bigint, seen array<bigint>")
         out: dict[int, Round] = {}
         tops = {m: t.astype(kind) if kind is TREE else t[list(kind.names)].astype(kind) for m, t in tops.items()}
         for r in sorted(done.collect(), key=lambda r: (r["m"], r["turn"], r["node"])):
-            m, sub = r["m"], np.frombuffer(r["tree"], kind).copy()
+            m = r["m"]
             got = out.setdefault(m, Round([], [], []))
-            if len(got.trees) <= r["turn"]:
-                got.trees.append(tops[m])
+            if len(got.losses) <= r["turn"]:
                 got.losses.append(0)
                 got.seen.append([0, 0, 0, 0])
-            whole = got.trees[-1]
+                if r["tree"] is not None:
+                    got.trees.append(tops[m])
+            got.losses[-1] += r["loss"]
+            got.seen[-1] = [a + b for a, b in zip(got.seen[-1], r["seen"], strict=True)]
+            if r["tree"] is None:
+                continue
+            whole, sub = got.trees[-1], np.frombuffer(r["tree"], kind).copy()
             # The subtree's root takes the open node's place; the others follow.
             sub["left"] = np.where(sub["feature"] >= 0, sub["left"] + len(whole) - 1, -1)
             whole = np.concatenate([whole, sub[1:]])
             whole[r["node"]] = sub[0]
             got.trees[-1] = whole
-            got.losses[-1] += r["loss"]
-            got.seen[-1] = [a + b for a, b in zip(got.seen[-1], r["seen"], strict=True)]
         return out
 
 
-def validation(margins: np.ndarray, y: np.ndarray) -> tuple[int, list[int]]:
+def validation(margins: np.ndarray, zeros: np.ndarray, ones: np.ndarray) -> tuple[int, list[int]]:
     """Sum of the log losses, in whole multiples of 1 / LOSS_SCALE, and tp, fp, tn, fn at probabilities rounded half to even."""
     p = np.clip(1.0 / (1.0 + np.exp(-margins)), 1e-15, 1 - 1e-15)
-    loss = np.rint(-np.where(y == 1, np.log(p), np.log(1.0 - p)) * LOSS_SCALE).astype(np.int64)
-    said = np.rint(p).astype(int)
-    return int(loss.sum()), [int(((y == a) & (said == b)).sum()) for a, b in ((1, 1), (0, 1), (0, 0), (1, 0))]
+    loss = sum(int((n * np.rint(-np.log(q) * LOSS_SCALE).astype(np.int64)).sum()) for n, q in ((ones, p), (zeros, 1.0 - p)))
+    said = np.rint(p).astype(bool)
+    return loss, [int(n[which].sum()) for n, which in ((ones, said), (zeros, said), (zeros, ~said), (ones, ~said))]
 
 
 def forest(data: Binned, trees: int = 100, max_depth: int = 300, node_features_: int | None = None, seed: str = "42") -> list[np.ndarray]:
     """ML4: trees on samples with replacement (hashed Poisson draws), a few features tried at each node; a leaf is the share of ones."""
     few = node_features_ or max(1, int(math.sqrt(len(data.features))))
     specs = [Spec(max_depth=max_depth, learning_rate=1.0, reg_lambda=0.0, min_child_weight=1.0, node_features=few, tree=t, seed=seed) for t in range(trees)]
-    got = _Grower(data, specs).step(data.table, list(range(trees)), None, {})
-    return [got[t].trees[0] for t in range(trees)]
+    out = []
+    for at in range(0, trees, TREES):
+        some = specs[at:at + TREES]
+        got = _Grower(data, some).step(cells(data, some), list(range(len(some))), None, {})
+        out += [got[t].trees[0] for t in range(len(some))]
+    return out
 
 
 def boost(data: Binned, specs: Sequence[Spec], rounds: int, patience: int | None = None, keep: bool = True,
@@ -519,13 +649,13 @@ def boost(data: Binned, specs: Sequence[Spec], rounds: int, patience: int | None
             best = _stopped(out.losses[m], patience)[0]
             least = round(out.losses[m][best] * LOSS_SCALE * held[m]) if out.losses[m] else math.inf
             wait = patience - (len(out.losses[m]) - 1 - best) if patience is not None and out.losses[m] else patience
-            ahead[m] = (min(AHEAD, rounds - len(out.losses[m])), least, wait if wait is not None else rounds + 1)
-        got = grower.step(table, active, margins_of, ahead, kind)
+            ahead[m] = (min(min(AHEAD, AHEAD_STATE) if state else AHEAD if keep else rounds, rounds - len(out.losses[m])), least, wait if wait is not None else rounds + 1)
+        got = grower.step(table, active, margins_of, ahead, kind, keep or bool(state))
         bare.update(set(active) - set(got))        # no rows: no trees
         if not got:
             break
         for m, r in got.items():
-            out.fitted += len(r.trees)
+            out.fitted += len(r.losses)
             out.trees[m] += r.trees
             out.losses[m] += [v / LOSS_SCALE / held[m] for v in r.losses]
             out.counts[m] += [tuple(map(int, x)) for x in r.seen]
@@ -574,9 +704,9 @@ def _stored_margins(table: DataFrame, path: str, columns: list[int], active: lis
         since = [c.value for c in casts]
         for b in batches:
             made = [_margins(bins, stored, columns, active, since).tobytes() for bins, _, _, _, stored in _blocks([b], n_features)]
-            yield pa.RecordBatch.from_arrays([*b.columns[:5], pa.array(made, pa.binary())], names=["n", "bins", "y", "fold", "keys", "margins"])
+            yield pa.RecordBatch.from_arrays([*b.columns[:5], pa.array(made, pa.binary())], names=["n", "bins", "zeros", "ones", "fold", "margins"])
 
-    table.mapInArrow(run, "n bigint, bins binary, y binary, fold binary, keys array<string>, margins binary").write.mode("overwrite").parquet(path)
+    table.mapInArrow(run, f"{_CELLS}, margins binary").write.mode("overwrite").parquet(path)
 
 
 _TREES = "step int, round int, m int, tree binary, loss double, seen array<bigint>, columns array<int>"
