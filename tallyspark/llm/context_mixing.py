@@ -4,13 +4,13 @@ A text is a sequence of words (A-Z lower-cased) and one end. The model codes a
 word bit by bit: each byte, and the space after it, is eight binary decisions,
 and an end is a space alone.
 
-* Bit predictors: the last 1 to 5 bytes of the word so far, hashed with the bits
-  of the current byte, select a slot of each order's table, which holds how
-  often training texts went on with 0 and with 1.
+* Bit predictors: the last 1 to 5 bytes of the text so far (across words, with one
+  space between them), hashed with the bits of the current byte, select a slot of each
+  order's table, which holds how often training texts went on with 0 and with 1.
 * Mixing: the predictors' log odds are added up with weights; the weights' set
   is gated by the longest context that was seen. Weights are learned online, by
-  gradient steps over the training words in passes that leave each word's own
-  counts out; the sets of all tasks are averaged.
+  gradient steps over the training words in passes that leave the own counts of each
+  word after its bytes before out; the sets of all tasks are averaged.
 * Refinement: a map from (bits of the byte, mixed log odds) to observed odds,
   gathered online beside the weights, corrects each bit's probability. In a text, the word's mixed probability, its
   shares of the training tokens of ``KINDS`` kinds of text and its share of the
@@ -19,9 +19,10 @@ and an end is a space alone.
   training texts by byte pairs; their centres start from ``SAMPLE`` of them and are
   moved in ``ROUNDS`` rounds over all.)
 
-Work is spread by blocks of texts and by buckets of words. Each block lists its
-distinct words once; buckets count them over all blocks and score each distinct
-word once; blocks get the scores back. Counts of words are exact and grow with
+Work is spread by blocks of texts and by buckets of words. The bits of a word depend on
+it and on the ``ORDERS`` bytes before it: such a pair is a unit (an end is one, too). Each
+block lists its distinct units once; buckets, which have all units of their words, count
+units and words over all blocks and score each distinct unit once; blocks get the scores back. Counts of words are exact and grow with
 the corpus; bit tables have a fixed size (``TABLE_BITS``), so the broadcast does not.
 
 Defined cases: null and empty texts are one end; with no training text all
@@ -60,6 +61,7 @@ SCORED = 2048                        # words scored at once
 RATE = 0.02
 WEIGHTS = (ORDERS + 1) * ORDERS
 CELLS = 48                           # of the refinement map, for log odds from -12 to 12
+START = b"\0" * ORDERS                # before a text's first word
 _U = np.uint64
 _C1, _C2 = _U(0x9E3779B97F4A7C15), _U(0xD6E8FEB86659FD93)
 _ORDER_SEEDS = mix(np.arange(1, ORDERS + 1, dtype=_U))
@@ -174,6 +176,14 @@ def unpack(raw: bytes, open_: zstandard.ZstdDecompressor) -> np.ndarray:
     return np.ascontiguousarray(planes.T).view("<i4").ravel()
 
 
+def units(words: list[bytes]) -> list[bytes]:
+    """Each word of a text, and its end (an empty word), after the ORDERS bytes of the text before it."""
+    text = START + b" ".join(words) + b" " * bool(words)
+    size = np.fromiter(map(len, words), np.int64, len(words))
+    start = np.cumsum(size + 1) - size - 1
+    return [*[text[a:b] for a, b in zip(start.tolist(), (start + size + ORDERS).tolist())], text[-ORDERS:]]
+
+
 def _blocks(buckets: int, centre):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         press = zstandard.ZstdCompressor(level=1)
@@ -190,31 +200,33 @@ def _blocks(buckets: int, centre):
                 train = [r[3] for r in rows if r[4] == k]
                 if train:
                     count[k] = np.bincount(np.concatenate(train), minlength=len(known))
-            order = np.argsort(-every, kind="stable")   # frequent words get small numbers
+            order = np.argsort(-every, kind="stable")   # frequent units get small numbers
             rank = np.empty(len(order), np.int32)
             rank[order] = np.arange(len(order), dtype=np.int32)
             for at in range(0, len(rows), 1000):
                 part = rows[at:at + 1000]
                 yield _tokens(block=[number] * len(part), doc_id=[r[0] for r in part], held_out=[r[1] for r in part],
                               n_bytes=[r[2] for r in part], ids=[pack(rank[r[3]], press) for r in part])
-            words = list(known)
-            by: list[list[int]] = [[] for _ in range(buckets)]
-            for i in order.tolist():
-                by[bucket_of(words[i], buckets)].append(i)
-            full = [b for b in range(buckets) if by[b]]
-            yield _tokens(block=[number] * len(full), bucket=full, words=[b" ".join([words[i] for i in by[b]]) for b in full],
-                          lids=[rank[by[b]].tobytes() for b in full], counts=[press.compress(count[:, by[b]].tobytes()) for b in full])
+            listed = list(known)
+            words: dict = {}
+            of = np.fromiter((words.setdefault(u[ORDERS:], len(words)) for u in listed), np.int64, len(listed))
+            bucket = np.fromiter((bucket_of(w, buckets) for w in words), np.int64, len(words))[of]
+            order = np.lexsort((of, bucket))            # a word's units stand together
+            full, first = np.unique(bucket[order], return_index=True)
+            by = np.split(order, first[1:])
+            yield _tokens(block=[number] * len(full), bucket=full.tolist(), words=[b"\n".join([listed[i] for i in b.tolist()]) for b in by],
+                          lids=[rank[b].tobytes() for b in by], counts=[press.compress(count[:, b].tobytes()) for b in by])
 
         for batch in batches:
             for doc_id, held, learn, text in zip(*(batch.column(i) for i in range(4))):
                 raw = text.as_py().encode("utf-8", "surrogatepass").lower()
                 kind = int(kind_of(pairs(np.frombuffer(raw, np.uint8)), centre)) if learn.as_py() else -1
                 words = raw.split()
-                ids = np.fromiter(map(known.__getitem__, words), np.int32, len(words))
+                ids = np.fromiter(map(known.__getitem__, units(words)), np.int32, len(words) + 1)
                 n = sum(map(len, words)) + len(words) + 1
                 rows.append((doc_id.as_py(), held.as_py(), n, ids, kind))
                 tokens, size = tokens + len(ids), size + n
-                if tokens >= BLOCK_TOKENS or size >= BLOCK_BYTES or len(known) > 1 << 22:
+                if tokens >= BLOCK_TOKENS or size >= BLOCK_BYTES or len(known) > 1 << 21:
                     yield from flush()
                     rows, tokens, size, number = [], 0, 0, number + 1
                     known.clear()
@@ -231,32 +243,44 @@ def _tokens(**cols: list) -> pa.RecordBatch:
 
 # --- buckets of words ----------------------------------------------------------
 
+def _starts(listed: list[bytes]) -> np.ndarray:
+    """Where a new word begins in a list of units in which a word's units stand together."""
+    return np.fromiter((a[ORDERS:] != b[ORDERS:] for a, b in zip(listed, [listed[-1] + b"\n", *listed])), bool, len(listed))
+
+
 def _count(rows: pa.Table) -> pa.Table:
-    """Distinct words of a bucket, in order, and their counts in training texts of each kind."""
+    """Distinct units of a bucket, by word, their counts in training texts, and the words' counts in those of each kind."""
     open_ = zstandard.ZstdDecompressor()
     place: defaultdict = defaultdict()
     place.default_factory = place.__len__
     parts = []
-    for words, counts in zip(rows.column("words").to_pylist(), rows.column("counts").to_pylist()):
-        words = words.split(b" ")
-        parts.append((np.fromiter(map(place.__getitem__, words), np.int64, len(words)), np.frombuffer(open_.decompress(counts), np.int64).reshape(KINDS, -1)))
+    for listed, counts in zip(rows.column("words").to_pylist(), rows.column("counts").to_pylist()):
+        listed = listed.split(b"\n")
+        parts.append((np.fromiter(map(place.__getitem__, listed), np.int64, len(listed)), np.frombuffer(open_.decompress(counts), np.int64).reshape(KINDS, -1)))
     total = np.zeros((KINDS, len(place)), np.int64)
     for i, c in parts:
-        total[:, i] += c   # a block lists a word once
-    words = sorted(place)
-    total = total[:, np.fromiter(map(place.__getitem__, words), np.int64, len(words))]
+        total[:, i] += c   # a block lists a unit once
+    listed = sorted(place, key=lambda u: (u[ORDERS:], u))
+    total = total[:, np.fromiter(map(place.__getitem__, listed), np.int64, len(listed))]
     every = total.sum(0)
-    return pa.table({"bucket": rows.column("bucket").slice(0, 1), "words": pa.array([b" ".join(words)], pa.binary()),
+    words = np.add.reduceat(total, np.flatnonzero(_starts(listed)), axis=1)
+    return pa.table({"bucket": rows.column("bucket").slice(0, 1), "words": pa.array([b"\n".join(listed)], pa.binary()),
                      "counts": pa.array([every.tobytes()], pa.binary()),
-                     "by_kind": pa.array([zstandard.ZstdCompressor(level=1).compress(total.tobytes())], pa.binary()),
-                     "per_kind": pa.array([total.sum(1).tolist()], pa.list_(pa.int64())), "types": pa.array([int((every > 0).sum())])})
+                     "by_kind": pa.array([zstandard.ZstdCompressor(level=1).compress(words.tobytes())], pa.binary()),
+                     "per_kind": pa.array([total.sum(1).tolist()], pa.list_(pa.int64())), "types": pa.array([int((words.sum(0) > 0).sum())]),
+                     "units": pa.array([int((every > 0).sum())])})
 
 
-def positions(words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Symbols of all words (each ends with a space), (ORDERS, symbols) context hashes, and each symbol's word."""
-    raw = np.frombuffer(b"\0" * ORDERS + (b" " + b"\0" * ORDERS).join(words) + b" ", np.uint8)
-    size = np.fromiter(map(len, words), np.int64, len(words)) + 1
-    of = np.repeat(np.arange(len(words)), size)
+def positions(words: list[bytes], before: bytes = START) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """As :func:`unit_positions`, for words that all follow the same bytes."""
+    return unit_positions([before + w for w in words])
+
+
+def unit_positions(listed: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Symbols of all words (each ends with a space), (ORDERS, symbols) hashes of the 1 to ORDERS bytes before each, and each symbol's word."""
+    raw = np.frombuffer(b" ".join(listed) + b" ", np.uint8)
+    size = np.fromiter(map(len, listed), np.int64, len(listed)) + 1 - ORDERS
+    of = np.repeat(np.arange(len(listed)), size)
     at = np.arange(len(of)) + ORDERS * (of + 1)
     context = np.empty((ORDERS, len(at)), _U)
     h = np.zeros(len(at), _U)
@@ -304,37 +328,29 @@ def _cell(node: np.ndarray, s: np.ndarray) -> np.ndarray:
 
 
 def _word_rows(batches: Iterator[pa.RecordBatch], trained: bool = True) -> Iterator[tuple[list[bytes], np.ndarray]]:
-    """Words of training texts and their counts, BATCH at a time."""
+    """Units of training texts and their counts, BATCH at a time."""
     for batch in batches:
         for words, counts in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            words, counts = words.split(b" "), np.frombuffer(counts, np.int64)
+            words, counts = words.split(b"\n"), np.frombuffer(counts, np.int64)
             own = np.flatnonzero(counts > 0) if trained else np.arange(len(words))
             for at in range(0, len(own), BATCH):
                 i = own[at:at + BATCH]
                 yield [words[j] for j in i], counts[i]
 
 
-def _tables(ends: int):
-    """Bit counts of the words of a task, in chunks of slots."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tables = [np.zeros(2 << b, np.int64) for b in TABLE_BITS]
-
-        def add(words: list[bytes], counts: np.ndarray) -> None:
-            symbols, context, of = positions(words)
-            for _, bit, slots in bits(symbols, context):
-                for t, s in zip(tables, slots):
-                    np.add.at(t, 2 * s + bit, counts[of])
-
-        if ends and TaskContext.get().partitionId() == 0:
-            add([b""], np.array([ends]))
-        for words, counts in _word_rows(batches):
-            add(words, counts)
-        for k, t in enumerate(tables):
-            for c, part in enumerate(t.reshape(-1, min(len(t), 1 << 15))):
-                if part.any():
-                    yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([c], pa.int32()), pa.array([part.tobytes()], pa.binary())],
-                                                     ["k", "c", "part"])
-    return run
+def _tables(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Bit counts of the units of a task, in chunks of slots."""
+    tables = [np.zeros(2 << b, np.int64) for b in TABLE_BITS]
+    for listed, counts in _word_rows(batches):
+        symbols, context, of = unit_positions(listed)
+        for _, bit, slots in bits(symbols, context):
+            for t, s in zip(tables, slots):
+                np.add.at(t, 2 * s + bit, counts[of])
+    for k, t in enumerate(tables):
+        for c, part in enumerate(t.reshape(-1, min(len(t), 1 << 15))):
+            if part.any():
+                yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([c], pa.int32()), pa.array([part.tobytes()], pa.binary())],
+                                                 ["k", "c", "part"])
 
 
 def _add_parts(rows: pa.Table) -> pa.Table:
@@ -349,7 +365,7 @@ def _learn(model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tables, w, steps, seen = model.value["tables"], np.full((ORDERS + 1, ORDERS), 0.3), 0, np.zeros((2, 256 * CELLS))
         for words, counts in _word_rows(batches):
-            symbols, context, of = positions(words)
+            symbols, context, of = unit_positions(words)
             own = counts[of]
             for node, bit, slots in bits(symbols, context):
                 x, gate = odds(tables, slots, bit, own)
@@ -378,11 +394,16 @@ def log_tables(tables: list[np.ndarray]) -> list[np.ndarray]:
 
 
 def word_log10(words: list[bytes], logs: list[np.ndarray], weights: np.ndarray, refined: np.ndarray) -> np.ndarray:
-    """log10 of the probability that the mixed bit predictors give each word and the space after it."""
-    out = np.zeros(len(words))
-    for at in range(0, len(words), SCORED):
-        part = words[at:at + SCORED]
-        symbols, context, of = positions(part)
+    """As :func:`unit_log10`, for words at a text's start."""
+    return unit_log10([START + w for w in words], logs, weights, refined)
+
+
+def unit_log10(listed: list[bytes], logs: list[np.ndarray], weights: np.ndarray, refined: np.ndarray) -> np.ndarray:
+    """log10 of the probability that the mixed bit predictors give each unit's word, and the space after it, after the bytes before it."""
+    out = np.zeros(len(listed))
+    for at in range(0, len(listed), SCORED):
+        part = listed[at:at + SCORED]
+        symbols, context, of = unit_positions(part)
         for node, bit, slots in bits(symbols, context):
             x, gate = np.empty((ORDERS, len(bit)), np.float32), np.zeros(len(bit), np.int64)
             for k, log in enumerate(logs):
@@ -408,24 +429,26 @@ def fine(logs: np.ndarray) -> np.ndarray:
 
 def _score_words(model, per_kind: np.ndarray):
     def run(known: pa.Table, asked: pa.Table) -> pa.Table:
-        out: dict = {"block": [], "lids": [], "counts": [], "logs": [], "shares": []}
+        out: dict = {"block": [], "lids": [], "starts": [], "counts": [], "logs": [], "shares": []}
         if known.num_rows:
             m = model.value
-            words = known.column("words")[0].as_py().split(b" ")
-            counts = np.frombuffer(known.column("counts")[0].as_buffer(), np.int64)
-            logs = word_log10(words, m["logs"], m["weights"], m["refined"]).astype(np.float32)
+            listed = known.column("words")[0].as_py().split(b"\n")
+            logs = unit_log10(listed, m["logs"], m["weights"], m["refined"]).astype(np.float32)
             by = np.frombuffer(zstandard.ZstdDecompressor().decompress(known.column("by_kind")[0].as_py()), np.int64).reshape(KINDS, -1)
-            shares = coarse(by / np.maximum(per_kind, 1)[:, None])
+            counts, shares, of = by.sum(0), coarse(by / np.maximum(per_kind, 1)[:, None]), np.cumsum(_starts(listed)) - 1
             press = zstandard.ZstdCompressor(level=1)
-            place = {w: i for i, w in enumerate(words)}
+            place = {u: i for i, u in enumerate(listed)}
             for block, own, lids in zip(*(asked.column(c).to_pylist() for c in ("block", "words", "lids"))):
-                i = np.fromiter(map(place.__getitem__, own.split(b" ")), np.int64)
+                i = np.fromiter(map(place.__getitem__, own.split(b"\n")), np.int64)
+                starts = np.append(True, of[i[1:]] != of[i[:-1]])    # a word's counts and shares are sent once
+                w = of[i[starts]]
                 out["block"].append(block)
                 out["lids"].append(lids)
-                out["counts"].append(counts[i].tobytes())
+                out["starts"].append(np.packbits(starts).tobytes())
+                out["counts"].append(counts[w].tobytes())
                 out["logs"].append(logs[i].tobytes())
-                out["shares"].append(press.compress(shares[:, i].tobytes()))
-        return pa.table({"block": pa.array(out["block"], pa.int64()), **{k: pa.array(out[k], pa.binary()) for k in ("lids", "counts", "logs", "shares")}})
+                out["shares"].append(press.compress(shares[:, w].tobytes()))
+        return pa.table({"block": pa.array(out["block"], pa.int64()), **{k: pa.array(out[k], pa.binary()) for k in ("lids", "starts", "counts", "logs", "shares")}})
     return run
 
 
@@ -463,28 +486,29 @@ def sequence_log10(shares: np.ndarray, mixed_p: np.ndarray, before: np.ndarray,
 _SCORES = "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, base_score double, score double, n_bytes bigint"
 
 
-def _score_texts(n: int, types: int, ends: int, end_log: float, prior: np.ndarray):
+def _score_texts(n: int, types: int, prior: np.ndarray):
     def run(texts: pa.Table, words: pa.Table) -> pa.Table:
         open_ = zstandard.ZstdDecompressor()
-        of = [np.frombuffer(x.as_buffer(), np.int32) for x in words.column("lids")]
-        size = sum(map(len, of))
-        count, logs, shares = np.zeros(size, np.int64), np.zeros(size, np.float32), np.zeros((KINDS, size), np.uint16)
-        for lids, c, g, h in zip(of, words.column("counts"), words.column("logs"), words.column("shares")):
-            count[lids] = np.frombuffer(c.as_buffer(), np.int64)
-            logs[lids] = np.frombuffer(g.as_buffer(), np.float32)
-            shares[:, lids] = np.frombuffer(open_.decompress(h.as_py()), np.uint16).reshape(KINDS, -1)
-        share = fine(shares).astype(np.float32)   # once for each word of the block
+        lids = [np.frombuffer(x.as_buffer(), np.int32) for x in words.column("lids")]
+        size = sum(map(len, lids))
+        logs, of, counts, shares, first = np.zeros(size, np.float32), np.zeros(size, np.int32), [], [], 0
+        for i, s, c, g, h in zip(lids, words.column("starts"), words.column("counts"), words.column("logs"), words.column("shares")):
+            logs[i] = np.frombuffer(g.as_buffer(), np.float32)
+            of[i] = first + np.cumsum(np.unpackbits(np.frombuffer(s.as_buffer(), np.uint8), count=len(i)), dtype=np.int32) - 1
+            counts.append(np.frombuffer(c.as_buffer(), np.int64))
+            shares.append(fine(np.frombuffer(open_.decompress(h.as_py()), np.uint16).reshape(KINDS, -1)).astype(np.float32))
+            first += len(counts[-1])
+        count, share = np.concatenate(counts), np.concatenate(shares, 1)   # once for each word of the block
         base = np.log10((count + 1) / (n + types + 1))
         prob = np.maximum(10.0 ** logs.astype(np.float64), 1e-300)
-        end_base, end_share, end_prob = np.log10((ends + 1) / (n + types + 1)), np.full((KINDS, 1), ends / max(n, 1)), 10.0 ** end_log
         out: dict = {k: [] for k in ("n_tokens", "n_known", "base_score", "score")}
         for raw in texts.column("ids").to_pylist():
             ids = unpack(raw, open_)
-            out["n_tokens"].append(len(ids) + 1)
-            out["n_known"].append(int((count[ids] > 0).sum()) + (ends > 0))
-            out["base_score"].append(float(base[ids].sum() + end_base))
-            out["score"].append(sequence_log10(np.concatenate([share[:, ids], end_share], 1), np.append(prob[ids], end_prob),
-                                               np.append(earlier(ids), 0), prior))
+            w = of[ids]
+            out["n_tokens"].append(len(ids))
+            out["n_known"].append(int((count[w] > 0).sum()))
+            out["base_score"].append(float(base[w].sum()))
+            out["score"].append(sequence_log10(share[:, w], prob[ids], earlier(w), prior))
         return pa.table({"doc_id": texts.column("doc_id"), "held_out": texts.column("held_out"), **out, "n_bytes": texts.column("n_bytes")})
     return run
 
@@ -503,20 +527,20 @@ def lm_scores(docs: DataFrame, folds: int = 7, held: int = 2, bucket_words: int
     texts = id_text(docs).select("doc_id", out_fold.alias("held_out"), learn.alias("learn"), "text")
     bounds = texts.agg(F.sum(F.length("text").cast("long")).alias("n"), F.sum(F.col("learn").cast("long")).alias("ends")).first()
     ends = bounds["ends"] or 0
-    buckets = max(16, min(1 << 16, -(-(bounds["n"] or 0) // (60 * bucket_words))))   # about a tenth of the words are new
+    buckets = max(16, min(1 << 16, -(-(bounds["n"] or 0) // (20 * bucket_words))))   # about a third of the units are new
     tokens = stored(arrow_map(texts, _blocks(buckets, kinds(texts, ends)), _TOKENS), "tokens")
     listed = tokens.where("words IS NOT NULL").select("block", "bucket", "words", "lids", "counts")
     words = stored(listed.select("bucket", "words", "counts").groupBy("bucket")
-                   .applyInArrow(_count, "bucket int, words binary, counts binary, by_kind binary, per_kind array<bigint>, types bigint"), "words")
-    total = words.agg(F.sum("types").alias("types"), *[F.sum(F.col("per_kind")[k]).alias(f"n{k}") for k in range(KINDS)]).first()
+                   .applyInArrow(_count, "bucket int, words binary, counts binary, by_kind binary, per_kind array<bigint>, types bigint, units bigint"), "words")
+    total = words.agg(F.sum("types").alias("types"), F.sum("units").alias("units"), *[F.sum(F.col("per_kind")[k]).alias(f"n{k}") for k in range(KINDS)]).first()
     per_kind = np.array([total[f"n{k}"] or 0 for k in range(KINDS)], np.int64)
-    n, types = int(per_kind.sum()) + ends, (total["types"] or 0) + (ends > 0)
+    n, types = int(per_kind.sum()), total["types"] or 0   # ends are tokens
     prior = (per_kind + 1) / (per_kind + 1).sum()
-    tasks = max(4, min(1024, types // 1_000_000 + 1))   # whole buckets in order: however the table lies, each task learns the same
+    tasks = max(4, min(1024, (total["units"] or 0) // 1_000_000 + 1))   # whole buckets in order: however the table lies, each task learns the same
     rows = words.select("bucket", "words", "counts").repartition(tasks, "bucket").sortWithinPartitions("bucket").select("words", "counts")
 
     tables = [np.zeros(2 << b, np.int64) for b in TABLE_BITS]
-    summed = arrow_map(rows, _tables(ends), "k int, c int, part binary").groupBy("k", "c").applyInArrow(_add_parts, "k int, c int, part binary")
+    summed = arrow_map(rows, _tables, "k int, c int, part binary").groupBy("k", "c").applyInArrow(_add_parts, "k int, c int, part binary")
     for r in stored(summed, "tables").toLocalIterator():   # of a fixed size
         part = np.frombuffer(r["part"], np.int64)
         tables[r["k"]][r["c"] * len(part):(r["c"] + 1) * len(part)] = part
@@ -537,11 +561,10 @@ def lm_scores(docs: DataFrame, folds: int = 7, held: int = 2, bucket_words: int
     final = {"logs": log_tables(tables), "weights": weights.reshape(ORDERS + 1, ORDERS), "refined": np.clip(refined, 1e-6, 1 - 1e-6)}
     model.unpersist()   # the counts; scoring needs the logs only
     model = share(final)
-    end_log = float(word_log10([b""], final["logs"], final["weights"], final["refined"])[0])
 
     scored = words.groupBy("bucket").cogroup(listed.select("block", "bucket", "words", "lids").groupBy("bucket")).applyInArrow(
-        _score_words(model, per_kind + int(ends)), "block bigint, lids binary, counts binary, logs binary, shares binary")
+        _score_words(model, per_kind), "block bigint, lids binary, starts binary, counts binary, logs binary, shares binary")
     result = (tokens.where("ids IS NOT NULL").select("block", "doc_id", "held_out", "n_bytes", "ids").groupBy("block")
-              .cogroup(scored.groupBy("block")).applyInArrow(_score_texts(n, types, ends, end_log, prior), _SCORES))
+              .cogroup(scored.groupBy("block")).applyInArrow(_score_texts(n, types, prior), _SCORES))
     return result.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(n).cast("long").alias("train_tokens"), "base_score", "score",
                          (-F.col("score") * float(np.log2(10)) / F.col("n_bytes")).alias("bits_per_byte"))

@@ -335,6 +335,21 @@ def test_lm_counts_and_numbers_beyond_24_bits():
     assert np.frombuffer(total.column("part")[0].as_py(), np.int64).tolist() == [(1 << 24) + 5, 6]
 
 
+def test_lm_contexts_reach_over_words(spark):
+    """What stands before a word tells its bits: the same words in an order that was learned score higher."""
+    assert context_mixing.units([b"a", b"bcdefg"]) == [b"\0" * 5 + b"a", b"\0\0\0a bcdefg", b"defg "]
+    assert context_mixing.units([]) == [b"\0" * 5]
+    one, two = (context_mixing.positions([b"x"], before)[1] for before in (b"abcd ", b"abce "))
+    assert (one[0] == two[0]).tolist() == [True, True] and (one[1] == two[1]).tolist() == [False, True]
+    words = [f"w{i}q v{i}z" for i in range(40)]
+    held = [i for i in range(1000) if zlib.crc32(str(i).encode()) % 7 == 2][:2]
+    data = [(i, " ".join(words[(i * 7 + j * 3) % 40] for j in range(30)), "en", "s", 0) for i in range(200) if i not in held]
+    pairs = [w.split() for w in words]
+    data += [(held[0], " ".join(a + " " + b for a, b in pairs), "en", "s", 0), (held[1], " ".join([a for a, _ in pairs] + [b for _, b in pairs[::-1]]), "en", "s", 0)]
+    got = {r.doc_id: r for r in context_mixing.lm_scores(frame(spark, data)).collect()}
+    assert got[held[0]].base_score == pytest.approx(got[held[1]].base_score) and got[held[0]].score > got[held[1]].score
+
+
 def test_lm_scores_do_not_depend_on_the_layout(spark):
     data = [(i, prose(i, 40 + i), "en", "s", 1) for i in range(60)]
     scores = [{r.doc_id: r.score for r in context_mixing.lm_scores(frame(spark, data).repartition(n)).collect()} for n in (1, 5)]
