@@ -47,8 +47,8 @@ BLOCK, SMALL, SMALL_BINS, KEEP = 8192, 1 << 20, 1 << 24, 4
 AHEAD, AHEAD_NODES, AHEAD_STATE = 1024, 20_000, 32
 #: Rows that a task makes cells of at once, cells that a bucket is for, trees of a forest that share a table of cells.
 TOGETHER, BUCKET, TREES = 1 << 18, 1 << 16, 128
-#: Places of a level's histogram up to which it is laid out whole.
-PLACES = 1 << 23
+#: Nodes times bins up to which sums of a level are laid out whole (more, if it has more cells), and those of one feature.
+WHOLE, PLACES = 1 << 11, 1 << 23
 #: Bins of a feature beside the one of nulls.
 BINS = 64
 #: A split must gain more.
@@ -244,6 +244,29 @@ def shrunk_square(g, alpha: float):
     return np.maximum(np.abs(g) - alpha, 0.0) ** 2
 
 
+def _whole_level(bins: np.ndarray, node: np.ndarray, g: np.ndarray, h: np.ndarray, gs: np.ndarray, hs: np.ndarray, top: np.ndarray, width: int,
+                 spec: Spec, tried: np.ndarray | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(gain, feature or -1, bin) of each node's best split, from sums over (feature, node, bin) laid out whole. An empty bin has the gain of
+    the one before, and equal gains go to the lowest bin; a side without cells is too light."""
+    n, k = len(bins), len(gs)
+    place = (bins + (node * width + np.arange(n)[:, None] * (k * width))).ravel()
+    lg, lh = (np.bincount(place, np.tile(v, n), n * k * width).reshape(n, k, width).cumsum(2) / SCALE for v in (g, h))
+    right_h = hs[:, None] - lh
+    fine = (lh >= spec.min_child_weight) & (right_h >= spec.min_child_weight)
+    if tried is not None:
+        fine &= tried[:, :, None]
+    with np.errstate(divide="ignore", invalid="ignore"):
+        s = (shrunk_square(lg, spec.reg_alpha) / (lh + spec.reg_lambda)
+             + shrunk_square(gs[:, None] - lg, spec.reg_alpha) / (right_h + spec.reg_lambda))
+        gain = np.where(fine, 0.5 * (s - top[:, None]), -np.inf)
+    cut = gain.argmax(2)
+    gain = np.take_along_axis(gain, cut[:, :, None], 2)[:, :, 0]
+    feature, nodes = gain.argmax(0), np.arange(k)
+    best, cut = gain[feature, nodes], cut[feature, nodes]
+    good = best > LEAST_GAIN
+    return np.where(good, best, LEAST_GAIN), np.where(good, feature, -1), np.where(good, cut, 0)
+
+
 def grow(columns: np.ndarray, g: np.ndarray, h: np.ndarray, spec: Spec, path: str = "1") -> tuple[np.ndarray, np.ndarray]:
     """The tree (``TREE`` records, root first) of cells with whole derivatives ``g`` and ``h``, and each cell's leaf; ``columns`` are
     their bins (a row for each feature), ``path`` is the root's place in the full tree."""
@@ -272,7 +295,10 @@ def grow(columns: np.ndarray, g: np.ndarray, h: np.ndarray, spec: Spec, path: st
                 tried = np.zeros((n_features, k), bool)
                 for i, p in enumerate(paths):
                     tried[node_features(spec, p, n_features), i] = True
-            for f in range(n_features):
+            whole = k * width <= max(WHOLE, len(rows)) and spec.min_child_weight > 0
+            if whole:
+                best, feature, cut = _whole_level(columns[:, rows], node, rg, rh, gs, hs, top, width, spec, tried)
+            for f in range(0 if whole else n_features):
                 place = first + columns[f][rows]
                 if k * width <= PLACES:                                # sums by place; only places with cells count
                     full = np.zeros(k * width, bool)

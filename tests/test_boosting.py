@@ -101,6 +101,33 @@ def test_spark_splits_and_task_splits_agree(table, data, monkeypatch):
     assert B.impurity_importance(B.forest(data, 4, 3), 3) == pytest.approx(B.impurity_importance(trees, 3), abs=1e-12)
 
 
+def test_levels_laid_out_whole_or_by_places(monkeypatch):
+    r = np.random.default_rng(3)
+    columns = np.stack([r.integers(0, n, 3000) for n in (65, 5, 40)]).astype(np.uint8)
+    zeros, ones = r.integers(0, 4, 3000), r.integers(0, 3, 3000)
+    for spec in (*SPECS, B.Spec(tree=3, max_depth=30, reg_lambda=0.0, learning_rate=1.0, node_features=2)):
+        derivatives = B.derivatives(spec, r.normal(size=3000), zeros, ones)
+        want, leaf = B.grow(columns, *derivatives, spec)
+        for whole, places in ((1 << 40, 1 << 23), (0, 1 << 23), (0, 0)):
+            with monkeypatch.context() as m:
+                m.setattr(B, "WHOLE", whole)
+                m.setattr(B, "PLACES", places)
+                tree, at = B.grow(columns, *derivatives, spec)
+            assert tree.tolist() == want.tolist() and at.tolist() == leaf.tolist()
+        assert B.leaf_of(want, np.ascontiguousarray(columns.T)).tolist() == leaf.tolist()
+
+
+def test_rows_with_equal_bins_are_one_cell(table, data):
+    """A table repeated ten times has the same cells; its losses are those of the rows, its trees of ten times their weight."""
+    many = table.withColumn("i", F.explode(F.sequence(F.lit(1), F.lit(10)))).withColumn("id", F.col("id") * 10 + F.col("i"))
+    ten = B.binned(many, FEATURES, "y", "fold", "id", cuts=data.cuts)
+    count = lambda d: d.table.agg(F.sum("n")).first()[0]
+    assert count(ten) == count(data) < 900 and sum(ten.sizes.values()) == 9000
+    spec = B.Spec(max_depth=3, reg_lambda=0.5, min_child_weight=2.0, fold=0)
+    one, tens = B.boost(data, [spec], 3), B.boost(ten, [B.Spec(max_depth=3, reg_lambda=5.0, min_child_weight=20.0, fold=0)], 3)
+    assert np.allclose(one.losses, tens.losses) and [tuple(10 * v for v in c) for c in one.counts[0]] == tens.counts[0]
+
+
 @pytest.mark.parametrize("ahead", [3, 32])
 def test_early_stop_fits_no_tree_beyond_the_stop(data, ahead, monkeypatch):
     monkeypatch.setattr(B, "AHEAD", ahead)
