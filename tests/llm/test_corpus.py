@@ -350,6 +350,45 @@ def test_lm_contexts_reach_over_words(spark):
     assert got[held[0]].base_score == pytest.approx(got[held[1]].base_score) and got[held[0]].score > got[held[1]].score
 
 
+def test_lm_lists_words_once_whatever_stands_before(spark, monkeypatch):
+    """What a block lists and gets back grows with its words, not with words after each context."""
+    kept = {}
+
+    def keep(df, name, stored=context_mixing.stored):
+        kept[name] = stored(df, name)
+        return kept[name]
+    monkeypatch.setattr(context_mixing, "stored", keep)
+    r = random.Random(8)
+    data = [(i, " ".join(f"w{r.randrange(60)}x" for _ in range(80)), "en", "s", 0) for i in range(60)]
+    assert context_mixing.lm_scores(frame(spark, data).coalesce(1)).count() == 60
+    listed = [w for x in kept["tokens"].where("words IS NOT NULL").collect() for w in bytes(x.words).split(b" ")]
+    assert sorted(listed) == sorted({w.encode() for d in data for w in d[1].split()} | {b""})
+
+
+def test_lm_grams_give_the_words_scores(monkeypatch):
+    """Tokens' logs from grams, with few slots to keep them and pieces of texts, are those of the words after their contexts."""
+    import numpy as np
+    rng = np.random.default_rng(1)
+    tables = [rng.integers(0, 4, (1 << b, 2)).astype(np.float32) for b in context_mixing.TABLE_BITS]
+    model = {"logs": context_mixing.log_tables(tables), "weights": rng.normal(size=(context_mixing.ORDERS + 1, context_mixing.ORDERS)),
+             "refined": rng.uniform(0.1, 0.9, 256 * context_mixing.CELLS)}
+    texts = [prose(3, 90).encode().lower().split(), [], [b"x" * 700, b"\0\0", "é".encode()], [b"a"] * 50]
+    want = [context_mixing.word_log10([u[5:]], **model, before=u[:5])[0] for t in texts for u in context_mixing.units(t)]
+    sizes = np.array([len(w) + 1 for t in texts for w in [*t, b""]])
+    monkeypatch.setattr(context_mixing, "CHUNK", 64)
+    monkeypatch.setattr(context_mixing, "CACHE_BITS", 4)
+    got = context_mixing.GramCoder(model).tokens([*map(context_mixing.flat, texts)], sizes)
+    p = np.log10(context_mixing.grown(got))
+    far = np.array(want) < -290
+    assert far.sum() == 1 and (p[~far] <= np.array(want)[~far] + 1e-4).all()
+    assert np.allclose(p[~far], np.array(want)[~far], atol=0.011, rtol=1e-4) and np.allclose(p[~far][p[~far] > -9], np.array(want)[~far][p[~far] > -9], atol=5e-4)
+    keys = np.concatenate([*context_mixing.grams([context_mixing.flat(t) for t in texts])])
+    assert len(keys) == sizes.sum()
+    c = collections.Counter(keys.tolist())
+    both = context_mixing.add_up(*[np.append(a, b) for a, b in zip(context_mixing.add_up(keys[:99]), context_mixing.add_up(keys[99:]))])
+    assert dict(zip(*[x.tolist() for x in both])) == c
+
+
 def test_lm_scores_do_not_depend_on_the_layout(spark):
     data = [(i, prose(i, 40 + i), "en", "s", 1) for i in range(60)]
     scores = [{r.doc_id: r.score for r in context_mixing.lm_scores(frame(spark, data).repartition(n)).collect()} for n in (1, 5)]
