@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 
 from tallyspark.llm.common import map_docs
 
-MAX_PIECES = 60_000    # memo entries of a task: pieces,
+MAX_PIECES = 200_000   # memo entries of a task: pieces (twice as many are held),
 MAX_PAIRS = 200_000    # neighbour pairs,
 MAX_HEADS = 50_000     # and tables of prefixes
 HEAD = 6               # bytes of a prefix whose table is shared
@@ -45,6 +45,7 @@ class PrefixBPE:
         self.ranks = ranks
         self.token = {i: t for t, i in ranks.items()}
         self.size = {i: len(t) for t, i in ranks.items()}
+        self.name = {i: str(i) for i in ranks.values()}
         self.longest = max(map(len, ranks))
         self.heads: dict[bytes, tuple] = {}
         self.known: dict[tuple[int, int], bool] = {}
@@ -98,7 +99,7 @@ class PrefixBPE:
         return table
 
     def _grow(self, b: bytes, table: list[int], n: int) -> None:
-        get, size, known, longest = self.ranks.get, self.size, self.known, self.longest
+        get, size, held, valid, longest = self.ranks.get, self.size, self.known.get, self.valid, self.longest
         for e in range(len(table) + 1, n + 1):
             # Only one suffix is valid, so the likeliest may be tried first: the last token with one more byte.
             m = size[table[-1]] + 1 if table else 1
@@ -108,7 +109,8 @@ class PrefixBPE:
                     table.append(t)
                     continue
                 pair = table[e - m - 1], t
-                if known[pair] if pair in known else self.valid(*pair):
+                ok = held(pair)
+                if valid(*pair) if ok is None else ok:
                     table.append(t)
                     continue
             for m in range(1, min(e, longest) + 1):
@@ -117,7 +119,8 @@ class PrefixBPE:
                     if m == e:
                         break
                     pair = table[e - m - 1], t
-                    if known[pair] if pair in known else self.valid(*pair):
+                    ok = held(pair)
+                    if valid(*pair) if ok is None else ok:
                         break
             else:
                 raise ValueError("the vocabulary lacks a byte")
@@ -176,7 +179,7 @@ class TextCoder:
         got = self.old.get(piece)
         if got is None:
             ids = self.bpe.encode(piece.encode())
-            got = " ".join(map(str, ids)), self.bpe.decode(ids)
+            got = " ".join(map(self.bpe.name.__getitem__, ids)), self.bpe.decode(ids)
         if len(piece) <= SHORT:
             if len(self.memo) >= MAX_PIECES:   # what was used since the last time stays at hand
                 self.old, self.memo = self.memo, {}

@@ -67,6 +67,17 @@ def test_bpe_small_memos(ranks, monkeypatch):
     assert bpe.TextCoder(ranks, public_tokenizers.PATTERN).digest(t)[1] == sha(" ".join(map(str, enc.encode_ordinary(t))))
 
 
+def test_bpe_pieces_are_encoded_once_in_a_long_while(ranks, monkeypatch):
+    """A piece that comes again after 150,000 others is still at hand."""
+    coder = bpe.TextCoder(ranks, public_tokenizers.PATTERN)
+    words = [" " + "".join(chr(97 + i // 26 ** k % 26) for k in range(5)) for i in range(150_000)]
+    texts = ["".join(words[at:at + 5000]) for at in range(0, len(words), 5000)]
+    got = [coder.digest(t) for t in texts]
+    calls = []
+    monkeypatch.setattr(bpe.PrefixBPE, "encode", lambda self, b: calls.append(b))
+    assert [coder.digest(t) for t in texts] == got and not calls
+
+
 def greedy(tokens, word, longest):
     n = 0
     while word:
