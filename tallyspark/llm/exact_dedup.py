@@ -41,8 +41,8 @@ def bits_of(key: Column) -> list[Column]:
     return [F.pmod(F.xxhash64(key, F.lit(k)), F.lit(BLOCK_BITS)).cast("int") for k in range(PROBES)]
 
 
-def repeat_filter(keys: DataFrame, column: str, max_filter_mb: int = 64) -> tuple[DataFrame, int]:
-    """(block, bitmap) of the slots that at least two rows hit; the number of blocks.
+def repeat_filter(keys: DataFrame, column: str, max_filter_mb: int = 64, least: int = 2) -> tuple[DataFrame, int]:
+    """(block, bitmap) of the slots that at least ``least`` rows hit; the number of blocks.
 
     At most ``max_filter_mb`` whatever the input, so it may be broadcast.
     """
@@ -50,7 +50,7 @@ def repeat_filter(keys: DataFrame, column: str, max_filter_mb: int = 64) -> tupl
     blocks = min(max(1, -(-n * BITS_PER_ROW // BLOCK_BITS)), (max_filter_mb << 20) // (BLOCK_BITS // 8))
     key = F.col(column)
     slots = keys.select(block_of(key, blocks).alias("block"), F.explode(F.array(*bits_of(key))).alias("bit"))
-    hit = slots.groupBy("block", "bit").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
+    hit = slots.groupBy("block", "bit").agg(F.count(F.lit(1)).alias("c")).where(F.col("c") >= least)
     maps = hit.groupBy("block").agg(F.expr("bitmap_construct_agg(bit)").alias("bitmap"))
     return maps, blocks
 

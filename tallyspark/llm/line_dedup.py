@@ -17,9 +17,10 @@ stands in fewer, but at least two, the same but for fields with digits, is a
 repeated passage: it stays in the text of the smallest doc_id and is dropped from
 the others. (Copies of a text count once, and all keep or lose the same lines.)
 
-Leaves with too few lines to recur never have their tokens counted. Votes are
-taken on the different masked lines of the others, and lines travel as hashes;
-only the final cut joins each document with the numbers of its own dropped lines.
+Leaves with too few lines to recur, or with one line only, never have their tokens
+counted. Votes are taken on the different masked lines of the others, and lines
+travel as hashes; only the final cut joins each document that may lose lines with
+the numbers of its own dropped lines.
 
 Defined cases: null and empty texts have one empty line; blank lines have no
 template and stay; ties for a position's token go to the smallest, for a level's
@@ -36,6 +37,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyspark.llm.common import stored
+from tallyspark.llm.exact_dedup import possibly_repeated, repeat_filter
 
 DEPTH = 3          # leading tokens that are levels of the tree
 LEVELS = 4         # rounds of votes: further levels for lines that differ from their leaf's template
@@ -105,27 +107,36 @@ def templates(lines: DataFrame, least_texts: int) -> DataFrame:
 
 def recurring_lines(docs: DataFrame, least_texts: int = 5) -> DataFrame:
     """doc_id, text_hash, line_no of the lines to drop."""
-    tokens = F.col("tokens")
-    parsed = lines_of(docs).select("doc_id", "text_hash", "line_no", leaf_of(tokens).alias("leaf"), F.xxhash64(tokens).alias("line"),
-                                    F.size(tokens).alias("n"), F.array_join(tokens, " ").alias("masked"))   # a text is a third of its array's size
-    # Leaves with lines enough; the others hold nothing that recurs.
-    busy = stored(parsed.groupBy("leaf", needed(F.col("n"), least_texts).alias("need")).agg(F.count(F.lit(1)).alias("c"))
-                  .where("c >= need").select("leaf"), "leaves")
-    some = stored(parsed.join(busy, "leaf", "left_semi"), "lines")
+    tokens, n = F.col("tokens"), F.col("n")
+    parsed = stored(lines_of(docs).select("doc_id", "text_hash", "line_no", leaf_of(tokens).alias("leaf"), F.xxhash64(tokens).alias("line"),
+                                          F.size(tokens).alias("n"), F.array_join(tokens, " ").alias("masked")), "parsed")   # lines are masked once
+    # Leaves with lines enough, of two texts if it takes two; the others hold nothing that recurs.
+    ends = [f(c).alias(f"{a}_{c}") for c in ("text_hash", "line") for f, a in ((F.min, "lo"), (F.max, "hi"))]
+    leaves = stored(parsed.groupBy("leaf", needed(n, least_texts).alias("need")).agg(F.count(F.lit(1)).alias("c"), *ends)
+                    .where("c >= need AND (need < 2 OR lo_text_hash < hi_text_hash)")
+                    .select("leaf", F.expr("lo_line < hi_line").alias("several")), "leaves")
+    some = stored(parsed.drop("masked").join(leaves, "leaf"), "lines")
     # Different lines of each different text, on one shuffle with the number of them in a leaf.
-    pairs = (some.select("leaf", "line", "text_hash", "doc_id").repartition("leaf", "text_hash")
-             .groupBy("leaf", "line", "text_hash").agg(F.min("doc_id").alias("doc_id"))
+    pairs = (some.select("leaf", "line", "n", "several", "text_hash", "doc_id").repartition("leaf", "text_hash")
+             .groupBy("leaf", "line", "n", "several", "text_hash").agg(F.min("doc_id").alias("doc_id"))
              .withColumn("k", F.count(F.lit(1)).over(Window.partitionBy("leaf", "text_hash"))))
     pairs = stored(pairs, "pairs")
     first = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "text_hash"))["text_hash"]
-    votes = pairs.groupBy("leaf", "line").agg(F.sum(F.floor(F.lit(VOTE) / F.col("k"))).alias("votes"), F.count(F.lit(1)).alias("texts"), first.alias("first"))
-    lines = stored(some.select("leaf", "line", "masked").dropDuplicates(["leaf", "line"]).join(votes, ["leaf", "line"])
-                   .select("leaf", "line", F.split("masked", " ").alias("tokens"), "votes", "texts", "first"), "different")
-    named = stored(templates(lines, least_texts), "templates")
+    lines = stored(pairs.groupBy("leaf", "line", "n", "several")
+                   .agg(F.sum(F.floor(F.lit(VOTE) / F.col("k"))).alias("votes"), F.count(F.lit(1)).alias("texts"), first.alias("first")), "different")
+    # Tokens are fetched for leaves with different lines only (a filter keeps most other lines from the shuffle); one line is its leaf's template.
+    votes = F.col("several") & (n >= LEAST_TOKENS)
+    maps, blocks = repeat_filter(leaves.where("several"), "leaf", least=1)
+    texts = possibly_repeated(parsed.where(n >= LEAST_TOKENS).select("leaf", "line", "masked"), "leaf", stored(maps, "filter"), blocks, "maybe")
+    voters = stored(texts.where("maybe").select("leaf", "line", "masked").dropDuplicates(["leaf", "line"])
+                    .join(lines.where(votes).select("leaf", "line", "votes", "texts"), ["leaf", "line"])
+                    .select("leaf", "line", F.split("masked", " ").alias("tokens"), "votes", "texts"), "voters")
+    plain = lines.where(~votes).select("line", F.xxhash64(F.lit("line"), "line").alias("template"))
+    named = stored(templates(voters, least_texts).unionAll(plain), "templates")
     # Distinct pairs first, then a count with partial sums: no task gets a template's texts.
     recur = (pairs.join(named, "line").select("template", "text_hash").distinct().groupBy("template").agg(F.count(F.lit(1)).alias("c"))
              .where(F.col("c") >= least_texts).select("template"))
-    passage = lines.where((F.size("tokens") >= LONG_TOKENS) & (F.col("texts") >= 2)).select("line", F.col("first").alias("keeper"))
+    passage = lines.where((n >= LONG_TOKENS) & (F.col("texts") >= 2)).select("line", F.col("first").alias("keeper"))
     gone = (named.join(recur, "template", "left_semi").select("line", F.lit(None).cast("long").alias("keeper")).unionAll(passage)
             # A line that is both goes from all texts.
             .groupBy("line").agg(F.when(F.count(F.lit(1)) == F.count("keeper"), F.min("keeper")).alias("keeper")))
@@ -138,11 +149,17 @@ def recurring_lines(docs: DataFrame, least_texts: int = 5) -> DataFrame:
 
 def line_dedup(docs: DataFrame, least_texts: int = 5) -> DataFrame:
     """doc_id, n_lines, n_dropped, text (the lines that stay): one row per input row."""
-    cut = (recurring_lines(docs, least_texts).groupBy("doc_id", "text_hash").agg(F.collect_set("line_no").alias("cut"))
-           .withColumnsRenamed({"doc_id": "id", "text_hash": "hash"}))
+    key = F.xxhash64("doc_id", "text_hash")
+    cut = stored(recurring_lines(docs, least_texts).groupBy("doc_id", "text_hash").agg(F.collect_set("line_no").alias("cut"))
+                 .select(F.col("doc_id").alias("id"), F.col("text_hash").alias("hash"), "cut", key.alias("key")), "cut")
     text = F.coalesce(F.col("text"), F.lit(""))
-    own = docs.select("doc_id", F.xxhash64(text).alias("text_hash"), text.alias("text"))
-    joined = own.join(cut, own["doc_id"].eqNullSafe(F.col("id")) & (own["text_hash"] == F.col("hash")), "left")
+    maps, blocks = repeat_filter(cut, "key", least=1)
+    own = possibly_repeated(docs.select("doc_id", F.xxhash64(text).alias("text_hash"), text.alias("text")).withColumn("key", key),
+                            "key", stored(maps, "filter"), blocks, "maybe").drop("key")
+    # Texts that the filter rules out lose no line and aren't shuffled.
+    some = own.where("maybe").drop("maybe")
+    joined = (some.join(cut, some["doc_id"].eqNullSafe(F.col("id")) & (some["text_hash"] == F.col("hash")), "left").select("doc_id", "text", "cut")
+              .unionAll(own.where("NOT maybe").select("doc_id", "text", F.lit(None).cast("array<int>").alias("cut"))))
     lines = F.split("text", "\n")
     left = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("cut"))
     kept = F.when(F.col("cut").isNull(), F.col("text")).otherwise(F.array_join(F.transform(left, lambda i: F.get(lines, i)), "\n"))
