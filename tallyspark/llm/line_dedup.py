@@ -49,22 +49,28 @@ PERCENT = 70       # of a line's tokens that agree with its leaf's template
 
 
 def masked(line: Column) -> Column:
-    """Tokens of a line, fields with digits as ``<*>``."""
+    """Tokens of a line, fields with digits as ``<*>``, with one space between them."""
     plain = F.btrim(line, F.lit(" \t\x0b\x0c\r"))
     free = F.when(plain.rlike("[0-9]"), F.regexp_replace(plain, r"[^\x20\x09-\x0D0-9]*+[0-9][^\x20\x09-\x0D]*", "<*>")).otherwise(plain)
-    return F.split(free, r"[\x20\x09-\x0D]+")
+    wide = reduce(Column.__or__, [line.contains(x) for x in ("  ", "\t", "\x0b", "\x0c", "\r")])
+    return F.when(wide, F.regexp_replace(free, r"[\x20\x09-\x0D]+", " ")).otherwise(free)
+
+
+def times(text: Column, char: str) -> Column:
+    """How often an ASCII character stands in a text."""
+    return F.octet_length(text) - F.octet_length(F.replace(text, F.lit(char), F.lit("")))
 
 
 def lines_of(docs: DataFrame) -> DataFrame:
-    """doc_id, text_hash, line_no, tokens of every line that isn't blank, each different text once."""
+    """doc_id, text_hash, line_no, masked of every line that isn't blank, each different text once."""
     text = F.coalesce(F.col("text"), F.lit(""))
     rows = docs.select("doc_id", F.xxhash64(text).alias("text_hash"), F.posexplode(F.split(text, "\n")).alias("line_no", "line"))
     return (rows.where(F.col("line").rlike(r"[^\x20\x09-\x0D]"))
-            .select("doc_id", "text_hash", "line_no", masked(F.col("line")).alias("tokens")))
+            .select("doc_id", "text_hash", "line_no", masked(F.col("line")).alias("masked")))
 
 
-def leaf_of(tokens: Column) -> Column:
-    return F.xxhash64(F.size(tokens), F.slice(tokens, 1, DEPTH))
+def leaf_of(text: Column) -> Column:
+    return F.xxhash64(times(text, " "), F.substring_index(text, " ", DEPTH))
 
 
 def needed(size: Column, least_texts: int) -> Column:
@@ -107,9 +113,9 @@ def templates(lines: DataFrame, least_texts: int) -> DataFrame:
 
 def recurring_lines(docs: DataFrame, least_texts: int = 5) -> DataFrame:
     """doc_id, text_hash, line_no of the lines to drop."""
-    tokens, n = F.col("tokens"), F.col("n")
-    parsed = stored(lines_of(docs).select("doc_id", "text_hash", "line_no", leaf_of(tokens).alias("leaf"), F.xxhash64(tokens).alias("line"),
-                                          F.size(tokens).alias("n"), F.array_join(tokens, " ").alias("masked")), "parsed")   # lines are masked once
+    text, n = F.col("masked"), F.col("n")
+    parsed = stored(lines_of(docs).select("doc_id", "text_hash", "line_no", leaf_of(text).alias("leaf"), F.xxhash64(text).alias("line"),
+                                          (times(text, " ") + 1).alias("n"), "masked"), "parsed")   # lines are masked once
     # Leaves with lines enough, of two texts if it takes two; the others hold nothing that recurs.
     ends = [f(c).alias(f"{a}_{c}") for c in ("text_hash", "line") for f, a in ((F.min, "lo"), (F.max, "hi"))]
     leaves = stored(parsed.groupBy("leaf", needed(n, least_texts).alias("need")).agg(F.count(F.lit(1)).alias("c"), *ends)
@@ -163,7 +169,7 @@ def line_dedup(docs: DataFrame, least_texts: int = 5) -> DataFrame:
     lines = F.split("text", "\n")
     left = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("cut"))
     kept = F.when(F.col("cut").isNull(), F.col("text")).otherwise(F.array_join(F.transform(left, lambda i: F.get(lines, i)), "\n"))
-    return joined.select("doc_id", F.size(lines).cast("long").alias("n_lines"),
+    return joined.select("doc_id", (times(F.col("text"), "\n") + 1).cast("long").alias("n_lines"),
                          F.when(F.col("cut").isNull(), F.lit(0)).otherwise(F.size("cut")).cast("long").alias("n_dropped"), kept.alias("text"))
 
 

@@ -243,6 +243,21 @@ def test_line_dedup(spark):
     assert line_dedup.line_dedup(frame(spark, [])).count() == 0
 
 
+def test_line_dedup_fetches_tokens_of_leaves_with_different_lines_only(spark, monkeypatch):
+    """Lines of one text, and lines that are alone in their leaf, are never looked at token by token."""
+    kept = {}
+
+    def keep(df, name, stored=line_dedup.stored):
+        kept[name] = stored(df, name)
+        return kept[name]
+    monkeypatch.setattr(line_dedup, "stored", keep)
+    same = "one line that is the same\t in  all of them"
+    data = [(i, f"{same}\nsent by user {'abcdef'[i]} to the main office\nonly in text {chr(97 + i)} {prose(i, 9)}", "en", "s", 0) for i in range(6)]
+    got = line_dedup.line_dedup(frame(spark, data), least_texts=5).collect()
+    assert {r.n_dropped for r in got} == {2} and {r.n_lines for r in got} == {3} and all(r.text.startswith("only in text") for r in got)
+    assert {" ".join(r.tokens[:3]) for r in kept["voters"].collect()} == {"sent by user"}
+
+
 def test_line_dedup_several_templates_in_a_leaf(spark):
     names = [f"{a}{b}" for a in ("ann", "bob", "cid", "dan") for b in ("x", "y", "z")]
     notice = [f"the user named {n} has left the building for today" for n in names]
