@@ -252,9 +252,9 @@ def test_line_dedup_fetches_tokens_of_leaves_with_different_lines_only(spark, mo
         return kept[name]
     monkeypatch.setattr(line_dedup, "stored", keep)
     same = "one line that is the same\t in  all of them"
-    data = [(i, f"{same}\nsent by user {'abcdef'[i]} to the main office\nonly in text {chr(97 + i)} {prose(i, 9)}", "en", "s", 0) for i in range(6)]
+    data = [(i, f"{same}\nsent by user {'abcdef'[i]} to the main office\n{chr(97 + i)} only in this text {prose(i, 9)}", "en", "s", 0) for i in range(6)]
     got = line_dedup.line_dedup(frame(spark, data), least_texts=5).collect()
-    assert {r.n_dropped for r in got} == {2} and {r.n_lines for r in got} == {3} and all(r.text.startswith("only in text") for r in got)
+    assert {r.n_dropped for r in got} == {2} and {r.n_lines for r in got} == {3} and all(r.text[1:].startswith(" only in this text") for r in got)
     assert {" ".join(r.tokens[:3]) for r in kept["voters"].collect()} == {"sent by user"}
 
 
