@@ -13,7 +13,8 @@ as the tiktoken library does. Pieces share the table of their common prefixes.
 
 Defined cases: null and empty texts have no tokens; texts of any length work
 (long pieces use a table by position, short ones one by prefix); the memo tables
-of a task are emptied when they reach a fixed size, so memory stays bounded.
+of a task are emptied when they reach a fixed size, and when its worker goes on
+to other work, so memory stays bounded.
 """
 
 from __future__ import annotations
@@ -24,10 +25,10 @@ import hashlib
 import regex
 from pyspark.sql import DataFrame
 
-from tallyspark.llm.common import map_docs
+from tallyspark.llm.common import keep_between_tasks, map_docs
 
-MAX_PIECES = 200_000   # memo entries of a task: pieces (twice as many are held),
-MAX_PAIRS = 200_000    # neighbour pairs,
+MAX_PIECES = 150_000   # memo entries of a task: pieces (twice as many are held),
+MAX_PAIRS = 100_000    # neighbour pairs,
 MAX_HEADS = 50_000     # and tables of prefixes
 HEAD = 6               # bytes of a prefix whose table is shared
 SHORT = 48             # characters up to which a piece is remembered
@@ -47,8 +48,7 @@ class PrefixBPE:
         self.size = {i: len(t) for t, i in ranks.items()}
         self.name = {i: str(i) for i in ranks.values()}
         self.longest = max(map(len, ranks))
-        self.heads: dict[bytes, tuple] = {}
-        self.known: dict[tuple[int, int], bool] = {}
+        self.forget()
         # The two tokens whose merge makes a token: the one split whose halves stay apart until then.
         self.halves: dict[int, tuple[int, int] | None] = {}
         self.joined: dict[tuple[int, int], int] = {}
@@ -63,6 +63,11 @@ class PrefixBPE:
             if self.halves[r] is None and len(t) > 1:
                 raise ValueError("a token isn't reached by merges")
 
+    def forget(self) -> None:
+        """Empty what grew with the pieces."""
+        self.heads: dict[bytes, tuple] = {}
+        self.known: dict[tuple[int, int], bool] = {}
+
     def apart(self, a: int, b: int) -> bool:
         """Whether merging the bytes of two tokens by rank gives the two back.
 
@@ -167,23 +172,29 @@ class PrefixBPE:
 
 
 class TextCoder:
-    """Whole texts: pattern split, memo of pieces, ids and decoded bytes."""
+    """Whole texts: pattern split, memo of pieces, ids and decoded texts."""
 
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         self.bpe = PrefixBPE(ranks)
         self.split = regex.compile(pattern).findall
-        self.memo: dict[str, tuple[str, bytes]] = {}
-        self.old: dict[str, tuple[str, bytes]] = {}
+        self.forget()
 
-    def _piece(self, piece: str) -> tuple[str, bytes]:
+    def forget(self) -> None:
+        """Empty what grew with the texts."""
+        self.memo: dict[str, tuple[str, str]] = {}
+        self.old: dict[str, tuple[str, str]] = {}
+        self.bpe.forget()
+
+    def _piece(self, piece: str) -> tuple[str, str]:
         got = self.old.get(piece)
         if got is None:
             ids = self.bpe.encode(piece.encode())
-            got = " ".join(map(self.bpe.name.__getitem__, ids)), self.bpe.decode(ids)
+            decoded = self.bpe.decode(ids).decode()
+            got = " ".join(map(self.bpe.name.__getitem__, ids)), decoded
         if len(piece) <= SHORT:
             if len(self.memo) >= MAX_PIECES:   # what was used since the last time stays at hand
                 self.old, self.memo = self.memo, {}
-            self.memo[piece] = got
+            self.memo[got[1] if got[1] == piece else piece] = got   # equal texts are held once
         return got
 
     def encode(self, text: str) -> list[int]:
@@ -197,7 +208,7 @@ class TextCoder:
             got = [x or self.memo.get(p) or self._piece(p) for p, x in zip(pieces, got)]
         joined = " ".join([x[0] for x in got])
         return (joined.count(" ") + bool(pieces), hashlib.sha256(joined.encode()).hexdigest(),
-                hashlib.sha256(b"".join([x[1] for x in got])).hexdigest())
+                hashlib.sha256("".join([x[1] for x in got]).encode()).hexdigest())
 
 
 _coders: dict = {}
@@ -212,6 +223,15 @@ def coder_of(raw: bytes, pattern: str) -> TextCoder:
     return _coders[key]
 
 
+def forget_pieces() -> None:
+    """The worker goes on to other work, which needs the memory."""
+    for coder in _coders.values():
+        coder.forget()
+
+
+keep_between_tasks("bpe", forget_pieces)
+
+
 def read_vocabulary(path: str, max_mb: int = 64) -> bytes:
     with open(path, "rb") as f:
         raw = f.read((max_mb << 20) + 1)
@@ -229,7 +249,7 @@ def bpe_digests(docs: DataFrame, vocabulary: str, pattern: str) -> DataFrame:
         return {"doc_id": ids, "n_tokens": [r[0] for r in rows], "ids_sha256": [r[1] for r in rows],
                 "decoded_sha256": [r[2] for r in rows]}
 
-    return map_docs(docs, "doc_id bigint,n_tokens bigint,ids_sha256 string,decoded_sha256 string", run)
+    return map_docs(docs, "doc_id bigint,n_tokens bigint,ids_sha256 string,decoded_sha256 string", run, keeps="bpe")
 
 
 def bpe_ids(docs: DataFrame, vocabulary: str, pattern: str) -> DataFrame:
@@ -241,4 +261,4 @@ def bpe_ids(docs: DataFrame, vocabulary: str, pattern: str) -> DataFrame:
         out = list(map(coder.encode, texts))
         return {"doc_id": ids, "ids": out, "decoded": [coder.bpe.decode(x).decode() for x in out]}
 
-    return map_docs(docs, "doc_id bigint,ids array<int>,decoded string", run)
+    return map_docs(docs, "doc_id bigint,ids array<int>,decoded string", run, keeps="bpe")

@@ -69,11 +69,27 @@ def give_back() -> None:
             trim(0)
 
 
-def arrow_map(df: DataFrame, fn: Callable, schema: str) -> DataFrame:
-    """``mapInArrow`` whose tasks can import this package and give their memory back at the end."""
+#: What a worker keeps between tasks of one kind: how to free it, by kind.
+_kept: dict[str, Callable[[], None]] = {}
+
+
+def keep_between_tasks(kind: str, free: Callable[[], None]) -> None:
+    """Let ``free`` be called when a worker that lives on starts work of another kind."""
+    _kept[kind] = free
+
+
+def free_others(keeps: str) -> None:
+    for kind, free in _kept.items():
+        if kind != keeps:
+            free()
+
+
+def arrow_map(df: DataFrame, fn: Callable, schema: str, keeps: str = "") -> DataFrame:
+    """``mapInArrow`` whose tasks can import this package and give their memory back at the end; keeps: the kind of what is kept."""
     spark_python(df.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        free_others(keeps)
         yield from fn(batches)
         give_back()
 
@@ -88,7 +104,7 @@ def fresh(df: DataFrame, name: str) -> str:
     return name
 
 
-def map_docs(docs: DataFrame, schema: str, fn: Callable[[list, list], dict], raw: bool = False) -> DataFrame:
+def map_docs(docs: DataFrame, schema: str, fn: Callable[[list, list], dict], raw: bool = False, keeps: str = "") -> DataFrame:
     """Apply ``fn(doc_ids, texts) -> {column: values}`` to whole texts, batch by batch; raw: texts as UTF-8 bytes."""
     out_schema = pa_schema(schema)
 
@@ -100,7 +116,7 @@ def map_docs(docs: DataFrame, schema: str, fn: Callable[[list, list], dict], raw
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(got[f.name], f.type) for f in out_schema], schema=out_schema)
 
-    return arrow_map(id_text(docs), run, schema)
+    return arrow_map(id_text(docs), run, schema, keeps)
 
 
 def sliced(batch: pa.RecordBatch, text_bytes: int = 1 << 20) -> Iterator[pa.RecordBatch]:

@@ -54,15 +54,14 @@ def tokens_of(text: Column) -> Column:
 
 def windows(df: DataFrame, keys: list[str], masks: tuple, tiny: bool) -> DataFrame:
     """keys, pos, seed: a row for each mask and window of the column ``tokens``; with ``tiny``, texts of 1 to 3 tokens give one seed of them all."""
-    least, most = min(m[-1] for m in masks) + 1, max(m[-1] for m in masks) + 1
+    least = min(m[-1] for m in masks) + 1
     n = F.size("tokens") - least + 1
-    # Slices that end early are filled up with nulls: there the mask's window reaches over the end.
-    shifted = [F.slice("tokens", k + 1, n).alias(f"t{k}") for k in range(most)]
-    rows = (df.where(F.size("tokens") >= least)
-            .select(*keys, F.posexplode(F.arrays_zip(*shifted)).alias("pos", "w")))
-    seeds = F.array(*[F.when(F.col(f"w.t{mask[-1]}").isNotNull(), F.xxhash64(F.lit(i), *[F.col(f"w.t{k}") for k in mask]))
+    rows = df.where(F.size("tokens") >= least).select(*keys, "tokens", F.explode(F.sequence(F.lit(0), n - 1)).alias("pos"))
+    # Tokens are read where they stand: no row or array is made for a window. Null where a mask's window reaches over the end.
+    seeds = F.array(*[F.when(F.col("pos") + mask[-1] < F.size("tokens"), F.xxhash64(F.lit(i), *[F.get("tokens", F.col("pos") + k) for k in mask]))
                       for i, mask in enumerate(masks)])
-    spaced = rows.select(*keys, F.col("pos").cast("long").alias("pos"), F.explode(F.array_compact(seeds)).alias("seed"))
+    spaced = (rows.select(*keys, F.col("pos").cast("long").alias("pos"), F.explode(seeds).alias("seed"))
+              .where(F.col("seed").isNotNull()))
     if not tiny:
         return spaced
     whole = (df.where((F.size("tokens") > 0) & (F.size("tokens") < LEAST_QUOTED))

@@ -40,6 +40,7 @@ CHUNKS, SPAN = 9, 5
 SYMBOLS = CHUNKS * SPAN
 MOST_DISTANCE = 22   # a pair at similarity 0.8 lies beyond with a probability of 3e-6
 BLOCK = 1000         # rows of a block
+SLICE_BYTES = 1 << 18   # of texts whose shingles are made at once: their arrays take some 20 times as much
 BROADCAST_IDS = 2_000_000   # of 8 bytes: the most that are sent to every executor
 
 _U = np.uint64
@@ -71,7 +72,7 @@ def _names(names: np.ndarray) -> list[bytes]:
 def _digests(words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in sliced(batch):
+            for part in sliced(batch, SLICE_BYTES):
                 raw, offsets = text_bytes(part.column(1))
                 sets, at = shingle_sets(raw, offsets, words)
                 size = np.diff(at)
@@ -138,7 +139,7 @@ def _confirm(percent: int):
 def _sets(words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in sliced(batch):
+            for part in sliced(batch, SLICE_BYTES):
                 raw, offsets = text_bytes(part.column(1))
                 sets, at = shingle_sets(raw, offsets, words)
                 full = np.diff(at) > 0

@@ -6,8 +6,10 @@ import itertools
 import math
 import random
 import re
+import tracemalloc
 import zlib
 
+import pyarrow as pa
 import pytest
 
 from tallyspark.llm import components, context_mixing, decontaminate, exact_dedup, langid, line_dedup, near_dedup, suffix_dedup
@@ -97,6 +99,19 @@ def test_near_dedup(spark, words, block, monkeypatch):
     assert all(got[c] == 1 for c, s in zip(of, sets) if s) and sum(got.values()) == len(set(c for c, s in zip(of, sets) if s)) + sum(not s for s in sets)
 
 
+def test_near_dedup_makes_shingles_of_small_slices():
+    texts = [prose(700 + k, 500) for k in range(400)]
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(400)), "text": texts, "text_hash": [0] * 400})
+    assert sum(map(len, texts)) > 3 << 19
+    for make in (near_dedup._digests(5), near_dedup._sets(5)):
+        n = sum(part.num_rows for part in make(iter([batch])))
+        tracemalloc.start()
+        assert sum(part.num_rows for part in make(iter([batch]))) == n == 400
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert peak < 12e6
+
+
 def test_near_dedup_empty(spark):
     assert near_dedup.near_dedup(frame(spark, [])).count() == 0
 
@@ -145,6 +160,16 @@ def test_decontamination_of_quotes_in_parts(spark):
     assert decontaminate.drop_contaminated(docs, bench).count() == len(got) - sum(got.values())
 
 
+def test_decontamination_makes_no_array_of_windows(spark):
+    """A text's windows read its tokens where they stand: no row for each of them, no filter of seeds element by element."""
+    df = spark.createDataFrame([(1, [7, 8, 9, 7, 8]), (2, [7, 8, 9])], "doc_id bigint, tokens array<bigint>")
+    got = decontaminate.windows(df, ["doc_id"], ((0, 1, 2), (0, 2, 4)), False)
+    assert sorted((r.doc_id, r.pos) for r in got.collect()) == [(1, 0), (1, 0), (1, 1), (1, 2), (2, 0)]
+    assert len({r.seed for r in got.collect()}) == 4
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "arrays_zip" not in plan and "lambda" not in plan
+
+
 def test_masks_read_every_allowed_pattern():
     """Each way to substitute a fifth of 7 to 25 tokens leaves a window that a mask reads whole."""
     masks = [sum(1 << k for k in m) for m in decontaminate.MASKS]

@@ -8,7 +8,7 @@ import public_tokenizers
 import pytest
 import tiktoken
 
-from tallyspark.llm import bpe, secrets, wordpiece
+from tallyspark.llm import bpe, common, secrets, wordpiece
 from tests.llm.fixtures import frame, prose, rows
 
 PATH = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -78,6 +78,29 @@ def test_bpe_pieces_are_encoded_once_in_a_long_while(ranks, monkeypatch):
     assert [coder.digest(t) for t in texts] == got and not calls
 
 
+def test_bpe_workers_hold_no_pieces_in_other_work(spark):
+    """Workers live on, so what they remember of texts goes when they do other work."""
+    def held(batches):
+        import pyarrow as pa
+        from tallyspark.llm import bpe
+        for _ in batches:
+            pass
+        coders = list(bpe._coders.values())
+        n = sum(len(x) for c in coders for x in (c.memo, c.old, c.bpe.heads, c.bpe.known))
+        yield pa.RecordBatch.from_pydict({"coders": pa.array([len(coders)], pa.int64()), "n": pa.array([n], pa.int64())})
+
+    for run in (bpe.bpe_digests, bpe.bpe_ids):
+        assert run(frame(spark).repartition(8), PATH, public_tokenizers.PATTERN).count() == len(rows())
+        got = common.arrow_map(spark.range(0, 8, 1, 8), held, "coders bigint, n bigint").collect()
+        assert sum(r.coders for r in got) > 0 and sum(r.n for r in got) == 0
+
+
+def test_bpe_memo_holds_equal_texts_once(ranks):
+    coder = bpe.TextCoder(ranks, public_tokenizers.PATTERN)
+    coder.digest(prose(13, 2000))
+    assert len(coder.memo) > 500 and all(got[1] is piece for piece, got in coder.memo.items())
+
+
 def greedy(tokens, word, longest):
     n = 0
     while word:
