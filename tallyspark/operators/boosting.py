@@ -19,8 +19,9 @@ A split's gain is 1/2 (s(left) + s(right) - s(node)), s = T(G)^2 / (H + lambda),
 is -T(G) / (H + lambda) times the learning rate. Each child needs a sum of second derivatives of min_child_weight.
 Null and NaN are a bin of their own, under all others.
 
-The driver holds the trees of a round (two entries a leaf; ``keep=False`` drops those that the stored margins
-have); tasks get them as broadcasts.
+The driver holds the trees of a round (two entries a leaf), and tasks get them as broadcasts. With ``keep=False`` it holds
+none: a model that isn't one task's has its cells in a table of its own (``_OWN``), where the tasks that grow its subtrees
+put the new margins, so the driver gets the divided nodes, losses and counts only.
 """
 
 from __future__ import annotations
@@ -37,7 +38,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallyspark.operators.quantiles import kth_values, long_values
-from tallyspark.session import materialize, remove_path, shared_path, workers_import
+from tallyspark.session import materialize, remove_path, shared_path, shuffles_removed, workers_import
 
 #: Derivatives are whole multiples of 1 / SCALE, losses of 1 / LOSS_SCALE.
 SCALE, LOSS_SCALE = float(1 << 24), float(1 << 32)
@@ -148,6 +149,10 @@ def bin_numbers(x: np.ndarray, cuts: list[np.ndarray]) -> np.ndarray:
 
 
 _CELLS = "n bigint, bins binary, zeros binary, ones binary, fold binary"
+#: Blocks of one model's cells, each with its margin; what a step gives for a node and round.
+_OWN = f"{_CELLS}, margins binary, m int"
+_OWN_NAMES = [x.split()[0] for x in _OWN.split(", ")]
+_GIVEN = "node int, turn int, tree binary, loss bigint, seen array<bigint>"
 
 
 def cells(data: Binned, trees: Sequence[Spec] = ()) -> DataFrame:
@@ -218,14 +223,22 @@ def _bucket_cells(rows: pa.Table, n_features: int, width: int) -> pa.Table:
     out: list[list] = [[], [], [], [], []]
     for at in range(0, len(what), BLOCK):
         part = slice(at, at + BLOCK)
-        # The least type that holds a block's counts; readers tell it from the number of bytes.
-        kind = np.promote_types(*[np.min_scalar_type(v[part].max()) for v in (zeros, ones)])
-        for column, v in zip(out, (len(what[part]), what[part, 4:].tobytes(), zeros[part].astype(kind).tobytes(), ones[part].astype(kind).tobytes(),
-                                   what[part, :4].tobytes()), strict=True):
+        for column, v in zip(out, (len(what[part]), what[part, 4:].tobytes(), *_counts(zeros[part], ones[part]), what[part, :4].tobytes()), strict=True):
             column.append(v)
     return pa.table({k: pa.array(v, pa.int64() if k == "n" else pa.binary()) for k, v in zip(("n", "bins", "zeros", "ones", "fold"), out, strict=True)})
 
 
+def _counts(zeros: np.ndarray, ones: np.ndarray) -> list[bytes]:
+    """Counts in the least type that holds a block's; readers tell it from the number of bytes."""
+    kind = np.promote_types(*[np.min_scalar_type(v.max()) for v in (zeros, ones)])
+    return [v.astype(kind).tobytes() for v in (zeros, ones)]
+
+
+def node_size(n_cells: int, rows: int) -> int:
+    """What a node counts for: its cells, or more if it has so many rows that sums of their derivatives in one task would not be exact."""
+    return max(n_cells, rows >> 8)
+
+
 # ------------------------------------------------------------------ one tree, in numpy
 
 def shrunk(g, alpha: float):
@@ -448,6 +461,21 @@ def parts_of(specs: list[Spec], active: list[int], margins_of, blocks) -> Iterat
                 yield m, bins, zeros[:, 0], ones[:, 0], learn, margins[learn, j], held, margins[held, j]
 
 
+def own_parts(specs: list[Spec], batches: Iterator[pa.RecordBatch], n_features: int) -> Iterator[tuple]:
+    """The same of models with cells of their own (``_OWN``)."""
+    for b in batches:
+        for m, block in zip(b.column("m").to_pylist(), _blocks([b], n_features), strict=True):
+            yield from parts_of(specs, [m], lambda bins, stored: stored, [block])
+
+
+def own_blocks(m: int, fold: int, bins: np.ndarray, zeros: np.ndarray, ones: np.ndarray, margins: np.ndarray) -> Iterator[tuple]:
+    """Rows of ``_OWN``."""
+    for at in range(0, len(bins), BLOCK):
+        part = slice(at, at + BLOCK)
+        n = len(bins[part])
+        yield n, bins[part].tobytes(), *_counts(zeros[part], ones[part]), np.full(n, fold, np.int32).tobytes(), margins[part].tobytes(), m
+
+
 @dataclass
 class Round:
     """What a step gives a model: trees and, after each, validation loss (whole units) and confusion counts."""
@@ -462,12 +490,15 @@ class _Grower:
     def __init__(self, data: Binned, specs: list[Spec]):
         self.data, self.specs = data, specs
         self.size = None
+        self.own: str | None = None     # the table of models with cells of their own
 
     def step(self, table: DataFrame, active: list[int], margins_of, ahead: dict[int, tuple[int, float, int]], kind=TREE, trees: bool = True) -> dict[int, Round]:
         """The next tree of each active model; of a model whose cells one task has, the next ones up to ``ahead[m]``:
         (rounds, least loss so far in whole units, rounds without a better one that end it). Without ``trees`` such a
-        model gets all of them there, and they stay there."""
+        model gets all of them there, and they stay there; of other models margins are kept in ``own``."""
         self.active = active
+        if self.own:
+            table = self.data.spark.read.schema(_OWN).parquet(self.own).where(F.col("n").isNotNull() & F.col("m").isin(active))
         n_features = len(self.data.features)
         small = max(1, min(SMALL, SMALL_BINS // n_features))
         leaf = np.zeros(1, TREE)
@@ -475,12 +506,13 @@ class _Grower:
         tops = {m: leaf.copy() for m in active}
         paths = {m: {0: "1"} for m in active}
         large = {}
-        if self.size is None:       # of a node: its cells, and so much more that sums of its rows' derivatives are exact
-            self.size = (table.agg(F.sum("n").alias("n")).first()["n"] or 0) + (sum(self.data.sizes.values()) >> 8)
+        if self.size is None:
+            self.size = node_size(table.agg(F.sum("n").alias("n")).first()["n"] or 0, sum(self.data.sizes.values()))
         for m in active:
             if self.size > small and self.specs[m].max_depth > 0:
                 large[m] = [0]
-        alone = {m: ahead[m] for m in active if m in ahead and m not in large}
+        apart = bool(large) and not trees
+        alone = {} if apart else {m: ahead[m] for m in active if m in ahead and m not in large}
         while large:
             rows = self._best_splits(table, margins_of, tops, paths, large, n_features)
             large = {}
@@ -497,15 +529,22 @@ class _Grower:
                     if n > small and len(paths[m][kid]) - 1 < self.specs[m].max_depth:
                         large.setdefault(m, []).append(kid)
                 del paths[m][at]
-        return self._finish(table, margins_of, tops, paths, n_features, alone, kind, trees)
+        return self._finish(table, margins_of, tops, paths, n_features, alone, kind, trees, apart)
+
+    def _parts(self, margins_of, n_features):
+        """How a task gets the parts of its blocks."""
+        specs, active = self.specs, self.active
+        if self.own:
+            return lambda batches: own_parts(specs, batches, n_features)
+        return lambda batches: parts_of(specs, active, margins_of, _blocks(batches, n_features))
 
     def _best_splits(self, table, margins_of, tops, paths, large, n_features):
         """The best split of every large node, by one aggregate over (model, node, feature, bin)."""
-        specs, active = self.specs, self.active
+        specs, parts = self.specs, self._parts(margins_of, n_features)
 
         def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             held: dict[tuple, np.ndarray] = {}
-            for m, bins, zeros, ones, learn, margins, *_ in parts_of(specs, active, margins_of, _blocks(batches, n_features)):
+            for m, bins, zeros, ones, learn, margins, *_ in parts(batches):
                 if m not in large:
                     continue
                 g, h = derivatives(specs[m], margins, zeros[learn], ones[learn])
@@ -545,12 +584,13 @@ class _Grower:
         return rated.groupBy("m", "node").agg(F.max("h").alias("h"), F.max("c").alias("c"), F.max_by(
             F.struct("feature", "bin", "gain", F.col("lc").alias("c")), order).alias("best")).collect()     # a row for each large node
 
-    def _finish(self, table, margins_of, tops, paths, n_features, alone, kind, trees):
-        """The subtrees of all open nodes, each grown where its cells meet, with the validation loss after it."""
-        specs, active = self.specs, self.active
+    def _finish(self, table, margins_of, tops, paths, n_features, alone, kind, trees, apart):
+        """The subtrees of all open nodes, each grown where its cells meet, with the validation loss after it; if models are ``apart``,
+        their cells with the new margins are written in place of the trees."""
+        specs, parts = self.specs, self._parts(margins_of, n_features)
 
         def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for m, bins, zeros, ones, learn, margins, held, held_margins in parts_of(specs, active, margins_of, _blocks(batches, n_features)):
+            for m, bins, zeros, ones, learn, margins, held, held_margins in parts(batches):
                 whole = len(tops[m]) == 1
                 at, at_held = (np.zeros(len(v), int) if whole else leaf_of(tops[m], bins[v]) for v in (learn, held))
                 out = []
@@ -571,7 +611,7 @@ class _Grower:
             columns, vbins = np.ascontiguousarray(bins.reshape(-1, n_features).T), vbins.reshape(-1, n_features)
             most, least, wait = alone.get(m, (1, math.inf, 1))
             got, nodes, waited = Round([], [], []), 0, 0
-            asked = trees or m not in alone
+            asked = trees or not apart and m not in alone
             while len(got.losses) < most and (nodes < AHEAD_NODES or not asked):
                 tree, leaf = grow(columns, *derivatives(specs[m], margins, zeros, ones), specs[m], paths[m][node])
                 if asked:
@@ -579,7 +619,7 @@ class _Grower:
                 nodes += len(tree)
                 loss, seen = 0, [0, 0, 0, 0]
                 if specs[m].tree < 0:
-                    if m in alone:
+                    if m in alone or apart:
                         margins = margins + tree["value"][leaf]
                     vmargins = vmargins + tree["value"][leaf_of(tree, vbins)]
                     loss, seen = validation(vmargins, vzeros, vones)
@@ -589,16 +629,29 @@ class _Grower:
                 if waited >= wait:
                     break
             n = len(got.losses)
-            return pa.table({"m": pa.array([m] * n, pa.int32()), "node": pa.array([node] * n, pa.int32()),
-                             "turn": pa.array(range(n), pa.int32()), "tree": pa.array([t.tobytes() for t in got.trees] if asked else [None] * n, pa.binary()),
-                             "loss": pa.array(got.losses, pa.int64()), "seen": pa.array(got.seen, pa.list_(pa.int64()))})
+            given = pa.table({"m": pa.array([m] * n, pa.int32()), "node": pa.array([node] * n, pa.int32()),
+                              "turn": pa.array(range(n), pa.int32()), "tree": pa.array([t.tobytes() for t in got.trees] if asked else [None] * n, pa.binary()),
+                              "loss": pa.array(got.losses, pa.int64()), "seen": pa.array(got.seen, pa.list_(pa.int64()))})
+            if not apart:
+                return given
+            fold = specs[m].fold             # of the others it only counts that they have another
+            own = [*own_blocks(m, fold + 1, bins.reshape(-1, n_features), zeros, ones, margins), *own_blocks(m, fold, vbins, vzeros, vones, vmargins)]
+            kept = pa.table({x: pa.array(list(v), t) for x, t, v in zip(_OWN_NAMES, [pa.int64()] + [pa.binary()] * 5 + [pa.int32()], zip(*own, strict=True), strict=True)})
+            return pa.concat_tables([kept, given], promote_options="default")
 
         sent = table.mapInArrow(send, "m int, node int, bins binary, margins binary, zeros binary, ones binary, "
                                 "vbins binary, vmargins binary, vzeros binary, vones binary")
         # A number of its own: the rows are few bytes for much work, so the planner would put them into few tasks.
         tasks = min(4 * sum(map(len, paths.values())), max(8 * self.data.spark.sparkContext.defaultParallelism,
                                                        int(self.data.spark.conf.get("spark.sql.shuffle.partitions"))))
-        done = sent.repartition(tasks, "m", "node").groupBy("m", "node").applyInArrow(finish, "m int, node int, turn int, tree binary, loss bigint, seen array<bigint>")
+        done = sent.repartition(tasks, "m", "node").groupBy("m", "node").applyInArrow(finish, f"{_OWN}, {_GIVEN}" if apart else f"m int, {_GIVEN}")
+        if apart:
+            before, self.own = self.own, shared_path(self.data.spark, "own-cells")
+            with shuffles_removed(self.data.spark):
+                done.write.parquet(self.own)
+            done = self.data.spark.read.schema(f"n bigint, m int, {_GIVEN}").parquet(self.own).where(F.col("n").isNull()).drop("n")
+            if before:
+                remove_path(self.data.spark, before)
         out: dict[int, Round] = {}
         tops = {m: t.astype(kind) if kind is TREE else t[list(kind.names)].astype(kind) for m, t in tops.items()}
         for r in sorted(done.collect(), key=lambda r: (r["m"], r["turn"], r["node"])):
@@ -685,8 +738,10 @@ def boost(data: Binned, specs: Sequence[Spec], rounds: int, patience: int | None
             out.trees[m] += r.trees
             out.losses[m] += [v / LOSS_SCALE / held[m] for v in r.losses]
             out.counts[m] += [tuple(map(int, x)) for x in r.seen]
-        casts.append(spark.sparkContext.broadcast({m: r.trees for m, r in got.items()}))
         worked, active = sorted(got), going()
+        if grower.own:                              # has the margins
+            continue
+        casts.append(spark.sparkContext.broadcast({m: r.trees for m, r in got.items()}))
         since = max(len(out.losses[m]) - saved[m] for m in worked)
         if since >= KEEP and active or state and not active:
             step += 1
@@ -705,8 +760,9 @@ def boost(data: Binned, specs: Sequence[Spec], rounds: int, patience: int | None
             if not keep:
                 for x in out.trees:
                     x.clear()
-    if base:
-        remove_path(spark, base)
+    for path in (base, grower.own):
+        if path:
+            remove_path(spark, path)
     for m, s in enumerate(specs):
         best, stop = _stopped(out.losses[m], patience) if s.fold >= 0 else (len(out.losses[m]) - 1, None)
         out.best.append(best if out.losses[m] else None)
