@@ -699,7 +699,7 @@ def boost(data: Binned, specs: Sequence[Spec], rounds: int, patience: int | None
           state: str | None = None) -> Boosted:
     """ML5-ML9: boosts all models together; one stops once ``patience`` rounds brought no better validation loss.
 
-    ``keep=False`` drops trees once they are in the stored margins (a search needs none). With a ``state``
+    ``keep=False`` asks for no trees (a search needs none): they stay where they grow, only margins go on. With a ``state``
     folder margins, trees and losses stay there every ``KEEP`` rounds or more, and a later call with the same
     folder, data, models and ``keep`` goes on after them.
     """
